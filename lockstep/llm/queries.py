@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing
+from . import mixing, simhash
 from .common import table
 
 
@@ -14,6 +14,11 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.assign(table(spark, sf_dir, "documents"))
 
 
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and near-duplicate component of each document."""
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict:
     return {k: v for k, v in globals().items() if k.startswith("op")}
 
