@@ -17,3 +17,31 @@ SELECT doc_id, item_id, count(*) / any_value(q)::DOUBLE AS containment
 FROM held JOIN grams USING (n, g) JOIN sizes USING (item_id, n)
 GROUP BY r, doc_id, item_id HAVING count(*) / any_value(q)::DOUBLE >= 0.8 - 1e-12
 """
+
+_RULES = (
+    ("assign", r"""([pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][eE][cC][rR][eE][tT]|[tT][oO][kK][eE][nN]|[aA][pP][iI]_?[kK][eE][yY])["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 6),
+    ("access", r"AKIA[A-Z0-9]+", 0, 20),
+    ("hex", r"[0-9a-f]+", 0, 24),
+    ("private_key", r"-----BEGIN [A-Z ]*PRIVATE KEY-----", 0, 1),
+    ("github", r"gh[pousr]_[A-Za-z0-9]{36,}", 0, 1),
+    ("slack", r"xox[abprs]-[A-Za-z0-9-]{10,}", 0, 1),
+)
+
+
+def _rule_sql(k: int, name: str, pattern: str, group: int, least: int) -> str:
+    p = pattern.replace("'", "''")
+    return f"""SELECT r, {k} AS kind, '{name}' AS name, i, {least} AS least, length(g[i]) AS gap, length(m[i]) AS len, length(t[i]) AS told FROM (
+      SELECT r, string_split_regex(text, '{p}') AS g, regexp_extract_all(text, '{p}') AS m, regexp_extract_all(text, '{p}', {group}) AS t, unnest(range(1, len(m) + 1)) AS i FROM docs)"""
+
+
+OP7 = f"""
+WITH docs AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
+each AS ({" UNION ALL ".join(_rule_sql(k, *x) for k, x in enumerate(_RULES))}),
+placed AS (SELECT *, sum(gap + len) OVER (PARTITION BY r, kind ORDER BY i) AS stop FROM each),
+spans AS (SELECT r, kind, stop - len AS start, name || ':' || (stop - len)::BIGINT || ':' || stop::BIGINT AS line FROM placed WHERE told >= least),
+told AS (SELECT r, count(*) FILTER (kind = 0) AS n_assign, count(*) FILTER (kind = 1) AS n_access, count(*) FILTER (kind = 2) AS n_hex,
+  string_agg(line, ',' ORDER BY start, kind) FILTER (kind < 3) AS base, string_agg(line, ',' ORDER BY start, kind) AS spans FROM spans GROUP BY r)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+  sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM docs LEFT JOIN told USING (r)
+"""

@@ -5,10 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, mixing, oracles, simhash
+from . import decontaminate, mixing, oracles, secrets, simhash
 from .common import table
 
 
+def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Places of secrets in each document, from a ledger that starts empty."""
+    docs = table(spark, sf_dir, "documents")
+    return secrets.report(docs, secrets.scan(docs))
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that the mix takes of each document."""
     return mixing.assign(table(spark, sf_dir, "documents"))
@@ -29,4 +35,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_decontamination": oracles.OP2}
+    return {"op2_decontamination": oracles.OP2, "op7_secrets": oracles.OP7}
