@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, mixing, oracles, secrets, simhash
+from . import decontaminate, mixing, oracles, pii, secrets, simhash
 from .common import table
 
 
@@ -30,6 +30,11 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document's text with its entities replaced, and their number."""
+    return pii.replace(table(spark, sf_dir, "documents").select("doc_id", "text"), counts=True)
+
+
 def queries() -> dict:
     return {k: v for k, v in globals().items() if k.startswith("op")}
 
