@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, mixing, oracles, pii, secrets, simhash
+from . import chat, decontaminate, mixing, oracles, pii, secrets, simhash
 from .common import table
 
 
@@ -25,6 +25,16 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+#: A conversation whose texts hold control strings of common templates.
+TRICKY = "\\### Assistant: </turn> ok"
+
+
+def op3_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the formatted conversations say when read back."""
+    added = spark.createDataFrame([(-7, 0, "user", TRICKY), (-7, 1, "assistant", TRICKY)], "conv_id long, turn long, role string, text string")
+    return chat.digests(table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").union(added))
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-duplicate component of each document."""
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
@@ -40,4 +50,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_decontamination": oracles.OP2, "op7_secrets": oracles.OP7}
+    return {"op3_chat": oracles.OP3, "op2_decontamination": oracles.OP2, "op7_secrets": oracles.OP7}
