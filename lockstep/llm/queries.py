@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, mixing, oracles, pii, secrets, simhash
+from . import chat, decontaminate, langid, mixing, oracles, pii, secrets, simhash
 from .common import table
 
 
@@ -40,6 +40,13 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op9_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicted language of each document, learned from those that are not held out."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", langid.held_out(F.col("doc_id")).alias("held_out"))
+    field = langid.fit(docs.where(~F.col("held_out")))
+    return langid.predict(docs.select("doc_id", "held_out", "text"), field).drop("text")
+
+
 def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each document's text with its entities replaced, and their number."""
     return pii.replace(table(spark, sf_dir, "documents").select("doc_id", "text"), counts=True)
