@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, langid, mixing, oracles, pii, secrets, simhash
+from . import chat, decontaminate, langid, mixing, oracles, pii, quality, secrets, simhash
 from .common import table
 
 
@@ -20,6 +20,11 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.assign(table(spark, sf_dir, "documents"))
 
 
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document's perplexity under the model of trusted text, its language's threshold, and whether it is kept."""
+    return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that contain a benchmark item, with the item and its share found."""
     return decontaminate.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
