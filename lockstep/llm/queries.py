@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, langid, mixing, oracles, pii, quality, secrets, simhash
+from . import chat, decontaminate, langid, media, mixing, oracles, pii, quality, secrets, simhash
 from .common import table
 
 
@@ -40,6 +40,12 @@ def op3_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").union(added))
 
 
+def op5_media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the stored form of each document's text holds when read back."""
+    docs = media.with_media(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return media.described(docs).drop("text", "media")
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-duplicate component of each document."""
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
