@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, langid, media, mixing, oracles, pii, quality, secrets, simhash
+from . import chat, decontaminate, langid, media, mixing, oracles, pii, quality, repeats, secrets, simhash
 from .common import table
 
 
@@ -40,6 +40,11 @@ def op3_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").union(added))
 
 
+def op4_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What stays of each document without strings of 50 bytes that start in an earlier one."""
+    return repeats.removals(table(spark, sf_dir, "documents"))
+
+
 def op5_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the stored form of each document's text holds when read back."""
     docs = media.with_media(table(spark, sf_dir, "documents").select("doc_id", "text"))
