@@ -23,6 +23,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import cut
+
 # The patterns of the rules, their least lengths.
 ASSIGN = r"""([pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][eE][cC][rR][eE][tT]|[tT][oO][kK][eE][nN]|[aA][pP][iI]_?[kK][eE][yY])["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 ACCESS = r"AKIA[A-Z0-9]+"
@@ -85,7 +87,8 @@ def findings(docs: DataFrame, ledger: DataFrame, rules: tuple[Rule, ...] = RULES
     """path, and its blob's spans as a sorted array of (start, kind, end), kind being the rule's number."""
     number = F.create_map(*(x for k, r in enumerate(rules) for x in (F.lit(f"{r.name}:{r.version}"), F.lit(k))))
     known = ledger.where(F.size("findings") > 0).withColumn("kind", number[F.concat_ws(":", "rule", "version")]).where("kind is not null")
-    by_blob = known.select("blob", "kind", F.inline("findings")).groupBy("blob").agg(F.array_sort(F.collect_list(F.struct("start", "kind", "end"))).alias("spans"))
+    # Cut, so that the join deals both sides anew and can split a blob with very many paths.
+    by_blob = cut(known.select("blob", "kind", F.inline("findings")).groupBy("blob").agg(F.array_sort(F.collect_list(F.struct("start", "kind", "end"))).alias("spans")))
     paths = docs.select(path, blob_of(F.col("text")).alias("blob"))
     return paths.join(by_blob, "blob", "left").select(path, "blob", F.coalesce("spans", F.array().cast("array<struct<start:int,kind:int,end:int>>")).alias("spans"))
 
