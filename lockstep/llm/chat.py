@@ -31,6 +31,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import cut
+
 ESCAPES = (("\\", "\\\\"), ("<", "\\l"), (">", "\\g"))
 PLAIN = {"\\\\": "\\", "\\l": "<", "\\g": ">", "\\n": "\n"}
 TURN = re.compile(r"<turn ([^>\n]*)>\n([^<]*)</turn>\n")
@@ -115,8 +117,9 @@ def read_back(packs: DataFrame) -> DataFrame:
     def read(batches):
         for b in batches:
             rows = []
-            for x in b.to_pylist():
-                tokens = np.array(x["tokens"], np.int32)
+            tokens_of = b.column("tokens")
+            for k, x in enumerate(b.drop_columns(["tokens", "position_ids"]).to_pylist()):
+                tokens = np.asarray(tokens_of[k].values)
                 mask = np.zeros(len(tokens), bool)
                 for i in x["loss"]:
                     mask[i["start"] : i["end"]] = True
@@ -138,5 +141,5 @@ def read_back(packs: DataFrame) -> DataFrame:
 def digests(rows: DataFrame) -> DataFrame:
     """conv_id and what its formatted form says, for each conversation."""
     convs = conversations(rows)
-    told = read_back(format_trees(convs))
+    told = cut(read_back(format_trees(convs)))  # so that the join can split a path with very many conversations
     return convs.select("conv_id", "path").join(told, "path").drop("path")
