@@ -73,45 +73,81 @@ def gray_rank(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def search(group: np.ndarray, fps: np.ndarray, radius: int, step: int = 1 << 16) -> tuple[np.ndarray, np.ndarray]:
-    """All pairs of one group within radius bits. group: sorted ids; fps: distinct within a group, in Gray order."""
+def sketches(texts: pa.Array, width: int = 5, bits: int = 256) -> pa.Array:
+    """One-bit MinHash of every text's shingle set: bits agree with probability (1 + J) / 2."""
+    rng = np.random.default_rng(SEED)
+    times, plus = rng.integers(0, 1 << 63, bits, dtype=U) << U(1) | U(1), rng.integers(0, 1 << 63, bits, dtype=U)
+    out = []
+    for _, _, data, offs in slices(texts):
+        raw = data.tobytes()
+        for k in range(len(offs) - 1):
+            h = np.unique(np.array(hashes(raw[offs[k] : offs[k + 1]], width) or [0], U))
+            least = np.full(bits, ~U(0))
+            for i in range(0, len(h), 512):
+                part = h[i : i + 512, None]
+                part = (part ^ (part >> U(29))) * times + plus
+                np.minimum(least, (part ^ (part >> U(32))).min(axis=0), out=least)
+            out.append(np.packbits((least >> U(7)) & U(1) == 1).tobytes())
+    return pa.array(out, pa.binary())
+
+
+def search(group: np.ndarray, fps: np.ndarray, radius: int, most: int = 1 << 21):
+    """Yields all pairs of one group within radius bits, some at a time. group: sorted ids; fps: in Gray order within a group.
+
+    most bounds the places that are open at once; beyond it the work is halved.
+    """
     n = len(fps)
     first = np.flatnonzero(np.r_[True, group[1:] != group[:-1]]) if n else np.empty(0, np.int64)
     sizes = np.diff(np.r_[first, n])
     rank = np.arange(n) - np.repeat(first, sizes)
-    full = U(0xFFFFFFFFFFFFFFFF)
-    ones, zeros = [fps], [~fps]
-    starts, width, node_group = [], 1, np.repeat(np.arange(len(first)), sizes)
-    levels_rank = rank
+    ones, masked, starts = [fps], [np.full(n, ~U(0))], []
     while len(ones[-1]) > len(first):
-        parent = np.flatnonzero((levels_rank % FAN) == 0)
+        parent = np.flatnonzero(rank % FAN == 0)
+        both = np.bitwise_and.reduceat(ones[-1] & masked[-1], parent)
+        neither = np.bitwise_and.reduceat(~ones[-1] & masked[-1], parent)
         starts.append(parent)
-        ones.append(np.bitwise_and.reduceat(ones[-1], parent))
-        zeros.append(np.bitwise_and.reduceat(zeros[-1], parent))
-        levels_rank, node_group = levels_rank[parent] // FAN, node_group[parent]
-        width *= FAN
-    roots = np.repeat(np.arange(len(first)), sizes)
-    left, right = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+        ones.append(both)
+        masked.append(both | neither)  # the bits that all below share
+        rank = rank[parent] // FAN
     own = np.flatnonzero(np.repeat(sizes > 1, sizes))
-    for a in range(0, len(own), step):
-        q = own[a : a + step]
-        node, acc, known = roots[q], np.zeros(len(q), np.int64), np.zeros(len(q), U)
-        for level in range(len(starts), -1, -1):
-            mask = full if level == 0 else ones[level][node] | zeros[level][node]
-            acc = acc + np.bitwise_count((fps[q] ^ ones[level][node]) & mask & ~known)
-            ok = acc <= radius
-            q, node, acc = q[ok], node[ok], acc[ok]
-            if level == 0:
-                ok = q < node
-                left.append(q[ok])
-                right.append(node[ok])
+    root = np.repeat(np.arange(len(first)), sizes)[own]
+    work = [(len(starts), own[a : a + most], root[a : a + most], np.zeros(len(own[a : a + most]), np.int64), np.zeros(len(own[a : a + most]), U)) for a in range(0, len(own), most)]
+    while work:
+        level, q, node, acc, known = work.pop()
+        mask = masked[level][node]
+        acc = acc + np.bitwise_count((fps[q] ^ ones[level][node]) & mask & ~known)
+        ok = acc <= radius
+        if level == 0:
+            ok &= q < node
+            if ok.any():
+                yield q[ok], node[ok]
+            continue
+        q, node, acc, known = q[ok], node[ok], acc[ok], mask[ok]
+        s = starts[level - 1]
+        count = np.diff(np.r_[s, len(ones[level - 1])])[node]
+        ends = np.cumsum(count)
+        for a in range(0, int(ends[-1]) if len(ends) else 0, most):
+            i, j = np.searchsorted(ends, a, "right"), np.searchsorted(ends, a + most, "right")
+            c = count[i:j]
+            if len(c):
+                child = np.repeat(s[node[i:j]], c) + np.arange(c.sum()) - np.repeat(np.cumsum(c) - c, c)
+                work.append((level - 1, np.repeat(q[i:j], c), child, np.repeat(acc[i:j], c), np.repeat(known[i:j], c)))
+
+
+def join_up(label: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Labels after the links (i, j): the smallest place that each place is linked to."""
+    while True:
+        a, b = label[i], label[j]
+        low = np.minimum(a, b)
+        if (a == b).all():
+            return label
+        np.minimum.at(label, a, low)
+        np.minimum.at(label, b, low)
+        while True:
+            further = label[label]
+            if (further == label).all():
                 break
-            known = (ones[level] | zeros[level])[node]
-            s = starts[level - 1]
-            count = np.diff(np.r_[s, len(ones[level - 1])])[node]
-            q, acc, known = np.repeat(q, count), np.repeat(acc, count), np.repeat(known, count)
-            node = np.repeat(s[node], count) + np.arange(len(q)) - np.repeat(np.cumsum(count) - count, count)
-    return np.concatenate(left), np.concatenate(right)
+            label = further
 
 
 def masks(radius: int) -> tuple[list[int], list[tuple[int, int]], list[list[int]]]:
@@ -128,44 +164,65 @@ def masks(radius: int) -> tuple[list[int], list[tuple[int, int]], list[list[int]
     return blocks, pairs, parts
 
 
-def links(unique: DataFrame, radius: int = 2, large: int = 1 << 17) -> DataFrame:
-    """(a, b) for all fingerprints of unique (column fp, distinct) within radius bits."""
+def links(unique: DataFrame, radius: int = 2, large: int = 1 << 17, agree: float = 0.0) -> DataFrame:
+    """(a, b) that connect the same nodes of unique (node, fp, and sketch where agree is set) as all links do.
+
+    A link is a pair of fingerprints within radius bits, whose sketches agree in at least that share of bits.
+    Of the links found in a group, only stars leave the task: no more rows than the group has members.
+    """
     blocks, pairs, parts = masks(radius)
     signed = lambda x: F.lit(x - (1 << 64) if x >> 63 else x).cast("long")
     kinds = F.array(*(F.struct(F.lit(k).alias("kind"), F.col("fp").bitwiseAND(signed(blocks[i] | blocks[j])).alias("key")) for k, (i, j) in enumerate(pairs)))
-    dealt = unique.select("fp", F.inline(kinds)).withColumn("part", F.lit(-1))
+    columns = ["node", "fp", *(["sketch"] if agree else [])]
+    dealt = unique.select(*columns, F.inline(kinds)).withColumn("part", F.lit(-1))
     big = dealt.groupBy("kind", "key").count().where(F.col("count") > large).select("kind", "key", F.lit(True).alias("big"))
     marked = dealt.join(big, ["kind", "key"], "left")
     again = F.create_map(*(x for k, p in enumerate(parts) for x in (F.lit(k), F.array(*(F.struct(F.lit(i).alias("part"), (F.col("fp").bitwiseAND(signed(m | blocks[pairs[k][0]] | blocks[pairs[k][1]]))).alias("key")) for i, m in enumerate(p))))))
-    small = marked.where("big is null").select("kind", "part", "key", "fp")
-    split = marked.where("big").select("fp", "kind", F.inline(again[F.col("kind")])).select("kind", "part", "key", "fp")
+    small = marked.where("big is null").select("kind", "part", "key", *columns)
+    split = marked.where("big").select(*columns, "kind", F.inline(again[F.col("kind")])).select("kind", "part", "key", *columns)
     rows = small.union(split).repartition("kind", "part", "key").sortWithinPartitions("kind", "part", "key")
 
+    def once(kind, part, x):
+        """A pair is told once: by the first two equal blocks, and there by the first equal part."""
+        equal = np.stack([(x & U(b)) == 0 for b in blocks])
+        rank = np.cumsum(equal, axis=0)
+        out = np.zeros(len(x), bool)
+        for k, (p, q) in enumerate(pairs):
+            here = (kind == k) & equal[p] & equal[q] & (rank[q] == 2)
+            out |= here & (part == -1)
+            if (part >= 0).any():
+                earlier = np.zeros(len(x), bool)
+                for s, m in enumerate(parts[k]):
+                    same = (x & U(m)) == 0
+                    out |= here & (part == s) & same & ~earlier
+                    earlier |= same
+        return out
+
     def find(batches):
-        def flush(kind, part, key, fp):
+        def flush(kind, part, key, node, fp, *sketch):
             fp = fp.view(U)
             order = np.lexsort((gray_rank(fp), key, part, kind))
-            kind, part, key, fp = kind[order], part[order], key[order], fp[order]
+            kind, part, key, node, fp = kind[order], part[order], key[order], node[order], fp[order]
+            body = np.stack([x.view(U) for x in sketch], axis=1)[order] if sketch else None
             group = np.cumsum(np.r_[False, (kind[1:] != kind[:-1]) | (part[1:] != part[:-1]) | (key[1:] != key[:-1])]) if len(fp) else np.empty(0, int)
-            i, j = search(group, fp, radius)
-            x = fp[i] ^ fp[j]
-            # A pair is told once: by the first two equal blocks, and there by the first equal part.
-            equal = np.stack([(x & U(b)) == 0 for b in blocks]) if len(x) else np.empty((len(blocks), 0), bool)
-            rank = np.cumsum(equal, axis=0)
-            once = np.zeros(len(x), bool)
-            for k, (p, q) in enumerate(pairs):
-                here = (kind[i] == k) & equal[p] & equal[q] & (rank[q] == 2)
-                for s, m in enumerate(parts[k]):
-                    earlier = np.zeros(len(x), bool)
-                    for e in parts[k][:s]:
-                        earlier |= (x & U(e)) == 0
-                    once |= here & (part[i] == s) & ~earlier
-                once |= here & (part[i] == -1)
-            return pa.record_batch([pa.array(fp[i][once].view(np.int64)), pa.array(fp[j][once].view(np.int64))], ["a", "b"])
+            label = np.arange(len(fp))
+            for i, j in search(group, fp, radius):
+                ok = label[i] != label[j]
+                ok[ok] = once(kind[i[ok]], part[i[ok]], fp[i[ok]] ^ fp[j[ok]])
+                if body is not None:
+                    differ = np.bitwise_count(body[i[ok]] ^ body[j[ok]]).sum(axis=1, dtype=np.int64)
+                    ok[ok] = differ <= (1 - agree) * 64 * body.shape[1]
+                label = join_up(label, i[ok], j[ok])
+            own = np.flatnonzero(label != np.arange(len(label)))
+            return pa.record_batch([pa.array(node[own]), pa.array(node[label[own]])], ["a", "b"])
 
         held: list[tuple] = []
         for b in batches:
-            held.append(tuple(np.asarray(b.column(c)) for c in ("kind", "part", "key", "fp")))
+            now = [np.asarray(b.column(c)) for c in ("kind", "part", "key", "node", "fp")]
+            if agree:
+                raw = np.frombuffer(b"".join(b.column("sketch").to_pylist()), "<i8").reshape(b.num_rows, -1)
+                now += [np.ascontiguousarray(raw[:, k]) for k in range(raw.shape[1])]
+            held.append(tuple(now))
             now = tuple(np.concatenate(x) for x in zip(*held))
             last = np.flatnonzero((now[0] != now[0][-1]) | (now[1] != now[1][-1]) | (now[2] != now[2][-1])) if len(now[0]) else []
             if len(last):
@@ -179,20 +236,35 @@ def links(unique: DataFrame, radius: int = 2, large: int = 1 << 17) -> DataFrame
     return rows.mapInArrow(find, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, width: int = 3, radius: int = 2) -> DataFrame:
-    """doc_id, fingerprint and component_id of every document."""
+def grouped(docs: DataFrame, width: int, radius: int, agree: float) -> DataFrame:
+    """doc_id, fp and component_id of every document."""
     fingerprint = F.arrow_udf(lambda t: fingerprints(t, width), "long")
-    each = cut(docs.select("doc_id", fingerprint("text").alias("fp")))
-    unique = each.groupBy("fp").agg(F.min("doc_id").alias("least"))
-    found = components(links(unique.select("fp"), radius))
-    roots = unique.join(found, unique.fp == found.node, "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
+    columns = [fingerprint("text").alias("fp")]
+    if agree:
+        columns.append(F.arrow_udf(lambda t: sketches(t), "binary")("text").alias("sketch"))
+    each = cut(docs.select("doc_id", *columns).withColumn("node", F.xxhash64("fp", "sketch") if agree else F.col("fp")))
+    extra = [F.first("sketch").alias("sketch")] if agree else []
+    unique = each.groupBy("node", "fp").agg(F.min("doc_id").alias("least"), *extra)
+    found = components(links(unique.drop("least"), radius, agree=agree)).withColumnRenamed("node", "known")
+    roots = unique.join(found, unique.node == found.known, "left").select("node", "least", F.coalesce("root", "node").alias("root"))
     heads = roots.groupBy("root").agg(F.min("least").alias("component_id"))
-    told = roots.join(heads, "root").select("fp", "component_id")
-    return each.join(told, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+    told = cut(roots.join(heads, "root").select("node", "component_id"))  # so that the join can split hot fingerprints
+    return each.join(told, "node").select("doc_id", "fp", "component_id")
+
+
+def near_duplicates(docs: DataFrame, width: int = 3, radius: int = 2, agree: float = 0.0) -> DataFrame:
+    """doc_id, fingerprint and component_id of every document."""
+    return grouped(docs, width, radius, agree).select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
 
+def one_of_each(docs: DataFrame, width: int = 2, radius: int = 6, similarity: float = 0.8) -> DataFrame:
+    """The first document of each component; of rows that repeat its id, one.
 
-def one_of_each(docs: DataFrame, width: int = 3, radius: int = 2) -> DataFrame:
-    """The documents whose id is their component's; of rows that repeat such an id, all with that fingerprint's text stay one."""
-    kept = near_duplicates(docs, width, radius).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
+    Candidates are fingerprints of word pairs within radius bits; a link also needs sketches of five-word shingles that
+    tell of the similarity, less one and a half standard deviations of the estimate.
+    """
+    share = (1 + similarity) / 2
+    agree = share - 1.5 * (share * (1 - share) / 256) ** 0.5
+    kept = grouped(docs, width, radius, agree).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
     ids = docs.alias("d").join(kept.alias("k"), F.col("d.doc_id").eqNullSafe(F.col("k.doc_id")), "left_semi")
     return ids.dropDuplicates(["doc_id"])
