@@ -1,23 +1,24 @@
 """Removal of byte strings that also start in an earlier document, by threshold-bounded interval expansion.
 
-Windows of ``least`` bytes are cut into segments: maximal runs of windows whose least ``GRAM``-gram hash, the
-anchor, is the same. Equal windows have equal anchors, so they meet in the same bucket:
+Every window of ``least`` bytes has an anchor, its ``GRAM``-gram with the least hash. Windows are cut into segments:
+runs with one anchor. Equal windows have equal anchors, so they meet in the same bucket:
 
 1. Each task keeps, of equal segments, the one of the smallest document; the others are
    covered. Entries (hashes and places, no text) go to buckets by anchor, where the same is done for all documents.
-2. Segments that remain, and whose anchor occurs in several documents, are candidates. They get their bytes by
-   an equi-join with the texts and go to the pools of their bucket.
+2. A window reaches ``REACH`` bytes beyond its anchor on one side at least. Segments that remain, and share the anchor
+   with that much of a side with another document, are candidates. They get their bytes by
+   an equi-join with the texts and go to the pools of what they share.
 3. A pool's segments get a Burrows-Wheeler transform. Backward extension, breadth first, turns the
    intervals of strings of length l into those of length l + 1, so common prefixes are
    found by increasing value; it looks only at places not yet cut apart and stops at
    ``least``. Each interval that is left is one repeated window: all its places but those in the smallest document are covered.
 4. Covered spans are merged by document, and the remaining bytes hashed.
 
-An anchor with a share of all entries beyond ``hot`` is found in a first pass (their number is at most ``1 / share``, so the
-list is bounded) and its segments are dealt window by window, by the window's own hash;
+An anchor with a share of all entries beyond ``share`` and ``hot`` of them is found in a first pass (the list has at most ``1 / share``
+anchors) and its segments are dealt window by window, by the window's own hash;
 equal ones are pre-aggregated by step 1 in every task, so no bucket gathers a common passage's contexts.
 
-Equality of segments in step 1 is that of 64 bits of hash and 32 of the anchor's; all in step 3 is exact.
+Equality of segments in step 1 is that of 64 bits of hash and 32 of the anchor with its left side; all in step 3 is exact.
 
 Nulls: a null text is empty; a document with a null id neither covers others nor is covered. Rows that repeat an id do not cover each
 other. Texts under ``least`` bytes stay whole. An empty table gives no rows. Extra columns are ignored.
@@ -35,12 +36,13 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import SLICE, U, cut, prefix_sums, powers, range_hash, slices, stir
+from .common import U, cut, powers, prefix_sums, range_hash, slices, stir
 
 GRAM = 16
-LONGEST = 4096  # windows in one segment
 FLUSH = 1 << 20  # entries that a task aggregates at a time
-ENTRY = np.dtype([("seg", "<u8"), ("anchor", "<u4"), ("start", "<u4"), ("windows", "<u2")])
+LOW = U(0xFFFFFFFF)
+#: What an entry holds: hashes of the segment, of the anchor with its left and its right side, first window, number of windows.
+FIELDS = (("seg", "<u8"), ("left", "<u4"), ("right", "<u4"), ("start", "<u4"), ("windows", "<u2"))
 
 
 def rolling(p: np.ndarray, n: int, k: int) -> np.ndarray:
@@ -50,99 +52,103 @@ def rolling(p: np.ndarray, n: int, k: int) -> np.ndarray:
 
 
 def segments(data: np.ndarray, offs: np.ndarray, least: int) -> tuple[np.ndarray, ...]:
-    """Text, first window in the text, number of windows, and anchor of each segment, with the prefix sums."""
+    """Text, first window, number of windows, anchor's place and hash of each segment, with the prefix sums; places are in data."""
     n = len(data)
+    p = prefix_sums(data)
     if n < least:
         e = np.empty(0, np.int64)
-        return e, e, e, np.empty(0, U), prefix_sums(data)
-    p = prefix_sums(data)
-    m = rolling(p, n, GRAM)
+        return e, e, e, e, np.empty(0, U), p
+    h = rolling(p, n, GRAM)
+    # The least of 32 bits of hash, the leftmost of equal ones: the same in every text that holds the window.
+    m = (h & ~LOW) | np.arange(len(h), dtype=U)
     width, span = 1, least - GRAM + 1
     while width < span:
         step = min(width, span - width)
         m = np.minimum(m[:-step], m[step:])
         width += step
+    place = (m & LOW).astype(np.int64)
     # m[i] belongs to the window at i; windows end within their text
     size = np.diff(offs)
     new = np.ones(len(m), bool)
-    new[1:] = m[1:] != m[:-1]
+    new[1:] = place[1:] != place[:-1]
     first = offs[:-1][size >= least]
     new[first] = True
     past = offs[1:][size >= least] - least + 1
-    edge = np.zeros(len(m) + 1, np.int64)
-    np.add.at(edge, first, 1)
-    np.add.at(edge, past, -1)
-    inside = np.cumsum(edge[:-1]) > 0
+    edge = np.zeros(len(m) + 1, np.int8)
+    edge[first] += 1
+    edge[past] -= 1
+    inside = np.cumsum(edge[:-1], dtype=np.int8) > 0
     new[past[past < len(m)]] = True
     at = np.flatnonzero(new)
     count = np.diff(np.r_[at, len(m)])
     keep = inside[at]
     at, count = at[keep], count[keep]
-    if len(count) and count.max() > LONGEST:
-        parts = -(-count // LONGEST)
-        k = np.arange(parts.sum()) - np.repeat(np.cumsum(parts) - parts, parts)
-        at, whole = np.repeat(at, parts) + k * LONGEST, np.repeat(count, parts)
-        count = np.minimum(LONGEST, whole - k * LONGEST)
-    text = np.searchsorted(offs, at, "right") - 1
-    return text, at - offs[text], count, stir(m[at] ^ U(0x5851F42D4C957F2D)), p
-
-
-class Held:
-    """Entries of several slices of documents, with numbers for their documents."""
-
-    def __init__(self):
-        self.parts, self.docs, self.keys, self.size = [], [], [], 0
-
-    def add(self, docs, keys, text, entries, anchors):
-        base = sum(map(len, self.docs))
-        self.docs.append(docs)
-        self.keys.append(keys)
-        self.parts.append((text + base, entries, anchors))
-        self.size += len(entries)
-
-    def take(self):
-        out = [np.concatenate(x) for x in zip(*self.parts)]
-        return np.concatenate(self.docs), np.concatenate(self.keys), *out
-
-
-def firsts(entries: np.ndarray, doc: np.ndarray) -> np.ndarray:
+    return np.searchsorted(offs, at, "right") - 1, at, count, place[at], h[place[at]], p
+
+
+def entries_of(data: np.ndarray, offs: np.ndarray, least: int, hot: np.ndarray):
+    """Text, entry fields, and the hash that deals each entry."""
+    text, at, count, place, anchor, p = segments(data, offs, least)
+    reach = (least - GRAM + 1) // 2
+    none = stir(place.astype(U) * U(0x9E3779B97F4A7C15) + U(data.size))  # meets nothing
+    lo, hi = place - reach, place + GRAM + reach
+    has = lo >= offs[text]
+    left = np.where(has, range_hash(p, np.where(has, lo, 0), np.where(has, place + GRAM, 0)), none)
+    has = hi <= offs[text + 1]
+    right = np.where(has, range_hash(p, np.where(has, place, 0), np.where(has, hi, 0)), stir(none))
+    deal = stir(anchor ^ U(0x5851F42D4C957F2D))
+    if len(hot) and len(anchor):
+        is_hot = hot[np.minimum(np.searchsorted(hot, anchor), len(hot) - 1)] == anchor
+        if is_hot.any():
+            n = count[is_hot]
+            one = np.repeat(at[is_hot], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+            own = range_hash(p, one, one + least)
+            cool = ~is_hot
+            text, at = np.r_[text[cool], np.repeat(text[is_hot], n)], np.r_[at[cool], one]
+            count = np.r_[count[cool], np.ones(len(one), np.int64)]
+            left, right = np.r_[left[cool], stir(own ^ U(1))], np.r_[right[cool], stir(one.astype(U) * U(0x9E3779B97F4A7C15) + U(7))]
+            deal = np.r_[deal[cool], stir(own ^ U(0x2545F4914F6CDD1D))]
+    seg = range_hash(p, at, at + count + least - 1)
+    return text, (seg, (left & LOW).astype("<u4"), (right & LOW).astype("<u4"), (at - offs[text]).astype("<u4"), count.astype("<u2")), deal
+
+
+def firsts(seg: np.ndarray, left: np.ndarray, doc: np.ndarray) -> np.ndarray:
     """Whether each entry is in the smallest document of those with its segment."""
-    order = np.lexsort((doc, entries["anchor"], entries["seg"]))
-    s, a, d = entries["seg"][order], entries["anchor"][order], doc[order]
-    new = np.r_[True, (s[1:] != s[:-1]) | (a[1:] != a[:-1])] if len(s) else np.empty(0, bool)
-    least = d[np.flatnonzero(new)][np.cumsum(new) - 1] if len(s) else d
+    order = np.argsort(seg)
+    s, a = seg[order], left[order]
+    new = np.r_[True, s[1:] != s[:-1]] if len(s) else np.empty(0, bool)
+    if ((a[1:] != a[:-1]) & ~new[1:]).any():  # segments with equal hashes that differ: tell them apart
+        order = np.lexsort((left, seg))
+        s, a = seg[order], left[order]
+        new = np.r_[True, (s[1:] != s[:-1]) | (a[1:] != a[:-1])]
     out = np.empty(len(s), bool)
-    out[order] = d == least
+    if len(s):
+        d = doc[order]
+        out[order] = d == np.minimum.reduceat(d, np.flatnonzero(new))[np.cumsum(new) - 1]
     return out
 
 
-def entries_of(docs, keys, data, offs, least: int, hot: np.ndarray):
-    text, start, count, anchor, p = segments(data, offs, least)
-    if len(hot) and len(anchor):
-        q = np.minimum(np.searchsorted(hot, anchor), len(hot) - 1)
-        is_hot = hot[q] == anchor
-        if is_hot.any():
-            n = count[is_hot]
-            each = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-            one_text, one_start = np.repeat(text[is_hot], n), np.repeat(start[is_hot], n) + each
-            at = offs[one_text] + one_start
-            own = range_hash(p, at, at + least)
-            text, start, count = np.r_[text[~is_hot], one_text], np.r_[start[~is_hot], one_start], np.r_[count[~is_hot], np.ones(len(own), np.int64)]
-            anchor = np.r_[anchor[~is_hot], stir(own ^ U(0x2545F4914F6CDD1D))]
-    at = offs[text] + start
-    out = np.empty(len(text), ENTRY)
-    out["seg"] = range_hash(p, at, at + count + least - 1) if len(at) else 0
-    out["anchor"], out["start"], out["windows"] = anchor & U(0xFFFFFFFF), start, count
-    return text, out, anchor
-
-
-def merged(start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Union of spans of one document."""
-    order = np.argsort(start, kind="stable")
-    start, end = start[order], np.maximum.accumulate(end[order])
-    new = np.r_[True, start[1:] > end[:-1]]
-    at = np.flatnonzero(new)
-    return start[at], end[np.r_[at[1:] - 1, len(end) - 1]]
+def shared(value: np.ndarray, doc: np.ndarray) -> np.ndarray:
+    """Whether each entry's value occurs in several documents."""
+    order = np.argsort(value)
+    v, d = value[order], doc[order]
+    out = np.empty(len(v), bool)
+    if len(v):
+        new = np.r_[True, v[1:] != v[:-1]]
+        at = np.flatnonzero(new)
+        out[order] = (np.maximum.reduceat(d, at) > np.minimum.reduceat(d, at))[np.cumsum(new) - 1]
+    return out
+
+
+def merged(group: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Unions of spans within groups (numbers from 0 in order of rows)."""
+    wide = int(end.max(initial=0)) + 2
+    s, e = group * wide + start, group * wide + end
+    order = np.argsort(s, kind="stable")
+    s, e = s[order], np.maximum.accumulate(e[order])
+    at = np.flatnonzero(np.r_[True, s[1:] > e[:-1]]) if len(s) else np.empty(0, np.int64)
+    s, e = s[at], e[np.r_[at[1:] - 1, len(e) - 1]] if len(s) else e
+    return s // wide, s % wide, e - s // wide * wide
 
 
 SPANS = pa.schema([("bucket", pa.int64()), ("kind", pa.int32()), ("doc", pa.int64()), ("key", pa.int64()), ("body", pa.binary())])
@@ -150,67 +156,70 @@ SPANS_DDL = "bucket long, kind int, doc long, key long, body binary"
 COVER, ENTRIES, CANDIDATES = 0, 1, 2
 
 
-def cover_rows(doc, key, start, end, buckets):
-    """Rows of merged spans by document."""
-    rows = []
-    order = np.lexsort((start, key, doc))
-    doc, key, start, end = doc[order], key[order], start[order], end[order]
-    at = np.flatnonzero(np.r_[True, (doc[1:] != doc[:-1]) | (key[1:] != key[:-1])]) if len(doc) else []
-    for a, b in zip(at, [*at[1:], len(doc)]):
-        s, e = merged(start[a:b], end[a:b])
-        rows.append((int(stir(doc[a : a + 1].view(U))[0] % U(buckets)), COVER, int(doc[a]), int(key[a]), np.stack([s, e], axis=1).astype("<i4").tobytes()))
-    return rows
+def by_document(kind: int, doc: np.ndarray, key: np.ndarray, records: np.ndarray, buckets: int) -> pa.RecordBatch:
+    """A row for each document with the bytes of its records. Rows of a document are neighbours."""
+    at = np.flatnonzero(np.r_[True, (doc[1:] != doc[:-1]) | (key[1:] != key[:-1])]) if len(doc) else np.empty(0, np.int64)
+    ends = np.r_[at, len(doc)] * records.dtype.itemsize * (records.shape[1] if records.ndim > 1 else 1)
+    body = pa.Array.from_buffers(pa.binary(), len(at), [None, pa.py_buffer(ends.astype("<i4").tobytes()), pa.py_buffer(np.ascontiguousarray(records).tobytes())])
+    bucket = (stir(doc[at].view(U)) % U(buckets)).astype(np.int64)
+    return pa.record_batch([pa.array(bucket), pa.array(np.full(len(at), kind, np.int32)), pa.array(doc[at]), pa.array(key[at]), body], schema=SPANS)
 
 
-def batch(rows):
-    return pa.record_batch([pa.array([r[i] for r in rows], f.type) for i, f in enumerate(SPANS)], schema=SPANS)
+def covers(doc, key, start, end, buckets) -> pa.RecordBatch:
+    """Rows of merged spans."""
+    order = np.lexsort((key, doc))
+    doc, key, start, end = doc[order], key[order], start[order].astype(np.int64), end[order].astype(np.int64)
+    new = np.r_[True, (doc[1:] != doc[:-1]) | (key[1:] != key[:-1])] if len(doc) else np.empty(0, bool)
+    group, s, e = merged(np.cumsum(new) - 1, start, end)
+    first = np.flatnonzero(new)[group] if len(doc) else group
+    return by_document(COVER, doc[first], key[first], np.stack([s, e], axis=1).astype("<i4"), buckets)
 
 
-def pack(docs, keys, number, entries) -> bytes:
+def pack(docs, keys, number, fields) -> bytes:
     """Entries of one bucket, in order of documents."""
-    ids, count = np.unique(number, return_counts=True)
-    head = np.array([len(ids), len(entries)], "<i8")
-    body = [head, docs[ids], keys[ids].astype("<i8"), count.astype("<u4"), *(np.ascontiguousarray(entries[f]) for f in ENTRY.names)]
-    return zstandard.compress(b"".join(x.tobytes() for x in body), 1)
+    at = np.flatnonzero(np.r_[True, number[1:] != number[:-1]])
+    ids, count = number[at], np.diff(np.r_[at, len(number)])
+    head = np.array([len(ids), len(number)], "<i8")
+    return zstandard.compress(b"".join(x.tobytes() for x in (head, docs[ids], keys[ids].astype("<i8"), count.astype("<u4"), *fields)), 1)
 
 
 def unpack(body: bytes):
     raw = zstandard.decompress(body)
     n, m = np.frombuffer(raw, "<i8", 2)
     at, out = 16, []
-    for kind, size in (("<i8", n), ("<i8", n), ("<u4", n), *((ENTRY[f], m) for f in ENTRY.names)):
+    for kind, size in (("<i8", n), ("<i8", n), ("<u4", n), *((k, m) for _, k in FIELDS)):
         out.append(np.frombuffer(raw, kind, size, at))
         at += out[-1].nbytes
     docs, keys, count = out[:3]
-    entries = np.empty(m, ENTRY)
-    for f, x in zip(ENTRY.names, out[3:]):
-        entries[f] = x
-    return np.repeat(docs, count), np.repeat(keys, count), entries
+    return np.repeat(docs, count), np.repeat(keys, count), *out[3:]
 
 
-def read_rows(b, field: str = "doc_id"):
+def read_rows(b):
     """Slices of a batch's documents with ids."""
-    ids = b.column(field)
-    if ids.null_count:
-        b = b.filter(ids.is_valid())
-    docs, keys = np.asarray(b.column(field), np.int64), np.asarray(b.column("key"), np.int64)
+    if not b.num_rows:
+        return
+    b = b.filter(b.column("known"))
+    docs, keys = np.asarray(b.column("id"), np.int64), np.asarray(b.column("key"), np.int64)
     for i, j, data, offs in slices(b.column("text")):
         yield docs[i:j], keys[i:j], data, offs
 
 
 def hot_anchors(texts: DataFrame, least: int, limit: int, share: float) -> np.ndarray:
-    """Anchors with more than limit segments and more than a share of all."""
+    """Anchors with at least limit segments and that share of all."""
 
     def count(batches):
         held, total = [], 0
 
         def tell():
-            a, n = np.unique(np.concatenate(held), return_counts=True)
-            return pa.record_batch([pa.array(np.r_[a[n > 1].view(np.int64), 0]), pa.array(np.r_[n[n > 1], 0]), pa.array(np.r_[np.zeros((n > 1).sum(), np.int64), n.sum()])], ["anchor", "n", "total"])
+            a = np.sort(np.concatenate(held))
+            at = np.flatnonzero(np.r_[True, a[1:] != a[:-1]]) if len(a) else np.empty(0, np.int64)
+            n = np.diff(np.r_[at, len(a)])
+            at, n = at[n > 1], n[n > 1]
+            return pa.record_batch([pa.array(np.r_[a[at].view(np.int64), 0]), pa.array(np.r_[n, 0]), pa.array(np.r_[np.zeros(len(n), np.int64), len(a)])], ["anchor", "n", "total"])
 
         for b in batches:
             for _, _, data, offs in read_rows(b):
-                a = segments(data, offs, least)[3]
+                a = segments(data, offs, least)[4]
                 held.append(a)
                 total += len(a)
                 if total >= FLUSH:
@@ -282,65 +291,72 @@ def covered_windows(data: np.ndarray, doc: np.ndarray, valid: np.ndarray, least:
     return out
 
 
+CANDIDATE = np.dtype([("bucket", "<i4"), ("share", "<u4"), ("start", "<u4"), ("size", "<u4")])
+
+
 def find(docs: DataFrame, least: int = 50, bucket_bytes: int = 16 << 20, hot: int = 100_000, share: float = 1e-6, pool: int = 2 << 20):
-    """(doc, key, spans) of covered bytes, and the texts dealt by document."""
+    """The texts dealt by document (id, key, text) and the spans of their covered bytes (id, key, spans)."""
     session = docs.sparkSession
-    size = int(str(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    size = min(size, 1 << 62)
+    size = min(int(str(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())), 1 << 54)
     buckets = max(16, math.ceil(size / bucket_bytes))
-    key = F.xxhash64("text").alias("key")
-    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).select("doc_id", key, "text")
-    sent = session.sparkContext.broadcast(hot_anchors(texts, least, hot, share))
+    # id and key are never null, so that joins add no filters and the exchange of the texts serves both of them.
+    # The last bit of the key tells whether there is an id.
+    tagged = F.shiftleft(F.xxhash64("text"), 1).bitwiseOR(F.col("doc_id").isNotNull().cast("long"))
+    texts = docs.select(F.coalesce("doc_id", F.lit(0)).alias("id"), tagged.alias("key"), F.coalesce("text", F.lit("")).alias("text"))
+    placed_texts = texts.withColumn("known", F.col("key").bitwiseAND(F.lit(1)) == 1)
+    sent = session.sparkContext.broadcast(hot_anchors(placed_texts, least, hot, share))
 
     def local(batches):
-        held = Held()
+        held, docs_, keys_, base = [], [], [], 0
 
         def tell():
-            docs_, keys, number, entries, anchors = held.take()
-            first = firsts(entries, docs_[number])
-            gone = ~first
-            start = entries["start"][gone].astype(np.int64)
-            rows = cover_rows(docs_[number[gone]], keys[number[gone]], start, start + entries["windows"][gone] + least - 1, buckets)
-            number, entries, anchors = number[first], entries[first], anchors[first]
-            bucket = ((anchors >> U(32)) * U(buckets) >> U(32)).astype(np.int64)
-            order = np.lexsort((number, bucket))
-            number, entries, bucket = number[order], entries[order], bucket[order]
+            doc, key = np.concatenate(docs_), np.concatenate(keys_)
+            number, deal, *fields = (np.concatenate(x) for x in zip(*held))
+            first = firsts(fields[0], fields[1], doc[number])
+            gone = np.flatnonzero(~first)
+            start = fields[3][gone].astype(np.int64)
+            yield covers(doc[number[gone]], key[number[gone]], start, start + fields[4][gone] + least - 1, buckets)
+            bucket = ((deal >> U(32)) * U(buckets) >> U(32)).astype(np.int64)
+            pick = np.flatnonzero(first)
+            pick = pick[np.argsort(bucket[pick], kind="stable")]
+            number, bucket, fields = number[pick], bucket[pick], [f[pick] for f in fields]
             at = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]]) if len(bucket) else []
-            for a, b in zip(at, [*at[1:], len(bucket)]):
-                rows.append((int(bucket[a]), ENTRIES, None, None, pack(docs_, keys, number[a:b], entries[a:b])))
-            return batch(rows)
+            rows = [(int(bucket[a]), pack(doc, key, number[a:b], [f[a:b] for f in fields])) for a, b in zip(at, [*at[1:], len(bucket)])]
+            n = len(rows)
+            yield pa.record_batch([pa.array([r[0] for r in rows], pa.int64()), pa.array([ENTRIES] * n, pa.int32()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.array([r[1] for r in rows], pa.binary())], schema=SPANS)
 
+        size_ = 0
         for b in batches:
-            for docs_, keys, data, offs in read_rows(b):
-                held.add(docs_, keys, *entries_of(docs_, keys, data, offs, least, sent.value))
-                if held.size >= FLUSH:
-                    yield tell()
-                    held = Held()
-        if held.parts:
-            yield tell()
+            for d, k, data, offs in read_rows(b):
+                text, fields, deal = entries_of(data, offs, least, sent.value)
+                held.append((text + base, deal, *fields))
+                docs_.append(d)
+                keys_.append(k)
+                base += len(d)
+                size_ += len(text)
+                if size_ >= FLUSH:
+                    yield from tell()
+                    held, docs_, keys_, base, size_ = [], [], [], 0, 0
+        if held:
+            yield from tell()
 
     def settle(batches):
         def tell(bucket, bodies):
-            parts = [unpack(x) for x in bodies]
-            doc, key_, entries = (np.concatenate(x) for x in zip(*parts))
-            first = firsts(entries, doc)
-            gone = ~first
-            start = entries["start"].astype(np.int64)
-            rows = cover_rows(doc[gone], key_[gone], start[gone], start[gone] + entries["windows"][gone] + least - 1, buckets)
-            doc, key_, entries = doc[first], key_[first], entries[first]
-            order = np.lexsort((doc, entries["anchor"]))
-            a, d = entries["anchor"][order], doc[order]
-            new = np.r_[True, a[1:] != a[:-1]]
-            at = np.flatnonzero(new)
-            several = (np.maximum.reduceat(d, at) > np.minimum.reduceat(d, at))[np.cumsum(new) - 1]
-            pick = order[several]
-            doc, key_, entries = doc[pick], key_[pick], entries[pick]
-            order = np.lexsort((entries["start"], key_, doc))
-            doc, key_, entries = doc[order], key_[order], entries[order]
-            at = np.flatnonzero(np.r_[True, (doc[1:] != doc[:-1]) | (key_[1:] != key_[:-1])]) if len(doc) else []
-            for x, y in zip(at, [*at[1:], len(doc)]):
-                rows.append((bucket, CANDIDATES, int(doc[x]), int(key_[x]), entries[x:y].tobytes()))
-            return batch(rows)
+            doc, key, seg, left, right, start, windows = (np.concatenate(x) for x in zip(*map(unpack, bodies)))
+            first = firsts(seg, left, doc)
+            gone = np.flatnonzero(~first)
+            s = start[gone].astype(np.int64)
+            yield covers(doc[gone], key[gone], s, s + windows[gone] + least - 1, buckets)
+            doc, key, left, right, start, windows = (x[first] for x in (doc, key, left, right, start, windows))
+            out = []
+            for side in (left, right):
+                pick = np.flatnonzero(shared(side, doc))
+                c = np.empty(len(pick), CANDIDATE)
+                c["bucket"], c["share"], c["start"], c["size"] = bucket, side[pick], start[pick], windows[pick].astype(np.uint32) + np.uint32(least - 1)
+                out.append((doc[pick], key[pick], c))
+            doc, key, c = (np.concatenate(x) for x in zip(*out))
+            order = np.lexsort((key, doc))
+            yield by_document(CANDIDATES, doc[order], key[order], c[order], buckets)
 
         now, bodies = None, []
         for b in batches:
@@ -350,61 +366,58 @@ def find(docs: DataFrame, least: int = 50, bucket_bytes: int = 16 << 20, hot: in
             b = b.filter(pa.compute.equal(b.column("kind"), ENTRIES))
             for bucket, body in zip(b.column("bucket").to_pylist(), b.column("body").to_pylist()):
                 if bucket != now and bodies:
-                    yield tell(now, bodies)
+                    yield from tell(now, bodies)
                     bodies = []
                 now = bucket
                 bodies.append(body)
         if bodies:
-            yield tell(now, bodies)
+            yield from tell(now, bodies)
 
-    placed = cut(texts.mapInArrow(local, SPANS_DDL).repartition("bucket").sortWithinPartitions("bucket").mapInArrow(settle, SPANS_DDL))
-    # The same exchange of the texts serves the candidates and the result.
-    dealt = texts.repartition("doc_id", "key")
+    placed = cut(placed_texts.mapInArrow(local, SPANS_DDL).repartition("bucket").sortWithinPartitions("bucket").mapInArrow(settle, SPANS_DDL))
+    dealt = texts.repartition("id", "key")
 
     def cut_out(batches):
-        """Segments with their bytes."""
+        """Candidates with their bytes."""
         for b in batches:
-            rows = []
-            for doc, key_, text, found in zip(b.column("doc_id").to_pylist(), b.column("key").to_pylist(), b.column("text").to_pylist(), b.column("found").to_pylist()):
+            rows, parts = [], []
+            for doc, key, text, found in zip(b.column("id").to_pylist(), b.column("key").to_pylist(), b.column("text").to_pylist(), b.column("found").to_pylist()):
                 raw = text.encode()
-                for x in found:
-                    for e in np.frombuffer(x["body"], ENTRY):
-                        s = int(e["start"])
-                        rows.append((x["bucket"], int(e["anchor"]), doc, key_, s, raw[s : s + int(e["windows"]) + least - 1]))
-            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary())
-            yield pa.record_batch([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], ["bucket", "anchor", "doc", "key", "start", "bytes"])
+                for bucket, side, start, size_ in np.frombuffer(b"".join(found), CANDIDATE).tolist():
+                    rows.append((bucket, side, doc, key, start))
+                    parts.append(raw[start : start + size_])
+            cols = np.array(rows, np.int64).reshape(-1, 5)
+            yield pa.record_batch([*(pa.array(np.ascontiguousarray(cols[:, i])) for i in range(5)), pa.array(parts, pa.binary())], ["bucket", "share", "doc", "key", "start", "bytes"])
 
     def pools(batches):
         def tell(rows):
-            doc, key_, start, parts = (list(x) for x in zip(*rows))
+            share_, doc, key, start, parts = (list(x) for x in zip(*rows))
             lengths = np.array([len(x) + 1 for x in parts])
             data = np.frombuffer(b"\xff".join(parts) + b"\xff", np.uint8)
             seg = np.repeat(np.arange(len(parts)), lengths)
-            first = np.cumsum(lengths) - lengths
-            inside = np.arange(len(data)) - first[seg]
+            inside = np.arange(len(data)) - (np.cumsum(lengths) - lengths)[seg]
             valid = inside <= (lengths - 1 - least)[seg]
-            doc, key_, start = np.array(doc, np.int64), np.array(key_, np.int64), np.array(start, np.int64)
+            doc, key, start = np.array(doc, np.int64), np.array(key, np.int64), np.array(start, np.int64)
             hit = np.flatnonzero(covered_windows(data, doc[seg], valid, least))
             s = start[seg[hit]] + inside[hit]
-            return batch(cover_rows(doc[seg[hit]], key_[seg[hit]], s, s + least, buckets))
+            return covers(doc[seg[hit]], key[seg[hit]], s, s + least, buckets)
 
         held, size_, last = [], 0, None
         for b in batches:
-            for bucket, anchor, *row in zip(*(b.column(c).to_pylist() for c in ("bucket", "anchor", "doc", "key", "start", "bytes"))):
-                if (bucket, anchor) != last and size_ >= pool:
+            for bucket, *row in zip(*(b.column(c).to_pylist() for c in ("bucket", "share", "doc", "key", "start", "bytes"))):
+                if (bucket, row[0]) != last and size_ >= pool:
                     yield tell(held)
                     held, size_ = [], 0
-                last = bucket, anchor
+                last = bucket, row[0]
                 held.append(row)
                 size_ += len(row[-1]) + 1
         if held:
             yield tell(held)
 
-    candidates = placed.where(F.col("kind") == CANDIDATES).groupBy("doc", "key").agg(F.collect_list(F.struct("bucket", "body")).alias("found"))
-    with_text = dealt.join(candidates.withColumnRenamed("doc", "doc_id"), ["doc_id", "key"])
-    cut_ = with_text.select("doc_id", "key", "text", "found").mapInArrow(cut_out, "bucket long, anchor long, doc long, key long, start int, bytes binary")
-    more = cut_.repartition("bucket", "anchor").sortWithinPartitions("bucket", "anchor").mapInArrow(pools, SPANS_DDL)
-    spans = placed.where(F.col("kind") == COVER).union(more).groupBy(F.col("doc").alias("doc_id"), "key").agg(F.collect_list("body").alias("spans"))
+    candidates = placed.where(F.col("kind") == CANDIDATES).select(F.col("doc").alias("id"), "key", "body").groupBy("id", "key").agg(F.collect_list("body").alias("found"))
+    with_text = dealt.join(candidates, ["id", "key"]).select("id", "key", "text", "found")
+    cut_ = with_text.mapInArrow(cut_out, "bucket long, share long, doc long, key long, start long, bytes binary")
+    more = cut_.repartition("bucket", "share").sortWithinPartitions("bucket", "share").mapInArrow(pools, SPANS_DDL)
+    spans = placed.where(F.col("kind") == COVER).union(more).select(F.coalesce("doc", F.lit(0)).alias("id"), F.coalesce("key", F.lit(0)).alias("key"), "body").groupBy("id", "key").agg(F.collect_list("body").alias("spans"))
     return dealt, spans
 
 
@@ -412,8 +425,8 @@ def kept_and_spans(text: bytes, bodies: list[bytes] | None) -> tuple[bytes, list
     """The bytes outside of all spans, and the maximal removed runs."""
     if not bodies:
         return text, []
-    s = np.concatenate([np.frombuffer(x, "<i4").reshape(-1, 2) for x in bodies])
-    start, end = merged(s[:, 0], s[:, 1])
+    s = np.concatenate([np.frombuffer(x, "<i4").reshape(-1, 2) for x in bodies]).astype(np.int64)
+    _, start, end = merged(np.zeros(len(s), np.int64), s[:, 0], s[:, 1])
     runs = list(zip(start.tolist(), end.tolist()))
     out, past = [], 0
     for a, b in runs:
@@ -435,4 +448,4 @@ def removals(docs: DataFrame, **options) -> DataFrame:
         return pa.array(rows, pa.struct([("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string())]))
 
     new = F.arrow_udf(tell, "struct<n_bytes:bigint,n_removed:bigint,n_spans:bigint,kept_sha256:string>")
-    return dealt.join(spans, ["doc_id", "key"], "left").select("doc_id", new("text", "spans").alias("told")).select("doc_id", "told.*")
+    return dealt.join(spans, ["id", "key"], "left").select(F.when(F.col("key").bitwiseAND(F.lit(1)) == 1, F.col("id")).alias("doc_id"), new("text", "spans").alias("told")).select("doc_id", "told.*")
