@@ -91,10 +91,10 @@ def sketches(texts: pa.Array, width: int = 5, bits: int = 256) -> pa.Array:
     return pa.array(out, pa.binary())
 
 
-def search(group: np.ndarray, fps: np.ndarray, radius: int, most: int = 1 << 21):
+def search(group: np.ndarray, fps: np.ndarray, radius: int, most: int = 1 << 18):
     """Yields all pairs of one group within radius bits, some at a time. group: sorted ids; fps: in Gray order within a group.
 
-    most bounds the places that are open at once; beyond it the work is halved.
+    most bounds the places looked at together; what is beyond waits, level by level.
     """
     n = len(fps)
     first = np.flatnonzero(np.r_[True, group[1:] != group[:-1]]) if n else np.empty(0, np.int64)
@@ -111,11 +111,18 @@ def search(group: np.ndarray, fps: np.ndarray, radius: int, most: int = 1 << 21)
         rank = rank[parent] // FAN
     own = np.flatnonzero(np.repeat(sizes > 1, sizes))
     root = np.repeat(np.arange(len(first)), sizes)[own]
-    work = [(len(starts), own[a : a + most], root[a : a + most], np.zeros(len(own[a : a + most]), np.int64), np.zeros(len(own[a : a + most]), U)) for a in range(0, len(own), most)]
+    zero = np.zeros(len(own), np.int8)
+    # What is open: searches at nodes of a level, or (opened) searches that have passed their nodes and go on to the children.
+    work = [(len(starts), False, own[a : a + most], root[a : a + most], zero[a : a + most], np.zeros(len(own[a : a + most]), U)) for a in range(0, len(own), most)]
     while work:
-        level, q, node, acc, known = work.pop()
+        level, opened, q, node, acc, known = work.pop()
+        if opened:
+            s = starts[level]
+            count = np.diff(np.r_[s, len(ones[level])])[node]
+            child = np.repeat(s[node], count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+            q, node, acc, known = np.repeat(q, count), child, np.repeat(acc, count), np.repeat(known, count)
         mask = masked[level][node]
-        acc = acc + np.bitwise_count((fps[q] ^ ones[level][node]) & mask & ~known)
+        acc = acc + np.bitwise_count((fps[q] ^ ones[level][node]) & mask & ~known).astype(np.int8)
         ok = acc <= radius
         if level == 0:
             ok &= q < node
@@ -123,15 +130,8 @@ def search(group: np.ndarray, fps: np.ndarray, radius: int, most: int = 1 << 21)
                 yield q[ok], node[ok]
             continue
         q, node, acc, known = q[ok], node[ok], acc[ok], mask[ok]
-        s = starts[level - 1]
-        count = np.diff(np.r_[s, len(ones[level - 1])])[node]
-        ends = np.cumsum(count)
-        for a in range(0, int(ends[-1]) if len(ends) else 0, most):
-            i, j = np.searchsorted(ends, a, "right"), np.searchsorted(ends, a + most, "right")
-            c = count[i:j]
-            if len(c):
-                child = np.repeat(s[node[i:j]], c) + np.arange(c.sum()) - np.repeat(np.cumsum(c) - c, c)
-                work.append((level - 1, np.repeat(q[i:j], c), child, np.repeat(acc[i:j], c), np.repeat(known[i:j], c)))
+        part = max(1, most // FAN)
+        work += [(level - 1, True, q[a : a + part], node[a : a + part], acc[a : a + part], known[a : a + part]) for a in range(0, len(q), part)]
 
 
 def join_up(label: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
@@ -175,8 +175,8 @@ def links(unique: DataFrame, radius: int = 2, large: int = 1 << 17, agree: float
     kinds = F.array(*(F.struct(F.lit(k).alias("kind"), F.col("fp").bitwiseAND(signed(blocks[i] | blocks[j])).alias("key")) for k, (i, j) in enumerate(pairs)))
     columns = ["node", "fp", *(["sketch"] if agree else [])]
     dealt = unique.select(*columns, F.inline(kinds)).withColumn("part", F.lit(-1))
-    big = dealt.groupBy("kind", "key").count().where(F.col("count") > large).select("kind", "key", F.lit(True).alias("big"))
-    marked = dealt.join(big, ["kind", "key"], "left")
+    big = cut(dealt.groupBy("kind", "key").count().where(F.col("count") > large).select("kind", "key", F.lit(True).alias("big")))
+    marked = dealt.withColumn("big", F.lit(None).cast("boolean")) if big.isEmpty() else dealt.join(big, ["kind", "key"], "left")
     again = F.create_map(*(x for k, p in enumerate(parts) for x in (F.lit(k), F.array(*(F.struct(F.lit(i).alias("part"), (F.col("fp").bitwiseAND(signed(m | blocks[pairs[k][0]] | blocks[pairs[k][1]]))).alias("key")) for i, m in enumerate(p))))))
     small = marked.where("big is null").select("kind", "part", "key", *columns)
     split = marked.where("big").select(*columns, "kind", F.inline(again[F.col("kind")])).select("kind", "part", "key", *columns)
@@ -266,5 +266,6 @@ def one_of_each(docs: DataFrame, width: int = 2, radius: int = 6, similarity: fl
     share = (1 + similarity) / 2
     agree = share - 1.5 * (share * (1 - share) / 256) ** 0.5
     kept = grouped(docs, width, radius, agree).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
-    ids = docs.alias("d").join(kept.alias("k"), F.col("d.doc_id").eqNullSafe(F.col("k.doc_id")), "left_semi")
-    return ids.dropDuplicates(["doc_id"])
+    # Joined and made distinct by the same columns, which are never null: the texts are dealt once.
+    keys = {"_id": F.coalesce("doc_id", F.lit(0)), "_none": F.col("doc_id").isNull()}
+    return docs.withColumns(keys).join(kept.withColumns(keys).drop("doc_id"), list(keys)).dropDuplicates(list(keys)).drop(*keys)
