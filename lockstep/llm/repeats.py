@@ -41,8 +41,9 @@ from .common import U, cut, powers, prefix_sums, range_hash, slices, stir
 GRAM = 16
 FLUSH = 1 << 20  # entries that a task aggregates at a time
 LOW = U(0xFFFFFFFF)
-#: What an entry holds: hashes of the segment, of the anchor with its left and its right side, first window, number of windows.
-FIELDS = (("seg", "<u8"), ("left", "<u4"), ("right", "<u4"), ("start", "<u4"), ("windows", "<u2"))
+#: What an entry holds: hashes of the segment, of the anchor with its left and its right side, first window, number of windows,
+#: and how many of them reach far enough to the left.
+FIELDS = (("seg", "<u8"), ("left", "<u4"), ("right", "<u4"), ("start", "<u4"), ("windows", "<u2"), ("lefts", "<u1"))
 
 
 def rolling(p: np.ndarray, n: int, k: int) -> np.ndarray:
@@ -97,6 +98,7 @@ def entries_of(data: np.ndarray, offs: np.ndarray, least: int, hot: np.ndarray):
     has = hi <= offs[text + 1]
     right = np.where(has, range_hash(p, np.where(has, place, 0), np.where(has, hi, 0)), stir(none))
     deal = stir(anchor ^ U(0x5851F42D4C957F2D))
+    lefts = np.clip(place - reach + 1 - at, 0, count)
     if len(hot) and len(anchor):
         is_hot = hot[np.minimum(np.searchsorted(hot, anchor), len(hot) - 1)] == anchor
         if is_hot.any():
@@ -108,8 +110,9 @@ def entries_of(data: np.ndarray, offs: np.ndarray, least: int, hot: np.ndarray):
             count = np.r_[count[cool], np.ones(len(one), np.int64)]
             left, right = np.r_[left[cool], stir(own ^ U(1))], np.r_[right[cool], stir(one.astype(U) * U(0x9E3779B97F4A7C15) + U(7))]
             deal = np.r_[deal[cool], stir(own ^ U(0x2545F4914F6CDD1D))]
+            lefts = np.r_[lefts[cool], np.ones(len(one), np.int64)]
     seg = range_hash(p, at, at + count + least - 1)
-    return text, (seg, (left & LOW).astype("<u4"), (right & LOW).astype("<u4"), (at - offs[text]).astype("<u4"), count.astype("<u2")), deal
+    return text, (seg, (left & LOW).astype("<u4"), (right & LOW).astype("<u4"), (at - offs[text]).astype("<u4"), count.astype("<u2"), lefts.astype("<u1")), deal
 
 
 def firsts(seg: np.ndarray, left: np.ndarray, doc: np.ndarray) -> np.ndarray:
@@ -274,7 +277,7 @@ def intervals(data: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
     for _ in range(1, least):
         if not len(open_):
             break
-        number = np.cumsum(apart)
+        number = np.cumsum(apart, dtype=np.int32)
         cut_ = number[source[open_]] != number[source[open_ - 1]]
         apart[open_[cut_]] = True
         open_ = open_[~cut_]
@@ -294,7 +297,7 @@ def covered_windows(data: np.ndarray, doc: np.ndarray, valid: np.ndarray, least:
 CANDIDATE = np.dtype([("bucket", "<i4"), ("share", "<u4"), ("start", "<u4"), ("size", "<u4")])
 
 
-def find(docs: DataFrame, least: int = 50, bucket_bytes: int = 16 << 20, hot: int = 100_000, share: float = 1e-6, pool: int = 2 << 20):
+def find(docs: DataFrame, least: int = 50, bucket_bytes: int = 16 << 20, hot: int = 100_000, share: float = 1e-6, pool: int = 4 << 20):
     """The texts dealt by document (id, key, text) and the spans of their covered bytes (id, key, spans)."""
     session = docs.sparkSession
     size = min(int(str(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())), 1 << 54)
@@ -342,17 +345,18 @@ def find(docs: DataFrame, least: int = 50, bucket_bytes: int = 16 << 20, hot: in
 
     def settle(batches):
         def tell(bucket, bodies):
-            doc, key, seg, left, right, start, windows = (np.concatenate(x) for x in zip(*map(unpack, bodies)))
+            doc, key, seg, left, right, start, windows, lefts = (np.concatenate(x) for x in zip(*map(unpack, bodies)))
             first = firsts(seg, left, doc)
             gone = np.flatnonzero(~first)
             s = start[gone].astype(np.int64)
             yield covers(doc[gone], key[gone], s, s + windows[gone] + least - 1, buckets)
-            doc, key, left, right, start, windows = (x[first] for x in (doc, key, left, right, start, windows))
+            doc, key, left, right, start, windows, lefts = (x[first] for x in (doc, key, left, right, start, windows, lefts))
             out = []
-            for side in (left, right):
-                pick = np.flatnonzero(shared(side, doc))
+            # Windows that reach far to the left go by the left side, the others by the right.
+            for side, begin, count in ((left, start, lefts), (right, start + lefts, windows - lefts)):
+                pick = np.flatnonzero(shared(side, doc) & (count > 0))
                 c = np.empty(len(pick), CANDIDATE)
-                c["bucket"], c["share"], c["start"], c["size"] = bucket, side[pick], start[pick], windows[pick].astype(np.uint32) + np.uint32(least - 1)
+                c["bucket"], c["share"], c["start"], c["size"] = bucket, side[pick], begin[pick], count[pick].astype(np.uint32) + np.uint32(least - 1)
                 out.append((doc[pick], key[pick], c))
             doc, key, c = (np.concatenate(x) for x in zip(*out))
             order = np.lexsort((key, doc))
@@ -390,7 +394,22 @@ def find(docs: DataFrame, least: int = 50, bucket_bytes: int = 16 << 20, hot: in
 
     def pools(batches):
         def tell(rows):
-            share_, doc, key, start, parts = (list(x) for x in zip(*rows))
+            # Equal pieces first: the smallest document's stays for the transform.
+            least_of: dict[tuple, int] = {}
+            distinct: dict[tuple, int] = {}
+            for group, doc, _, _, piece in rows:
+                low = least_of.get((group, piece))
+                if low is None:
+                    distinct[group] = distinct.get(group, 0) + 1
+                if low is None or doc < low:
+                    least_of[group, piece] = doc
+            gone = [r for r in rows if r[1] > least_of[r[0], r[4]]]
+            stay = [r for r in rows if r[1] == least_of[r[0], r[4]] and distinct[r[0]] > 1]
+            doc, key, start, size_ = (np.array(x, np.int64) for x in zip(*((r[1], r[2], r[3], len(r[4])) for r in gone))) if gone else [np.empty(0, np.int64)] * 4
+            yield covers(doc, key, start, start + size_, buckets)
+            if not stay:
+                return
+            _, doc, key, start, parts = (list(x) for x in zip(*stay))
             lengths = np.array([len(x) + 1 for x in parts])
             data = np.frombuffer(b"\xff".join(parts) + b"\xff", np.uint8)
             seg = np.repeat(np.arange(len(parts)), lengths)
@@ -399,19 +418,19 @@ def find(docs: DataFrame, least: int = 50, bucket_bytes: int = 16 << 20, hot: in
             doc, key, start = np.array(doc, np.int64), np.array(key, np.int64), np.array(start, np.int64)
             hit = np.flatnonzero(covered_windows(data, doc[seg], valid, least))
             s = start[seg[hit]] + inside[hit]
-            return covers(doc[seg[hit]], key[seg[hit]], s, s + least, buckets)
+            yield covers(doc[seg[hit]], key[seg[hit]], s, s + least, buckets)
 
         held, size_, last = [], 0, None
         for b in batches:
-            for bucket, *row in zip(*(b.column(c).to_pylist() for c in ("bucket", "share", "doc", "key", "start", "bytes"))):
-                if (bucket, row[0]) != last and size_ >= pool:
-                    yield tell(held)
+            for bucket, share_, *row in zip(*(b.column(c).to_pylist() for c in ("bucket", "share", "doc", "key", "start", "bytes"))):
+                if (bucket, share_) != last and size_ >= pool:
+                    yield from tell(held)
                     held, size_ = [], 0
-                last = bucket, row[0]
-                held.append(row)
+                last = bucket, share_
+                held.append((last, *row))
                 size_ += len(row[-1]) + 1
         if held:
-            yield tell(held)
+            yield from tell(held)
 
     candidates = placed.where(F.col("kind") == CANDIDATES).select(F.col("doc").alias("id"), "key", "body").groupBy("id", "key").agg(F.collect_list("body").alias("found"))
     with_text = dealt.join(candidates, ["id", "key"]).select("id", "key", "text", "found")
