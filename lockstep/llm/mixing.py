@@ -15,7 +15,7 @@ than the blocks of one source, or the documents of one block.
 
 Nulls: a null text has size 0; a null source is a source of its own, ordered last; null
 ids hash like any value. Empty texts are kept with 0 taken words. Repeated rows count as
-separate documents. An empty table gives no rows.
+separate documents. Kept columns that are named like results give way to these. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -65,6 +65,7 @@ def split_tree(quotas: np.ndarray, shards: int, seed: int) -> np.ndarray:
 
 def assign(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), weights: tuple[float, ...] = WEIGHTS, share: float = 1.5, most: float = 2.0, blocks: int = 1024, shards: int = 64, seed: int = 7) -> DataFrame:
     """One row per document: keep, size, source_size, target, taken, and the output shards of its copies."""
+    keep = tuple(c for c in keep if c not in ("size", "source_size", "target", "taken", "shards"))
     count = F.arrow_udf(lambda t: word_counts(t), "long")
     block = F.pmod(F.xxhash64(F.lit(seed), F.col("doc_id")), F.lit(blocks)).cast("int")
     base = docs.select(*(F.col(c).alias(f"k_{c}") for c in keep), F.col("source").alias("src"), F.col("doc_id").alias("id"), block.alias("block"), count("text").alias("size"))

@@ -15,7 +15,7 @@ The table is built with equi-joins and grows with distinct entities. Only docume
 entities are joined with their surrogates; the others are passed through where they are read.
 
 Nulls: a null text stays null with no entities; null ids are carried. Empty texts stay.
-Repeated rows give repeated results. Columns besides text and n_chars pass through. An empty table gives no rows.
+Repeated rows give repeated results. Columns besides text and n_chars pass through (one named n_entities is replaced where counts are asked for). An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -218,18 +218,20 @@ def replace(docs: DataFrame, key: str = "surrogates", counts: bool = False) -> D
     has = F.arrow_udf(lambda t: pa.array([bool(detect(x)) for x in t.to_pylist()], pa.bool_()), "boolean")
     entities = cut(docs.where("text is not null").select(entity_key().alias("key"), "text").mapInArrow(find, "key string, kind string, value string").distinct())
     told = entities.join(surrogates(entities, secret), ["kind", "value"])
-    by_row = told.groupBy("key").agg(F.collect_list(F.struct("kind", "value", "surrogate")).alias("told"))
+    by_row = told.groupBy("key").agg(F.collect_list(F.struct("kind", "value", "surrogate")).alias("__told"))
 
     def put(texts: pa.Array, tables: pa.Array) -> pa.Array:
         rows = [rewrite(t, {(x["kind"], x["value"]): x["surrogate"] for x in s}) for t, s in zip(texts.to_pylist(), tables.to_pylist())]
         return pa.array([{"text": t, "n": n} for t, n in rows], pa.struct([("text", pa.string()), ("n", pa.int64())]))
 
     new = F.arrow_udf(put, T.StructType([T.StructField("text", T.StringType()), T.StructField("n", T.LongType())]))
-    clean = docs.where(F.coalesce(~has("text"), F.lit(True))).withColumn("n_entities", F.lit(0).cast("long"))
+    clean = docs.where(F.coalesce(~has("text"), F.lit(True)))
     mixed = docs.where(has("text")).withColumn("__key", entity_key())
-    changed = mixed.join(by_row.withColumnRenamed("key", "__key"), "__key").withColumn("__new", new("text", "told"))
-    changed = changed.withColumn("text", F.col("__new.text")).withColumn("n_entities", F.col("__new.n"))
+    changed = mixed.join(by_row.withColumnRenamed("key", "__key"), "__key").withColumn("__new", new("text", "__told"))
+    changed = changed.withColumn("text", F.col("__new.text"))
+    if counts:
+        clean, changed = clean.withColumn("n_entities", F.lit(0).cast("long")), changed.withColumn("n_entities", F.col("__new.n"))
     if "n_chars" in docs.columns:
         changed = changed.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    out = clean.select(*docs.columns, "n_entities").unionByName(changed.select(*docs.columns, "n_entities"))
-    return out if counts else out.drop("n_entities")
+    columns = [*(c for c in docs.columns if not counts or c != "n_entities"), *(["n_entities"] if counts else [])]
+    return clean.select(*columns).unionByName(changed.select(*columns))

@@ -207,8 +207,8 @@ def read_rows(b):
         yield docs[i:j], keys[i:j], data, offs
 
 
-def hot_anchors(texts: DataFrame, least: int, limit: int, share: float) -> np.ndarray:
-    """Anchors with at least limit segments and that share of all."""
+def hot_anchors(texts: DataFrame, least: int, limit: int, share: float) -> tuple[np.ndarray, int]:
+    """Anchors with at least limit segments and that share of all, and the number of all segments."""
 
     def count(batches):
         held, total = [], 0
@@ -234,7 +234,7 @@ def hot_anchors(texts: DataFrame, least: int, limit: int, share: float) -> np.nd
     found = cut(texts.mapInArrow(count, "anchor long, n long, total long").groupBy("anchor").agg(F.sum("n").alias("n"), F.sum("total").alias("total")).where((F.col("n") >= limit) | (F.col("anchor") == 0)))
     total = found.agg(F.sum("total")).first()[0] or 0
     rows = found.where((F.col("n") >= max(limit, share * total)) & (F.col("anchor") != 0)).select("anchor").toArrow()
-    return np.sort(np.asarray(rows.column("anchor")).astype(np.int64).view(U))
+    return np.sort(np.asarray(rows.column("anchor")).astype(np.int64).view(U)), int(total)
 
 
 def suffix_order(data: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
@@ -297,17 +297,17 @@ def covered_windows(data: np.ndarray, doc: np.ndarray, valid: np.ndarray, least:
 CANDIDATE = np.dtype([("bucket", "<i4"), ("share", "<u4"), ("start", "<u4"), ("size", "<u4")])
 
 
-def find(docs: DataFrame, least: int = 50, bucket_bytes: int = 16 << 20, hot: int = 100_000, share: float = 1e-6, pool: int = 4 << 20):
+def find(docs: DataFrame, least: int = 50, bucket_entries: int = 1_500_000, hot: int = 100_000, share: float = 1e-6, pool: int = 4 << 20):
     """The texts dealt by document (id, key, text) and the spans of their covered bytes (id, key, spans)."""
     session = docs.sparkSession
-    size = min(int(str(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())), 1 << 54)
-    buckets = max(16, math.ceil(size / bucket_bytes))
     # id and key are never null, so that joins add no filters and the exchange of the texts serves both of them.
     # The last bit of the key tells whether there is an id.
     tagged = F.shiftleft(F.xxhash64("text"), 1).bitwiseOR(F.col("doc_id").isNotNull().cast("long"))
     texts = docs.select(F.coalesce("doc_id", F.lit(0)).alias("id"), tagged.alias("key"), F.coalesce("text", F.lit("")).alias("text"))
     placed_texts = texts.withColumn("known", F.col("key").bitwiseAND(F.lit(1)) == 1)
-    sent = session.sparkContext.broadcast(hot_anchors(placed_texts, least, hot, share))
+    found_hot, total = hot_anchors(placed_texts, least, hot, share)
+    buckets = max(16, math.ceil(total / bucket_entries))
+    sent = session.sparkContext.broadcast(found_hot)
 
     def local(batches):
         held, docs_, keys_, base = [], [], [], 0

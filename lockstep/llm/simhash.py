@@ -267,5 +267,5 @@ def one_of_each(docs: DataFrame, width: int = 2, radius: int = 6, similarity: fl
     agree = share - 1.5 * (share * (1 - share) / 256) ** 0.5
     kept = grouped(docs, width, radius, agree).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
     # Joined and made distinct by the same columns, which are never null: the texts are dealt once.
-    keys = {"_id": F.coalesce("doc_id", F.lit(0)), "_none": F.col("doc_id").isNull()}
+    keys = {"__id": F.coalesce("doc_id", F.lit(0)), "__none": F.col("doc_id").isNull()}
     return docs.withColumns(keys).join(kept.withColumns(keys).drop("doc_id"), list(keys)).dropDuplicates(list(keys)).drop(*keys)
