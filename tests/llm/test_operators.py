@@ -313,6 +313,6 @@ def test_mix(spark):
         assert all(0 <= r.taken <= 2 * r.size and len(r.shards) == -(-r.taken // max(1, r.size)) for r in got)
         again = mixing.assign(df.repartition(7), ("doc_id", "source"), blocks=blocks).collect()
         assert sorted(map(str, got)) == sorted(map(str, again))
-    mixed = mixing.mixture(df, ("doc_id", "text"))
+    mixed = mixing.mixture(df, ("doc_id", "text"), blocks=4)
     assert mixed.count() == sum(len(r.shards) for r in got)
     assert mixing.assign(df.where("false")).count() == 0
