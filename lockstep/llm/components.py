@@ -12,16 +12,16 @@ def components(edges: DataFrame, rounds: int = 40) -> DataFrame:
     """(node, root) for every node of edges (a, b): root is the smallest node reachable.
 
     Each round points the larger neighbours of every node at its smallest one, then
-    the smaller ones too; the distance to the root falls by a constant factor. Joins are
-    plain equi-joins, so a node with very many neighbours is split like any skewed key.
+    the smaller ones too; the distance to the root falls by a constant factor. The smallest
+    neighbours are cut before the joins, which so deal both sides anew and split a node with very many neighbours.
     """
     e = cut(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
     before = None
     for _ in range(rounds):
         both = e.union(e.select("v", "u")).toDF("u", "v")
-        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        low = cut(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")))
+        large = cut(both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
+        least = cut(large.groupBy("u").agg(F.min("v").alias("m")))
         small = large.join(least, "u").select("v", "m").where("v <> m").union(least.select("u", "m")).toDF("u", "v").distinct()
         e = cut(small)
         state = e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()

@@ -247,7 +247,8 @@ def grouped(docs: DataFrame, width: int, radius: int, agree: float) -> DataFrame
     unique = each.groupBy("node", "fp").agg(F.min("doc_id").alias("least"), *extra)
     found = components(links(unique.drop("least"), radius, agree=agree)).withColumnRenamed("node", "known")
     roots = unique.join(found, unique.node == found.known, "left").select("node", "least", F.coalesce("root", "node").alias("root"))
-    heads = roots.groupBy("root").agg(F.min("least").alias("component_id"))
+    roots = cut(roots)
+    heads = cut(roots.groupBy("root").agg(F.min("least").alias("component_id")))
     told = cut(roots.join(heads, "root").select("node", "component_id"))  # so that the join can split hot fingerprints
     return each.join(told, "node").select("doc_id", "fp", "component_id")
 
