@@ -138,3 +138,39 @@ def offset_translation(spark, sf_dir):
     edf = schedule(spark, sf_dir, "edf").select("recording_id", F.col("event_index").alias("edf_event_index"), F.col("type").alias("edf_type"))
     ok = there.where("edf_event_index <= hi2").join(edf, ["recording_id", "edf_event_index"]).where("edf_type = type")
     return ok.select("recording_id", F.col("event_index").alias("eeg_event_index"), "edf_event_index")
+
+
+def _light(spark, sf_dir, side):
+    """A schedule that loses few triggers, and none on the EDF side."""
+    from pyspark.sql import Window
+
+    latency, _ = (x.format(div="div") for x in views._SIDES[side])
+    e = table(spark, sf_dir, "events")
+    if side == "eeg":
+        e = e.where("NOT (event_id % 50 >= 4 AND value < 0.03)")
+    rows = e.select(F.expr(f"event_id div {views.EVENTS}").alias("recording_id"), F.expr(latency).cast("long").alias("latency"), F.expr("CASE WHEN event_id % 50 < 4 THEN '64' ELSE '63' END").alias("type"))
+    return rows.withColumn("event_index", F.row_number().over(Window.partitionBy("recording_id").orderBy("latency")).cast("long"))
+
+
+@query()
+def matcher_summary(spark, sf_dir):
+    """The pairing of every recording: where it starts and ends, and what stopped it."""
+    from ..operators.matcher import match_recordings
+
+    return match_recordings(_light(spark, sf_dir, "eeg"), _light(spark, sf_dir, "edf"), EEG_RATE, TRIGGER_RATE)
+
+
+@query()
+def matcher_history(spark, sf_dir):
+    """Every comparison of two chunks, in order."""
+    from ..operators.matcher import match_recordings
+
+    return match_recordings(_light(spark, sf_dir, "eeg"), _light(spark, sf_dir, "edf"), EEG_RATE, TRIGGER_RATE, "history")
+
+
+@query()
+def matched_segment_table(spark, sf_dir):
+    """Trusted segments with sample bounds and drift, replayed from the history."""
+    from ..operators.replay import segment_recordings
+
+    return segment_recordings(_light(spark, sf_dir, "eeg"), _light(spark, sf_dir, "edf"), EEG_RATE, TRIGGER_RATE)
