@@ -24,7 +24,7 @@ def chunks(events: DataFrame, rate: float) -> DataFrame:
     first = F.min("chunk").over(Window.partitionBy("recording_id"))
     numbered = started.withColumn("chunk_index", (F.col("chunk") - first + 1).cast("int")).withColumn("is_partial_start", F.col("chunk") == 0)
     inner = Window.partitionBy("recording_id", "chunk_index").orderBy("event_index")
-    return numbered.withColumn("interval_to_next_sec", F.lead("time_sec").over(w) - F.col("time_sec")).withColumn("position", F.row_number().over(inner)).drop("chunk", "bound")
+    return numbered.withColumn("interval_to_next_sec", F.lead("time_sec").over(w) - F.col("time_sec")).withColumn("position", F.row_number().over(inner).cast("long")).drop("chunk", "bound")
 
 
 def shapes(events: DataFrame) -> DataFrame:
