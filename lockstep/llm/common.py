@@ -7,6 +7,7 @@ the batch. A null text counts as empty unless an operator says otherwise.
 
 from __future__ import annotations
 
+import ctypes
 import os
 import tempfile
 from collections.abc import Iterator
@@ -15,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-SLICE = 1 << 20
+SLICE = 1 << 19
 U = np.uint64
 #: Multiplier of the polynomial hash, odd, and its inverse modulo 2^64.
 BASE = U(0x9E3779B97F4A7C15)
@@ -36,6 +37,15 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def _trim() -> None:
+    """Give what a batch has left free back to the system: idle workers keep little, beside an executor's heap."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):
+        pass  # another C library
+
+
 def slices(texts: pa.Array, limit: int = SLICE) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first row, past the last, bytes, offsets) of parts of a string column with about limit bytes; nulls are empty."""
     if isinstance(texts, pa.ChunkedArray):
@@ -54,6 +64,7 @@ def slices(texts: pa.Array, limit: int = SLICE) -> Iterator[tuple[int, int, np.n
         j = max(i + 1, int(np.searchsorted(offs, offs[i] + limit, "right")) - 1)
         yield i, j, data[offs[i] : offs[j]], offs[i : j + 1] - offs[i]
         i = j
+    _trim()
 
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:

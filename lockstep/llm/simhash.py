@@ -236,37 +236,42 @@ def links(unique: DataFrame, radius: int = 2, large: int = 1 << 17, agree: float
     return rows.mapInArrow(find, "a long, b long")
 
 
-def grouped(docs: DataFrame, width: int, radius: int, agree: float) -> DataFrame:
-    """doc_id, fp and component_id of every document."""
-    fingerprint = F.arrow_udf(lambda t: fingerprints(t, width), "long")
-    columns = [fingerprint("text").alias("fp")]
+def grouped(docs: DataFrame, widths: tuple[int, ...], radius: int, agree: float) -> DataFrame:
+    """doc_id, fp (of the first width) and component_id of every document; links are those of any width's fingerprints."""
+    fps = [f"fp{k}" for k in range(len(widths))]
+    columns = [F.arrow_udf(lambda t, w=w: fingerprints(t, w), "long")("text").alias(c) for c, w in zip(fps, widths)]
     if agree:
         columns.append(F.arrow_udf(lambda t: sketches(t), "binary")("text").alias("sketch"))
-    each = cut(docs.select("doc_id", *columns).withColumn("node", F.xxhash64("fp", "sketch") if agree else F.col("fp")))
+    node = F.xxhash64(*fps, "sketch") if agree else F.xxhash64(*fps) if len(fps) > 1 else F.col("fp0")
+    each = cut(docs.select("doc_id", *columns).withColumn("node", node))
     extra = [F.first("sketch").alias("sketch")] if agree else []
-    unique = each.groupBy("node", "fp").agg(F.min("doc_id").alias("least"), *extra)
-    found = components(links(unique.drop("least"), radius, agree=agree)).withColumnRenamed("node", "known")
+    unique = each.groupBy("node", *fps).agg(F.min("doc_id").alias("least"), *extra)
+    edges = None
+    for c in fps:
+        more = links(unique.select("node", F.col(c).alias("fp"), *(["sketch"] if agree else [])), radius, agree=agree)
+        edges = more if edges is None else edges.union(more)
+    found = components(edges).withColumnRenamed("node", "known")
     roots = unique.join(found, unique.node == found.known, "left").select("node", "least", F.coalesce("root", "node").alias("root"))
     roots = cut(roots)
     heads = cut(roots.groupBy("root").agg(F.min("least").alias("component_id")))
     told = cut(roots.join(heads, "root").select("node", "component_id"))  # so that the join can split hot fingerprints
-    return each.join(told, "node").select("doc_id", "fp", "component_id")
+    return each.join(told, "node").select("doc_id", F.col("fp0").alias("fp"), "component_id")
 
 
 def near_duplicates(docs: DataFrame, width: int = 3, radius: int = 2, agree: float = 0.0) -> DataFrame:
     """doc_id, fingerprint and component_id of every document."""
-    return grouped(docs, width, radius, agree).select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+    return grouped(docs, (width,), radius, agree).select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
-def one_of_each(docs: DataFrame, width: int = 2, radius: int = 6, similarity: float = 0.8) -> DataFrame:
+def one_of_each(docs: DataFrame, widths: tuple[int, ...] = (2, 3), radius: int = 6, similarity: float = 0.8) -> DataFrame:
     """The first document of each component; of rows that repeat its id, one.
 
-    Candidates are fingerprints of word pairs within radius bits; a link also needs sketches of five-word shingles that
+    Candidates are fingerprints of two or of three words within radius bits; a link also needs sketches of five-word shingles that
     tell of the similarity, less one and a half standard deviations of the estimate.
     """
     share = (1 + similarity) / 2
     agree = share - 1.5 * (share * (1 - share) / 256) ** 0.5
-    kept = grouped(docs, width, radius, agree).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
+    kept = grouped(docs, widths, radius, agree).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
     # Joined and made distinct by the same columns, which are never null: the texts are dealt once.
     keys = {"__id": F.coalesce("doc_id", F.lit(0)), "__none": F.col("doc_id").isNull()}
     return docs.withColumns(keys).join(kept.withColumns(keys).drop("doc_id"), list(keys)).dropDuplicates(list(keys)).drop(*keys)
