@@ -2,7 +2,7 @@
 
 State per recording is the pulse that is open: its start, last sample and largest value. A pulse is emitted
 when a sample at or below the threshold, or a missing one, ends it. Samples of a recording are expected in order of arrival of their
-batches; within a batch they are sorted. A recording that stays silent for ``timeout_ms`` has its open pulse emitted.
+batches; within a batch they are sorted. With ``timeout_ms``, a recording that stays silent for so long has its open pulse emitted.
 """
 
 from __future__ import annotations
@@ -30,7 +30,7 @@ def advance(rows: pd.DataFrame, open_: tuple | None, threshold: float) -> tuple[
     return done, open_
 
 
-def stream_pulses(trace: DataFrame, threshold: float = 1.0, timeout_ms: int = 3_600_000) -> DataFrame:
+def stream_pulses(trace: DataFrame, threshold: float = 1.0, timeout_ms: int | None = None) -> DataFrame:
     """recording_id, latency, end, max_value of pulses of a streaming trace (recording_id, sample, volts)."""
 
     def update(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
@@ -44,8 +44,9 @@ def stream_pulses(trace: DataFrame, threshold: float = 1.0, timeout_ms: int = 3_
                 state.remove()
         else:
             state.update(open_)
-            state.setTimeoutDuration(timeout_ms)
+            if timeout_ms:
+                state.setTimeoutDuration(timeout_ms)
         if done:
             yield pd.DataFrame([(key[0], *d) for d in done], columns=["recording_id", "latency", "end", "max_value"])
 
-    return trace.groupBy("recording_id").applyInPandasWithState(update, OUTPUT, STATE, "append", GroupStateTimeout.ProcessingTimeTimeout)
+    return trace.groupBy("recording_id").applyInPandasWithState(update, OUTPUT, STATE, "append", GroupStateTimeout.ProcessingTimeTimeout if timeout_ms else GroupStateTimeout.NoTimeout)
