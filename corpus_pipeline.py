@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lockstep.llm import decontaminate, langid, mixing, pii, simhash
-from lockstep.llm.common import cut, table
+from lockstep.llm.common import cut, small_batches, table
 
 #: Least mean probability of its language for a document to stay.
 CONFIDENCE = 0.4
@@ -20,6 +20,7 @@ CONFIDENCE = 0.4
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is known with enough confidence; the field learns from those that are not held out."""
+    small_batches(spark)
     field = langid.fit(docs.where(~langid.held_out(F.col("doc_id"))))
     told = langid.predict(docs, field)
     return told.where((F.col("lang_pred") != "und") & (F.col("score") >= CONFIDENCE)).select(*docs.columns)
@@ -27,6 +28,7 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates."""
+    small_batches(spark)
     return simhash.one_of_each(docs)
 
 
@@ -37,11 +39,13 @@ def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with surrogates for personal data."""
+    small_batches(spark)
     return pii.replace(docs)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the mix takes, with the words taken and the output shards of their copies."""
+    small_batches(spark)
     return mixing.assign(docs, tuple(docs.columns)).where("taken > 0")
 
 

@@ -24,7 +24,15 @@ INVERSE = U(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
+def small_batches(spark: SparkSession) -> None:
+    """At most 2000 rows go to Python at a time, so that a task's buffers hold some megabytes of long texts, not some hundred."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if int(spark.conf.get(key)) > 2000:
+        spark.conf.set(key, "2000")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
