@@ -69,12 +69,14 @@ def consensus(pairs: DataFrame) -> DataFrame:
     return chosen.join(apart, "recording_id", "left").select("recording_id", "chosen", "support", (F.coalesce("apart", F.lit(0)) > 0).alias("ambiguous"))
 
 
-def canonical(events: DataFrame, chunk_shapes: DataFrame, tolerance: float) -> DataFrame:
+def canonical(chunk_shapes: DataFrame, tolerance: float) -> DataFrame:
     """position, type, relative_time_sec, interval_to_next_sec of the cycle: medians over the chunks compatible with the chosen one."""
     pairs = compatible(chunk_shapes, tolerance)
     chosen = consensus(pairs).where("support >= 2 and not ambiguous")
     members = pairs.join(chosen.select("recording_id", F.col("chosen").alias("chunk_index")), ["recording_id", "chunk_index"]).select("recording_id", F.col("other").alias("chunk_index"))
-    middle = events.join(members, ["recording_id", "chunk_index"]).groupBy("recording_id", "position").agg(F.first("type").alias("type"), F.median("interval_to_next_sec").alias("interval_to_next_sec"))
+    rows = chunk_shapes.join(members, ["recording_id", "chunk_index"]).select("recording_id", F.posexplode(F.arrays_zip("types", "gaps")).alias("p", "x"))
+    rows = rows.select("recording_id", (F.col("p") + 1).cast("long").alias("position"), F.col("x.types").alias("type"), F.col("x.gaps").alias("interval_to_next_sec"))
+    middle = rows.groupBy("recording_id", "position").agg(F.first("type").alias("type"), F.median("interval_to_next_sec").alias("interval_to_next_sec"))
     w = Window.partitionBy("recording_id").orderBy("position")
     past = F.coalesce(F.sum("interval_to_next_sec").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0))
     timed = middle.withColumn("past", past)
@@ -116,18 +118,20 @@ def canonical_edges(cycle: DataFrame) -> DataFrame:
     return cycle.select("recording_id", F.col("position").alias("interval_number"), F.col("type").alias("source_type"), F.coalesce(F.lead("type").over(w), first).alias("destination_type"), F.col("interval_to_next_sec").alias("interval_sec"))
 
 
-def prefix_suffix(observed: DataFrame, reference: DataFrame, keys: list[str], tolerance: float) -> DataFrame:
+def prefix_suffix(observed: DataFrame, reference: DataFrame, keys: list[str], shared: list[str], tolerance: float) -> DataFrame:
     """Leading and trailing edges of observed that equal those of reference; the suffix does not overlap the prefix.
 
-    Both have keys, interval_number from 1, types and interval_sec.
+    Edges have interval_number from 1, types and interval_sec; observed is by keys, reference by shared (some of keys).
+    Lists are compared as arrays, so each side is grouped once and joined once.
     """
-    from .ordered import common_prefix, position_matches
-
-    same = (F.col("a.source_type") == F.col("b.source_type")) & (F.col("a.destination_type") == F.col("b.destination_type")) & within(F.col("a.interval_sec"), F.col("b.interval_sec"), tolerance)
-    size = Window.partitionBy(*keys)
-    count = lambda d, name: d.groupBy(*keys).agg(F.count("*").alias(name))
-    reverse = lambda d: d.withColumn("interval_number", F.max("interval_number").over(size) + 1 - F.col("interval_number"))
-    prefix = common_prefix(position_matches(observed, reference, keys, "interval_number", same), keys, "interval_number")
-    suffix = common_prefix(position_matches(reverse(observed), reverse(reference), keys, "interval_number", same), keys, "interval_number").withColumnRenamed("prefix", "suffix")
-    out = prefix.join(suffix, keys).join(count(observed, "n_observed"), keys).join(count(reference, "n_reference"), keys)
-    return out.withColumn("suffix", F.greatest(F.lit(0), F.least("suffix", F.least("n_observed", "n_reference") - F.col("prefix"))))
+    rows = F.array_sort(F.collect_list(F.struct("interval_number", "source_type", "destination_type", "interval_sec")))
+    o, r = observed.groupBy(*keys).agg(rows.alias("o")), reference.groupBy(*shared).agg(rows.alias("r"))
+
+    def leading(a, b):
+        same = F.zip_with(a, b, lambda x, y: F.coalesce((x["source_type"] == y["source_type"]) & (x["destination_type"] == y["destination_type"]) & within(x["interval_sec"], y["interval_sec"], tolerance), F.lit(False)))
+        at = F.array_position(same, False)
+        return F.when(at == 0, F.size(same)).otherwise(at - 1)
+
+    j = o.join(r, shared).withColumn("prefix", leading(F.col("o"), F.col("r")).cast("long")).withColumn("_s", leading(F.reverse("o"), F.reverse("r")))
+    n, m = F.size("o").cast("long"), F.size("r").cast("long")
+    return j.select(*keys, "prefix", F.greatest(F.lit(0), F.least("_s", F.least(n, m) - F.col("prefix"))).alias("suffix"), n.alias("n_observed"), m.alias("n_reference"))

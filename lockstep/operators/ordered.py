@@ -69,14 +69,3 @@ def overlap_groups(df: DataFrame, keys: list[str], start: str, end: str, order:
     before = F.max("_high").over(w.rowsBetween(Window.unboundedPreceding, -1))
     marked = marked.withColumn("_new", F.coalesce(F.col("_low") > before, F.lit(True)).cast("int"))
     return marked.withColumn(name, F.sum("_new").over(w).cast("int")).drop("_low", "_high", "_new")
-
-
-def position_matches(a: DataFrame, b: DataFrame, keys: list[str], position: str, same: Column) -> DataFrame:
-    """Full join of two lists by position, with the column same (null where one has ended counts as false)."""
-    joined = a.alias("a").join(b.alias("b"), [F.col(f"a.{k}") == F.col(f"b.{k}") for k in [*keys, position]], "full")
-    return joined.select(*(F.coalesce(f"a.{k}", f"b.{k}").alias(k) for k in [*keys, position]), F.coalesce(same, F.lit(False)).alias("same"))
-
-
-def common_prefix(matched: DataFrame, keys: list[str], position: str) -> DataFrame:
-    """Number of leading positions (from 1) that are the same."""
-    return matched.groupBy(*keys).agg((F.coalesce(F.min(F.when(~F.col("same"), F.col(position))), F.max(position) + 1) - 1).alias("prefix"))

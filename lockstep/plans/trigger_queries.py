@@ -169,7 +169,7 @@ def eeg_chunks(spark, sf_dir, side="eeg"):
 def eeg_cycle(spark, sf_dir, side="eeg"):
     events = eeg_chunks(spark, sf_dir, side)
     shapes = cycle.shapes(events)
-    return events, shapes, cycle.canonical(events, shapes, TOLERANCE)
+    return events, shapes, cycle.canonical(shapes, TOLERANCE)
 
 
 _C = "list_transform(range(1, len(gaps) + 1), lambda i: abs(gaps[i] - cg[i]))"
@@ -239,9 +239,7 @@ n AS (SELECT recording_id, chunk_index, any_value(o.n) AS n_observed FROM o GROU
 SELECT recording_id, chunk_index, prefix, greatest(0, least(suffix, least(n_observed, n_reference) - prefix)) AS suffix, n_observed, n_reference FROM p JOIN s USING (recording_id, chunk_index) JOIN n USING (recording_id, chunk_index) JOIN m USING (recording_id, chunk_index)""")
 def edge_prefix_suffix(spark, sf_dir):
     events, _, canon = eeg_cycle(spark, sf_dir)
-    observed = cycle.edges(events)
-    reference = observed.select("recording_id", "chunk_index").distinct().join(cycle.canonical_edges(canon), "recording_id")
-    return cycle.prefix_suffix(observed, reference, ["recording_id", "chunk_index"], TOLERANCE)
+    return cycle.prefix_suffix(cycle.edges(events), cycle.canonical_edges(canon), ["recording_id", "chunk_index"], ["recording_id"], TOLERANCE)
 
 
 @query(f"""WITH {edge_sql('eeg')},
