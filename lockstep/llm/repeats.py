@@ -294,6 +294,7 @@ def covered_windows(data: np.ndarray, doc: np.ndarray, valid: np.ndarray, least:
     return out
 
 
+PIECE = ("bucket", "share", "doc", "key", "start", "size")
 CANDIDATE = np.dtype([("bucket", "<i4"), ("share", "<u4"), ("start", "<u4"), ("size", "<u4")])
 
 
@@ -377,20 +378,30 @@ def find(docs: DataFrame, least: int = 50, bucket_entries: int = 1_500_000, hot:
         if bodies:
             yield from tell(now, bodies)
 
-    placed = cut(placed_texts.mapInArrow(local, SPANS_DDL).repartition("bucket").sortWithinPartitions("bucket").mapInArrow(settle, SPANS_DDL))
+    parts = max(buckets, int(session.conf.get("spark.sql.shuffle.partitions")))
+    placed = cut(placed_texts.mapInArrow(local, SPANS_DDL).repartition(parts, "bucket").sortWithinPartitions("bucket").mapInArrow(settle, SPANS_DDL))
     dealt = texts.repartition("id", "key")
 
     def cut_out(batches):
-        """Candidates with their bytes."""
+        """Candidates with their bytes. Of equal pieces in a batch only the smallest document's go on; the others are covered."""
         for b in batches:
             rows, parts = [], []
+            least_of: dict[tuple, int] = {}
             for doc, key, text, found in zip(b.column("id").to_pylist(), b.column("key").to_pylist(), b.column("text").to_pylist(), b.column("found").to_pylist()):
                 raw = text.encode()
                 for bucket, side, start, size_ in np.frombuffer(b"".join(found), CANDIDATE).tolist():
-                    rows.append((bucket, side, doc, key, start))
-                    parts.append(raw[start : start + size_])
-            cols = np.array(rows, np.int64).reshape(-1, 5)
-            yield pa.record_batch([*(pa.array(np.ascontiguousarray(cols[:, i])) for i in range(5)), pa.array(parts, pa.binary())], ["bucket", "share", "doc", "key", "start", "bytes"])
+                    piece = raw[start : start + size_]
+                    rows.append((bucket, side, doc, key, start, size_))
+                    parts.append(piece)
+                    low = least_of.get((bucket, side, piece))
+                    if low is None or doc < low:
+                        least_of[bucket, side, piece] = doc
+            cols = np.array(rows, np.int64).reshape(-1, 6)
+            low = np.array([least_of[r[0], r[1], x] for r, x in zip(rows, parts)], np.int64)
+            gone = cols[:, 2] > low
+            cols[gone, 1] = -1 - cols[gone, 2] % 1024  # covered: spread by document
+            parts = [None if g else x for g, x in zip(gone.tolist(), parts)]
+            yield pa.record_batch([*(pa.array(np.ascontiguousarray(cols[:, i])) for i in range(6)), pa.array(parts, pa.binary())], [*PIECE, "bytes"])
 
     def pools(batches):
         def tell(rows):
@@ -422,6 +433,11 @@ def find(docs: DataFrame, least: int = 50, bucket_entries: int = 1_500_000, hot:
 
         held, size_, last = [], 0, None
         for b in batches:
+            passed = b.filter(b.column("bytes").is_null())
+            if passed.num_rows:
+                doc, key, start, n = (np.asarray(passed.column(c)) for c in ("doc", "key", "start", "size"))
+                yield covers(doc, key, start, start + n, buckets)
+                b = b.filter(b.column("bytes").is_valid())
             for bucket, share_, *row in zip(*(b.column(c).to_pylist() for c in ("bucket", "share", "doc", "key", "start", "bytes"))):
                 if (bucket, share_) != last and size_ >= pool:
                     yield from tell(held)
@@ -434,7 +450,7 @@ def find(docs: DataFrame, least: int = 50, bucket_entries: int = 1_500_000, hot:
 
     candidates = placed.where(F.col("kind") == CANDIDATES).select(F.col("doc").alias("id"), "key", "body").groupBy("id", "key").agg(F.collect_list("body").alias("found"))
     with_text = dealt.join(candidates, ["id", "key"]).select("id", "key", "text", "found")
-    cut_ = with_text.mapInArrow(cut_out, "bucket long, share long, doc long, key long, start long, bytes binary")
+    cut_ = with_text.mapInArrow(cut_out, ", ".join(f"{c} long" for c in PIECE) + ", bytes binary")
     more = cut_.repartition("bucket", "share").sortWithinPartitions("bucket", "share").mapInArrow(pools, SPANS_DDL)
     spans = placed.where(F.col("kind") == COVER).union(more).select(F.coalesce("doc", F.lit(0)).alias("id"), F.coalesce("key", F.lit(0)).alias("key"), "body").groupBy("id", "key").agg(F.collect_list("body").alias("spans"))
     return dealt, spans
