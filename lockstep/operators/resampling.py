@@ -41,7 +41,7 @@ def resample_blocks(samples: DataFrame, segments: DataFrame, trigger_rate: float
     told = segments.select("recording_id", "segment_index", "eeg_start_sample", "eeg_end_sample", "edf_start_sample", "edf_end_sample")
     joined = samples.join(told, ["recording_id", "segment_index"])
 
-    def run(keys, pdf: pd.DataFrame) -> pd.DataFrame:
+    def run(keys: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         x = pdf.sort_values("sample")["value"].to_numpy(float)
         first = pdf.iloc[0]
         span = int(first.edf_end_sample - first.edf_start_sample)
@@ -60,7 +60,7 @@ def resample_blocks(samples: DataFrame, segments: DataFrame, trigger_rate: float
 def spectra(samples: DataFrame, rate: float, kind: str = "welch") -> DataFrame:
     """Spectrum of each channel: frequency and dB, with the time of the window for multitaper."""
 
-    def run(keys, pdf: pd.DataFrame) -> pd.DataFrame:
+    def run(keys: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         x = pdf.sort_values("sample")["value"].to_numpy(float)
         if kind == "welch":
             f, db = dsp.welch(x, rate)

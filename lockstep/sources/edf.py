@@ -212,7 +212,7 @@ def write(blocks: DataFrame, headers: dict[str, Header], target: str) -> DataFra
     One task writes a recording, block by block, to a temporary name that takes the final one when complete, so a repeated task does no harm.
     """
 
-    def save(key, pdf: pd.DataFrame) -> pd.DataFrame:
+    def save(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         name = key[0]
         h = headers[name]
         labels = [s["label"].strip() for s in h.signals]
