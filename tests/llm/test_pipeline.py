@@ -38,3 +38,15 @@ def test_stages(spark, tmp_path):
     assert "me@here.org" not in " ".join(r.text for r in df.collect())
     assert sum(r.taken for r in df.collect()) > 0
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == df.count()
+
+
+def test_empty_tables(spark, tmp_path):
+    spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame([], "conv_id long, turn long, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
+    from lockstep.llm import queries
+
+    for name, query in queries.queries().items():
+        assert query(spark, str(tmp_path)).count() == (1 if name == "op3_chat" else 0)
