@@ -63,7 +63,7 @@ def split_tree(quotas: np.ndarray, shards: int, seed: int) -> np.ndarray:
     return out
 
 
-def assign(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), weights: tuple[float, ...] = WEIGHTS, share: float = 1.5, most: float = 2.0, blocks: int = 1024, shards: int = 64, seed: int = 7) -> DataFrame:
+def assign(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), weights: tuple[float, ...] = WEIGHTS, share: float = 1.5, most: float = 2.0, blocks: int = 8192, shards: int = 64, seed: int = 7) -> DataFrame:
     """One row per document: keep, size, source_size, target, taken, and the output shards of its copies."""
     keep = tuple(c for c in keep if c not in ("size", "source_size", "target", "taken", "shards"))
     count = F.arrow_udf(lambda t: word_counts(t), "long")
