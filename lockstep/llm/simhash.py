@@ -32,6 +32,8 @@ from .components import components
 
 SEED = 42
 FAN = 8
+#: Bands of MinHash values: all of a pair at J = 0.8 differ with a probability of (1 - 0.8^5)^24 = 7e-5.
+BANDS, ROWS = 24, 5
 
 
 def hashes(text: bytes, width: int) -> list[int]:
@@ -73,22 +75,92 @@ def gray_rank(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def sketches(texts: pa.Array, width: int = 5, bits: int = 256) -> pa.Array:
-    """One-bit MinHash of every text's shingle set: bits agree with probability (1 + J) / 2."""
+def least_hashes(texts: pa.Array, width: int, bits: int):
+    """The MinHash values of every text's shingle set, one array for each text."""
     rng = np.random.default_rng(SEED)
     times, plus = rng.integers(0, 1 << 63, bits, dtype=U) << U(1) | U(1), rng.integers(0, 1 << 63, bits, dtype=U)
-    out = []
     for _, _, data, offs in slices(texts):
         raw = data.tobytes()
         for k in range(len(offs) - 1):
-            h = np.unique(np.array(hashes(raw[offs[k] : offs[k + 1]], width) or [0], U))
+            h = shingle_set(raw[offs[k] : offs[k + 1]], width)
             least = np.full(bits, ~U(0))
             for i in range(0, len(h), 512):
                 part = h[i : i + 512, None]
                 part = (part ^ (part >> U(29))) * times + plus
                 np.minimum(least, (part ^ (part >> U(32))).min(axis=0), out=least)
-            out.append(np.packbits((least >> U(7)) & U(1) == 1).tobytes())
-    return pa.array(out, pa.binary())
+            yield least
+
+
+def shingle_set(text: bytes, width: int = 5) -> np.ndarray:
+    return np.unique(np.array(hashes(text, width) or [0], U))
+
+
+def one_bit(least: np.ndarray) -> bytes:
+    return np.packbits((least >> U(7)) & U(1) == 1).tobytes()
+
+
+def sketches(texts: pa.Array, width: int = 5, bits: int = 256) -> pa.Array:
+    """One-bit MinHash of every text's shingle set: bits agree with probability (1 + J) / 2."""
+    return pa.array([one_bit(x) for x in least_hashes(texts, width, bits)], pa.binary())
+
+
+def signatures(texts: pa.Array, width: int = 5, bits: int = 256) -> pa.Array:
+    """The sketch of every text, and a key of each of ``BANDS`` bands of ``ROWS`` MinHash values."""
+    sketch, keys = [], []
+    for x in least_hashes(texts, width, bits):
+        sketch.append(one_bit(x))
+        keys.append([xxhash.xxh64_intdigest(x[i * ROWS : (i + 1) * ROWS].tobytes(), i) for i in range(BANDS)])
+    keys = pa.array(np.array(keys, U).reshape(-1).view(np.int64), pa.int64())
+    lists = pa.ListArray.from_arrays(pa.array(np.arange(0, len(keys) + 1, BANDS), pa.int32()), keys)
+    return pa.StructArray.from_arrays([pa.array(sketch, pa.binary()), lists], ["sketch", "bands"])
+
+
+def same_words(texts: pa.Array) -> pa.Array:
+    """A hash of every text's words in small letters: equal for texts with equal shingles in equal order."""
+    out = [np.empty(0, U)]
+    for _, _, data, offs in slices(texts):
+        raw = data.tobytes()
+        out.append(np.array([xxhash.xxh64_intdigest(b" ".join(raw[a:b].lower().split()), SEED) for a, b in zip(offs.tolist(), offs[1:].tolist())], U))
+    return pa.array(np.concatenate(out).view(np.int64), pa.int64())
+
+
+def spread(n: int, near) -> np.ndarray:
+    """Labels of the connected parts of n things. near(i, left) tells which of the things left are linked to i.
+
+    Things found are not compared with each other again, so that a group of mostly similar ones takes few steps.
+    """
+    label, left = np.arange(n), np.arange(n)
+    while len(left):
+        start, left = left[0], left[1:]
+        queue = [start]
+        while queue and len(left):
+            ok = near(queue.pop(), left)
+            if ok.any():
+                label[left[ok]] = start
+                queue += left[ok].tolist()
+                left = left[~ok]
+    return label
+
+
+def exact_links(texts: list[bytes], similarity: float) -> np.ndarray:
+    """Labels of the parts that pairs with a Jaccard index of five-word shingles of at least similarity connect."""
+    sets = [shingle_set(t) for t in texts]
+    size = np.array([len(x) for x in sets])
+    _, flat = np.unique(np.concatenate(sets), return_inverse=True)
+    first = np.r_[0, np.cumsum(size)]
+    mark = np.zeros(int(flat.max()) + 1, bool)
+    held: list = [None, None, None]
+
+    def near(i, left):
+        if held[0] is not left:
+            held[:] = left, np.concatenate([flat[first[k] : first[k + 1]] for k in left]), np.r_[0, np.cumsum(size[left])[:-1]]
+        own = flat[first[i] : first[i + 1]]
+        mark[own] = True
+        both = np.add.reduceat(mark[held[1]], held[2], dtype=np.int64)
+        mark[own] = False
+        return both >= similarity * (size[i] + size[left] - both) - 1e-9
+
+    return spread(len(texts), near)
 
 
 def search(group: np.ndarray, fps: np.ndarray, radius: int, most: int = 1 << 18):
@@ -263,15 +335,86 @@ def near_duplicates(docs: DataFrame, width: int = 3, radius: int = 2, agree: flo
     return grouped(docs, (width,), radius, agree).select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def groups_of(batches, columns: tuple[str, ...]):
+    """Rows of batches sorted by their first column, as tuples of lists with whole groups."""
+    held: list[list] = [[] for _ in columns]
+    for b in batches:
+        for x, c in zip(held, columns):
+            x += b.column(c).to_pylist()
+        if held[0]:
+            last = len(held[0]) - 1
+            while last and held[0][last - 1] == held[0][-1]:
+                last -= 1
+            if last:
+                yield tuple(x[:last] for x in held)
+                held = [x[last:] for x in held]
+    if held[0]:
+        yield tuple(held)
+
+
+def bounds(keys: list) -> list[tuple[int, int]]:
+    """Where groups of more than one row start and end."""
+    at = [0, *(i for i in range(1, len(keys)) if keys[i] != keys[i - 1]), len(keys)]
+    return [(a, b) for a, b in zip(at, at[1:]) if b - a > 1]
+
+
+def band_links(unique: DataFrame, agree: float) -> DataFrame:
+    """(a, b) that connect nodes (node, sketch, bands) with an equal band whose sketches agree in at least that share of bits."""
+
+    def find(batches):
+        for key, node, sketch in groups_of(batches, ("key", "node", "sketch")):
+            from_, to = [], []
+            for a, b in bounds(key):
+                body = np.frombuffer(b"".join(sketch[a:b]), "<u8").reshape(b - a, -1)
+                most = (1 - agree) * 64 * body.shape[1]
+                label = spread(b - a, lambda i, left, body=body, most=most: np.bitwise_count(body[left] ^ body[i]).sum(axis=1, dtype=np.int64) <= most)
+                for i in np.flatnonzero(label != np.arange(b - a)):
+                    from_.append(node[a + i])
+                    to.append(node[a + label[i]])
+            yield pa.record_batch([pa.array(from_, pa.int64()), pa.array(to, pa.int64())], ["a", "b"])
+
+    rows = unique.select(F.explode("bands").alias("key"), "node", "sketch").repartition("key").sortWithinPartitions("key")
+    return rows.mapInArrow(find, "a long, b long")
+
+
+def verified(texts: DataFrame, similarity: float) -> DataFrame:
+    """(node, root) of the parts into which exact links divide each group of texts (part, node, text)."""
+
+    def find(batches):
+        for part, node, text in groups_of(batches, ("part", "node", "text")):
+            told: dict[int, int] = {}
+            for a, b in bounds(part):
+                one = list({n: (t or "").encode() for n, t in zip(node[a:b], text[a:b])}.items())
+                label = exact_links([t for _, t in one], similarity)
+                told |= {one[i][0]: one[k][0] for i, k in enumerate(label.tolist())}
+            yield pa.record_batch([pa.array(list(told), pa.int64()), pa.array(list(told.values()), pa.int64())], ["known", "root"])
+
+    return texts.select("part", "node", "text").repartition("part").sortWithinPartitions("part").mapInArrow(find, "known long, root long")
+
+
 def one_of_each(docs: DataFrame, widths: tuple[int, ...] = (2, 3), radius: int = 6, similarity: float = 0.8) -> DataFrame:
     """The first document of each component; of rows that repeat its id, one.
 
-    Candidates are fingerprints of two or of three words within radius bits; a link also needs sketches of five-word shingles that
-    tell of the similarity, less one and a half standard deviations of the estimate.
+    Candidates are fingerprints of two or of three words within radius bits, and texts with an equal band of MinHash values, whose
+    sketches of five-word shingles tell of the similarity, less four standard deviations of the estimate. The texts that candidates
+    connect meet in one task, and only pairs whose sets of five-word shingles are as similar link.
     """
     share = (1 + similarity) / 2
-    agree = share - 1.5 * (share * (1 - share) / 256) ** 0.5
-    kept = grouped(docs, widths, radius, agree).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
+    agree = share - 4 * (share * (1 - share) / 256) ** 0.5
+    fps = [f"fp{k}" for k in range(len(widths))]
+    told = F.arrow_udf(lambda t: signatures(t), "struct<sketch:binary,bands:array<bigint>>")("text")
+    node = F.arrow_udf(lambda t: same_words(t), "long")("text")
+    prints = [F.arrow_udf(lambda t, w=w: fingerprints(t, w), "long")("text").alias(c) for c, w in zip(fps, widths)]
+    each = cut(docs.select("doc_id", node.alias("node"), *prints, told.alias("told")).select("doc_id", "node", *fps, "told.*"))
+    unique = cut(each.groupBy("node").agg(*(F.first(c).alias(c) for c in (*fps, "sketch", "bands"))))
+    edges = band_links(unique, agree)
+    for c in fps:
+        edges = edges.union(links(unique.select("node", F.col(c).alias("fp"), "sketch"), radius, agree=agree))
+    loose = components(edges).select("node", F.col("root").alias("part"))
+    roots = cut(verified(docs.select(node.alias("node"), "text").join(cut(loose), "node"), similarity))
+    component = F.coalesce("root", "node")
+    heads = cut(each.select("doc_id", "node").join(roots, F.col("node") == F.col("known"), "left").groupBy(component.alias("root")).agg(F.min("doc_id").alias("doc_id")))
+    kept = heads.select("doc_id").distinct()
     # Joined and made distinct by the same columns, which are never null: the texts are dealt once.
     keys = {"__id": F.coalesce("doc_id", F.lit(0)), "__none": F.col("doc_id").isNull()}
     return docs.withColumns(keys).join(kept.withColumns(keys).drop("doc_id"), list(keys)).dropDuplicates(list(keys)).drop(*keys)

@@ -110,3 +110,29 @@ def test_one_of_each_keeps_the_first(spark):
     rows = [(2, text[0], "a"), (1, text[1], "b"), (4, " ".join(near), "c"), (5, text[0], "d"), (6, text[2], "e"), (6, text[2], "e")]
     kept = simhash.one_of_each(spark.createDataFrame(rows, "doc_id long, text string, source string"))
     assert sorted(r.doc_id for r in kept.collect()) == [1, 2, 6] and kept.columns == ["doc_id", "text", "source"]
+
+
+def jaccard(a, b):
+    x, y = ({tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))} for w in (words(a), words(b)))
+    return len(x & y) / len(x | y)
+
+
+def test_one_of_each_links_at_exactly_the_similarity(spark):
+    rng = np.random.default_rng(5)
+    vocabulary = [f"word{i}" for i in range(3000)]
+    make = lambda n: rng.choice(vocabulary, n).tolist()
+    rows = []
+    for k in range(60):
+        text = make(300)
+        edit = int(rng.integers(16, 72))
+        if k % 3 == 0:  # a replaced block
+            other = text[:100] + make(edit // 2) + text[100 + edit // 2 :]
+        elif k % 3 == 1:  # a tail
+            other = text + make(edit)
+        else:  # scattered words
+            other = [make(1)[0] if i % (1500 // edit) == 7 else w for i, w in enumerate(text)]
+        rows += [(2 * k, " ".join(text)), (2 * k + 1, " ".join(other))]
+    similarity = [jaccard(rows[k][1], rows[k + 1][1]) for k in range(0, len(rows), 2)]
+    assert sum(x < 0.8 for x in similarity) > 10 and sum(0.8 <= x < 0.85 for x in similarity) > 10
+    kept = {r.doc_id for r in simhash.one_of_each(spark.createDataFrame(rows, DOCS)).collect()}
+    assert kept == set(range(0, 120, 2)) | {2 * k + 1 for k, x in enumerate(similarity) if x < 0.8}
