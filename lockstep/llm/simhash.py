@@ -393,7 +393,7 @@ def verified(texts: DataFrame, similarity: float) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame, widths: tuple[int, ...] = (2, 3), radius: int = 6, similarity: float = 0.8) -> DataFrame:
-    """The first document of each component; of rows that repeat its id, one.
+    """One row of each component: the first by doc_id, nulls last, and of those by a hash of all columns.
 
     Candidates are fingerprints of two or of three words within radius bits, and texts with an equal band of MinHash values, whose
     sketches of five-word shingles tell of the similarity, less four standard deviations of the estimate. The texts that candidates
@@ -402,10 +402,12 @@ def one_of_each(docs: DataFrame, widths: tuple[int, ...] = (2, 3), radius: int =
     share = (1 + similarity) / 2
     agree = share - 4 * (share * (1 - share) / 256) ** 0.5
     fps = [f"fp{k}" for k in range(len(widths))]
+    # Rows by id, null ids last; the hash of all columns tells rows of equal id apart.
+    row = F.struct(F.col("doc_id").isNull().alias("__none"), F.coalesce("doc_id", F.lit(0)).alias("__id"), F.xxhash64(*docs.columns).alias("__hash"))
     told = F.arrow_udf(lambda t: signatures(t), "struct<sketch:binary,bands:array<bigint>>")("text")
     node = F.arrow_udf(lambda t: same_words(t), "long")("text")
     prints = [F.arrow_udf(lambda t, w=w: fingerprints(t, w), "long")("text").alias(c) for c, w in zip(fps, widths)]
-    each = cut(docs.select("doc_id", node.alias("node"), *prints, told.alias("told")).select("doc_id", "node", *fps, "told.*"))
+    each = cut(docs.select(row.alias("row"), node.alias("node"), *prints, told.alias("told")).select("row", "node", *fps, "told.*"))
     unique = cut(each.groupBy("node").agg(*(F.first(c).alias(c) for c in (*fps, "sketch", "bands"))))
     edges = band_links(unique, agree)
     for c in fps:
@@ -413,8 +415,7 @@ def one_of_each(docs: DataFrame, widths: tuple[int, ...] = (2, 3), radius: int =
     loose = components(edges).select("node", F.col("root").alias("part"))
     roots = cut(verified(docs.select(node.alias("node"), "text").join(cut(loose), "node"), similarity))
     component = F.coalesce("root", "node")
-    heads = cut(each.select("doc_id", "node").join(roots, F.col("node") == F.col("known"), "left").groupBy(component.alias("root")).agg(F.min("doc_id").alias("doc_id")))
-    kept = heads.select("doc_id").distinct()
+    heads = cut(each.select("row", "node").join(roots, F.col("node") == F.col("known"), "left").groupBy(component.alias("root")).agg(F.min("row").alias("row")))
     # Joined and made distinct by the same columns, which are never null: the texts are dealt once.
-    keys = {"__id": F.coalesce("doc_id", F.lit(0)), "__none": F.col("doc_id").isNull()}
-    return docs.withColumns(keys).join(kept.withColumns(keys).drop("doc_id"), list(keys)).dropDuplicates(list(keys)).drop(*keys)
+    keys = ["__none", "__id", "__hash"]
+    return docs.withColumn("__row", row).select("*", "__row.*").drop("__row").join(heads.select("row.*"), keys).dropDuplicates(keys).drop(*keys)

@@ -136,3 +136,12 @@ def test_one_of_each_links_at_exactly_the_similarity(spark):
     assert sum(x < 0.8 for x in similarity) > 10 and sum(0.8 <= x < 0.85 for x in similarity) > 10
     kept = {r.doc_id for r in simhash.one_of_each(spark.createDataFrame(rows, DOCS)).collect()}
     assert kept == set(range(0, 120, 2)) | {2 * k + 1 for k, x in enumerate(similarity) if x < 0.8}
+
+
+def test_one_of_each_keeps_every_text_of_null_and_repeated_ids(spark):
+    rng = np.random.default_rng(7)
+    vocabulary = [f"word{i}" for i in range(400)]
+    a, b, c, d, e, f = (" ".join(rng.choice(vocabulary, 100)) for _ in range(6))
+    rows = [(None, a), (None, b), (None, b), (5, c), (None, c), (None, d), (8, e), (8, f), (8, f), (9, e)]
+    kept = simhash.one_of_each(spark.createDataFrame(rows, DOCS)).collect()
+    assert sorted((tuple(r) for r in kept), key=str) == sorted([(None, a), (None, b), (5, c), (None, d), (8, e), (8, f)], key=str)
