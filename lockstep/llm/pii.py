@@ -2,7 +2,8 @@
 
 Detection runs over whole texts: e-mail addresses, payment cards with a valid check digit, phone
 numbers, IPv4 addresses, social security numbers, IBANs with valid check digits, and
-names (a given name of the list with the surname after it, or a title with its surname).
+names (a given name of the list with the surname after it, or a title with its surname, and
+every further mention of a surname so found in the document). Given names beyond the list are not known.
 Every entity has a canonical value, so the same one gets the same surrogate in
 all documents (coreference); names are replaced word by word, so a surname alone stays
 the surname. Digits become digits, vowels vowels, consonants consonants of the same
@@ -46,12 +47,14 @@ _PATTERNS = (
     ("email", re.compile(r"(?<![\w.+-])[A-Za-z0-9][\w.+-]{0,63}@(?:[A-Za-z0-9-]{1,63}\.)+[A-Za-z]{2,}")),
     ("iban", re.compile(r"(?<!\w)[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?!\w)")),
     ("ip", re.compile(r"(?<![\w.])(?:(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)\.){3}(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)(?!\w|\.\d)")),
-    ("card", re.compile(r"(?<![\w.+-])\d{4}([ -]?)\d{4}\1\d{4}\1\d{1,7}(?![\w-])")),
+    ("card", re.compile(r"(?<![\w.+-])\d+(?:[ -]\d+)*(?![\w-])")),  # runs of groups, see cards()
     ("ssn", re.compile(r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])")),
     ("phone", re.compile(r"(?<![\w.+-])(?:(\+\d{1,3})[ .-]?)?(?:\(\d{2,4}\)[ .-]?\d{3,4}[ .-]?\d{3,4}|\d{3}[ .-]\d{3}[ .-]\d{4})(?![\w-])|(?<![\w.+-])(\+\d{1,3})(?:[ .-]?\d{2,4}){2,5}(?![\w-])")),
 )
 _DIGITS = re.compile(r"(?:\d[^\d\n]{0,3}?){7}")
-_NAME = re.compile(r"(?<!\S)(" + "|".join(map(re.escape, sorted(STARTS, key=len, reverse=True))) + r")\s((?:[A-ZÀ-ÖØ-Þ][a-zß-öø-ÿ]+|[А-Я][а-я]+)(?:-(?:[A-ZÀ-ÖØ-Þ][a-zß-öø-ÿ]+|[А-Я][а-я]+))?)(?!\w)(?:\s((?:[A-ZÀ-ÖØ-Þ][a-zß-öø-ÿ]+|[А-Я][а-я]+))(?!\w))?")
+_WORD = re.compile(r"\w+")
+_FIRST = frozenset(s.rstrip(".") for s in STARTS)
+_NAME = re.compile(r"(?<!\w)(" + "|".join(map(re.escape, sorted(STARTS, key=len, reverse=True))) + r")\s((?:[A-ZÀ-ÖØ-Þ][a-zß-öø-ÿ]+|[А-Я][а-я]+)(?:-(?:[A-ZÀ-ÖØ-Þ][a-zß-öø-ÿ]+|[А-Я][а-я]+))?)(?!\w)(?:\s((?:[A-ZÀ-ÖØ-Þ][a-zß-öø-ÿ]+|[А-Я][а-я]+))(?!\w))?")
 
 
 def luhn(digits: str) -> int:
@@ -64,6 +67,33 @@ def mod97(iban: str) -> int:
     return int("".join(str(int(c, 36)) for c in iban[4:] + iban[:4])) % 97
 
 
+def cards(run: str) -> list[tuple[int, int]]:
+    """Spans of card numbers in digit groups joined by single spaces or hyphens: 13 to 19 digits in any grouping by one separator.
+
+    Groups but the last have three digits or more; of numbers that share groups, the first and longest counts.
+    """
+    groups = [m.span() for m in re.finditer(r"\d+", run)]
+    out, i = [], 0
+    while i < len(groups):
+        best, digits, j = None, 0, i
+        while j < len(groups) and digits <= 19:
+            a, b = groups[j]
+            if j - i > 1 and run[a - 1] != run[groups[i][1]]:
+                break  # another separator
+            digits += b - a
+            if 13 <= digits <= 19 and run[groups[i][0] - 1 : groups[i][0]] != "-" and run[b : b + 1] != "-":
+                if luhn(re.sub(r"\D", "", run[groups[i][0] : b])) == 0:
+                    best = j
+            if b - a < 3:
+                break
+            j += 1
+        if best is not None:
+            out.append((groups[i][0], groups[best][1]))
+            i = best
+        i += 1
+    return out
+
+
 def detect(text: str | None) -> list[tuple[int, int, str, str]]:
     """(start, end, kind, canonical value) of entities, in order and disjoint."""
     if not text:
@@ -82,14 +112,15 @@ def detect(text: str | None) -> list[tuple[int, int, str, str]]:
                 if not 15 <= len(value) <= 34 or mod97(value) != 1:
                     continue
             elif kind == "card":
-                value = re.sub(r"\D", "", value)
-                if luhn(value):
-                    continue
+                if len(value) >= 13:
+                    found += [(m.start() + a, m.start() + b, kind, re.sub(r"\D", "", value[a:b])) for a, b in cards(value)]
+                continue
             elif kind == "phone":
                 country = m.group(1) or m.group(2) or ""
                 value = re.sub(r"\D", "", value[len(country) :])
             found.append((*m.span(), kind, value))
-    if not STARTS.isdisjoint(text.split()):
+    if not _FIRST.isdisjoint(_WORD.findall(text)):
+        surnames = set()
         for m in _NAME.finditer(text):
             given = KIND.get(m.group(1).casefold())
             if given and m.group(1) in STARTS:
@@ -98,6 +129,12 @@ def detect(text: str | None) -> list[tuple[int, int, str, str]]:
             found.append((*m.span(2), second or "surname", m.group(2).casefold()))
             if second:
                 found.append((*m.span(3), "surname", m.group(3).casefold()))
+            if second or not KIND.get(m.group(2).casefold()):
+                surnames.add(m.group(3) if second else m.group(2))
+        if surnames:
+            forms = sorted(surnames | {x.upper() for x in surnames}, key=len, reverse=True)
+            again = re.compile(r"(?<!\w)(?:" + "|".join(map(re.escape, forms)) + r")(?!\w)")
+            found += [(*m.span(), "surname", m.group().casefold()) for m in again.finditer(text)]
     found.sort(key=lambda x: (x[0], -x[1]))
     out, past = [], 0
     for x in found:

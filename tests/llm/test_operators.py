@@ -134,6 +134,29 @@ def test_collisions_are_drawn_again(spark, monkeypatch):
     assert set(got) == {"meier", "schulz", "taken"} and len(set(got.values())) == 3 and not set(got) & set(got.values())
 
 
+def test_names_after_punctuation_and_again(spark):
+    for text in ("(Anna Schmidt)", '"Anna Schmidt"', "[Anna Schmidt]", "by/Anna Schmidt", "\u2014Anna Schmidt", "name:Anna Schmidt", "Eva-Anna Schmidt"):
+        assert [x[2:] for x in pii.detect(text)] == [("given_f_latin", "anna"), ("surname", "schmidt")]
+    text = "Anna Schmidt came. Schmidt said so; SCHMIDT's car, not the Schmidts or a schmidt."
+    assert [text[a:b] for a, b, *_ in pii.detect(text)] == ["Anna", "Schmidt", "Schmidt", "SCHMIDT"]
+    (row,) = pii.replace(documents(spark, [(1, text)])).collect()
+    name = re.match(r"\w+ (\w+) came", row.text)[1]
+    assert row.text.endswith(f"{name} said so; {name.upper()}'s car, not the Schmidts or a schmidt.") and name != "Schmidt"
+    assert not pii.detect("XAnna Schmidt, Annabel Schmidt")
+
+
+def test_cards_in_any_grouping():
+    numbers = {"378282246310005": (4, 6, 5), "30569309025904": (4, 6, 4), "4111111111111111": (4, 4, 4, 4), "6304000000000000000": (6, 13), "4222222222222": (4, 3, 3, 3)}
+    for number, groups in numbers.items():
+        number = number[:-1] + str(-pii.luhn(number[:-1] + "0") % 10)
+        for sep in ("", " ", "-"):
+            at = np.cumsum([0, *groups])
+            card = sep.join(number[a:b] for a, b in zip(at, at[1:]))
+            text = f"7 {card} 2024, {card}."
+            assert [(text[a:b], k, v) for a, b, k, v in pii.detect(text) if k == "card"] == [(card, "card", number)] * 2
+            assert not [x for x in pii.detect(f"x {card[:-1]}{(int(card[-1]) + 1) % 10} y") if x[2] == "card"]
+
+
 @given(st.text(alphabet="a1@.- +()4", max_size=40))
 @settings(max_examples=100, deadline=None)
 def test_detection_is_ordered(text):
