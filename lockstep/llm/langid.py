@@ -9,9 +9,9 @@ Forward-backward runs over whole texts in slices of many texts: words are cut in
 ``BLOCK``, the blocks' transfer matrices are chained along each text, and then all blocks run side by side.
 So a very long text takes as many steps as its number of blocks.
 
-The field is fitted on at most ``per_label`` documents of each of the ``max_labels`` most frequent languages, with
-``words`` words of each, taken from runs all over the text (this bounded sample is the only
-one here); sequences splice runs of several documents, which is what teaches transitions.
+The field is fitted on about ``per_label`` documents of each language, of all languages there are; beyond ``full_labels``
+languages each gets fewer, so that the sample stays bounded. ``words_each`` words of each document are taken, from runs all over
+the text, and words beyond ``PIECE`` characters count as words of that length (this bounded sample is the only one here); sequences splice runs of several documents, which is what teaches transitions.
 The sample depends on ids and rates only, not on partitions. Prediction is map-only: no shuffle.
 
 Nulls: a null text, or one without a letter, is ``und`` with score 0; null ids and sources are carried; null
@@ -27,9 +27,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER, SOLID, U, prefix_sums, range_hash, slices, words
+from .common import LOWER, SLICE, SOLID, U, prefix_sums, range_hash, slices, words
 
-BLOCK, RUN = 64, 16
+BLOCK, RUN, PIECE = 64, 16, 64
 TRI, PRE, SUF, LEX = 1 << 15, 1 << 14, 1 << 14, 1 << 16
 AT = np.cumsum([0, 1 << 16, TRI, PRE, SUF])
 SIZE = int(AT[-1] + LEX)
@@ -207,7 +207,8 @@ class Field:
 
     def predict(self, texts: pa.Array) -> tuple[list[str], list[float]]:
         names, values = [], []
-        for a, b, data, offs in slices(texts):
+        # The transfer matrices grow with the square of the labels: slices get smaller beyond 16.
+        for a, b, data, offs in slices(texts, SLICE * 256 // max(256, len(self.labels) ** 2)):
             f = Features(data, offs, self.lexicon)
             gamma = marginals(f.scores(self.weights), f.first, self.trans) if self.labels else np.zeros((len(f.starts), 0))
             total = np.zeros((len(gamma) + 1, len(self.labels)))
@@ -228,25 +229,26 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
-def fit(docs: DataFrame, per_label: int = 250, words_each: int = 128, max_labels: int = 64) -> Field:
+def fit(docs: DataFrame, per_label: int = 250, words_each: int = 128, full_labels: int = 64) -> Field:
     """The field learned from docs (text, lang, doc_id), of which a bounded sample is taken to the driver."""
     known = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull())
-    counts = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_labels).collect()
+    counts = known.groupBy("lang").count().collect()
     if not counts:
         return Field([], np.zeros((SIZE, 0), np.float32), np.zeros((0, 0)), np.empty(0, U))
     labels = sorted(r["lang"] for r in counts)
-    rates = F.create_map(*(x for r in counts for x in (F.lit(r["lang"]), F.lit(int(min(1.0, per_label / r["count"]) * (1 << 20))))))
-    drawn = known.where(F.pmod(F.xxhash64(F.lit(9), "doc_id"), F.lit(1 << 20)) < rates[F.col("lang")])
+    each = per_label * min(1.0, full_labels / len(labels))
+    rates = docs.sparkSession.createDataFrame([(r["lang"], int(min(1.0, each / r["count"]) * (1 << 20))) for r in counts], "lang string, rate long")
+    drawn = known.select("doc_id", "lang", "text").join(F.broadcast(rates), "lang").where(F.pmod(F.xxhash64(F.lit(9), "doc_id"), F.lit(1 << 20)) < F.col("rate"))
 
     def runs(batches):
         for b in batches:
             rows = []
             for i, lang, text in zip(b.column("doc_id").to_pylist(), b.column("lang").to_pylist(), b.column("text").to_pylist()):
-                t = text.split()
+                t = [w[k : k + PIECE] for w in text.split() for k in range(0, len(w), PIECE)]
                 rng = np.random.default_rng(zlib.crc32(str(i).encode()))
                 at = np.arange(0, len(t), RUN)
                 for s in sorted(rng.permutation(at)[: words_each // RUN].tolist()):
-                    rows.append((zlib.crc32(f"{i}:{s}".encode()), lang, " ".join(x[:64] for x in t[s : s + RUN])))
+                    rows.append((zlib.crc32(f"{i}:{s}".encode()), lang, " ".join(t[s : s + RUN])))
             yield pa.record_batch([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.string()), pa.array([r[2] for r in rows], pa.string())], ["rank", "lang", "run"])
 
     found = drawn.select("doc_id", "lang", "text").mapInArrow(runs, "rank long, lang string, run string").toArrow().to_pydict()

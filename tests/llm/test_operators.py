@@ -339,3 +339,21 @@ def test_mix(spark):
     mixed = mixing.mixture(df, ("doc_id", "text"), blocks=4)
     assert mixed.count() == sum(len(r.shards) for r in got)
     assert mixing.assign(df.where("false")).count() == 0
+
+
+def test_all_languages_are_learned(spark):
+    rows = [(10 * k + i, f"w{k}x v{k}y u{k}z " * 4, f"l{k:02}") for k in range(70) for i in range(2)]
+    f = langid.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert f.labels == [f"l{k:02}" for k in range(70)]
+    names, _ = f.predict(pa.array([rows[2 * k][1] for k in range(70)]))
+    assert names == f.labels
+
+
+def test_texts_without_spaces_are_learned_beyond_their_start(spark):
+    rng = np.random.default_rng(2)
+    make = lambda letters, n: "".join(rng.choice(list(letters), n))
+    letters = {"aa": "\u4e00\u4e8c\u4e09\u56db", "bb": "\u0e01\u0e02\u0e04\u0e07"}
+    rows = [(i, "z" * 64 + make(letters[lang], 1000), lang) for i, lang in enumerate(["aa", "bb"] * 20)]
+    f = langid.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    names, _ = f.predict(pa.array([make(letters[lang], 300) for lang in ("aa", "bb") * 5]))
+    assert names == ["aa", "bb"] * 5
