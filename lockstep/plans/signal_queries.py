@@ -132,11 +132,27 @@ f AS (SELECT *, (((i - 1) % {2 * N - 2}) + {2 * N - 2}) % {2 * N - 2} AS fold FR
 SELECT recording_id, k + 1 AS sample, round(sum(w * value) / sum(w), 6) AS value FROM f JOIN src USING (recording_id) WHERE src.sample = CASE WHEN fold >= {N} THEN {2 * N - 2} - fold ELSE fold END + 1 GROUP BY recording_id, k""")
 def sinc_resample(spark, sf_dir):
     """The first hundred outputs at 256 Hz of two recordings, by expressions: kernel gather on reflected samples."""
-    src = table(spark, sf_dir, "events").where(f"event_id div {N} < 2").select(F.expr(f"event_id div {N}").alias("recording_id"), F.expr(f"event_id % {N} + 1").alias("source"), "value")
-    out = src.select("recording_id").distinct().select("recording_id", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(99).cast("long"))).alias("k"))
+    src = _sources(spark, sf_dir).where("recording_id < 2")
+    return _gathered(src, src.select("recording_id").distinct().select("recording_id", F.lit(N).cast("long").alias("n"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(99).cast("long"))).alias("k")))
+
+
+@query()
+def sinc_resample_whole(spark, sf_dir):
+    """All outputs at 256 Hz of all recordings, by the same expressions; sinc_resample is a sample of it that SQL can follow."""
+    src = _sources(spark, sf_dir)
+    n = src.groupBy("recording_id").agg(F.max("source").alias("n"))
+    return _gathered(src, n.select("recording_id", "n", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("n") - 1) / _STEP))).alias("k")))
+
+
+def _sources(spark, sf_dir):
+    return table(spark, sf_dir, "events").select(F.expr(f"event_id div {N}").alias("recording_id"), F.expr(f"event_id % {N} + 1").alias("source"), "value")
+
+
+def _gathered(src, out):
+    """Values at the outputs (recording_id, n, k) of recordings of n samples."""
     out = out.withColumn("pos", F.col("k") * _STEP).withColumn("centre", F.floor(F.col("pos") + 0.5))
     g = out.select("*", F.explode(F.sequence(F.lit(-(ORDER // 2)), F.lit(ORDER // 2))).alias("t"))
-    g = g.withColumn("w", _weight(F.col("pos") - F.col("centre") - F.col("t"), F.col("t"))).withColumn("source", resampling.reflected(F.col("centre") + F.col("t") + 1, N).cast("long"))
+    g = g.withColumn("w", _weight(F.col("pos") - F.col("centre") - F.col("t"), F.col("t"))).withColumn("source", resampling.reflected(F.col("centre") + F.col("t") + 1, F.col("n")).cast("long"))
     return g.join(src, ["recording_id", "source"]).groupBy("recording_id", "k").agg((F.sum(F.col("w") * F.col("value")) / F.sum("w")).alias("v")).select("recording_id", (F.col("k") + 1).alias("sample"), F.round("v", 6).alias("value"))
 
 

@@ -145,3 +145,27 @@ def test_align(spark):
     assert eeg.count() == other.count() == 150
     rows = segment_recordings(eeg, other, 500, 128).collect()
     assert len(rows) == 1 and rows[0].error is None and (rows[0].end_eeg_chunk, rows[0].end_interval) == (3, 49)
+
+
+def test_all_outputs_of_all_recordings(spark, tmp_path):
+    from lockstep.functions import dsp
+    from lockstep.plans import registry
+
+    rng = np.random.default_rng(4)
+    values = np.round(rng.normal(size=3300), 3)  # three recordings, and one of 300 samples
+    spark.createDataFrame([(i, float(v)) for i, v in enumerate(values)], "event_id long, value double").write.parquet(f"{tmp_path}/events.parquet")
+    got = {(r.recording_id, r.sample): r.value for r in registry.QUERIES["sinc_resample_whole"](spark, str(tmp_path)).collect()}
+    order, beta, cutoff = dsp.kaiser_plan(500)
+    t = np.arange(-(order // 2), order // 2 + 1)
+    want = {}
+    for r in range(4):
+        x = values[1000 * r : 1000 * (r + 1)]
+        n = len(x)
+        for k in range(int((n - 1) * 256 // 500) + 1):
+            pos = k * 500 / 256
+            centre = int(np.floor(pos + 0.5))
+            w = cutoff * np.sinc(cutoff * (pos - centre - t)) * np.i0(beta * np.sqrt(np.maximum(0, 1 - (t / (order / 2)) ** 2)))
+            at = np.abs((centre + t) % (2 * n - 2))
+            want[r, k + 1] = float((w * x[np.where(at >= n, 2 * n - 2 - at, at)]).sum() / w.sum())
+    assert got.keys() == want.keys() and len(got) == 3 * 512 + 154
+    assert max(abs(got[k] - want[k]) for k in got) < 1e-5
