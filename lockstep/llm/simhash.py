@@ -19,6 +19,7 @@ Repeated rows give repeated results. An empty table gives no rows. Other columns
 
 from __future__ import annotations
 
+import zlib
 from itertools import combinations
 
 import numpy as np
@@ -377,19 +378,53 @@ def band_links(unique: DataFrame, agree: float) -> DataFrame:
     return rows.mapInArrow(find, "a long, b long")
 
 
+def sieve(nodes: DataFrame, bits: int = 26, piece: int = 16) -> np.ndarray:
+    """2^bits bits, set at the low bits of the nodes: 8 MB at any number of nodes, which then only let more others pass."""
+
+    def fill(batches):
+        for key, low in groups_of(batches, ("piece", "low")):
+            at = [0, *(i for i in range(1, len(key)) if key[i] != key[i - 1]), len(key)]
+            for a, b in zip(at, at[1:]):
+                part = np.zeros(1 << piece, bool)
+                part[low[a:b]] = True
+                yield pa.record_batch([pa.array([key[a]], pa.int64()), pa.array([np.packbits(part).tobytes()], pa.binary())], ["piece", "body"])
+
+    low = F.col("node").bitwiseAND((1 << bits) - 1)
+    rows = nodes.select(F.shiftright(low, piece).alias("piece"), low.bitwiseAND((1 << piece) - 1).alias("low")).distinct()
+    out = np.zeros((1 << (bits - piece), 1 << (piece - 3)), np.uint8)
+    found = rows.repartition("piece").sortWithinPartitions("piece").mapInArrow(fill, "piece long, body binary").toArrow()
+    for k, body in zip(found.column("piece").to_pylist(), found.column("body").to_pylist()):
+        out[k] = np.frombuffer(body, np.uint8)
+    return out.reshape(-1)
+
+
+def sifted(docs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(node, packed text) of the documents of nodes, and of a few others."""
+    sent = docs.sparkSession.sparkContext.broadcast(sieve(nodes))
+
+    def tell(texts: pa.Array) -> pa.Array:
+        node, bits = same_words(texts), sent.value
+        low = np.asarray(node) & (8 * len(bits) - 1)
+        ok = (bits[low >> 3] >> (7 - (low & 7)).astype(np.uint8)) & 1 == 1
+        packed = [zlib.compress((t.as_py() or "").encode(), 1) if x else None for t, x in zip(texts, ok)]
+        return pa.StructArray.from_arrays([node, pa.array(packed, pa.binary())], ["node", "packed"])
+
+    return docs.select(F.arrow_udf(tell, "struct<node:long,packed:binary>")("text").alias("told")).select("told.*").where("packed is not null")
+
+
 def verified(texts: DataFrame, similarity: float) -> DataFrame:
-    """(node, root) of the parts into which exact links divide each group of texts (part, node, text)."""
+    """(node, root) of the parts into which exact links divide each group of texts (part, node, packed)."""
 
     def find(batches):
-        for part, node, text in groups_of(batches, ("part", "node", "text")):
+        for part, node, text in groups_of(batches, ("part", "node", "packed")):
             told: dict[int, int] = {}
             for a, b in bounds(part):
-                one = list({n: (t or "").encode() for n, t in zip(node[a:b], text[a:b])}.items())
-                label = exact_links([t for _, t in one], similarity)
+                one = list(dict(zip(node[a:b], text[a:b])).items())
+                label = exact_links([zlib.decompress(t) for _, t in one], similarity)
                 told |= {one[i][0]: one[k][0] for i, k in enumerate(label.tolist())}
             yield pa.record_batch([pa.array(list(told), pa.int64()), pa.array(list(told.values()), pa.int64())], ["known", "root"])
 
-    return texts.select("part", "node", "text").repartition("part").sortWithinPartitions("part").mapInArrow(find, "known long, root long")
+    return texts.select("part", "node", "packed").repartition("part").sortWithinPartitions("part").mapInArrow(find, "known long, root long")
 
 
 def one_of_each(docs: DataFrame, widths: tuple[int, ...] = (2, 3), radius: int = 6, similarity: float = 0.8) -> DataFrame:
@@ -412,8 +447,8 @@ def one_of_each(docs: DataFrame, widths: tuple[int, ...] = (2, 3), radius: int =
     edges = band_links(unique, agree)
     for c in fps:
         edges = edges.union(links(unique.select("node", F.col(c).alias("fp"), "sketch"), radius, agree=agree))
-    loose = components(edges).select("node", F.col("root").alias("part"))
-    roots = cut(verified(docs.select(node.alias("node"), "text").join(cut(loose), "node"), similarity))
+    loose = cut(components(edges).select("node", F.col("root").alias("part")))
+    roots = cut(verified(sifted(docs, loose).dropDuplicates(["node"]).join(loose, "node"), similarity))
     component = F.coalesce("root", "node")
     heads = cut(each.select("row", "node").join(roots, F.col("node") == F.col("known"), "left").groupBy(component.alias("root")).agg(F.min("row").alias("row")))
     # Joined and made distinct by the same columns, which are never null: the texts are dealt once.
