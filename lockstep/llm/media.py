@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import hashlib
 import zlib
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -25,14 +26,32 @@ ROW = UNIT // 4
 HIGH = webp.MOST
 
 
-def store(text: bytes) -> bytes:
-    """The stored form of a text."""
+def samples_of(text: bytes) -> np.ndarray:
+    """A text's image."""
     rows = max(1, -(-len(text) // UNIT))
     wide = -(-rows // HIGH)
     high = -(-rows // wide)
     samples = np.full(high * wide * UNIT, 255, np.uint8)
     samples[: len(text)] = np.frombuffer(text, np.uint8)
-    return webp.encode(samples.reshape(high, wide * ROW, 4))
+    return samples.reshape(high, wide * ROW, 4)
+
+
+def store(text: bytes) -> bytes:
+    """The stored form of a text."""
+    return webp.encode(samples_of(text))
+
+
+def store_all(texts: Iterable[bytes], limit: int = 1 << 18) -> Iterator[bytes]:
+    """The stored forms of texts, about limit bytes at a time."""
+    held: list[np.ndarray] = []
+    size = 0
+    for text in texts:
+        held.append(samples_of(text))
+        size += held[-1].size
+        if size >= limit:
+            yield from webp.encode_all(held)
+            held, size = [], 0
+    yield from webp.encode_all(held)
 
 
 def feature(samples: np.ndarray) -> str:
@@ -62,7 +81,7 @@ DESCRIPTION = "payload_bytes long, payload_sha256 string, tail_crc32 long, media
 
 def with_media(docs: DataFrame, column: str = "media") -> DataFrame:
     """docs with the stored form of text."""
-    put = F.arrow_udf(lambda t: pa.array([store((x or "").encode()) for x in t.to_pylist()], pa.binary()), "binary")
+    put = F.arrow_udf(lambda t: pa.array(list(store_all((x.as_py() or "").encode() for x in t)), pa.binary()), "binary")
     return docs.withColumn(column, put("text"))
 
 

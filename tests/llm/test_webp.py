@@ -314,20 +314,92 @@ def test_palettes(n, pack):
     assert (webp.decode(w.file()) == palette[index]).all()
 
 
-def test_fast_and_slow_reading_agree(monkeypatch):
-    x = rng.integers(0, 256, (5, 144, 4), dtype=np.uint8)
-    stored = webp.encode(x)
-    assert (webp.decode(stored) == x).all()
-    first = webp.Code.__init__
-
-    def slow(self, lengths):
-        first(self, lengths)
-        self.plain = False
-
-    monkeypatch.setattr(webp.Code, "__init__", slow)
-    webp._met.clear()
-    assert (webp.decode(stored) == x).all()
-    webp._met.clear()
+def one_at_a_time(bits, codes, n, width):
+    """Tokens read by single codes."""
+    out, done = [], 0
+    while done < n:
+        symbol = codes[0].read(bits)
+        if symbol < 256:
+            r = codes[1].read(bits)
+            b = codes[2].read(bits)
+            out.append((0, codes[3].read(bits) << 24 | r << 16 | symbol << 8 | b, 1))
+        elif symbol < 280:
+            length = webp.extended(bits, symbol - 256)
+            code = webp.extended(bits, codes[4].read(bits))
+            out.append((1, code - 120 if code > 120 else max(1, webp.NEAR[code - 1][0] + webp.NEAR[code - 1][1] * width), length))
+        else:
+            out.append((2, symbol - 280, 1))
+        done += out[-1][2]
+    return tuple(np.array(x, np.int64) for x in zip(*out))
+
+
+def kinds_of_image():
+    """Images that call for each of the writer's tools."""
+    y, x = np.mgrid[0:40, 0:144]
+    smooth = np.stack([x + y, 2 * x + y, x, 255 + 0 * x], axis=2).astype(np.uint8)
+    noise = rng.integers(0, 126, (40, 144), dtype=np.uint8)
+    fine = rng.integers(0, 3, (40, 144), dtype=np.uint8)
+    return {
+        "noise": rng.integers(0, 256, (5, 144, 4), dtype=np.uint8),
+        "text": media.samples_of(b"".join(b"the cat number %d sat on mat %d. " % (i % 7, i * i) for i in range(300))),
+        "rows": np.repeat(rng.integers(0, 256, (3, 144, 4), dtype=np.uint8), 12, axis=0),
+        "smooth": smooth,
+        "together": np.stack([noise + fine, noise, noise + 1, 255 + 0 * noise], axis=2).astype(np.uint8),
+        "apart": np.stack([noise // 2 + fine, noise, rng.integers(0, 256, noise.shape), 255 + 0 * noise], axis=2).astype(np.uint8),
+        **{f"colours {k}": rng.integers(0, 256, (k, 4), dtype=np.uint8)[rng.integers(0, k, (40, 144))] for k in (2, 4, 16, 200)},
+        "one": np.full((3, 144, 4), 7, np.uint8),
+    }
+
+
+def tools(stored):
+    """The transforms of a stored image, and whether it has a cache."""
+    bits = webp.Bits(stored, 160)
+    bits.read(8)
+    w, h = bits.read(14) + 1, bits.read(14) + 1
+    bits.read(4)
+    out = set()
+    while bits.read(1):
+        kind = bits.read(2)
+        out.add(("predictor", "cross-colour", "green", "palette")[kind])
+        if kind == 3:
+            webp.read_image(bits, bits.read(8) + 1, 1, False)
+        elif kind != 2:
+            tile = bits.read(3) + 2
+            webp.read_image(bits, -(-w >> tile), -(-h >> tile), False)
+    return out | ({"cache"} if bits.read(1) else set())
+
+
+def test_windows_and_single_codes_agree(monkeypatch):
+    images = kinds_of_image()
+    stored = webp.encode_all(list(images.values()))
+    for k, (name, x) in enumerate(images.items()):
+        assert stored[k] == webp.encode(x), name
+        assert (webp.decode(stored[k]) == x).all(), name
+    monkeypatch.setattr(webp, "WINDOW", 64)
+    for x, s in zip(images.values(), stored):
+        assert (webp.decode(s) == x).all()
+    monkeypatch.setattr(webp, "tokens", one_at_a_time)
+    for x, s in zip(images.values(), stored):
+        assert (webp.decode(s) == x).all()
+
+
+def test_the_writer_picks_tools_by_content():
+    used = {name: tools(webp.encode(x)) for name, x in kinds_of_image().items()}
+    assert used["noise"] == set() and "cache" in used["text"] and "predictor" in used["smooth"]
+    assert "green" in used["together"] and "cross-colour" in used["apart"] and all("palette" in used[f"colours {k}"] for k in (2, 4, 16))
+    assert len(webp.encode(kinds_of_image()["rows"])) < 3 * 144 * 4 + 700  # by references
+
+
+def test_documents_take_fewer_bytes_than_their_texts(spark):
+    texts = [r.text or "" for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("text").collect()]
+    raw = [t.encode() for t in texts]
+    stored = list(media.store_all(raw, limit=20000))
+    assert stored == [media.store(x) for x in raw]
+    for x, s in zip(raw, stored):
+        assert webp.decode(s).tobytes()[: len(x)] == x
+    seen = [tools(s) for s in stored]
+    assert sum("cache" in x for x in seen) > len(seen) / 2 and any("palette" in x for x in seen)
+    assert sum(map(len, stored)) < 0.7 * sum(map(len, raw))
 
 
 def test_damage_is_told():
