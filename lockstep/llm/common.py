@@ -10,6 +10,7 @@ from __future__ import annotations
 import ctypes
 import os
 import tempfile
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,12 +37,26 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def shared_folder(session: SparkSession) -> str:
+    """The folder that all machines see: that of spark.checkpoint.dir, or one of this machine where all of Spark runs on it."""
+    folder = session.conf.get("spark.checkpoint.dir", None)
+    if folder:
+        return folder
+    if not session.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+    return os.path.join(tempfile.gettempdir(), "checkpoints")
+
+
+def own_folder(session: SparkSession, name: str) -> str:
+    """A new place for a table in the shared folder."""
+    return f"{shared_folder(session)}/{name}-{uuid.uuid4().hex}"
+
+
 def cut(df: DataFrame) -> DataFrame:
     """df with its lineage cut by a reliable checkpoint in the cluster's shared folder."""
     sc = df.sparkSession.sparkContext
     if not sc._jsc.sc().getCheckpointDir().isDefined():
-        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        sc.setCheckpointDir(folder or os.path.join(tempfile.gettempdir(), "checkpoints"))
+        sc.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint()
 
 

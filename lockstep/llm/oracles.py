@@ -30,8 +30,10 @@ _RULES = (
 
 def _rule_sql(k: int, name: str, pattern: str, group: int, least: int) -> str:
     p = pattern.replace("'", "''")
-    return f"""SELECT r, {k} AS kind, '{name}' AS name, i, {least} AS least, length(g[i]) AS gap, length(m[i]) AS len, length(t[i]) AS told FROM (
-      SELECT r, string_split_regex(text, '{p}') AS g, regexp_extract_all(text, '{p}') AS m, regexp_extract_all(text, '{p}', {group}) AS t, unnest(range(1, len(m) + 1)) AS i FROM docs)"""
+    sizes = "list_transform({}, lambda x: length(x))"
+    return f"""SELECT r, {k} AS kind, '{name}' AS name, {least} AS least, unnest(range(1, len(m) + 1)) AS i, unnest(g[:len(m)]) AS gap, unnest(m) AS len, unnest(t) AS told FROM (
+      SELECT r, {sizes.format(f"string_split_regex(text, '{p}')")} AS g, {sizes.format(f"regexp_extract_all(text, '{p}')")} AS m, {sizes.format(f"regexp_extract_all(text, '{p}', {group})")} AS t
+      FROM docs WHERE regexp_matches(text, '{p}'))"""
 
 
 OP7 = f"""

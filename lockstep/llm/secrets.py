@@ -3,7 +3,8 @@
 Every version of a file is addressed by the SHA-256 of its text. A ledger holds one row for each
 pair of blob and rule version that was scanned, with the findings' places. A scan takes the
 distinct blobs of its input, finds which pairs the ledger lacks, runs only these rules
-on only these blobs, and returns the new ledger rows. Findings are joined back from blobs to all paths.
+on only these blobs, and returns the new ledger rows; ``update`` appends them to a ledger's Parquet table. Findings are
+joined back from blobs to all paths.
 
 Places come from the pieces that a rule's pattern splits a text into: a running sum
 of the lengths of gaps and matches gives each match's code points. The running sum is a
@@ -83,6 +84,18 @@ def scan(docs: DataFrame, ledger: DataFrame | None = None, rules: tuple[Rule, ..
     return placed.groupBy("blob", "rule", "version").agg(F.array_sort(F.collect_list(F.when(F.col("counts"), F.struct("start", "end")))).alias("findings"))
 
 
+def update(docs: DataFrame, path: str, rules: tuple[Rule, ...] = RULES) -> DataFrame:
+    """The ledger at path, after what it lacks for docs was scanned and appended. A new ledger starts where there is none.
+
+    One writer at a time. An update that fails leaves no rows; one that is done again adds none.
+    """
+    session = docs.sparkSession
+    place = session._jvm.org.apache.hadoop.fs.Path(path)
+    known = session.read.schema(LEDGER).parquet(path) if place.getFileSystem(session._jsc.hadoopConfiguration()).exists(place) else None
+    scan(docs, known, rules).write.mode("append").parquet(path)
+    return session.read.schema(LEDGER).parquet(path)
+
+
 def findings(docs: DataFrame, ledger: DataFrame, rules: tuple[Rule, ...] = RULES, path: str = "doc_id") -> DataFrame:
     """path, and its blob's spans as a sorted array of (start, kind, end), kind being the rule's number."""
     number = F.create_map(*(x for k, r in enumerate(rules) for x in (F.lit(f"{r.name}:{r.version}"), F.lit(k))))

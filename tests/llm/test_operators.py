@@ -92,6 +92,18 @@ def test_secrets_against_brute_force(spark):
     assert sorted((r.doc_id, r.base_sha256) for r in got) == sorted((i, hashlib.sha256(brute_secrets(t or "").encode()).hexdigest()) for i, t in texts)
 
 
+def test_ledger_table(spark, tmp_path):
+    path = str(tmp_path / "ledger")
+    docs = spark.createDataFrame([(1, "token=abcdef"), (2, "token=abcdef"), (3, None), (4, "gh" + "p_" + "a" * 36)], "doc_id long, text string")
+    pairs = len(secrets.RULES)
+    assert secrets.update(docs.where("doc_id < 3"), path).count() == pairs
+    ledger = secrets.update(docs, path)
+    assert ledger.count() == 3 * pairs  # one blob was there
+    assert secrets.update(docs, path).count() == 3 * pairs  # nothing new
+    assert {r.doc_id: r.spans for r in secrets.report(docs, ledger).collect()} == {1: "assign:0:12", 2: "assign:0:12", 3: "", 4: "github:0:40"}
+    assert secrets.update(docs.where("false"), str(tmp_path / "none")).count() == 0
+
+
 def test_ledger_is_incremental(spark):
     old, new = documents(spark, [(1, "token=abcdef"), (2, "plain")]), documents(spark, [(3, "token=abcdef"), (4, "ghp_" + "z" * 36)])
     ledger = secrets.scan(old)
