@@ -94,7 +94,7 @@ def test_secrets_against_brute_force(spark):
 
 def test_ledger_table(spark, tmp_path):
     path = str(tmp_path / "ledger")
-    docs = spark.createDataFrame([(1, "token=abcdef"), (2, "token=abcdef"), (3, None), (4, "gh" + "p_" + "a" * 36)], "doc_id long, text string")
+    docs = spark.createDataFrame([(1, "token=abcdef"), (2, "token=abcdef"), (3, None), (4, "gh" + "p_" + "z" * 36)], "doc_id long, text string")
     pairs = len(secrets.RULES)
     assert secrets.update(docs.where("doc_id < 3"), path).count() == pairs
     ledger = secrets.update(docs, path)
@@ -323,15 +323,53 @@ def test_containment_against_brute_force(spark):
 # Mixing
 
 
-def test_targets():
-    got = mixing.fill_targets(np.array([10.0, 100.0, 100.0]), np.array([3.0, 1.0, 2.0]), 315.0, 2.0)
-    assert got[0] == 20 and got[1] == pytest.approx(295 / 3) and got[2] == pytest.approx(200 - 10 / 3) and got.sum() == pytest.approx(315)
-
-
-def test_splitting_tree():
-    out = mixing.split_tree(np.array([100, 7, 0, 33]), 16, 3)
-    assert out.sum(axis=1).tolist() == [100, 7, 0, 33] and out.sum(axis=0).max() - out.sum(axis=0).min() <= 1
-    assert (out == mixing.split_tree(np.array([100, 7, 0, 33]), 16, 3)).all()
+def brute_targets(sizes, weights, total, most):
+    out, free = [0.0] * len(sizes), set(range(len(sizes)))
+    while free:
+        level = total / sum(weights[i] for i in free)
+        over = [i for i in free if level * weights[i] > most * sizes[i]]
+        if not over:
+            for i in free:
+                out[i] = level * weights[i]
+            break
+        for i in over:
+            out[i] = most * sizes[i]
+            total -= out[i]
+            free.remove(i)
+    return out
+
+
+def test_targets(spark):
+    for sizes in ([10, 100, 100], [1, 1, 1000, 5, 5, 5, 70, 2], [0, 0], [4]):
+        names = [None if i == len(sizes) - 1 else f"é{i}" if i % 2 else f"a{i}" for i in range(len(sizes))]
+        df = spark.createDataFrame(list(zip(names, sizes)), "src string, source_size long").repartition(3)
+        got = sorted(mixing.with_targets(mixing.numbered(df), (3, 1, 2), 1.5, 2.0).collect(), key=lambda r: r.number)
+        order = sorted(range(len(sizes)), key=lambda i: (names[i] is None, names[i]))
+        assert [r.src for r in got] == [names[i] for i in order] and [r.number for r in got] == list(range(len(sizes)))
+        want = brute_targets([sizes[i] for i in order], [(3, 1, 2)[k % 3] for k in range(len(sizes))], 1.5 * sum(sizes), 2.0)
+        assert [r.target for r in got] == pytest.approx(want)
+
+
+def test_splitting_tree(monkeypatch):
+    room = np.array([140 * (s + 1) // 16 - 140 * s // 16 for s in range(16)])
+    got = list(mixing.split_tree(np.array([100, 7, 0, 33]), room, [3]))
+    assert got == list(mixing.split_tree(np.array([100, 7, 0, 33]), room, [3]))
+    assert [sum(n for i, _, n in got if i == k) for k in range(4)] == [100, 7, 0, 33]
+    assert [sum(n for _, s, n in got if s == k) for k in range(16)] == room.tolist()
+    # beyond the limit of exact draws
+    monkeypatch.setattr(mixing, "EXACT", 50)
+    got = list(mixing.split_tree(np.array([100, 7, 0, 33]), room, [3]))
+    assert [sum(n for i, _, n in got if i == k) for k in range(4)] == [100, 7, 0, 33]
+    assert [sum(n for _, s, n in got if s == k) for k in range(16)] == room.tolist()
+
+
+def test_the_tree_by_groups_of_sources(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "GROUP", 4)
+    quotas = [(i, 1 + 5 * i % 17) for i in range(23)]
+    got = mixing.drawn(spark.createDataFrame(quotas, "number long, quota long"), 5, 1).collect()
+    total = sum(q for _, q in quotas)
+    assert {i: sum(r.copies for r in got if r.number == i) for i, _ in quotas} == dict(quotas)
+    assert [sum(r.copies for r in got if r.shard == s) for s in range(5)] == [total * (s + 1) // 5 - total * s // 5 for s in range(5)]
 
 
 def test_mix(spark):
@@ -339,20 +377,28 @@ def test_mix(spark):
     rows = [(i, "w " * int(rng.integers(0, 60)), "en", [None, "a", "b", "c"][min(3, i % 7)], 0) for i in range(400)] + [(400, None, "en", "d", 0), (401, "", "en", None, 0), (5, "w " * 30, "en", "a", 0), (5, "w " * 30, "en", "a", 0), (None, "w w", "en", "a", 0)]
     df = spark.createDataFrame(rows, DOCS)
     for blocks in (1024, 4):
-        got = mixing.assign(df, ("doc_id", "source"), blocks=blocks).collect()
+        got = mixing.assign(df, ("doc_id", "source"), blocks=blocks, shards=6).collect()
         assert len(got) == len(rows) and sum(r.taken for r in got) == pytest.approx(1.5 * sum(r.size for r in got), abs=3)
         for s in (None, "a", "b", "c", "d"):
             own = [r for r in got if r.source == s]
             assert sum(r.taken for r in own) == int(own[0].target + 0.5) and own[0].source_size == sum(r.size for r in own)
             assert own[0].target <= 2 * own[0].source_size + 1e-9
-        assert all(0 <= r.taken <= 2 * r.size and len(r.shards) == -(-r.taken // max(1, r.size)) for r in got)
-        again = mixing.assign(df.repartition(7), ("doc_id", "source"), blocks=blocks).collect()
+        # What is taken is what was drawn: whole documents, but for the cut block's last.
+        assert all(0 <= r.taken <= 2 * r.size and r.taken == sum(d.words for d in r.draws) and all(0 <= d.shard < 6 for d in r.draws) for r in got)
+        assert sum(0 < d.words < r.size for r in got for d in r.draws) <= 5
+        again = mixing.assign(df.repartition(7), ("doc_id", "source"), blocks=blocks, shards=6).collect()
         assert sorted(map(str, got)) == sorted(map(str, again))
-    mixed = mixing.mixture(df, ("doc_id", "text"), blocks=4)
-    assert mixed.count() == sum(len(r.shards) for r in got)
+    mixed = mixing.mixture(df, ("doc_id", "text"), blocks=4, shards=6)
+    assert sorted((r.doc_id or -1, r.shard, r.words) for r in mixed.collect()) == sorted((r.doc_id or -1, d.shard, d.words) for r in got for d in r.draws)
     assert mixing.assign(df.where("false")).count() == 0
 
 
+def test_a_mix_keeps_columns_named_like_results(spark):
+    df = spark.createDataFrame([(1, "a b", "x", 7, "t", 8), (2, "c", "x", 9, "u", 10)], "doc_id long, text string, source string, size long, taken string, size_kept long")
+    got = sorted(mixing.assign(df, tuple(df.columns)).collect(), key=lambda r: r.doc_id)
+    assert [(r.size, r.size_kept_kept, r.size_kept, r.taken_kept) for r in got] == [(2, 7, 8, "t"), (1, 9, 10, "u")]
+
+
 def test_all_languages_are_learned(spark):
     rows = [(10 * k + i, f"w{k}x v{k}y u{k}z " * 4, f"l{k:02}") for k in range(70) for i in range(2)]
     f = langid.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
