@@ -16,6 +16,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 SLICE = 1 << 19
 U = np.uint64
@@ -52,6 +53,18 @@ def own_folder(session: SparkSession, name: str) -> str:
     return f"{shared_folder(session)}/{name}-{uuid.uuid4().hex}"
 
 
+def kept_names(columns: Iterable[str], results: Iterable[str]) -> dict[str, str]:
+    """The names that columns have beside results: those that clash get _kept added."""
+    columns, results = list(columns), set(results)
+    out: dict[str, str] = {}
+    for c in columns:
+        name = c
+        while name in results or name in out.values() or (name != c and name in columns):
+            name += "_kept"
+        out[c] = name
+    return out
+
+
 def cut(df: DataFrame) -> DataFrame:
     """df with its lineage cut by a reliable checkpoint in the cluster's shared folder."""
     sc = df.sparkSession.sparkContext
@@ -60,6 +73,43 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def groups_of(batches, columns: tuple[str, ...]):
+    """Rows of batches sorted by their first column, as tuples of lists with whole groups."""
+    held: list[list] = [[] for _ in columns]
+    for b in batches:
+        for x, c in zip(held, columns):
+            x += b.column(c).to_pylist()
+        if held[0]:
+            last = len(held[0]) - 1
+            while last and held[0][last - 1] == held[0][-1]:
+                last -= 1
+            if last:
+                yield tuple(x[:last] for x in held)
+                held = [x[last:] for x in held]
+    if held[0]:
+        yield tuple(held)
+
+
+def sieve(nodes: DataFrame, bits: int = 26, piece: int = 16) -> np.ndarray:
+    """2^bits bits, set at the low bits of the nodes: 8 MB at any number of nodes, which then only let more others pass."""
+
+    def fill(batches):
+        for key, low in groups_of(batches, ("piece", "low")):
+            at = [0, *(i for i in range(1, len(key)) if key[i] != key[i - 1]), len(key)]
+            for a, b in zip(at, at[1:]):
+                part = np.zeros(1 << piece, bool)
+                part[low[a:b]] = True
+                yield pa.record_batch([pa.array([key[a]], pa.int64()), pa.array([np.packbits(part).tobytes()], pa.binary())], ["piece", "body"])
+
+    low = F.col("node").bitwiseAND((1 << bits) - 1)
+    rows = nodes.select(F.shiftright(low, piece).alias("piece"), low.bitwiseAND((1 << piece) - 1).alias("low")).distinct()
+    out = np.zeros((1 << (bits - piece), 1 << (piece - 3)), np.uint8)
+    found = rows.repartition("piece").sortWithinPartitions("piece").mapInArrow(fill, "piece long, body binary").toArrow()
+    for k, body in zip(found.column("piece").to_pylist(), found.column("body").to_pylist()):
+        out[k] = np.frombuffer(body, np.uint8)
+    return out.reshape(-1)
+
+
 def _trim() -> None:
     """Give what a batch has left free back to the system: idle workers keep little, beside an executor's heap."""
     pa.default_memory_pool().release_unused()

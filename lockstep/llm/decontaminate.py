@@ -111,7 +111,7 @@ class Items:
 
 
 def blocks(items: DataFrame, block_bytes: int):
-    """The items in blocks of about block_bytes of text, one block on the driver at a time."""
+    """The items in blocks of about block_bytes of text, one block on the driver at a time. Rows alike in id and text are in one block."""
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = max(1, math.ceil(total / block_bytes))
     for k in range(n):
@@ -139,9 +139,12 @@ def matches(docs: DataFrame, items: DataFrame, width: int = 5, level: float = 0.
 
 
 def clean(docs: DataFrame, items: DataFrame, width: int = 5, level: float = 0.8, block_bytes: int = 16 << 20) -> DataFrame:
-    """docs without those that contain an item; the rows are filtered where they are read."""
+    """docs without those that contain an item; the rows are filtered where they are read.
+
+    All columns pass unchanged. A null or empty text contains no item and stays, as do null ids; rows that are alike stay or go alike. Without items all stay.
+    """
     sc = docs.sparkSession.sparkContext
-    for part in blocks(items, block_bytes):
+    for part in blocks(items.dropDuplicates(["text"]), block_bytes):
         sent = sc.broadcast((part.column("item_id").to_pylist(), part.column("text").to_pylist()))
 
         def keep(batches, sent=sent):

@@ -21,13 +21,14 @@ languages are not learned. With nothing to learn from, all is ``und``. Repeated
 from __future__ import annotations
 
 import zlib
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER, SLICE, SOLID, U, prefix_sums, range_hash, slices, words
+from .common import LOWER, SLICE, SOLID, U, kept_names, prefix_sums, range_hash, slices, words
 
 BLOCK, RUN, PIECE = 64, 16, 64
 TRI, PRE, SUF, LEX = 1 << 15, 1 << 14, 1 << 14, 1 << 16
@@ -256,13 +257,25 @@ def fit(docs: DataFrame, per_label: int = 250, words_each: int = 128, full_label
     return Field.fit([(lang, run) for _, lang, run in rows if run], labels)
 
 
-def predict(docs: DataFrame, field: Field) -> DataFrame:
-    """docs with lang_pred and score."""
-    sent = docs.sparkSession.sparkContext.broadcast((field.labels, field.weights, field.trans, field.lexicon))
+def told_by(field: Field, session) -> Callable[[str], Column]:
+    """A function from a column's name to the prediction for its texts: a struct of lang_pred and score."""
+    sent = session.sparkContext.broadcast((field.labels, field.weights, field.trans, field.lexicon))
 
     def tell(texts: pa.Array) -> pa.Array:
         names, values = Field(*sent.value).predict(texts)
         return pa.StructArray.from_arrays([pa.array(names, pa.string()), pa.array(values, pa.float64())], ["lang_pred", "score"])
 
-    new = F.arrow_udf(tell, "struct<lang_pred:string,score:double>")
-    return docs.withColumn("__told", new("text")).withColumns({"lang_pred": F.col("__told.lang_pred"), "score": F.col("__told.score")}).drop("__told")
+    return F.arrow_udf(tell, "struct<lang_pred:string,score:double>")
+
+
+def predict(docs: DataFrame, field: Field) -> DataFrame:
+    """docs with lang_pred and score; columns that have these names get _kept added to theirs."""
+    names = kept_names(docs.columns, ("lang_pred", "score"))
+    rows = docs.select(F.struct(*(F.col(f"`{c}`").alias(n) for c, n in names.items())).alias("row"), told_by(field, docs.sparkSession)("text").alias("told"))
+    return rows.select("row.*", "told.*")
+
+
+def confident(docs: DataFrame, field: Field, least: float) -> DataFrame:
+    """The rows of docs, unchanged, whose language is known with a score of at least least."""
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), told_by(field, docs.sparkSession)("text").alias("told"))
+    return rows.where((F.col("told.lang_pred") != "und") & (F.col("told.score") >= least)).select("row.*")

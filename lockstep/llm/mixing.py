@@ -34,12 +34,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut, word_counts
+from .common import cut, kept_names, word_counts
 
 WEIGHTS = (3, 1, 2)
 #: Sources whose quotas one task splits, and the most output shards.
 GROUP, SHARDS = 1 << 16, 1 << 16
-RESULTS = ("size", "source_size", "target", "taken", "draws")
+RESULTS = ("size", "source_size", "target", "taken", "draws", "copy", "shard", "words")
 #: Copies up to which a draw is exact; a larger one is rounded from the normal distribution with the same mean and variance.
 EXACT = 1_000_000_000
 
@@ -178,23 +178,12 @@ def draws_of_blocks(by_block: DataFrame, weights, share: float, most: float, sha
     return targets.drop("number"), cut(named)
 
 
-def kept_names(keep: tuple[str, ...]) -> dict[str, str]:
-    """The names that kept columns have in the result."""
-    out: dict[str, str] = {}
-    for c in keep:
-        name = c
-        while name in RESULTS or name in out.values() or (name != c and name in keep):
-            name += "_kept"
-        out[c] = name
-    return out
-
-
 def with_draws(docs: DataFrame, keep: tuple[str, ...], weights, share: float, most: float, blocks: int, shards: int | None, shard_words: int, seed: int) -> DataFrame:
-    """Kept columns, size, source_size, target, hash, and draws: array of copy, shard, and the words it takes of the document."""
+    """row (the kept columns), size, source_size, target, hash, and draws: array of copy, shard, and the words it takes of the document."""
     count = F.arrow_udf(lambda t: word_counts(t), "long")
     row = F.xxhash64(F.lit(seed), "doc_id", "text")
-    names = kept_names(keep)
-    base = docs.select(*(F.col(c).alias(f"k_{n}") for c, n in names.items()), F.col("source").alias("src"), row.alias("hash"), F.pmod(row, F.lit(blocks)).cast("int").alias("block"), count("text").alias("size"))
+    names = kept_names(keep, RESULTS)
+    base = docs.select(F.struct(*(F.col(f"`{c}`").alias(n) for c, n in names.items())).alias("row"), F.col("source").alias("src"), row.alias("hash"), F.pmod(row, F.lit(blocks)).cast("int").alias("block"), count("text").alias("size"))
     by_block = cut(base.groupBy("src", "block").agg(F.sum("size").alias("words")))
     targets, draws = draws_of_blocks(by_block, weights, share, most, shards, shard_words, seed)
     # Small tables, cut, so that joins deal both sides anew and can split a block with very many rows.
@@ -204,7 +193,7 @@ def with_draws(docs: DataFrame, keep: tuple[str, ...], weights, share: float, mo
     rows = rows.withColumn("before", F.coalesce(F.sum("size").over(inner), F.lit(0)))
     own = F.transform("of_block", lambda d: F.struct(d["copy"].alias("copy"), d["shard"].alias("shard"), F.greatest(F.lit(0), F.least(F.col("size"), d["room"] - F.col("before"))).alias("words")))
     own = F.coalesce(F.filter(own, lambda d: d["words"] > 0), F.array().cast("array<struct<copy:int,shard:bigint,words:bigint>>"))
-    return rows.select(*(F.col(f"k_{n}").alias(n) for n in names.values()), "size", "source_size", "target", "hash", own.alias("draws"))
+    return rows.select("row", "size", "source_size", "target", "hash", own.alias("draws"))
 
 
 OPTIONS = {"weights": WEIGHTS, "share": 1.5, "most": 2.0, "blocks": 8192, "shards": None, "shard_words": 1 << 22, "seed": 7}
@@ -215,9 +204,9 @@ def assign(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), **options) -> D
 
     Options and their defaults are those of ``OPTIONS``; without shards there is one for each ``shard_words`` words taken.
     """
-    rows = with_draws(docs, keep, **(OPTIONS | options)).drop("hash")
+    rows = with_draws(docs, keep, **(OPTIONS | options))
     taken = F.aggregate("draws", F.lit(0).cast("long"), lambda total, d: total + d["words"])
-    return rows.select(*(c for c in rows.columns if c != "draws"), taken.alias("taken"), "draws")
+    return rows.select("row.*", "size", "source_size", "target", taken.alias("taken"), "draws")
 
 
 def mixture(docs: DataFrame, keep: tuple[str, ...], **options) -> DataFrame:
@@ -225,5 +214,5 @@ def mixture(docs: DataFrame, keep: tuple[str, ...], **options) -> DataFrame:
     seed = (OPTIONS | options)["seed"]
     rows = with_draws(docs, keep, **(OPTIONS | options)).withColumn("draw", F.explode("draws"))
     order: Column = F.xxhash64(F.lit(seed + 4), "hash", "draw.copy")
-    rows = rows.select(*(c for c in rows.columns if c not in ("draws", "draw", "hash")), "draw.*", order.alias("__order"))
-    return rows.repartition("shard").sortWithinPartitions("shard", "__order").drop("__order")
+    rows = rows.select("row", "size", "source_size", "target", "draw", order.alias("order")).repartition("draw.shard").sortWithinPartitions("draw.shard", "order")
+    return rows.select("row.*", "size", "source_size", "target", "draw.*")

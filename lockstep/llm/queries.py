@@ -68,9 +68,13 @@ def op9_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(docs.select("doc_id", "held_out", "text"), field).drop("text")
 
 
+#: Key of the surrogates of the driver's synthetic tables. It is no secret; data of real persons need one of their own.
+PII_KEY = "synthetic tables"
+
+
 def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each document's text with its entities replaced, and their number."""
-    return pii.replace(table(spark, sf_dir, "documents").select("doc_id", "text"), counts=True)
+    return pii.replace(table(spark, sf_dir, "documents").select("doc_id", "text"), PII_KEY, counts=True)
 
 
 def queries() -> dict:

@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import U, cut, slices
+from .common import U, cut, groups_of, sieve, slices
 from .components import components
 
 SEED = 42
@@ -336,23 +336,6 @@ def near_duplicates(docs: DataFrame, width: int = 3, radius: int = 2, agree: flo
     return grouped(docs, (width,), radius, agree).select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
-def groups_of(batches, columns: tuple[str, ...]):
-    """Rows of batches sorted by their first column, as tuples of lists with whole groups."""
-    held: list[list] = [[] for _ in columns]
-    for b in batches:
-        for x, c in zip(held, columns):
-            x += b.column(c).to_pylist()
-        if held[0]:
-            last = len(held[0]) - 1
-            while last and held[0][last - 1] == held[0][-1]:
-                last -= 1
-            if last:
-                yield tuple(x[:last] for x in held)
-                held = [x[last:] for x in held]
-    if held[0]:
-        yield tuple(held)
-
-
 def bounds(keys: list) -> list[tuple[int, int]]:
     """Where groups of more than one row start and end."""
     at = [0, *(i for i in range(1, len(keys)) if keys[i] != keys[i - 1]), len(keys)]
@@ -378,26 +361,6 @@ def band_links(unique: DataFrame, agree: float) -> DataFrame:
     return rows.mapInArrow(find, "a long, b long")
 
 
-def sieve(nodes: DataFrame, bits: int = 26, piece: int = 16) -> np.ndarray:
-    """2^bits bits, set at the low bits of the nodes: 8 MB at any number of nodes, which then only let more others pass."""
-
-    def fill(batches):
-        for key, low in groups_of(batches, ("piece", "low")):
-            at = [0, *(i for i in range(1, len(key)) if key[i] != key[i - 1]), len(key)]
-            for a, b in zip(at, at[1:]):
-                part = np.zeros(1 << piece, bool)
-                part[low[a:b]] = True
-                yield pa.record_batch([pa.array([key[a]], pa.int64()), pa.array([np.packbits(part).tobytes()], pa.binary())], ["piece", "body"])
-
-    low = F.col("node").bitwiseAND((1 << bits) - 1)
-    rows = nodes.select(F.shiftright(low, piece).alias("piece"), low.bitwiseAND((1 << piece) - 1).alias("low")).distinct()
-    out = np.zeros((1 << (bits - piece), 1 << (piece - 3)), np.uint8)
-    found = rows.repartition("piece").sortWithinPartitions("piece").mapInArrow(fill, "piece long, body binary").toArrow()
-    for k, body in zip(found.column("piece").to_pylist(), found.column("body").to_pylist()):
-        out[k] = np.frombuffer(body, np.uint8)
-    return out.reshape(-1)
-
-
 def sifted(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     """(node, packed text) of the documents of nodes, and of a few others."""
     sent = docs.sparkSession.sparkContext.broadcast(sieve(nodes))
@@ -438,7 +401,7 @@ def one_of_each(docs: DataFrame, widths: tuple[int, ...] = (2, 3), radius: int =
     agree = share - 4 * (share * (1 - share) / 256) ** 0.5
     fps = [f"fp{k}" for k in range(len(widths))]
     # Rows by id, null ids last; the hash of all columns tells rows of equal id apart.
-    row = F.struct(F.col("doc_id").isNull().alias("__none"), F.coalesce("doc_id", F.lit(0)).alias("__id"), F.xxhash64(*docs.columns).alias("__hash"))
+    row = F.struct(F.col("doc_id").isNull().alias("none"), F.coalesce("doc_id", F.lit(0)).alias("id"), F.xxhash64(*(F.col(f"`{c}`") for c in docs.columns)).alias("hash"))
     told = F.arrow_udf(lambda t: signatures(t), "struct<sketch:binary,bands:array<bigint>>")("text")
     node = F.arrow_udf(lambda t: same_words(t), "long")("text")
     prints = [F.arrow_udf(lambda t, w=w: fingerprints(t, w), "long")("text").alias(c) for c, w in zip(fps, widths)]
@@ -451,6 +414,8 @@ def one_of_each(docs: DataFrame, widths: tuple[int, ...] = (2, 3), radius: int =
     roots = cut(verified(sifted(docs, loose).dropDuplicates(["node"]).join(loose, "node"), similarity))
     component = F.coalesce("root", "node")
     heads = cut(each.select("row", "node").join(roots, F.col("node") == F.col("known"), "left").groupBy(component.alias("root")).agg(F.min("row").alias("row")))
-    # Joined and made distinct by the same columns, which are never null: the texts are dealt once.
-    keys = ["__none", "__id", "__hash"]
-    return docs.withColumn("__row", row).select("*", "__row.*").drop("__row").join(heads.select("row.*"), keys).dropDuplicates(keys).drop(*keys)
+    # Joined and made distinct by the same columns, which are never null: the texts are dealt once. The columns
+    # of docs are held in one, so that no name of theirs meets these.
+    keys = ["none", "id", "hash"]
+    rows = docs.select(row.alias("at"), F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("all")).select("at.*", "all")
+    return rows.join(heads.select("row.*"), keys).dropDuplicates(keys).select("all.*")
