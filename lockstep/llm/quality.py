@@ -1,152 +1,379 @@
 """Quality classifier: perplexity under an interpolated modified Kneser-Ney model of trusted text.
 
-The model is over character classes (``CLASSES`` symbols, ``ORDER`` of them in an n-gram): letters, digits,
-kinds of punctuation, capitals, bytes beyond ASCII, and space. Counts cover all trusted
-documents, summed by task before they are shuffled by n-gram. Continuation counts, context totals and
-discounts are DataFrame aggregates and equi-joins sharded by n-gram, context and suffix, order by order. Because
-the alphabet is closed, the joined model has at most CLASSES^ORDER = 2^20 probabilities at any
-corpus size: 4 MB, sent to the tasks, which look up every n-gram of every whole text. (A join of all
-documents' n-grams with the counts would shuffle several times the input; the README has figures.)
-
-A document is kept if its perplexity is at most its language's ``quantile`` of
-trusted documents' perplexity times ``slack``; languages without trusted documents use that of all languages.
-
-Shuffles: texts with labels on doc_id, once, and small aggregates. The quantiles are mergeable sketches.
+The model is over n-grams of ``ORDER`` bytes (digits are one symbol, as are whitespace characters; a text ends with a symbol of its
+own), kept exactly, in 48 bits. Its counts grow with the trusted text. Counts are summed by task before they are shuffled by
+n-gram; continuation counts, context totals and discounts are DataFrame aggregates and equi-joins sharded by n-gram
+and context, order by order.
+
+Scoring joins every document's n-grams with the sharded counts. A task cuts its documents into blocks of about ``BLOCK`` bytes
+and asks for a block's distinct n-grams once. Requests go to shards by the two bytes before an n-gram's last: all orders from the
+third on that an n-gram needs are in that shard, which so gives the interpolated probability. (The orders below
+have 2^16 entries at most and are sent to all.) Answers go back to the block, which
+travels compressed, and every whole text is scored there. A shard has several parts, each with the shard's
+counts, where many blocks ask, so no part answers more than about ``ASKED`` requests.
+A block is named by a hash of what it holds, and one that finds an answer missing fails its task, so a repeated task over a source that gives
+other rows never yields a wrong score.
+
+The same is done with the text of documents labelled toxic, whose counts are joined beside. The contrast of a document is the most by which
+the second model's log-probability exceeds the first's over ``RUN`` bytes in a row: abuse that only toxic documents hold stands out
+in a long text whose perplexity it leaves as it was.
+
+A document is kept if its perplexity is at most its language's ``quantile`` of trusted documents' perplexity times
+``slack``, and its contrast at most its language's quantile of theirs plus ``margin``; languages without trusted documents use
+those of all languages. The quantiles are those of trusted documents that the model did not learn from.
+
+Shuffles: the texts of documents with trusted or toxic labels on doc_id (others are held back by a bit array of 8 MB; the few that pass
+go with the shuffle); n-grams; requests, answers and compressed blocks. The quantiles are mergeable sketches.
 Nulls: a null or empty text has one n-gram, the end, and its perplexity; a null language uses the
-overall threshold; null ids match no label. Repeated labels count once; a document with both kinds is not trusted. Repeated rows
-repeat their results. Without trusted text, all probabilities are uniform and all documents are kept.
+overall thresholds; null ids match no label. Repeated labels count once; a document with both kinds is not trusted. Repeated rows
+repeat their results. Without trusted text, all probabilities are uniform and all documents are kept; without toxic text no contrast is
+told (null) or required. An empty table gives no rows. Other columns are ignored.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, slices
-
-BITS, ORDER = 5, 4
-CLASSES = 1 << BITS
-TABLE = 1 << (BITS * ORDER)
-
-
-def _classes() -> np.ndarray:
-    out = np.full(256, 29, np.int64)  # other symbols
-    out[128:] = 30
-    for i in range(26):
-        out[97 + i], out[65 + i] = i + 1, 31
-    out[48:58] = 27
-    out[[ord(c) for c in ".,;:'\"!?-()"]] = 28
-    out[[32, 9, 10, 11, 12, 13]] = 0
-    return out
-
+from .common import U, cut, sieve, slices, stir
 
-CLASS = _classes()
+ORDER, LOW = 6, 2
+START, END = 0xFF, 0xFE  # bytes that UTF-8 has not
+#: Bytes of text in a block, n-grams in a shard of the model, and requests that a part answers.
+BLOCK, SHARD, ASKED = 4 << 20, 1_000_000, 16_000_000
+RUN = 8
+FOLD = np.array([48 if 48 <= i <= 57 else 32 if i in (9, 10, 11, 12, 13) else i for i in range(256)], np.uint8)
+MODELS = ("trusted", "toxic")
 
 
 def grams(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Codes of the n-grams that end at each byte and at each text's end, and the first code of each text."""
-    n, k = len(data), len(offs) - 1
-    pad = ORDER - 1
-    count = np.diff(offs)
-    c = np.zeros(n + k * (pad + 1), np.int64)
-    row = np.repeat(np.arange(k), count)
-    c[np.arange(n) + row * (pad + 1) + pad] = CLASS[data]
-    code = c.copy()
+    """The n-grams that end at each byte and at each text's end, as numbers, and the first of each text."""
+    k, pad = len(offs) - 1, ORDER - 1
+    size = np.diff(offs)
+    at = np.arange(len(data)) + np.repeat(np.arange(k), size) * (pad + 1) + pad
+    symbol = np.full(len(data) + k * (pad + 1), START, np.uint8)
+    symbol[at] = FOLD[data]
+    first = offs[:-1] + np.arange(k) * (pad + 1)
+    symbol[first + pad + size] = END
+    out = symbol.astype(U)
     for j in range(1, ORDER):
-        code[j:] |= c[:-j] << (BITS * j)
-    first = offs + np.arange(k + 1) * (pad + 1)
-    real = np.ones(len(c), bool)
+        out[j:] |= symbol[:-j].astype(U) << U(8 * j)
+    real = np.ones(len(symbol), bool)
     for j in range(pad):
-        real[first[:-1] + j] = False
-    return code[real], offs + np.arange(k + 1)
+        real[first + j] = False
+    return out[real], offs + np.arange(k + 1)
 
 
-def perplexities(texts: pa.Array, logs: np.ndarray) -> pa.Array:
-    out = [np.empty(0)]
-    for _, _, data, offs in slices(texts):
-        code, first = grams(data, offs)
-        total = np.concatenate([[0.0], np.cumsum(logs[code], dtype=np.float64)])
-        out.append(np.exp(-(total[first[1:]] - total[first[:-1]]) / np.diff(first)))
-    return pa.array(np.concatenate(out), pa.float64())
+def shard_of(g: np.ndarray, shards: int) -> np.ndarray:
+    """The shard of n-grams: by the two bytes before the last."""
+    return (stir((g >> U(8)) & U(0xFFFF)) % U(shards)).astype(np.int64)
 
 
-def counts(docs: DataFrame) -> DataFrame:
-    """(gram, n) over all texts; each task sends a gram once."""
+def counts(texts: DataFrame, flush: int = 1 << 24) -> DataFrame:
+    """(gram, n) over all texts; a task sends a gram once for each flush bytes."""
 
     def count(batches):
-        total = np.zeros(TABLE, np.int64)
+        held, size = [], 0
+
+        def tell():
+            g, n = np.unique(np.concatenate([x for x, _ in held]), return_inverse=True)
+            total = np.bincount(n, np.concatenate([x for _, x in held]), len(g)).astype(np.int64)
+            for i in range(0, len(g), 1 << 16):
+                yield pa.record_batch([pa.array(g[i : i + (1 << 16)].view(np.int64)), pa.array(total[i : i + (1 << 16)])], ["gram", "n"])
+
         for b in batches:
             for _, _, data, offs in slices(b.column("text")):
-                total += np.bincount(grams(data, offs)[0], minlength=TABLE)
-        seen = np.flatnonzero(total)
-        for i in range(0, len(seen), 1 << 16):
-            part = seen[i : i + (1 << 16)]
-            yield pa.record_batch([pa.array(part), pa.array(total[part])], ["gram", "n"])
-
-    return docs.select("text").mapInArrow(count, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
-
-
-def kneser_ney(grams_n: DataFrame) -> np.ndarray:
-    """Natural logarithms of the probabilities of all n-grams, by code."""
-    logs = np.full(CLASSES, 1.0 / CLASSES)
-    level = cut(grams_n)
-    tables = {ORDER: level}
-    for order in range(ORDER - 1, 0, -1):  # continuation counts: in how many n-grams of the next order a suffix ends
-        level = level.groupBy(F.col("gram").bitwiseAND(F.lit((1 << (BITS * order)) - 1)).alias("gram")).agg(F.count("*").alias("n"))
-        tables[order] = level = cut(level)
-    for order in range(1, ORDER + 1):
-        t = tables[order]
-        f = t.agg(*(F.count_if(F.col("n") == i).alias(f"n{i}") for i in (1, 2, 3, 4))).first()
-        n1, n2, n3, n4 = (int(x or 0) for x in f)
+                held.append(np.unique(grams(data, offs)[0], return_counts=True))
+                size += len(data)
+                if size >= flush:
+                    yield from tell()
+                    held, size = [], 0
+        if held:
+            yield from tell()
+
+    return texts.select("text").mapInArrow(count, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
+
+
+def levels(grams_n: DataFrame) -> DataFrame:
+    """(order, gram, own, weight): the probability of each n-gram less its discount, and the weight of the lower order after its context, for all orders."""
+    level, out = cut(grams_n), None
+    for order in range(ORDER, 0, -1):
+        if order < ORDER:  # continuation counts: in how many n-grams of the next order a suffix ends
+            level = cut(level.groupBy(F.col("gram").bitwiseAND(F.lit((1 << (8 * order)) - 1)).alias("gram")).agg(F.count("*").alias("n")))
+        n1, n2, n3, n4 = (int(x or 0) for x in level.agg(*(F.count_if(F.col("n") == i).alias(f"n{i}") for i in (1, 2, 3, 4))).first())
         if n1 and n2 and n3 and n4:
             y = n1 / (n1 + 2 * n2)
             d = [1 - 2 * y * n2 / n1, 2 - 3 * y * n3 / n2, 3 - 4 * y * n4 / n3]
             d = [min(max(x, 0.05), i + 0.95) for i, x in enumerate(d)]
         else:
             d = [0.5, 1.0, 1.5]  # too few counts to estimate
-        cost = F.when(F.col("n") == 1, d[0]).when(F.col("n") == 2, d[1]).otherwise(d[2])
-        t = t.withColumn("context", F.shiftright("gram", BITS)).withColumn("cost", F.least(cost, F.col("n")))
+        cost = F.least(F.when(F.col("n") == 1, d[0]).when(F.col("n") == 2, d[1]).otherwise(d[2]), F.col("n"))
+        t = level.select("gram", "n", cost.alias("cost"), F.shiftright("gram", 8).alias("context"))
         contexts = t.groupBy("context").agg(F.sum("n").alias("total"), F.sum("cost").alias("free"))
-        joined = t.join(contexts, "context").select("gram", "context", ((F.col("n") - F.col("cost")) / F.col("total")).alias("own"), (F.col("free") / F.col("total")).alias("weight"))
-        got = joined.toArrow()
-        gram, context = got.column("gram").to_numpy(), got.column("context").to_numpy()
-        size = 1 << (BITS * order)
-        own, weight = np.zeros(size), np.ones(size >> BITS)
-        own[gram] = got.column("own").to_numpy()
-        weight[context] = got.column("weight").to_numpy()
-        lower = logs if order == 1 else logs[np.arange(size) & ((1 << (BITS * (order - 1))) - 1)]
-        logs = own + np.repeat(weight, CLASSES) * lower
-    return np.log(logs).astype(np.float32)
-
-
-def train(docs: DataFrame, trusted: DataFrame) -> np.ndarray:
-    """The model of docs whose doc_id is in trusted."""
-    # Always by a shuffle: the ids grow with the labels, so a plan that broadcasts few of them says nothing of many.
-    return kneser_ney(counts(docs.select("doc_id", "text").join(trusted.hint("merge"), "doc_id", "left_semi")))
+        one = t.join(contexts, "context").select(F.lit(order).alias("order"), "gram", ((F.col("n") - F.col("cost")) / F.col("total")).alias("own"), (F.col("free") / F.col("total")).alias("weight"))
+        out = one if out is None else out.union(one)
+    return out
 
 
-def score(docs: DataFrame, logs: np.ndarray, keep: tuple[str, ...] = ("doc_id", "lang")) -> DataFrame:
-    sent = docs.sparkSession.sparkContext.broadcast(logs)
-    return docs.select(*keep, F.arrow_udf(lambda t: perplexities(t, sent.value), "double")("text").alias("perplexity"))
+def low_orders(model: DataFrame) -> list[np.ndarray]:
+    """Probabilities of the last byte after the one before it, 2^16 for each model."""
+    out = []
+    rows = model.where(F.col("order") <= LOW).toArrow()  # 2^16 + 2^8 rows at most for each model
+    of = [np.asarray(rows.column(c)) for c in ("model", "order", "gram", "own", "weight")]
+    for m in range(len(MODELS)):
+        p = np.full(1, 1.0 / 256)
+        for order in range(1, LOW + 1):
+            pick = (of[0] == m) & (of[1] == order)
+            own, weight = np.zeros(1 << (8 * order)), np.ones(1 << (8 * order - 8))
+            own[of[2][pick]] = of[3][pick]
+            weight[of[2][pick] >> 8] = of[4][pick]
+            p = own + np.repeat(weight, 256) * (p[np.arange(len(own)) & (len(p) - 1)])
+        out.append(p)
+    return out
+
+
+def packed(x: np.ndarray) -> bytes:
+    """Numbers, with equal bytes of all beside each other, compressed."""
+    return zstandard.compress(np.ascontiguousarray(x.view(np.uint8).reshape(len(x), -1).T).tobytes(), 1)
+
+
+def unpacked(body: bytes, kind: str) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.frombuffer(zstandard.decompress(body), np.uint8).reshape(size, -1).T).view(kind).reshape(-1)
+
+
+class Shard:
+    """The counts of a shard: for each model and order above LOW the n-grams, their own probabilities, the contexts and their weights."""
+
+    def __init__(self, model: np.ndarray, order: np.ndarray, gram: np.ndarray, own: np.ndarray, weight: np.ndarray):
+        self.of = {}
+        for m in range(len(MODELS)):
+            for k in range(LOW + 1, ORDER + 1):
+                a, b = np.searchsorted(model * 16 + order, [m * 16 + k, m * 16 + k + 1])
+                g = gram[a:b].view(U)
+                context = g >> U(8)
+                new = np.flatnonzero(np.r_[True, context[1:] != context[:-1]]) if len(g) else np.empty(0, np.int64)
+                self.of[m, k] = g, own[a:b], context[new], weight[a:b][new]
+
+    def logs(self, g: np.ndarray, low: list[np.ndarray]) -> np.ndarray:
+        """Natural logarithms of each model's probability of n-grams, as rows."""
+        out = np.empty((len(low), len(g)), np.float16)
+        for m, p in enumerate(low):
+            p = p[(g & U(0xFFFF)).astype(np.int64)]
+            for k in range(LOW + 1, ORDER + 1):
+                grams_, own, contexts, weight = self.of[m, k]
+                if not len(grams_):
+                    continue
+                now = g & U((1 << (8 * k)) - 1)
+                at = np.minimum(np.searchsorted(grams_, now), len(grams_) - 1)
+                a = np.where(grams_[at] == now, own[at], 0.0)
+                now = now >> U(8)
+                at = np.minimum(np.searchsorted(contexts, now), len(contexts) - 1)
+                p = a + np.where(contexts[at] == now, weight[at], 1.0) * p
+            out[m] = np.log(p)
+        return out
+
+
+def shard_rows(model: DataFrame, shards: int) -> DataFrame:
+    """(shard, body): each shard's counts in pieces of sorted rows."""
+
+    def number(g: pa.Array) -> pa.Array:
+        return pa.array(shard_of(g.to_numpy().view(U), shards))
+
+    def pack(batches):
+        for b in batches:
+            if not b.num_rows:
+                continue
+            shard = np.asarray(b.column("shard"))
+            edge = np.flatnonzero(np.r_[True, shard[1:] != shard[:-1], True])
+            for a, z in zip(edge, edge[1:]):
+                part = pa.RecordBatch.from_arrays([b.column(c).slice(a, z - a) for c in ("model", "order", "gram", "own", "weight")], ["model", "order", "gram", "own", "weight"])
+                yield pa.record_batch([pa.array([int(shard[a])], pa.int64()), pa.array([ipc(part)], pa.binary())], ["shard", "body"])
+
+    rows = model.where(F.col("order") > LOW).withColumn("shard", F.arrow_udf(number, "long")("gram"))
+    return cut(rows.repartition(shards, "shard").sortWithinPartitions("shard", "model", "order", "gram").mapInArrow(pack, "shard long, body binary"))
+
+
+def ipc(batch: pa.RecordBatch) -> bytes:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", 3))) as w:
+        w.write_batch(batch)
+    return sink.getvalue().to_pybytes()
+
+
+def from_ipc(body: bytes) -> pa.Table:
+    return pa.ipc.open_stream(body).read_all()
+
+
+def blocks(docs: DataFrame, shards: int, salts: int) -> DataFrame:
+    """(block, body, requests): documents, compressed, and their distinct n-grams by the part that answers."""
+
+    def pack(batches):
+        held, size = [], 0
+
+        def tell():
+            t = pa.Table.from_batches(held).combine_chunks()
+            g = np.concatenate([np.unique(grams(data, offs)[0]) for _, _, data, offs in slices(t.column("text"))])
+            g = np.unique(g)
+            body = ipc(t.to_batches()[0])
+            name = xxhash.xxh64_intdigest(body)
+            shard = shard_of(g, shards)
+            order = np.argsort(shard, kind="stable")
+            g, shard = g[order], shard[order]
+            edge = np.flatnonzero(np.r_[True, shard[1:] != shard[:-1], True])
+            asked = [{"part": int(shard[a]) * salts + name % salts, "body": packed(np.diff(g[a:z], prepend=U(0)))} for a, z in zip(edge, edge[1:])]
+            kind = pa.list_(pa.struct([("part", pa.int32()), ("body", pa.binary())]))
+            return pa.record_batch([pa.array(np.array([name], U).view(np.int64)), pa.array([body], pa.binary()), pa.array([asked], kind)], ["block", "body", "requests"])
+
+        for b in batches:
+            at = 0
+            sizes = np.cumsum(np.asarray(pa.compute.fill_null(pa.compute.binary_length(b.column("text")), 0), np.int64))
+            while at < b.num_rows:
+                before = int(sizes[at - 1]) if at else 0
+                end = min(b.num_rows, max(at + 1, int(np.searchsorted(sizes, before + BLOCK - size, "right"))))
+                held.append(b.slice(at, end - at))
+                size += int(sizes[end - 1]) - before
+                at = end
+                if size >= BLOCK or at < b.num_rows:
+                    yield tell()
+                    held, size = [], 0
+        if held:
+            yield tell()
+
+    return docs.mapInArrow(pack, "block long, body binary, requests array<struct<part:int,body:binary>>")
+
+
+def scores(t: pa.Table, g: np.ndarray, logs: np.ndarray, toxic: bool) -> pa.RecordBatch:
+    """Rows of a block with their perplexity and contrast, from the logarithms of its sorted distinct n-grams."""
+    # A table of places by hash finds most n-grams at once; the others are searched.
+    bits = max(10, int(len(g) * 2).bit_length())
+    place = lambda x: ((x * U(0x9E3779B97F4A7C15)) >> U(64 - bits)).astype(np.int64)
+    table = np.zeros(1 << bits, np.int32)
+    table[place(g)] = np.arange(len(g))
+    logs = logs.astype(np.float32)
+    perplexity, contrast = [np.empty(0)], [np.empty(0)]
+    for _, _, data, offs in slices(t.column("text")):
+        own, first = grams(data, offs)
+        at = table[place(own)]
+        miss = np.flatnonzero(g[at] != own)
+        at[miss] = np.searchsorted(g, own[miss])
+        total = np.concatenate([[0.0], np.cumsum(logs[0][at], dtype=np.float64)])
+        n = np.diff(first)
+        perplexity.append(np.exp(-(total[first[1:]] - total[first[:-1]]) / n))
+        if toxic:
+            more = np.concatenate([[0.0], np.cumsum(logs[1][at] - logs[0][at], dtype=np.float64)])
+            # Runs of RUN n-grams that end within a text; its first ones are shorter.
+            start = np.maximum(np.arange(len(own)) + 1 - RUN, np.repeat(first[:-1], n))
+            contrast.append(np.maximum.reduceat(more[1:] - more[start], first[:-1]))
+        else:
+            contrast.append(np.full(len(n), np.nan))
+    p, c = np.concatenate(perplexity), np.concatenate(contrast)
+    batch = t.to_batches()[0] if t.num_rows else t
+    names = [x for x in t.column_names if x != "text"]
+    return pa.record_batch([*(batch.column(x) for x in names), pa.array(p, pa.float64()), pa.array(c, pa.float64(), from_pandas=True)], [*names, "perplexity", "contrast"])
+
+
+def score(docs: DataFrame, model: DataFrame, keep: tuple[str, ...] = ("doc_id", "lang")) -> DataFrame:
+    """Kept columns, perplexity and contrast of each document under model (model, order, gram, own, weight)."""
+    session = docs.sparkSession
+    stats = model.agg(F.count("*"), F.max("model")).first()
+    shards = max(64, math.ceil(stats[0] / SHARD))
+    toxic = stats[1] == 1
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    salts = max(1, math.ceil(size / 10 / shards / ASKED))  # blocks ask for a tenth of their bytes, about
+    low = session.sparkContext.broadcast(low_orders(model))
+    first = (F.col("shard") * salts).cast("int")
+    counted = shard_rows(model, shards).select(F.explode(F.sequence(first, first + (salts - 1))).alias("part"), F.lit(0).alias("kind"), F.lit(0).cast("long").alias("block"), "body")
+    # Both sides read the same exchange: the blocks are made once.
+    dealt = blocks(docs.select(*keep, "text"), shards, salts).repartition(int(session.conf.get("spark.sql.shuffle.partitions")), "block")
+
+    def ask(batches):
+        for b in batches:
+            for name, asked in zip(b.column("block").to_pylist(), b.column("requests").to_pylist()):
+                n = len(asked)
+                yield pa.record_batch([pa.array([x["part"] for x in asked], pa.int32()), pa.array([1] * n, pa.int32()), pa.array([name] * n, pa.int64()), pa.array([x["body"] for x in asked], pa.binary())], ["part", "kind", "block", "body"])
+
+    def answer(batches):
+        part, pieces, shard = None, [], None
+        for b in batches:
+            for p, kind, name, body in zip(*(b.column(c).to_pylist() for c in ("part", "kind", "block", "body"))):
+                if p != part:
+                    part, pieces, shard = p, [], None
+                if kind == 0:
+                    pieces.append(from_ipc(body))
+                    continue
+                if shard is None:
+                    t = pa.concat_tables(pieces).sort_by([("model", "ascending"), ("order", "ascending"), ("gram", "ascending")]) if pieces else None
+                    shard, pieces = Shard(*((np.asarray(t.column(c)) for c in ("model", "order", "gram", "own", "weight")) if t else (np.empty(0, np.int64),) * 5)), []
+                logs = shard.logs(np.cumsum(unpacked(body, "<u8"), dtype=U), low.value[: 1 + toxic])
+                yield pa.record_batch([pa.array([name], pa.int64()), pa.array([p], pa.int32()), pa.array([packed(logs.reshape(-1))], pa.binary())], ["block", "part", "body"])
+
+    asked = dealt.mapInArrow(ask, "part int, kind int, block long, body binary")
+    rows = counted.union(asked).repartition(shards * salts, "part").sortWithinPartitions("part", "kind")
+    answers = rows.mapInArrow(answer, "block long, part int, body binary").groupBy("block").agg(F.collect_list(F.struct("part", "body")).alias("answers"))
+
+    def tell(batches):
+        for b in batches:
+            for body, asked, got in zip(*(b.column(c).to_pylist() for c in ("body", "requests", "answers"))):
+                found = {x["part"]: x["body"] for x in got or []}
+                if {x["part"] for x in asked} != set(found):
+                    raise RuntimeError("a block's n-grams have no answer: its source gave other rows when it was read again")
+                g = np.concatenate([np.cumsum(unpacked(x["body"], "<u8"), dtype=U) for x in asked])
+                logs = np.concatenate([unpacked(found[x["part"]], "<f2").reshape(1 + toxic, -1) for x in asked], axis=1)
+                order = np.argsort(g)
+                yield scores(from_ipc(body), g[order], logs[:, order], toxic)
+
+    kinds = {f.name: f.dataType.simpleString() for f in docs.schema}
+    return dealt.join(answers, "block", "left").mapInArrow(tell, ", ".join([*(f"`{c}` {kinds[c]}" for c in keep), "perplexity double, contrast double"]))
+
+
+def train(docs: DataFrame, trusted: DataFrame, toxic: DataFrame) -> DataFrame:
+    """(model, order, gram, own, weight) of the texts of documents whose doc_id is in trusted (model 0) or toxic (model 1)."""
+    ids = cut(trusted.select("doc_id", F.lit(0).alias("model")).union(toxic.select("doc_id", F.lit(1).alias("model"))))
+    bits = docs.sparkSession.sparkContext.broadcast(sieve(ids.select(F.xxhash64("doc_id").alias("node"))))
+
+    def passes(h: pa.Array) -> pa.Array:
+        low = h.to_numpy() & (8 * len(bits.value) - 1)
+        return pa.array((bits.value[low >> 3] >> (7 - (low & 7)).astype(np.uint8)) & 1 == 1)
+
+    some = docs.where("doc_id is not null").select("doc_id", "text").where(F.arrow_udf(passes, "boolean")(F.xxhash64("doc_id")))
+    # Always by a shuffle: the ids grow with the labels, so a plan that broadcasts few of them says nothing of many.
+    labelled = some.join(ids.hint("merge"), "doc_id")
+    out = None
+    for m in range(len(MODELS)):
+        rows = levels(counts(labelled.where(F.col("model") == m))).select(F.lit(m).alias("model"), "*")
+        out = rows if out is None else out.union(rows)
+    return cut(out)
+
 
+def by_label(labels: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Ids of trusted and of toxic documents."""
+    told = labels.where("doc_id is not null").groupBy("doc_id").agg(F.min("quality").alias("q"), F.max(F.coalesce("toxic", F.lit(0))).alias("t"))
+    return told.where("q = 1 and t = 0").select("doc_id"), told.where("t = 1").select("doc_id")
 
-def trusted_ids(labels: DataFrame) -> DataFrame:
-    return labels.where("doc_id is not null").groupBy("doc_id").agg(F.min("quality").alias("q"), F.max(F.coalesce("toxic", F.lit(0))).alias("t")).where("q = 1 and t = 0").select("doc_id")
 
+def classify(docs: DataFrame, labels: DataFrame, quantile: float = 0.99, slack: float = 1.5, margin: float = 2.0, apart: int = 4) -> DataFrame:
+    """doc_id, lang, perplexity, threshold, contrast, contrast_threshold and keep of each document.
 
-def classify(docs: DataFrame, labels: DataFrame, quantile: float = 0.99, slack: float = 1.2) -> DataFrame:
-    """doc_id, lang, perplexity, threshold and keep of each document."""
-    trusted = cut(trusted_ids(labels))
-    scored = cut(score(docs, train(docs, trusted)))
-    known = scored.join(trusted, "doc_id", "left_semi")
-    at = F.percentile_approx("perplexity", quantile, 10000)
+    One in apart of the trusted documents, by a hash of the id, is not learned from: thresholds are those of texts that the model has not seen.
+    """
+    trusted, toxic = (cut(x) for x in by_label(labels))
+    aside = F.pmod(F.xxhash64(F.lit(apart), "doc_id"), F.lit(apart)) == 0
+    scored = cut(score(docs, train(docs, trusted.where(~aside), toxic)))
+    known = scored.join(trusted.where(aside), "doc_id", "left_semi")
+    at = [F.percentile_approx(c, quantile, 10000) for c in ("perplexity", "contrast")]
     # Cut, so that the join deals both sides anew and can split a language with most of the rows.
-    by_lang = cut(known.where("lang is not null").groupBy("lang").agg(at.alias("own")))
-    overall = known.agg(at).first()[0]
+    by_lang = cut(known.where("lang is not null").groupBy("lang").agg(at[0].alias("own"), at[1].alias("own_contrast")))
+    overall = known.agg(*at).first()
     told = scored.join(by_lang, "lang", "left")
-    limit = F.coalesce(F.col("own"), F.lit(overall if overall is not None else math.inf)) * slack
-    return told.select("doc_id", "lang", "perplexity", limit.alias("threshold"), (F.col("perplexity") <= limit).alias("keep"))
+    limits = [F.coalesce(F.col(c), F.lit(x if x is not None else math.inf)) for c, x in zip(("own", "own_contrast"), overall)]
+    limits = [limits[0] * slack, limits[1] + margin]
+    keep = (F.col("perplexity") <= limits[0]) & F.coalesce(F.col("contrast") <= limits[1], F.lit(True))
+    return told.select("doc_id", "lang", "perplexity", limits[0].alias("threshold"), "contrast", limits[1].alias("contrast_threshold"), keep.alias("keep"))
