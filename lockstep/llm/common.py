@@ -53,6 +53,13 @@ def own_folder(session: SparkSession, name: str) -> str:
     return f"{shared_folder(session)}/{name}-{uuid.uuid4().hex}"
 
 
+def kept_as_table(df: DataFrame, name: str) -> DataFrame:
+    """df written to a compressed table in the shared folder, and read from it."""
+    path = own_folder(df.sparkSession, name)
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def kept_names(columns: Iterable[str], results: Iterable[str]) -> dict[str, str]:
     """The names that columns have beside results: those that clash get _kept added."""
     columns, results = list(columns), set(results)

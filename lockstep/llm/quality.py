@@ -1,14 +1,13 @@
 """Quality classifier: perplexity under an interpolated modified Kneser-Ney model of trusted text.
 
 The model is over n-grams of ``ORDER`` bytes (digits are one symbol, as are whitespace characters; a text ends with a symbol of its
-own), kept exactly, in 48 bits. Its counts grow with the trusted text. Counts are summed by task before they are shuffled by
-n-gram; continuation counts, context totals and discounts are DataFrame aggregates and equi-joins sharded by n-gram
-and context, order by order.
+own), kept exactly, in 48 bits. Its counts grow with the trusted text. A task sums its counts before they are
+shuffled, packed, to shards, by the two bytes before an n-gram's last. All that the orders from the third on need, continuation
+counts, context totals and interpolation, is then within a shard; shards tell counts of counts, of which the discounts of all are made, and
+counts of pairs of bytes, from which the two lowest orders (2^16 entries) are made and sent to all.
 
 Scoring joins every document's n-grams with the sharded counts. A task cuts its documents into blocks of about ``BLOCK`` bytes
-and asks for a block's distinct n-grams once. Requests go to shards by the two bytes before an n-gram's last: all orders from the
-third on that an n-gram needs are in that shard, which so gives the interpolated probability. (The orders below
-have 2^16 entries at most and are sent to all.) Answers go back to the block, which
+and asks for a block's distinct n-grams once, packed by shard; a shard gives their interpolated probabilities. Answers go back to the block, which
 travels compressed, and every whole text is scored there. A shard has several parts, each with the shard's
 counts, where many blocks ask, so no part answers more than about ``ASKED`` requests.
 A block is named by a hash of what it holds, and one that finds an answer missing fails its task, so a repeated task over a source that gives
@@ -22,8 +21,8 @@ A document is kept if its perplexity is at most its language's ``quantile`` of t
 ``slack``, and its contrast at most its language's quantile of theirs plus ``margin``; languages without trusted documents use
 those of all languages. The quantiles are those of trusted documents that the model did not learn from.
 
-Shuffles: the texts of documents with trusted or toxic labels on doc_id (others are held back by a bit array of 8 MB; the few that pass
-go with the shuffle); n-grams; requests, answers and compressed blocks. The quantiles are mergeable sketches.
+Shuffles: packed counts; packed requests and answers; compressed blocks. Labelled ids are sent to all tasks if they are ``SENT`` at
+most; beyond, the texts that a bit array of 8 MB lets pass are shuffled by id. The quantiles are mergeable sketches.
 Nulls: a null or empty text has one n-gram, the end, and its perplexity; a null language uses the
 overall thresholds; null ids match no label. Repeated labels count once; a document with both kinds is not trusted. Repeated rows
 repeat their results. Without trusted text, all probabilities are uniform and all documents are kept; without toxic text no contrast is
@@ -34,6 +33,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -41,13 +41,16 @@ import xxhash
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .common import U, cut, sieve, slices, stir
+from .common import U, cut, kept_as_table, sieve, slices, stir
 
 ORDER, LOW = 6, 2
 START, END = 0xFF, 0xFE  # bytes that UTF-8 has not
-#: Bytes of text in a block, n-grams in a shard of the model, and requests that a part answers.
-BLOCK, SHARD, ASKED = 4 << 20, 1_000_000, 16_000_000
+#: Bytes of text in a block, of all text for each shard of the counts, and requests that a part answers.
+BLOCK, SHARD, ASKED = 16 << 20, 1 << 28, 16_000_000
+#: Labelled ids that are sent to all tasks (9 bytes each) instead of shuffling their texts.
+SENT = 4_000_000
 RUN = 8
 FOLD = np.array([48 if 48 <= i <= 57 else 32 if i in (9, 10, 11, 12, 13) else i for i in range(256)], np.uint8)
 MODELS = ("trusted", "toxic")
@@ -76,91 +79,153 @@ def shard_of(g: np.ndarray, shards: int) -> np.ndarray:
     return (stir((g >> U(8)) & U(0xFFFF)) % U(shards)).astype(np.int64)
 
 
-def counts(texts: DataFrame, flush: int = 1 << 24) -> DataFrame:
-    """(gram, n) over all texts; a task sends a gram once for each flush bytes."""
+def packed(x: np.ndarray) -> bytes:
+    """Numbers, with equal bytes of all beside each other, compressed."""
+    return zstandard.compress(np.ascontiguousarray(x.view(np.uint8).reshape(len(x), -1).T).tobytes(), 1)
 
-    def count(batches):
-        held, size = [], 0
 
-        def tell():
-            g, n = np.unique(np.concatenate([x for x, _ in held]), return_inverse=True)
-            total = np.bincount(n, np.concatenate([x for _, x in held]), len(g)).astype(np.int64)
-            for i in range(0, len(g), 1 << 16):
-                yield pa.record_batch([pa.array(g[i : i + (1 << 16)].view(np.int64)), pa.array(total[i : i + (1 << 16)])], ["gram", "n"])
+def unpacked(body: bytes, kind: str) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.frombuffer(zstandard.decompress(body), np.uint8).reshape(size, -1).T).view(kind).reshape(-1)
+
+
+def discounts(n1: int, n2: int, n3: int, n4: int) -> list[float]:
+    """What is taken off counts of one, two, and more, from how many n-grams have counts of one to four."""
+    if not (n1 and n2 and n3 and n4):
+        return [0.5, 1.0, 1.5]  # too few counts to estimate
+    y = n1 / (n1 + 2 * n2)
+    d = [1 - 2 * y * n2 / n1, 2 - 3 * y * n3 / n2, 3 - 4 * y * n4 / n3]
+    return [min(max(x, 0.05), i + 0.95) for i, x in enumerate(d)]
+
+
+def few(n: np.ndarray) -> np.ndarray:
+    """How many of the counts are one, two, three and four."""
+    return np.bincount(np.minimum(n, 5), minlength=6)[1:5]
+
+
+def levels(g: np.ndarray, n: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(order, n-grams, counts) of sorted n-grams, and below them continuation counts: in how many n-grams of the next order one ends.
+
+    Down to the third order all n-grams that count for another are in its shard.
+    """
+    for order in range(ORDER, LOW, -1):
+        yield order, g, n
+        g, n = np.unique(g & U((1 << (8 * order - 8)) - 1), return_counts=True)
+
+
+def smoothed(n: np.ndarray, context: np.ndarray, d: list[float]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Own probabilities of n-grams with counts n, where each of the sorted contexts starts, and the weights of the lower order after them."""
+    cost = np.minimum(np.array(d)[np.minimum(n, 3) - 1], n)
+    first = np.flatnonzero(np.r_[True, context[1:] != context[:-1]])
+    total, free = np.add.reduceat(n, first), np.add.reduceat(cost, first)
+    return (n - cost) / np.repeat(total, np.diff(np.r_[first, len(n)])), first, free / total
+
+
+def low_order(n: np.ndarray) -> np.ndarray:
+    """Probabilities of a byte after another, from the continuation counts of all 2^16 pairs."""
+    p = np.full(1, 1.0 / 256)
+    for order, count in ((1, (n.reshape(256, 256) > 0).sum(axis=0)), (2, n)):
+        used = np.flatnonzero(count)
+        own, weight = np.zeros(len(count)), np.ones(len(count) >> 8)
+        if len(used):
+            x, first, w = smoothed(count[used], used >> 8, discounts(*few(count[used])))
+            own[used], weight[used[first] >> 8] = x, w
+        p = own + np.repeat(weight, 256) * p[np.arange(len(own)) & (len(p) - 1)]
+    return p
+
+
+COUNTS = "shard long, model int, kind string, grams binary, counts binary"
+
+
+def counted(texts: DataFrame, shards: int, flush: int = 1 << 25) -> DataFrame:
+    """Counts of the n-grams of texts (model, text) by shard and model, and of kind "few" and "pairs" what shards know of the counts of counts and of pairs of bytes.
+
+    A task sends an n-gram once for each flush bytes; a shard's counts are merged a few million at a time.
+    """
+    schema = pa.schema([("shard", pa.int64()), ("model", pa.int32()), ("kind", pa.string()), ("grams", pa.binary()), ("counts", pa.binary())])
+
+    def merged(held):
+        g, at = np.unique(np.concatenate([x for x, _ in held]), return_inverse=True)
+        return g, np.bincount(at, np.concatenate([x for _, x in held]), len(g)).astype(np.int64)
+
+    def row(shard, model, kind, g, n):
+        return pa.record_batch([pa.array([shard], pa.int64()), pa.array([model], pa.int32()), pa.array([kind]), pa.array([packed(np.diff(g, prepend=U(0)))], pa.binary()), pa.array([packed(n.astype("<i8"))], pa.binary())], schema=schema)
+
+    def count(batches):
+        def tell(model, held):
+            g, n = merged(held)
+            shard = shard_of(g, shards)
+            order = np.argsort(shard, kind="stable")
+            g, n, shard = g[order], n[order], shard[order]
+            edge = np.flatnonzero(np.r_[True, shard[1:] != shard[:-1], True])
+            for a, z in zip(edge, edge[1:]):
+                yield row(int(shard[a]), model, "counts", g[a:z], n[a:z])
 
+        held, size = [[] for _ in MODELS], 0
         for b in batches:
-            for _, _, data, offs in slices(b.column("text")):
-                held.append(np.unique(grams(data, offs)[0], return_counts=True))
-                size += len(data)
-                if size >= flush:
-                    yield from tell()
+            model = np.asarray(b.column("model"))
+            for m in range(len(MODELS)):
+                for _, _, data, offs in slices(b.filter(pa.array(model == m)).column("text")):
+                    held[m].append(np.unique(grams(data, offs)[0], return_counts=True))
+                    size += len(data)
+            if size >= flush:
+                for m, x in enumerate(held):
+                    if x:
+                        yield from tell(m, x)
+                held, size = [[] for _ in MODELS], 0
+        for m, x in enumerate(held):
+            if x:
+                yield from tell(m, x)
+
+    def merge(batches):
+        def tell(key, held):
+            g, n = merged(held)
+            yield row(*key, "counts", g, n)
+            of = np.zeros((ORDER + 1, 4), np.int64)
+            for order, h, k in levels(g, n):
+                of[order] = few(k)
+            yield row(*key, "few", np.zeros(of.size, U), of.reshape(-1))
+            pairs, n = np.unique(h & U(0xFFFF), return_counts=True)  # h: the third order
+            yield row(*key, "pairs", pairs, n)
+
+        key, held, size = None, [], 0
+        for b in batches:
+            for shard, model, _, g, n in zip(*(b.column(c).to_pylist() for c in schema.names)):
+                if (shard, model) != key and held:
+                    yield from tell(key, held)
                     held, size = [], 0
+                key = shard, model
+                held.append((np.cumsum(unpacked(g, "<u8"), dtype=U), unpacked(n, "<i8")))
+                size += len(held[-1][0])
+                if size > 1 << 22:
+                    held = [merged(held)]
+                    size = 0
         if held:
-            yield from tell()
-
-    return texts.select("text").mapInArrow(count, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
-
-
-def levels(grams_n: DataFrame) -> DataFrame:
-    """(order, gram, own, weight): the probability of each n-gram less its discount, and the weight of the lower order after its context, for all orders."""
-    level, out = cut(grams_n), None
-    for order in range(ORDER, 0, -1):
-        if order < ORDER:  # continuation counts: in how many n-grams of the next order a suffix ends
-            level = cut(level.groupBy(F.col("gram").bitwiseAND(F.lit((1 << (8 * order)) - 1)).alias("gram")).agg(F.count("*").alias("n")))
-        n1, n2, n3, n4 = (int(x or 0) for x in level.agg(*(F.count_if(F.col("n") == i).alias(f"n{i}") for i in (1, 2, 3, 4))).first())
-        if n1 and n2 and n3 and n4:
-            y = n1 / (n1 + 2 * n2)
-            d = [1 - 2 * y * n2 / n1, 2 - 3 * y * n3 / n2, 3 - 4 * y * n4 / n3]
-            d = [min(max(x, 0.05), i + 0.95) for i, x in enumerate(d)]
-        else:
-            d = [0.5, 1.0, 1.5]  # too few counts to estimate
-        cost = F.least(F.when(F.col("n") == 1, d[0]).when(F.col("n") == 2, d[1]).otherwise(d[2]), F.col("n"))
-        t = level.select("gram", "n", cost.alias("cost"), F.shiftright("gram", 8).alias("context"))
-        contexts = t.groupBy("context").agg(F.sum("n").alias("total"), F.sum("cost").alias("free"))
-        one = t.join(contexts, "context").select(F.lit(order).alias("order"), "gram", ((F.col("n") - F.col("cost")) / F.col("total")).alias("own"), (F.col("free") / F.col("total")).alias("weight"))
-        out = one if out is None else out.union(one)
-    return out
-
-
-def low_orders(model: DataFrame) -> list[np.ndarray]:
-    """Probabilities of the last byte after the one before it, 2^16 for each model."""
-    out = []
-    rows = model.where(F.col("order") <= LOW).toArrow()  # 2^16 + 2^8 rows at most for each model
-    of = [np.asarray(rows.column(c)) for c in ("model", "order", "gram", "own", "weight")]
-    for m in range(len(MODELS)):
-        p = np.full(1, 1.0 / 256)
-        for order in range(1, LOW + 1):
-            pick = (of[0] == m) & (of[1] == order)
-            own, weight = np.zeros(1 << (8 * order)), np.ones(1 << (8 * order - 8))
-            own[of[2][pick]] = of[3][pick]
-            weight[of[2][pick] >> 8] = of[4][pick]
-            p = own + np.repeat(weight, 256) * (p[np.arange(len(own)) & (len(p) - 1)])
-        out.append(p)
-    return out
+            yield from tell(key, held)
 
+    rows = texts.mapInArrow(count, COUNTS).repartition(shards, "shard").sortWithinPartitions("shard", "model")
+    return kept_as_table(rows.mapInArrow(merge, COUNTS), "counts")
 
-def packed(x: np.ndarray) -> bytes:
-    """Numbers, with equal bytes of all beside each other, compressed."""
-    return zstandard.compress(np.ascontiguousarray(x.view(np.uint8).reshape(len(x), -1).T).tobytes(), 1)
 
+@dataclass
+class Model:
+    """Counts by shard (shard, model, grams, counts), the number of shards, and for each model the discounts by order and the probabilities of pairs."""
 
-def unpacked(body: bytes, kind: str) -> np.ndarray:
-    size = np.dtype(kind).itemsize
-    return np.ascontiguousarray(np.frombuffer(zstandard.decompress(body), np.uint8).reshape(size, -1).T).view(kind).reshape(-1)
+    counts: DataFrame
+    shards: int
+    discounts: list[list[list[float]]]
+    low: list[np.ndarray]
 
 
 class Shard:
-    """The counts of a shard: for each model and order above LOW the n-grams, their own probabilities, the contexts and their weights."""
+    """The orders above LOW of a shard: for each model and order the n-grams, their own probabilities, the contexts and their weights."""
 
-    def __init__(self, model: np.ndarray, order: np.ndarray, gram: np.ndarray, own: np.ndarray, weight: np.ndarray):
+    def __init__(self, counts: dict[int, tuple[np.ndarray, np.ndarray]], d: list[list[list[float]]]):
         self.of = {}
-        for m in range(len(MODELS)):
-            for k in range(LOW + 1, ORDER + 1):
-                a, b = np.searchsorted(model * 16 + order, [m * 16 + k, m * 16 + k + 1])
-                g = gram[a:b].view(U)
-                context = g >> U(8)
-                new = np.flatnonzero(np.r_[True, context[1:] != context[:-1]]) if len(g) else np.empty(0, np.int64)
-                self.of[m, k] = g, own[a:b], context[new], weight[a:b][new]
+        for m, (g, n) in counts.items():
+            for order, h, k in levels(g, n):
+                own, first, weight = smoothed(k, h >> U(8), d[m][order])
+                self.of[m, order] = h, own, (h >> U(8))[first], weight
 
     def logs(self, g: np.ndarray, low: list[np.ndarray]) -> np.ndarray:
         """Natural logarithms of each model's probability of n-grams, as rows."""
@@ -168,9 +233,9 @@ class Shard:
         for m, p in enumerate(low):
             p = p[(g & U(0xFFFF)).astype(np.int64)]
             for k in range(LOW + 1, ORDER + 1):
-                grams_, own, contexts, weight = self.of[m, k]
-                if not len(grams_):
+                if (m, k) not in self.of:
                     continue
+                grams_, own, contexts, weight = self.of[m, k]
                 now = g & U((1 << (8 * k)) - 1)
                 at = np.minimum(np.searchsorted(grams_, now), len(grams_) - 1)
                 a = np.where(grams_[at] == now, own[at], 0.0)
@@ -181,29 +246,9 @@ class Shard:
         return out
 
 
-def shard_rows(model: DataFrame, shards: int) -> DataFrame:
-    """(shard, body): each shard's counts in pieces of sorted rows."""
-
-    def number(g: pa.Array) -> pa.Array:
-        return pa.array(shard_of(g.to_numpy().view(U), shards))
-
-    def pack(batches):
-        for b in batches:
-            if not b.num_rows:
-                continue
-            shard = np.asarray(b.column("shard"))
-            edge = np.flatnonzero(np.r_[True, shard[1:] != shard[:-1], True])
-            for a, z in zip(edge, edge[1:]):
-                part = pa.RecordBatch.from_arrays([b.column(c).slice(a, z - a) for c in ("model", "order", "gram", "own", "weight")], ["model", "order", "gram", "own", "weight"])
-                yield pa.record_batch([pa.array([int(shard[a])], pa.int64()), pa.array([ipc(part)], pa.binary())], ["shard", "body"])
-
-    rows = model.where(F.col("order") > LOW).withColumn("shard", F.arrow_udf(number, "long")("gram"))
-    return cut(rows.repartition(shards, "shard").sortWithinPartitions("shard", "model", "order", "gram").mapInArrow(pack, "shard long, body binary"))
-
-
 def ipc(batch: pa.RecordBatch) -> bytes:
     sink = pa.BufferOutputStream()
-    with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", 3))) as w:
+    with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", 6))) as w:
         w.write_batch(batch)
     return sink.getvalue().to_pybytes()
 
@@ -280,17 +325,15 @@ def scores(t: pa.Table, g: np.ndarray, logs: np.ndarray, toxic: bool) -> pa.Reco
     return pa.record_batch([*(batch.column(x) for x in names), pa.array(p, pa.float64()), pa.array(c, pa.float64(), from_pandas=True)], [*names, "perplexity", "contrast"])
 
 
-def score(docs: DataFrame, model: DataFrame, keep: tuple[str, ...] = ("doc_id", "lang")) -> DataFrame:
-    """Kept columns, perplexity and contrast of each document under model (model, order, gram, own, weight)."""
+def score(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id", "lang")) -> DataFrame:
+    """Kept columns, perplexity and contrast of each document."""
     session = docs.sparkSession
-    stats = model.agg(F.count("*"), F.max("model")).first()
-    shards = max(64, math.ceil(stats[0] / SHARD))
-    toxic = stats[1] == 1
+    shards, toxic = model.shards, len(model.low) > 1
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    salts = max(1, math.ceil(size / 10 / shards / ASKED))  # blocks ask for a tenth of their bytes, about
-    low = session.sparkContext.broadcast(low_orders(model))
+    salts = max(1, math.ceil(size / 25 / shards / ASKED))  # large blocks ask for one in 25 of their bytes, about
+    sent = session.sparkContext.broadcast((model.low, model.discounts))
     first = (F.col("shard") * salts).cast("int")
-    counted = shard_rows(model, shards).select(F.explode(F.sequence(first, first + (salts - 1))).alias("part"), F.lit(0).alias("kind"), F.lit(0).cast("long").alias("block"), "body")
+    counts = model.counts.select(F.explode(F.sequence(first, first + (salts - 1))).alias("part"), F.lit(0).alias("kind"), F.col("model").cast("long").alias("block"), "grams", "counts")
     # Both sides read the same exchange: the blocks are made once.
     dealt = blocks(docs.select(*keep, "text"), shards, salts).repartition(int(session.conf.get("spark.sql.shuffle.partitions")), "block")
 
@@ -298,25 +341,25 @@ def score(docs: DataFrame, model: DataFrame, keep: tuple[str, ...] = ("doc_id",
         for b in batches:
             for name, asked in zip(b.column("block").to_pylist(), b.column("requests").to_pylist()):
                 n = len(asked)
-                yield pa.record_batch([pa.array([x["part"] for x in asked], pa.int32()), pa.array([1] * n, pa.int32()), pa.array([name] * n, pa.int64()), pa.array([x["body"] for x in asked], pa.binary())], ["part", "kind", "block", "body"])
+                yield pa.record_batch([pa.array([x["part"] for x in asked], pa.int32()), pa.array([1] * n, pa.int32()), pa.array([name] * n, pa.int64()), pa.array([x["body"] for x in asked], pa.binary()), pa.nulls(n, pa.binary())], ["part", "kind", "block", "grams", "counts"])
 
     def answer(batches):
-        part, pieces, shard = None, [], None
+        low, d = sent.value
+        part, held, shard = None, {}, None
         for b in batches:
-            for p, kind, name, body in zip(*(b.column(c).to_pylist() for c in ("part", "kind", "block", "body"))):
+            for p, kind, name, g, n in zip(*(b.column(c).to_pylist() for c in ("part", "kind", "block", "grams", "counts"))):
                 if p != part:
-                    part, pieces, shard = p, [], None
+                    part, held, shard = p, {}, None
+                g = np.cumsum(unpacked(g, "<u8"), dtype=U)
                 if kind == 0:
-                    pieces.append(from_ipc(body))
+                    held[name] = g, unpacked(n, "<i8")
                     continue
                 if shard is None:
-                    t = pa.concat_tables(pieces).sort_by([("model", "ascending"), ("order", "ascending"), ("gram", "ascending")]) if pieces else None
-                    shard, pieces = Shard(*((np.asarray(t.column(c)) for c in ("model", "order", "gram", "own", "weight")) if t else (np.empty(0, np.int64),) * 5)), []
-                logs = shard.logs(np.cumsum(unpacked(body, "<u8"), dtype=U), low.value[: 1 + toxic])
-                yield pa.record_batch([pa.array([name], pa.int64()), pa.array([p], pa.int32()), pa.array([packed(logs.reshape(-1))], pa.binary())], ["block", "part", "body"])
+                    shard, held = Shard(held, d), {}
+                yield pa.record_batch([pa.array([name], pa.int64()), pa.array([p], pa.int32()), pa.array([packed(shard.logs(g, low).reshape(-1))], pa.binary())], ["block", "part", "body"])
 
-    asked = dealt.mapInArrow(ask, "part int, kind int, block long, body binary")
-    rows = counted.union(asked).repartition(shards * salts, "part").sortWithinPartitions("part", "kind")
+    asked = dealt.mapInArrow(ask, "part int, kind int, block long, grams binary, counts binary")
+    rows = counts.union(asked).repartition(shards * salts, "part").sortWithinPartitions("part", "kind")
     answers = rows.mapInArrow(answer, "block long, part int, body binary").groupBy("block").agg(F.collect_list(F.struct("part", "body")).alias("answers"))
 
     def tell(batches):
@@ -334,23 +377,65 @@ def score(docs: DataFrame, model: DataFrame, keep: tuple[str, ...] = ("doc_id",
     return dealt.join(answers, "block", "left").mapInArrow(tell, ", ".join([*(f"`{c}` {kinds[c]}" for c in keep), "perplexity double, contrast double"]))
 
 
-def train(docs: DataFrame, trusted: DataFrame, toxic: DataFrame) -> DataFrame:
-    """(model, order, gram, own, weight) of the texts of documents whose doc_id is in trusted (model 0) or toxic (model 1)."""
-    ids = cut(trusted.select("doc_id", F.lit(0).alias("model")).union(toxic.select("doc_id", F.lit(1).alias("model"))))
-    bits = docs.sparkSession.sparkContext.broadcast(sieve(ids.select(F.xxhash64("doc_id").alias("node"))))
+def labelled(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """(model, text) of the documents in ids (doc_id, model): by a sorted list of ids where these are at most ``SENT``, else by a shuffle of the texts that a bit array lets pass."""
+    sc = docs.sparkSession.sparkContext
+    texts = docs.where("doc_id is not null").select("doc_id", "text")
+    if isinstance(docs.schema["doc_id"].dataType, (T.LongType, T.IntegerType)) and ids.count() <= SENT:
+        found = ids.toArrow()
+        own, models = np.asarray(found.column("doc_id"), np.int64), np.asarray(found.column("model"), np.int32)
+        order = np.argsort(own)
+        sent = sc.broadcast((own[order], models[order]))
+
+        def model_of(rows: pa.Array) -> pa.Array:
+            own, models = sent.value
+            if not len(own):
+                return pa.nulls(len(rows), pa.int32())
+            rows = rows.to_numpy()
+            at = np.minimum(np.searchsorted(own, rows), len(own) - 1)
+            return pa.array(models[at], pa.int32(), mask=own[at] != rows)
+
+        return texts.select(F.arrow_udf(model_of, "int")(F.col("doc_id").cast("long")).alias("model"), "text").where("model is not null")
+    bits = sc.broadcast(sieve(ids.select(F.xxhash64("doc_id").alias("node"))))
 
     def passes(h: pa.Array) -> pa.Array:
         low = h.to_numpy() & (8 * len(bits.value) - 1)
         return pa.array((bits.value[low >> 3] >> (7 - (low & 7)).astype(np.uint8)) & 1 == 1)
 
-    some = docs.where("doc_id is not null").select("doc_id", "text").where(F.arrow_udf(passes, "boolean")(F.xxhash64("doc_id")))
-    # Always by a shuffle: the ids grow with the labels, so a plan that broadcasts few of them says nothing of many.
-    labelled = some.join(ids.hint("merge"), "doc_id")
-    out = None
-    for m in range(len(MODELS)):
-        rows = levels(counts(labelled.where(F.col("model") == m))).select(F.lit(m).alias("model"), "*")
-        out = rows if out is None else out.union(rows)
-    return cut(out)
+    return texts.where(F.arrow_udf(passes, "boolean")(F.xxhash64("doc_id"))).join(ids.hint("merge"), "doc_id").select("model", "text")
+
+
+def train(docs: DataFrame, trusted: DataFrame, toxic: DataFrame) -> Model:
+    """The models of the texts of documents whose doc_id is in trusted, and, if there are any, in toxic."""
+    ids = cut(trusted.select("doc_id", F.lit(0).alias("model")).union(toxic.select("doc_id", F.lit(1).alias("model"))))
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    shards = min(4096, max(64, math.ceil(size / SHARD)))
+    rows = counted(labelled(docs, ids), shards)
+
+    def stats(kind: str) -> dict[tuple[int, int], int]:
+        """Sums over all shards, by model and place."""
+
+        def tell(batches):
+            for b in batches:
+                for model, g, n in zip(*(b.column(c).to_pylist() for c in ("model", "grams", "counts"))):
+                    n = unpacked(n, "<i8")
+                    g = np.cumsum(unpacked(g, "<u8"), dtype=U) if kind == "pairs" else np.arange(len(n))
+                    yield pa.record_batch([pa.array(np.full(len(n), model, np.int32)), pa.array(g.astype(np.int64)), pa.array(n)], ["model", "place", "n"])
+
+        found = rows.where(F.col("kind") == kind).select("model", "grams", "counts").mapInArrow(tell, "model int, place long, n long").groupBy("model", "place").agg(F.sum("n").alias("n"))
+        return {(m, k): n for m, k, n in found.collect()}  # 2^16 for each model at most
+
+    pairs, n = stats("pairs"), stats("few")
+    models = 1 + max([m for m, _ in pairs], default=0)
+    low = []
+    for m in range(models):
+        count = np.zeros(1 << 16, np.int64)
+        own = [(k, v) for (x, k), v in pairs.items() if x == m]
+        if own:
+            count[[k for k, _ in own]] = [v for _, v in own]
+        low.append(low_order(count))
+    of = [[discounts(*(n.get((m, 4 * order + i), 0) for i in range(4))) for order in range(ORDER + 1)] for m in range(models)]
+    return Model(rows.where("kind = 'counts'").drop("kind"), shards, of, low)
 
 
 def by_label(labels: DataFrame) -> tuple[DataFrame, DataFrame]:

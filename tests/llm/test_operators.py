@@ -293,13 +293,17 @@ def test_languages(spark):
 # Quality
 
 
+def symbols(text):
+    return [quality.START] * (quality.ORDER - 1) + [48 if chr(b) in "0123456789" else 32 if chr(b) in "\t\n\v\f\r" else b for b in (text or "").encode()] + [quality.END]
+
+
 def brute_model(texts):
     """Interpolated modified Kneser-Ney in dictionaries."""
     o = quality.ORDER
     counts = [None] * (o + 1)
     top = {}
     for t in texts:
-        c = [0] * (o - 1) + [int(quality.CLASS[b]) for b in t.encode()] + [0]
+        c = symbols(t)
         for i in range(len(c) - o + 1):
             g = tuple(c[i : i + o])
             top[g] = top.get(g, 0) + 1
@@ -324,7 +328,7 @@ def brute_model(texts):
     def p(g):
         k = len(g)
         if k == 0:
-            return 1 / quality.CLASSES
+            return 1 / 256
         if (k, g[:-1]) not in total:
             return p(g[1:])
         v = counts[k].get(g, 0)
@@ -333,25 +337,59 @@ def brute_model(texts):
     return p
 
 
-def test_kneser_ney_against_brute_force(spark):
+def test_scores_against_brute_force(spark, monkeypatch):
     texts = ["the cat sat on the mat", "the dog sat on the log.", "a cat, a dog; 12 of them", "THE END", "über"] * 3 + ["one more line of words"]
-    df = documents(spark, list(enumerate(texts)))
-    logs = quality.kneser_ney(quality.counts(df))
-    p = brute_model(texts)
-    grams = np.random.default_rng(0).integers(0, quality.TABLE, 200).tolist() + quality.grams(np.frombuffer(b"the cat", np.uint8), np.array([0, 7]))[0].tolist()
-    for g in grams:
-        parts = tuple(g >> (quality.BITS * k) & (quality.CLASSES - 1) for k in range(quality.ORDER - 1, -1, -1))
-        assert logs[g] == pytest.approx(np.log(p(parts)), abs=1e-4)
-    total = np.exp(logs.astype(float)).reshape(-1, quality.CLASSES).sum(axis=1)
-    assert np.abs(total - 1).max() < 1e-4
+    abuse = ["the cat is an idiot", "a dog sat on the idiot", "idiot"]
+    others = [None, "", "a new text, with words that were not there", "日本語 \t\n 99", "the idiot sat", "x" * 300, "the cat sat on the mat"]
+    rows = list(enumerate(texts + abuse + others))
+    df = documents(spark, rows)
+    ids = spark.createDataFrame([(i,) for i in range(len(rows))], "doc_id long")
+    n, m = len(texts), len(texts) + len(abuse)
+    monkeypatch.setattr(quality, "BLOCK", 100)  # many blocks
+    model = quality.train(df, ids.where(f"doc_id < {n}"), ids.where(f"doc_id >= {n} and doc_id < {m}"))
+    assert model.shards == 64
+    monkeypatch.setattr(quality, "SENT", 0)  # labelled texts by a shuffle
+    monkeypatch.setattr(quality, "ASKED", 0.1)  # three parts for each shard
+    again = quality.train(df, ids.where(f"doc_id < {n}"), ids.where(f"doc_id >= {n} and doc_id < {m}"))
+    for got in (quality.score(df, model).collect(), quality.score(df.repartition(5), again, ("doc_id", "lang", "fp")).collect()):
+        assert len(got) == len(rows)
+        clean, toxic = brute_model(texts), brute_model(abuse)
+        for r in got:
+            c = symbols(dict(rows)[r.doc_id])
+            logs = [[np.log(p(tuple(c[i : i + quality.ORDER]))) for i in range(len(c) - quality.ORDER + 1)] for p in (clean, toxic)]
+            assert r.perplexity == pytest.approx(np.exp(-np.mean(logs[0])), rel=2e-3)
+            more = np.subtract(logs[1], logs[0])
+            assert r.contrast == pytest.approx(max(more[max(0, i + 1 - quality.RUN) : i + 1].sum() for i in range(len(more))), abs=0.05)
+    only = quality.train(df, ids.where(f"doc_id < {n}"), ids.where("false"))
+    assert {r.contrast for r in quality.score(df, only).collect()} == {None}
+
+
+def test_probabilities_sum_to_one(spark):
+    df = documents(spark, [(1, "the cat sat on the mat and the dog sat on the log"), (2, "a cat and a dog")])
+    ids = spark.createDataFrame([(1,), (2,)], "doc_id long")
+    model = quality.train(df, ids, ids.where("false"))
+    rows = model.counts.collect()
+    for context in (b"the c", b" on t", b"zzzzz", b"a dog"):
+        g = np.array([int.from_bytes(context + bytes([x]), "big") for x in range(256)], np.uint64)
+        own = {r.model: (np.cumsum(quality.unpacked(r.grams, "<u8"), dtype=np.uint64), quality.unpacked(r.counts, "<i8")) for r in rows if r.shard == quality.shard_of(g, model.shards)[0]}
+        assert np.exp(quality.Shard(own, model.discounts).logs(g, model.low).astype(float)).sum() == pytest.approx(1, abs=0.01)
+
+
+def test_changed_sources_are_told():
+    batch = pa.table({"doc_id": [1], "text": ["abc"]})
+    g = np.unique(quality.grams(np.frombuffer(b"abc", np.uint8), np.array([0, 3]))[0])
+    assert quality.unpacked(quality.packed(g), "<u8").tolist() == g.tolist()
+    assert quality.from_ipc(quality.ipc(batch.to_batches()[0])).equals(batch)
 
 
 def test_classifier(spark):
-    good = [(i, "plain words in a row and more of them " * (1 + i % 3)) for i in range(20, 60)]
-    df = documents(spark, ODD + good + [(70, "Z#9*" * 60)])
-    labels = spark.createDataFrame([(i, 1, 0) for i, _ in good] + [(70, 0, 0), (4, 1, 1), (None, 1, 0), (20, 1, 0)], "doc_id long, quality int, toxic int")
+    good = [(i, "plain words in a row and more of them " * (1 + i % 3)) for i in range(20, 80)]
+    bad = [(i, "plain words in a row and more of them, you idiot " + "plain words in a row " * 9) for i in range(100, 110)]
+    df = documents(spark, ODD + good + bad + [(90, "Z#9*" * 60)])
+    labels = spark.createDataFrame([(i, 1, 0) for i, _ in good] + [(i, 1, 1) for i, _ in bad[:6]] + [(90, 0, 0), (None, 1, 0), (20, 1, 0)], "doc_id long, quality int, toxic int")
     got = {r.doc_id: r for r in quality.classify(df, labels).collect()}
-    assert all(got[i].keep for i, _ in good) and not got[70].keep
+    assert len(got) == len({i for i, _ in ODD + good + bad}) + 1
+    assert all(got[i].keep for i, _ in good) and not got[90].keep and not any(got[i].keep for i, _ in bad)
     assert all(r.keep for r in quality.classify(df, labels.where("false")).collect())
     assert quality.classify(df.where("false"), labels).count() == 0
 
