@@ -137,23 +137,33 @@ def low_order(n: np.ndarray) -> np.ndarray:
 COUNTS = "shard long, model int, kind string, grams binary, counts binary"
 
 
-def counted(texts: DataFrame, shards: int, flush: int = 1 << 25) -> DataFrame:
+def distinct(g: np.ndarray) -> np.ndarray:
+    """Sorted distinct numbers."""
+    g = np.sort(g)
+    return g[np.r_[True, g[1:] != g[:-1]]] if len(g) else g
+
+
+def summed(g: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct numbers, and the sums of what is beside each."""
+    order = np.argsort(g)
+    g, n = g[order], n[order]
+    first = np.flatnonzero(np.r_[True, g[1:] != g[:-1]])
+    return g[first], np.add.reduceat(n, first)
+
+
+def counted(texts: DataFrame, shards: int, flush: int = 1 << 22) -> DataFrame:
     """Counts of the n-grams of texts (model, text) by shard and model, and of kind "few" and "pairs" what shards know of the counts of counts and of pairs of bytes.
 
-    A task sends an n-gram once for each flush bytes; a shard's counts are merged a few million at a time.
+    A task sends an n-gram once for each flush of them; a shard's counts are merged about a million at a time.
     """
     schema = pa.schema([("shard", pa.int64()), ("model", pa.int32()), ("kind", pa.string()), ("grams", pa.binary()), ("counts", pa.binary())])
 
-    def merged(held):
-        g, at = np.unique(np.concatenate([x for x, _ in held]), return_inverse=True)
-        return g, np.bincount(at, np.concatenate([x for _, x in held]), len(g)).astype(np.int64)
-
     def row(shard, model, kind, g, n):
         return pa.record_batch([pa.array([shard], pa.int64()), pa.array([model], pa.int32()), pa.array([kind]), pa.array([packed(np.diff(g, prepend=U(0)))], pa.binary()), pa.array([packed(n.astype("<i8"))], pa.binary())], schema=schema)
 
     def count(batches):
         def tell(model, held):
-            g, n = merged(held)
+            g, n = np.unique(np.concatenate(held), return_counts=True)
             shard = shard_of(g, shards)
             order = np.argsort(shard, kind="stable")
             g, n, shard = g[order], n[order], shard[order]
@@ -161,25 +171,23 @@ def counted(texts: DataFrame, shards: int, flush: int = 1 << 25) -> DataFrame:
             for a, z in zip(edge, edge[1:]):
                 yield row(int(shard[a]), model, "counts", g[a:z], n[a:z])
 
-        held, size = [[] for _ in MODELS], 0
+        held, size = [[] for _ in MODELS], [0 for _ in MODELS]
         for b in batches:
             model = np.asarray(b.column("model"))
             for m in range(len(MODELS)):
                 for _, _, data, offs in slices(b.filter(pa.array(model == m)).column("text")):
-                    held[m].append(np.unique(grams(data, offs)[0], return_counts=True))
-                    size += len(data)
-            if size >= flush:
-                for m, x in enumerate(held):
-                    if x:
-                        yield from tell(m, x)
-                held, size = [[] for _ in MODELS], 0
+                    held[m].append(grams(data, offs)[0])
+                    size[m] += len(held[m][-1])
+                    if size[m] >= flush:
+                        yield from tell(m, held[m])
+                        held[m], size[m] = [], 0
         for m, x in enumerate(held):
             if x:
                 yield from tell(m, x)
 
     def merge(batches):
         def tell(key, held):
-            g, n = merged(held)
+            g, n = summed(*(np.concatenate(x) for x in zip(*held)))
             yield row(*key, "counts", g, n)
             of = np.zeros((ORDER + 1, 4), np.int64)
             for order, h, k in levels(g, n):
@@ -197,9 +205,8 @@ def counted(texts: DataFrame, shards: int, flush: int = 1 << 25) -> DataFrame:
                 key = shard, model
                 held.append((np.cumsum(unpacked(g, "<u8"), dtype=U), unpacked(n, "<i8")))
                 size += len(held[-1][0])
-                if size > 1 << 22:
-                    held = [merged(held)]
-                    size = 0
+                if size > 1 << 20:
+                    held, size = [summed(*(np.concatenate(x) for x in zip(*held)))], 0
         if held:
             yield from tell(key, held)
 
@@ -265,8 +272,7 @@ def blocks(docs: DataFrame, shards: int, salts: int) -> DataFrame:
 
         def tell():
             t = pa.Table.from_batches(held).combine_chunks()
-            g = np.concatenate([np.unique(grams(data, offs)[0]) for _, _, data, offs in slices(t.column("text"))])
-            g = np.unique(g)
+            g = distinct(np.concatenate([distinct(grams(data, offs)[0]) for _, _, data, offs in slices(t.column("text"))]))
             body = ipc(t.to_batches()[0])
             name = xxhash.xxh64_intdigest(body)
             shard = shard_of(g, shards)
@@ -297,18 +303,30 @@ def blocks(docs: DataFrame, shards: int, salts: int) -> DataFrame:
 
 def scores(t: pa.Table, g: np.ndarray, logs: np.ndarray, toxic: bool) -> pa.RecordBatch:
     """Rows of a block with their perplexity and contrast, from the logarithms of its sorted distinct n-grams."""
-    # A table of places by hash finds most n-grams at once; the others are searched.
+    # Two tables of places by hashes find nearly all n-grams; the others are searched.
     bits = max(10, int(len(g) * 2).bit_length())
-    place = lambda x: ((x * U(0x9E3779B97F4A7C15)) >> U(64 - bits)).astype(np.int64)
-    table = np.zeros(1 << bits, np.int32)
-    table[place(g)] = np.arange(len(g))
+    places = [lambda x, k=k: ((x * U(k)) >> U(64 - bits)).astype(np.int64) for k in (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)]
+    tables, left = [], np.arange(len(g), dtype=np.int32)
+    for place in places:
+        table = np.zeros(1 << bits, np.int32)
+        h = place(g[left])
+        table[h] = left
+        tables.append(table)
+        left = left[table[h] != left]
+
+    def find(own: np.ndarray) -> np.ndarray:
+        at = tables[0][places[0](own)]
+        miss = np.flatnonzero(g[at] != own)
+        at[miss] = tables[1][places[1](own[miss])]
+        miss = miss[g[at[miss]] != own[miss]]
+        at[miss] = np.searchsorted(g, own[miss])
+        return at
+
     logs = logs.astype(np.float32)
     perplexity, contrast = [np.empty(0)], [np.empty(0)]
     for _, _, data, offs in slices(t.column("text")):
         own, first = grams(data, offs)
-        at = table[place(own)]
-        miss = np.flatnonzero(g[at] != own)
-        at[miss] = np.searchsorted(g, own[miss])
+        at = find(own)
         total = np.concatenate([[0.0], np.cumsum(logs[0][at], dtype=np.float64)])
         n = np.diff(first)
         perplexity.append(np.exp(-(total[first[1:]] - total[first[:-1]]) / n))
