@@ -11,6 +11,7 @@ from dataclasses import dataclass, field
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from ..errors import AlignmentError, require
 from ..functions.tolerance import near, near_each
@@ -617,27 +618,67 @@ HISTORY = "recording_id long, history_index int, eeg_chunk_index int, edf_chunk_
 SUMMARY = "recording_id long, status string, outcome string, startup string, initial_reason string, eeg_anchor int, edf_anchor int, matched int, initial_matched int, requires_relock boolean, terminal_relation string, terminal_eeg int, terminal_edf int, terminal_common int, n_missing int, error string"
 
 
+GAPS = "recording_id long, interruption_index int, group int, status string, excluded boolean, eeg_start int, eeg_end int, edf_start int, edf_end int"
+MISSING = "recording_id long, missing_index int, system string, eeg_chunk_index int, edf_chunk_index int, start_event_index int, start_latency long, start_time_sec double, end_event_index int, end_latency long, end_time_sec double, reason string"
+
+
+def with_marks(eeg: DataFrame, interruptions: DataFrame | None, startup: DataFrame | None) -> DataFrame:
+    """EEG triggers with a recording's marked interruptions and start-up counts as rows of other kinds, so that all meet in one group.
+
+    interruptions: recording_id, eeg_start_anchor_event_index, eeg_end_anchor_event_index (null where open), as ``interruption_anchors`` gives them, and
+    problem where a pair is invalid. startup: recording_id, validations, before_last, as ``startup_counts`` gives them.
+    """
+    none = F.lit(None).cast("int")
+    out = eeg.select("recording_id", F.lit("event").alias("row"), F.col("event_index").cast("long"), F.col("latency").cast("double").alias("latency"), F.col("type").cast("string").alias("type"), none.alias("a"), none.alias("b"))
+    if interruptions is not None:
+        problem = F.col("problem") if "problem" in interruptions.columns else F.lit(None).cast("string")
+        out = out.unionByName(interruptions.select("recording_id", F.lit("gap").alias("row"), F.lit(0).cast("long").alias("event_index"), F.lit(0.0).alias("latency"), problem.alias("type"), F.col("eeg_start_anchor_event_index").cast("int").alias("a"), F.col("eeg_end_anchor_event_index").cast("int").alias("b")))
+    if startup is not None:
+        out = out.unionByName(startup.select("recording_id", F.lit("startup").alias("row"), F.lit(0).cast("long").alias("event_index"), F.lit(0.0).alias("latency"), F.lit("").alias("type"), F.col("validations").cast("int").alias("a"), F.col("before_last").cast("int").alias("b")))
+    return out
+
+
 def sides(eeg: pd.DataFrame, edf: pd.DataFrame, eeg_rate: float, edf_rate: float) -> tuple[Side, Side]:
     make = lambda name, p, rate: Side(name, p.sort_values("event_index")["latency"].to_numpy(float), list(p.sort_values("event_index")["type"]), rate)
     return make("eeg", eeg, eeg_rate), make("edf", edf, edf_rate)
 
 
-def match_recordings(eeg: DataFrame, edf: DataFrame, eeg_rate: float, edf_rate: float, what: str = "summary") -> DataFrame:
-    """The summary or history of every recording; a recording that violates a contract has its identifier as error."""
+def match_group(a: pd.DataFrame, b: pd.DataFrame, eeg_rate: float, edf_rate: float) -> tuple[Result, Side, Side]:
+    """The pairing of one recording: a as ``with_marks`` gives it, b the EDF triggers."""
+    events, marks, counts = (a[a["row"] == k] for k in ("event", "gap", "startup"))
+    require(len(events) > 0 and len(b) > 0, "match_triggers:MissingRecording")
+    bad = sorted(marks["type"].dropna())
+    require(not bad, "extract_triggers:MalformedAmplifierSequence", ", ".join(bad))
+    whole = lambda x: None if pd.isna(x) else int(x)
+    gaps = sorted((Gap(whole(x), whole(y)) for x, y in zip(marks["a"], marks["b"])), key=lambda g: (g.start is not None, g.start or 0, g.end is None, g.end or 0))
+    require(len(counts) <= 1, "match_triggers:InvalidStartupMetadata")
+    options = {"validations": whole(counts["a"].iloc[0]), "before_last": whole(counts["b"].iloc[0]) or 0} if len(counts) else {}
+    x, y = sides(events, b, eeg_rate, edf_rate)
+    return match(x, y, gaps, **options), x, y
+
+
+def match_recordings(eeg: DataFrame, edf: DataFrame, eeg_rate: float, edf_rate: float, what: str = "summary", interruptions: DataFrame | None = None, startup: DataFrame | None = None) -> DataFrame:
+    """The summary, history, missing spans, or interruptions of every recording; a recording that violates a contract has its identifier as error of the summary.
+
+    interruptions and startup are those of ``with_marks``; without startup a recording's validation counts are unknown.
+    """
+    schema = {"summary": SUMMARY, "history": HISTORY, "missing": MISSING, "interruptions": GAPS}[what]
 
     def run(key, a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
         error, r = None, Result(status="failed")
         try:
-            require(len(a) > 0 and len(b) > 0, "match_triggers:MissingRecording")
-            r = match(*sides(a, b, eeg_rate, edf_rate))
+            r = match_group(a, b, eeg_rate, edf_rate)[0]
         except AlignmentError as x:
             error = x.identifier
         if what == "history":
             rows = [{"recording_id": key[0], "history_index": k + 1, **h} for k, h in enumerate(r.history)]
+        elif what == "missing":
+            rows = [{"recording_id": key[0], "missing_index": k + 1, **m} for k, m in enumerate(r.missing)]
+        elif what == "interruptions":
+            rows = [{"recording_id": key[0], "interruption_index": k + 1, "group": g.group, "status": g.status, "excluded": g.excluded, "eeg_start": g.start, "eeg_end": g.end, "edf_start": g.edf_start, "edf_end": g.edf_end} for k, g in enumerate(r.gaps)]
         else:
             rows = [{"recording_id": key[0], **{f: getattr(r, f) for f in ("status", "outcome", "startup", "initial_reason", "eeg_anchor", "edf_anchor", "matched", "initial_matched", "requires_relock", "terminal_relation", "terminal_eeg", "terminal_edf", "terminal_common")}, "n_missing": len(r.missing), "error": error}]
-        names = [x.split()[0] for x in (HISTORY if what == "history" else SUMMARY).split(", ")]
-        return pd.DataFrame(rows, columns=names)
+        out = pd.DataFrame(rows, columns=[x.split()[0] for x in schema.split(", ")])
+        return out.astype({c: "Int64" for c, kind in (x.split() for x in schema.split(", ")) if kind in ("int", "long")})
 
-    schema = HISTORY if what == "history" else SUMMARY
-    return eeg.groupBy("recording_id").cogroup(edf.groupBy("recording_id")).applyInPandas(run, schema)
+    return with_marks(eeg, interruptions, startup).groupBy("recording_id").cogroup(edf.groupBy("recording_id")).applyInPandas(run, schema)

@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 
 from ..errors import AlignmentError, require
-from .matcher import Result, Side, ends, match, prefix, same_one, sides
+from .matcher import Result, Side, ends, match_group, prefix, same_one, with_marks
 
 COLUMNS = "segment_index int, eeg_duration_sec double, edf_duration_sec double, edf_minus_eeg_sec double, clock_drift_r_squared double, clock_drift_max_abs_residual_sec double, start_eeg_chunk int, start_edf_chunk int, start_interval int, end_eeg_chunk int, end_edf_chunk int, end_interval int, eeg_start_sample long, eeg_end_sample long, edf_start_sample long, edf_end_sample long"
 
@@ -160,19 +160,20 @@ def extract(r: Result, eeg: Side, edf: Side) -> list[dict]:
     return out
 
 
-def segment_recordings(eeg: DataFrame, edf: DataFrame, eeg_rate: float, edf_rate: float) -> DataFrame:
-    """Trusted segments of every recording; a recording that violates a contract gives one row with its identifier as error."""
+def segment_recordings(eeg: DataFrame, edf: DataFrame, eeg_rate: float, edf_rate: float, interruptions: DataFrame | None = None, startup: DataFrame | None = None) -> DataFrame:
+    """Trusted segments of every recording; a recording that violates a contract gives one row with its identifier as error.
+
+    interruptions and startup are those of ``matcher.with_marks``.
+    """
     names = [x.split()[0] for x in COLUMNS.split(", ")]
 
     def run(key, a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
         try:
-            require(len(a) > 0 and len(b) > 0, "match_triggers:MissingRecording")
-            e, f = sides(a, b, eeg_rate, edf_rate)
-            rows = extract(match(e, f), e, f)
+            rows = extract(*match_group(a, b, eeg_rate, edf_rate))
         except AlignmentError as x:
             rows = [{"error": x.identifier}]
         whole = [x.split()[0] for x in COLUMNS.split(", ") if not x.endswith("double")]
         out = pd.DataFrame([{"recording_id": key[0], "error": None, **r} for r in rows], columns=["recording_id", *names, "error"])
         return out.astype({**{n: "float64" for n in names if n not in whole}, **{n: "Int64" for n in whole}, "error": "object"})
 
-    return eeg.groupBy("recording_id").cogroup(edf.groupBy("recording_id")).applyInPandas(run, f"recording_id long, {COLUMNS}, error string")
+    return with_marks(eeg, interruptions, startup).groupBy("recording_id").cogroup(edf.groupBy("recording_id")).applyInPandas(run, f"recording_id long, {COLUMNS}, error string")

@@ -90,6 +90,31 @@ def clean_triggers(events: DataFrame, order: str = "event_index") -> DataFrame:
     return kept.withColumn("event_index", F.row_number().over(Window.partitionBy("recording_id").orderBy(order)))
 
 
+def startup_counts(events: DataFrame, kept: DataFrame, order: str = "event_index") -> DataFrame:
+    """Validation sequences of each recording, and the kept triggers before the last of them.
+
+    events: all triggers as coded, kept: those of ``clean_triggers``.
+    """
+    found = validation_sequences(relabel(events, order), order)
+    last = found.groupBy("recording_id").agg(F.count("*").alias("validations"), F.max("start_latency").alias("_at"))
+    told = events.select("recording_id").distinct().join(last, "recording_id", "left")
+    before = kept.join(last, "recording_id").where("latency < _at").groupBy("recording_id").agg(F.count("*").alias("before_last"))
+    return told.join(before, "recording_id", "left").select("recording_id", F.coalesce("validations", F.lit(0)).cast("int").alias("validations"), F.coalesce("before_last", F.lit(0)).cast("int").alias("before_last"))
+
+
+def event_problems(events: DataFrame, order: str = "event_index") -> DataFrame:
+    """Recordings whose EEG candidates do not start with the seven validation codes, or hold other types than 63 and 64 after them: recording_id, error.
+
+    events: recording_id, event_index, type of all candidates.
+    """
+    w = Window.partitionBy("recording_id").orderBy(order)
+    placed = events.withColumn("_k", F.row_number().over(w))
+    lead = F.array_sort(F.collect_list(F.when(F.col("_k") <= 7, F.struct("_k", "type"))))
+    told = placed.groupBy("recording_id").agg(F.transform(lead, lambda x: x["type"]).alias("lead"), F.bool_or((F.col("_k") > 7) & ~F.col("type").isin(*CODES)).alias("other"))
+    wrong = F.when(F.col("lead") != F.array(*map(F.lit, VALIDATION)), "extract_triggers:InvalidLeadingValidation").when(F.coalesce("other", F.lit(False)), "extract_triggers:UnexpectedEEGEventType")
+    return told.select("recording_id", wrong.alias("error")).where("error is not null")
+
+
 def unexpected_types(events: DataFrame) -> DataFrame:
     """Types other than 63 and 64."""
     return events.select("recording_id", "type").distinct().where(~F.col("type").isin(*CODES))
