@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # Output labels with the source electrode of each.
@@ -66,7 +66,13 @@ def splice(aligned: DataFrame, clinical: DataFrame, faulty: DataFrame) -> DataFr
     Normal: scalp channels are aligned less aligned mastoid plus clinical mastoid; M1, M2, E1, E2 stay clinical.
     Faulty: all come from the aligned recording, E1 from VEOGL and E2 from Fp2.
     """
-    a = pivot(aligned, ELECTRODES).select("recording_id", "sample", *(F.col(c).alias(f"a_{c}") for c in ELECTRODES))
+    return splice_wide(pivot(aligned, ELECTRODES), clinical, faulty).drop("matched")
+
+
+def splice_wide(aligned: DataFrame, clinical: DataFrame, faulty: DataFrame) -> DataFrame:
+    """``splice`` of aligned samples with a column for each electrode, and matched, which is passed on."""
+    matched = F.col("matched") if "matched" in aligned.columns else F.lit(True)
+    a = aligned.select("recording_id", "sample", matched.alias("matched"), *(F.col(c).alias(f"a_{c}") for c in ELECTRODES))
     c = pivot(clinical, ("M1", "M2", "E1", "E2")).select("recording_id", "sample", *(F.col(x).alias(f"c_{x}") for x in ("M1", "M2", "E1", "E2")))
     j = c.join(a, ["recording_id", "sample"]).join(faulty.select("recording_id", "faulty"), "recording_id")
     rows = []
@@ -74,18 +80,50 @@ def splice(aligned: DataFrame, clinical: DataFrame, faulty: DataFrame) -> DataFr
         normal = F.col(f"a_{out}") - F.col(f"a_{REFERENCE[out]}") + F.col(f"c_{REFERENCE[out]}") if out in REFERENCE else F.col(f"c_{out}")
         label = f"{out} - {REFERENCE[out]} + clinical {REFERENCE[out]}" if out in REFERENCE else f"clinical {out}"
         rows.append(F.struct(F.lit(out).alias("channel"), F.when(F.col("faulty"), F.col(f"a_{FAULTY[out]}")).otherwise(normal).alias("value"), F.when(F.col("faulty"), f"aligned {FAULTY[out]}").otherwise(label).alias("derivation")))
-    return j.select("recording_id", "sample", F.inline(F.array(*rows)))
+    return j.select("recording_id", "sample", "matched", F.inline(F.array(*rows)))
 
 
 def bounds(samples: DataFrame, limits: DataFrame) -> DataFrame:
-    """Percent of matched samples strictly outside their channel's limits, and whether it fails.
+    """Percent of matched samples strictly outside their channel's limits, whether it fails, and how many of all samples are not finite.
+
+    limits: recording_id, channel, physical_min, physical_max. A channel without matched samples has no percentage and does not fail.
+    """
+    j = samples.join(limits, ["recording_id", "channel"])
+    outside = F.when((F.col("value") < F.col("physical_min")) | (F.col("value") > F.col("physical_max")), 1.0).otherwise(0.0)
+    got = j.groupBy("recording_id", "channel").agg((100 * F.avg(F.when(F.col("matched"), outside))).alias("p"), F.count_if(~finite(F.col("value"))).alias("n_bad"))
+    return got.select("recording_id", "channel", F.round("p", 3).alias("percent_outside"), F.coalesce(F.col("p") > BOUNDS_PERCENT, F.lit(False)).alias("fails"), "n_bad")
+
+
+def finite(value: Column) -> Column:
+    return value.isNotNull() & ~F.isnan(value) & (F.abs(value) != float("inf"))
+
+
+def coverage(mask: DataFrame) -> DataFrame:
+    """Matched and all samples of each recording, and the percentage: mask has recording_id, sample, matched."""
+    n = F.count_if("matched")
+    return mask.groupBy("recording_id").agg(n.alias("matched"), F.count("*").alias("total"), (100 * n / F.count("*")).alias("coverage_percent"))
+
+
+def fault_inputs(clinical: DataFrame, mask: DataFrame, headers: DataFrame | None = None, per_record: int = 256) -> DataFrame:
+    """What keeps the fault rule from being applied: recording_id, error, the first that holds.
 
-    limits: recording_id, channel, physical_min, physical_max.
+    clinical: recording_id, channel, sample, value; mask: recording_id, sample, matched; headers: recording_id, channel, unit, samples_in_record.
     """
-    j = samples.where("matched").join(limits, ["recording_id", "channel"])
-    outside = 100 * F.avg(F.when((F.col("value") < F.col("physical_min")) | (F.col("value") > F.col("physical_max")), 1.0).otherwise(0.0))
-    got = j.groupBy("recording_id", "channel").agg(outside.alias("p"), F.count_if(F.isnan("value") | F.col("value").isNull() | (F.abs("value") == float("inf"))).alias("n_bad"))
-    return got.select("recording_id", "channel", F.round("p", 3).alias("percent_outside"), (F.col("p") > BOUNDS_PERCENT).alias("fails"), "n_bad")
+    ids = mask.groupBy("recording_id").agg(F.count("*").alias("n"), F.bool_or("matched").alias("any"))
+    both = clinical.where(F.col("channel").isin("M1", "M2")).join(mask, ["recording_id", "sample"], "left")
+    told = both.groupBy("recording_id", "channel").agg(F.count("*").alias("samples"), F.count_if(F.col("matched") & ~finite(F.col("value"))).alias("bad"))
+    told = told.groupBy("recording_id").agg(F.count("*").alias("channels"), F.min("samples").alias("least"), F.max("samples").alias("most"), F.sum("bad").alias("bad"))
+    j = ids.join(told, "recording_id", "left")
+    rules = [("NoMatchedSamples", ~F.coalesce("any", F.lit(False))), ("MissingEdfChannel", F.coalesce("channels", F.lit(0)) < 2)]
+    if headers is not None:
+        h = headers.where(F.col("channel").isin("M1", "M2")).groupBy("recording_id").agg(
+            F.count_distinct("channel").alias("named"), F.count("*").alias("rows"), F.bool_or(F.col("samples_in_record") != per_record).alias("rate"), F.bool_or(F.trim("unit") != "uV").alias("dimension")
+        )
+        j = j.join(h, "recording_id", "left")
+        rules += [("DuplicateEdfChannel", F.col("rows") > F.col("named")), ("InvalidSamplingRate", F.col("rate")), ("InvalidPhysicalDimension", F.col("dimension"))]
+    rules += [("MaskLengthMismatch", (F.col("least") != F.col("n")) | (F.col("most") != F.col("n"))), ("NonfiniteMatchedSamples", F.col("bad") > 0)]
+    error = F.coalesce(*(F.when(c, f"faulty_clinical_detection:{name}") for name, c in rules))
+    return j.select("recording_id", error.alias("error")).where("error is not null")
 
 
 def header_problems(headers: DataFrame) -> DataFrame:

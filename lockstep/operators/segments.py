@@ -81,10 +81,16 @@ def drift(points: DataFrame, keys: list[str]) -> DataFrame:
     return s.select(*keys, "n", "slope", "intercept", r2.alias("r_squared"), "max_abs_residual")
 
 
-def slices(samples: DataFrame, bounds: DataFrame, keys: list[str]) -> DataFrame:
-    """Samples inside segments (inclusive): bounds has keys, segment_index, start_sample, end_sample."""
-    from .ordered import as_of
+#: Samples of a recording that are joined with segments together.
+BLOCK = 1 << 16
+
 
-    spans = bounds.select(*keys, F.col("start_sample").alias("sample"), F.struct("segment_index", "end_sample").alias("_s"))
-    found = as_of(samples, spans, keys, "sample", "_s", "_span").where(F.col("sample") <= F.col("_span.end_sample"))
-    return found.select(*samples.columns, F.col("_span.segment_index").alias("segment_index"))
+def slices(samples: DataFrame, bounds: DataFrame, keys: list[str], block: int = BLOCK) -> DataFrame:
+    """Samples inside segments (inclusive): bounds has keys, segment_index, start_sample, end_sample.
+
+    An equi-join on keys and the block of samples: a recording is spread over as many tasks as it has blocks.
+    """
+    of = lambda c: F.floor(F.col(c) / block)
+    spans = bounds.select(*keys, "segment_index", "start_sample", "end_sample", F.explode(F.sequence(of("start_sample"), of("end_sample"))).alias("_block"))
+    found = samples.withColumn("_block", of("sample")).join(spans, [*keys, "_block"]).where("sample between start_sample and end_sample")
+    return found.select(*samples.columns, "segment_index")

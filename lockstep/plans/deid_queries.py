@@ -94,21 +94,10 @@ def batch_counts(spark, sf_dir):
     return s.groupBy("batch").agg(*(F.count_if(F.col("status") == x).alias(x) for x in ("completed", "failed", "cancelled", "untouched")))
 
 
-@query("SELECT doc_id, sha256(concat(text[1:8], text[89:])) AS digest, octet_length(encode(text)) AS size FROM documents WHERE NOT regexp_matches(text, '[^\\x00-\\x7f]')")
-def unchanged_hash(spark, sf_dir):
-    """Hash of all bytes but the patient field, here over the ASCII documents."""
-    d = table(spark, sf_dir, "documents").where(~F.rlike("text", F.lit("[^\\x00-\\x7f]")))
-    return _digests(d)
-
-
 @query("SELECT doc_id, sha256(encode(text)[1:8] || encode(text)[89:]) AS digest, octet_length(encode(text)) AS size FROM documents")
-def unchanged_hash_whole(spark, sf_dir):
-    """Hash of all bytes but the patient field, over all documents; unchanged_hash is a sample of it."""
-    return _digests(table(spark, sf_dir, "documents"))
-
-
-def _digests(d):
-    return d.select("doc_id", deid.unchanged_hash(F.encode("text", "UTF-8")).alias("digest"), F.octet_length("text").cast("long").alias("size"))
+def unchanged_hash(spark, sf_dir):
+    """Hash of all bytes but the patient field."""
+    return table(spark, sf_dir, "documents").select("doc_id", deid.unchanged_hash(F.encode("text", "UTF-8")).alias("digest"), F.octet_length("text").cast("long").alias("size"))
 
 
 @query("SELECT lang, source, count(*) AS files, max(strlen(text)) AS required_bytes, min(source || '/' || doc_id) AS first_name FROM documents GROUP BY ALL")

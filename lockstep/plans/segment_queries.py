@@ -22,11 +22,11 @@ def query(sql: str | None = None):
     return add
 
 
-_GAPS = f"gaps AS (SELECT event_id // {SAMPLES} AS recording_id, event_id AS gap, CASE WHEN event_id % {SAMPLES} = 0 THEN NULL ELSE event_id * 10 END AS start, CASE WHEN event_id % 170 = 0 THEN NULL ELSE event_id * 10 + (value * 3)::BIGINT END AS stop FROM events WHERE event_id % 10 = 0)"
+_GAPS = f"gaps AS (SELECT event_id // {SAMPLES} AS recording_id, event_id AS gap, CASE WHEN event_id % {SAMPLES} = 0 THEN NULL ELSE event_id * 10 END AS start, CASE WHEN event_id % 170 = 0 THEN NULL ELSE event_id * 10 + (value * 3)::BIGINT END AS stop FROM events)"
 
 
 def gaps(spark, sf_dir):
-    e = table(spark, sf_dir, "events").where("event_id % 10 = 0")
+    e = table(spark, sf_dir, "events")
     return e.select(F.expr(f"event_id div {SAMPLES}").alias("recording_id"), F.col("event_id").alias("gap"), F.expr(f"CASE WHEN event_id % {SAMPLES} <> 0 THEN event_id * 10 END").alias("start"), F.expr("CASE WHEN event_id % 170 <> 0 THEN event_id * 10 + cast(round(value * 3) AS BIGINT) END").alias("stop"))
 
 
@@ -129,21 +129,11 @@ def recording_shift(spark, sf_dir):
 _REPORT = f"eeg_b AS (SELECT recording_id, chunk_index, min(event_index) AS lo, max(event_index) AS hi FROM eeg_chunks GROUP BY ALL), edf_b AS (SELECT recording_id, chunk_index, min(event_index) AS lo, max(event_index) AS hi FROM edf_chunks GROUP BY ALL)"
 
 
-@query(f"WITH {views.chunk_sql('eeg')}, {views.chunk_sql('edf')}, {_REPORT} SELECT e.recording_id, e.event_index AS eeg_event_index, b.lo + e.event_index - a.lo AS edf_event_index FROM eeg e JOIN eeg_b a ON a.recording_id = e.recording_id AND e.event_index BETWEEN a.lo AND a.hi JOIN edf_b b ON b.recording_id = e.recording_id AND b.chunk_index = a.chunk_index JOIN edf f ON f.recording_id = e.recording_id AND f.event_index = b.lo + e.event_index - a.lo WHERE f.event_index <= b.hi AND f.type = e.type AND e.event_index % 11 = 0")
+@query(f"WITH {views.chunk_sql('eeg')}, {views.chunk_sql('edf')}, {_REPORT} SELECT e.recording_id, e.event_index AS eeg_event_index, b.lo + e.event_index - a.lo AS edf_event_index FROM eeg e JOIN eeg_b a ON a.recording_id = e.recording_id AND e.event_index BETWEEN a.lo AND a.hi JOIN edf_b b ON b.recording_id = e.recording_id AND b.chunk_index = a.chunk_index JOIN edf f ON f.recording_id = e.recording_id AND f.event_index = b.lo + e.event_index - a.lo WHERE f.event_index <= b.hi AND f.type = e.type")
 def offset_translation(spark, sf_dir):
     """EEG anchors on the EDF side: the same offset in the chunk of equal number, if it exists there with the same type."""
-    return _translated(spark, sf_dir, "event_index % 11 = 0")
-
-
-@query(f"WITH {views.chunk_sql('eeg')}, {views.chunk_sql('edf')}, {_REPORT} SELECT e.recording_id, e.event_index AS eeg_event_index, b.lo + e.event_index - a.lo AS edf_event_index FROM eeg e JOIN eeg_b a ON a.recording_id = e.recording_id AND e.event_index BETWEEN a.lo AND a.hi JOIN edf_b b ON b.recording_id = e.recording_id AND b.chunk_index = a.chunk_index JOIN edf f ON f.recording_id = e.recording_id AND f.event_index = b.lo + e.event_index - a.lo WHERE f.event_index <= b.hi AND f.type = e.type")
-def offset_translation_whole(spark, sf_dir):
-    """All EEG anchors on the EDF side; offset_translation is a sample of it."""
-    return _translated(spark, sf_dir, "true")
-
-
-def _translated(spark, sf_dir, which):
     shapes = {s: cycle.shapes(eeg_chunks(spark, sf_dir, s)).select("recording_id", "chunk_index", F.col("start_event_index").alias("lo"), F.col("end_event_index").alias("hi")) for s in ("eeg", "edf")}
-    anchors = segments.containing(schedule(spark, sf_dir, "eeg").where(which), shapes["eeg"], "event_index", "lo", "hi")
+    anchors = segments.containing(schedule(spark, sf_dir, "eeg"), shapes["eeg"], "event_index", "lo", "hi")
     there = anchors.join(shapes["edf"].select("recording_id", "chunk_index", F.col("lo").alias("lo2"), F.col("hi").alias("hi2")), ["recording_id", "chunk_index"]).withColumn("edf_event_index", F.col("lo2") + F.col("event_index") - F.col("lo"))
     edf = schedule(spark, sf_dir, "edf").select("recording_id", F.col("event_index").alias("edf_event_index"), F.col("type").alias("edf_type"))
     ok = there.where("edf_event_index <= hi2").join(edf, ["recording_id", "edf_event_index"]).where("edf_type = type")

@@ -256,21 +256,11 @@ def phase_candidates(spark, sf_dir):
     return sequence_starts(target, cycle.canonical_edges(canon), ["recording_id", "chunk_index"], TOLERANCE)
 
 
-@query(f"WITH {views.chunk_sql('eeg')}, b AS (SELECT recording_id, chunk_index, min(event_index) AS lo, max(event_index) AS hi FROM eeg_chunks GROUP BY ALL) SELECT e.recording_id, e.event_index, b.chunk_index FROM eeg e JOIN b ON e.recording_id = b.recording_id AND e.event_index BETWEEN b.lo AND b.hi WHERE e.event_index % 7 = 0")
-def chunk_of_event(spark, sf_dir):
-    """The chunk that holds each seventh event, by interval containment."""
-    return _held(spark, sf_dir, "event_index % 7 = 0")
-
-
 @query(f"WITH {views.chunk_sql('eeg')}, b AS (SELECT recording_id, chunk_index, min(event_index) AS lo, max(event_index) AS hi FROM eeg_chunks GROUP BY ALL) SELECT e.recording_id, e.event_index, b.chunk_index FROM eeg e JOIN b ON e.recording_id = b.recording_id AND e.event_index BETWEEN b.lo AND b.hi")
-def chunk_of_event_whole(spark, sf_dir):
-    """The chunk that holds each event; chunk_of_event is a sample of it."""
-    return _held(spark, sf_dir, "true")
-
-
-def _held(spark, sf_dir, which):
+def chunk_of_event(spark, sf_dir):
+    """The chunk that holds each event, by interval containment."""
     from ..operators.segments import containing
 
     events = schedule(spark, sf_dir, "eeg")
     shapes = cycle.shapes(cycle.chunks(events, EEG_RATE)).select("recording_id", "chunk_index", "start_event_index", "end_event_index")
-    return containing(events.where(which), shapes, "event_index", "start_event_index", "end_event_index").select("recording_id", "event_index", "chunk_index")
+    return containing(events, shapes, "event_index", "start_event_index", "end_event_index").select("recording_id", "event_index", "chunk_index")

@@ -16,14 +16,6 @@ def test_runs(spark, name):
     assert registry.QUERIES[name](spark, DATA).count() >= 0
 
 
-@pytest.mark.parametrize("name,kept", [("chunk_of_event", lambda r: r.event_index % 7 == 0), ("offset_translation", lambda r: r.eeg_event_index % 11 == 0), ("unchanged_hash", None)])
-def test_whole(spark, name, kept):
-    """The whole query adds rows to its sample, and takes none from it."""
-    sample, whole = (set(registry.QUERIES[x](spark, DATA).collect()) for x in (name, f"{name}_whole"))
-    assert sample < whole and compare(spark, registry.QUERIES[f"{name}_whole"], registry.ORACLE[f"{name}_whole"]) == len(whole)
-    assert kept is None or sample == {r for r in whole if kept(r)}
-
-
 def test_entry(spark):
     import __spark_entry__
 

@@ -132,16 +132,17 @@ def test_fault_threshold(spark):
 
 def test_align(spark):
     """Trigger extraction, pairing and segments through the plan, from events and a trace."""
-    from lockstep.plans.align import RecordingPair, edf_triggers, eeg_triggers
+    from lockstep.operators.triggers import VALIDATION
+    from lockstep.plans.align import RecordingPair, edf_events, edf_triggers, eeg_triggers
     from lockstep.operators.replay import segment_recordings
     from test_matcher import build, keep
 
     a, b = build("eeg", keep(3), 500, 0), build("edf", keep(3), 128, 100)
-    events = spark.createDataFrame([(7, i + 1, int(x), f" {t}, mark ") for i, (x, t) in enumerate(zip(a.latency, a.types))] + [(7, 900, 5, "boundary")], "recording_id long, event_index long, latency long, type string")
+    events = spark.createDataFrame([(7, i + 1, int(x), f" {t}, mark ") for i, (x, t) in enumerate(zip(a.latency, a.types))] + [(7, 900, 5, "boundary")] + [(7, k - 9, 1, c) for k, c in enumerate(VALIDATION)], "recording_id long, event_index long, latency long, type string")
     volts = {"63": 36.5, "64": 42.5}
     trace = spark.createDataFrame([(7, int(x) + k, volts[t]) for x, t in zip(b.latency, b.types) for k in range(3)], "recording_id long, sample long, volts double")
     pair = RecordingPair(events, trace, None, None)
-    eeg, other = eeg_triggers(pair), edf_triggers(pair)
+    eeg, other = eeg_triggers(pair), edf_triggers(edf_events(pair))
     assert eeg.count() == other.count() == 150
     rows = segment_recordings(eeg, other, 500, 128).collect()
     assert len(rows) == 1 and rows[0].error is None and (rows[0].end_eeg_chunk, rows[0].end_interval) == (3, 49)
@@ -154,7 +155,7 @@ def test_all_outputs_of_all_recordings(spark, tmp_path):
     rng = np.random.default_rng(4)
     values = np.round(rng.normal(size=3300), 3)  # three recordings, and one of 300 samples
     spark.createDataFrame([(i, float(v)) for i, v in enumerate(values)], "event_id long, value double").write.parquet(f"{tmp_path}/events.parquet")
-    got = {(r.recording_id, r.sample): r.value for r in registry.QUERIES["sinc_resample_whole"](spark, str(tmp_path)).collect()}
+    got = {(r.recording_id, r.sample): r.value for r in registry.QUERIES["sinc_resample"](spark, str(tmp_path)).collect()}
     order, beta, cutoff = dsp.kaiser_plan(500)
     t = np.arange(-(order // 2), order // 2 + 1)
     want = {}
