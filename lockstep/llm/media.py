@@ -13,6 +13,7 @@ from __future__ import annotations
 import hashlib
 import zlib
 from collections.abc import Iterable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -54,16 +55,22 @@ def store_all(texts: Iterable[bytes], limit: int = 1 << 18) -> Iterator[bytes]:
     yield from webp.encode_all(held)
 
 
+@lru_cache(1024)
+def grid(h: int, w: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First rows and columns of the cells of an 8 x 8 grid, and the cells' areas."""
+    rows, cols = np.linspace(0, h, 9).astype(int)[:-1], np.linspace(0, w, 9).astype(int)[:-1]
+    return rows, cols, np.outer(np.diff(np.r_[rows, h]).clip(1), np.diff(np.r_[cols, w]).clip(1))
+
+
 def feature(samples: np.ndarray) -> str:
     """Channel means and a 64-bit pattern of the cells of an 8 x 8 grid that are brighter than their mean."""
     h, w, _ = samples.shape
-    light = samples.sum(axis=2, dtype=np.int64)
-    rows, cols = np.linspace(0, h, 9).astype(int)[:-1], np.linspace(0, w, 9).astype(int)[:-1]
-    cells = np.add.reduceat(np.add.reduceat(light, rows, axis=0), cols, axis=1)
-    area = np.outer(np.diff(np.r_[rows, h]).clip(1), np.diff(np.r_[cols, w]).clip(1))
-    mean = cells / area
+    rows, cols, area = grid(h, w)
+    by_column = np.add.reduceat(samples.reshape(h, w * 4), 4 * cols, axis=1, dtype=np.int64)
+    mean = np.add.reduceat(by_column, rows, axis=0) / area
     pattern = np.packbits(mean > mean.mean()).tobytes().hex()
-    return ",".join(f"{x:.3f}" for x in samples.reshape(-1, 4).mean(axis=0)) + ":" + pattern
+    means = samples.reshape(-1, 4).sum(axis=0, dtype=np.int64) / (h * w)
+    return ",".join(f"{x:.3f}" for x in means.tolist()) + ":" + pattern
 
 
 def describe(stored: bytes, n_bytes: int) -> dict:
@@ -88,6 +95,6 @@ def with_media(docs: DataFrame, column: str = "media") -> DataFrame:
 def described(docs: DataFrame, column: str = "media") -> DataFrame:
     """docs with their n_bytes and what their stored forms hold when read back."""
     kinds = pa.struct([(k, pa.int64() if v == "long" else pa.string()) for k, v in (x.split() for x in DESCRIPTION.split(", "))])
-    tell = F.arrow_udf(lambda m, n: pa.array([describe(x, y) for x, y in zip(m.to_pylist(), n.to_pylist())], kinds), "struct<" + ",".join(x.replace(" ", ":") for x in DESCRIPTION.split(", ")) + ">")
+    tell = F.arrow_udf(lambda m, n: pa.array([describe(x.as_py(), y) for x, y in zip(m, n.to_pylist())], kinds), "struct<" + ",".join(x.replace(" ", ":") for x in DESCRIPTION.split(", ")) + ">")
     n = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long")
     return docs.withColumn("n_bytes", n).withColumn("__told", tell(column, n)).select("*", "__told.*").drop("__told")

@@ -69,19 +69,20 @@ def mirrored(n: int) -> np.ndarray:
 class Code:
     """A prefix code: a table from the next ``most`` bits to 16 * symbol + length."""
 
-    def __init__(self, lengths: dict[int, int]):
-        self.single = next(iter(lengths)) if len(lengths) == 1 else None if lengths else 0
+    def __init__(self, symbols: list[int], lengths: list[int]):
+        """symbols in ascending order, and the length of each."""
+        self.single = symbols[0] if len(symbols) == 1 else None if symbols else 0
         if self.single is not None:
             self.most, self.table = 0, np.array([self.single << 4], np.uint16)
         else:
-            symbol, n = np.fromiter(lengths.keys(), np.uint16, len(lengths)), np.fromiter(lengths.values(), np.uint16, len(lengths))
-            order = np.lexsort((symbol, n))
-            symbol, n = symbol[order], n[order]
+            n = np.array(lengths)
+            order = np.argsort(n, kind="stable")
+            n = n[order]
             self.most = int(n[-1])
-            share = 1 << (self.most - n.astype(np.int64))
+            share = 1 << (self.most - n)
             if share.sum() != 1 << self.most:
                 raise ValueError("a prefix code is not complete")
-            self.table = np.repeat(symbol << np.uint16(4) | n, share)[mirrored(self.most)]
+            self.table = np.repeat((np.array(symbols)[order] << 4 | n).astype(np.uint16), share)[mirrored(self.most)]
         self.mask = (1 << self.most) - 1
         self.sizes = (self.table & 15).astype(np.int64)
         self.quick = None
@@ -100,22 +101,39 @@ class Code:
         return found >> 4
 
 
+def small_table(told: list[tuple[int, int]]) -> tuple[list[int], int]:
+    """The table of a code for code lengths, from (symbol, length), as a list, and its mask."""
+    if len(told) < 2:
+        return [told[0][0] << 4 if told else 0], 0
+    most = max(n for _, n in told)
+    table, code, back = [0] * (1 << most), 0, mirrored(most)
+    for symbol, n in sorted(told, key=lambda x: (x[1], x[0])):
+        if code >> most:
+            raise ValueError("a prefix code is not complete")
+        first = int(back[code])
+        table[first :: 1 << n] = [symbol << 4 | n] * (1 << (most - n))
+        code += 1 << (most - n)
+    if code != 1 << most:
+        raise ValueError("a prefix code is not complete")
+    return table, (1 << most) - 1
+
+
 def read_code(bits: Bits, size: int) -> Code:
     if bits.read(1):
         two, wide = bits.read(1), bits.read(1)
         symbols = [bits.read(8 if wide else 1)]
         if two:
             symbols.append(bits.read(8))
-        return Code({s: 1 for s in symbols if s < size})
+        symbols = sorted({x for x in symbols if x < size})
+        return Code(symbols, [1] * len(symbols))
     count = 4 + bits.read(4)
     value = bits.read(3 * count)
-    own = Code({LENGTH_ORDER[i]: n for i in range(count) if (n := value >> (3 * i) & 7)})
+    table, mask = small_table([(LENGTH_ORDER[i], n) for i in range(count) if (n := value >> (3 * i) & 7)])
     left = 2 + bits.read(2 + 2 * bits.read(3)) if bits.read(1) else size
     # The lengths of all symbols take 14 bits each at most; they are read from one number.
-    table, mask = own.table.tolist(), own.mask
     value = int.from_bytes(bits.data[bits.at >> 3 : (bits.at >> 3) + 512], "little") >> (bits.at & 7)
     base = at = 0
-    lengths, symbol, before = {}, 0, 8
+    symbols, lengths, symbol, before = [], [], 0, 8
     while symbol < size and left:
         left -= 1
         if at > 3000:
@@ -126,7 +144,9 @@ def read_code(bits: Bits, size: int) -> Code:
         n = found >> 4
         if n < 16:
             if n:
-                lengths[symbol] = before = n
+                symbols.append(symbol)
+                lengths.append(n)
+                before = n
             symbol += 1
             continue
         more = (2, 3, 7)[n - 16]
@@ -135,13 +155,13 @@ def read_code(bits: Bits, size: int) -> Code:
         if symbol + count > size:
             raise ValueError("too many code lengths")
         if n == 16:
-            for i in range(symbol, symbol + count):
-                lengths[i] = before
+            symbols += range(symbol, symbol + count)
+            lengths += [before] * count
         symbol += count
     bits.at += base + at
     if bits.at > 8 * len(bits.data):
         raise ValueError("the stream ends early")
-    return Code(lengths)
+    return Code(symbols, lengths)
 
 
 def extended(bits: Bits, prefix: int) -> int:
@@ -184,15 +204,13 @@ def tokens(bits: Bits, codes: list[Code], n: int, width: int):
                 past += c.sizes[ahead[past] & c.mask]
         other = np.flatnonzero(g >= 256 << 4)
         if len(other):
-            symbol = (g[other] >> 4).astype(np.int64) - 256
-            q = at[other] + step[other]
-            is_back = symbol < 24
-            more = np.where(is_back & (symbol >= 4), (symbol - 2) >> 1, 0)
-            q = q + more
+            past[other] = at[other] + step[other]  # codes of the cache have no more bits
+            back = other[g[other] < 280 << 4]
+            symbol, q = (g[back] >> 4).astype(np.int64) - 256, past[back]
+            q = q + np.where(symbol >= 4, (symbol - 2) >> 1, 0)
             d = distance.table[ahead[q] & distance.mask]
-            dsym = (d >> 4).astype(np.int64)
-            q = np.where(is_back, q + (d & 15) + np.where(dsym >= 4, (dsym - 2) >> 1, 0), q)
-            past[other] = q
+            symbol = (d >> 4).astype(np.int64)
+            past[back] = q + (d & 15) + np.where(symbol >= 4, (symbol - 2) >> 1, 0)
         chain, p, ends = [], 0, memoryview(past)
         while p < size:
             chain.append(p)
@@ -295,13 +313,13 @@ def read_image(bits: Bits, width: int, height: int, main: bool) -> np.ndarray:
         groups = int(meta.max()) + 1
     codes = [[read_code(bits, n) for n in (256 + 24 + (1 << cache if cache else 0), 256, 256, 256, 40)] for _ in range(groups)]
     n = width * height
-    if meta is None:
-        if not any(c.most for c in codes[0][:4]) and codes[0][0].single < 256:
-            g, r, b, a = (c.single for c in codes[0][:4])
-            return np.tile(np.array([a, r, g, b], np.uint8), (n, 1))
-        found = resolve(*tokens(bits, codes[0], n, width), n, cache)
-    else:
+    if meta is not None:
         found = np.array(one_by_one(bits, codes, meta, tile, n, width, cache), np.uint32)
+    elif not any(c.most for c in codes[0][:4]) and codes[0][0].single < 256:
+        g, r, b, a = (c.single for c in codes[0][:4])
+        return np.tile(np.array([a, r, g, b], np.uint8), (n, 1))
+    else:
+        found = resolve(*tokens(bits, codes[0], n, width), n, cache)
     return found.astype(">u4").view(np.uint8).reshape(n, 4)
 
 
@@ -457,7 +475,7 @@ def decode(stored: bytes) -> np.ndarray:
             full = np.zeros((256, 4), int)
             full[: len(image)] = image
             pixels = full[index]
-    return pixels.astype(np.uint8)[..., [1, 2, 3, 0]]
+    return pixels.astype(np.uint8, copy=False)[..., [1, 2, 3, 0]]
 
 
 def code_lengths(counts: list[np.ndarray], most: int = 15) -> list[np.ndarray]:
@@ -530,9 +548,10 @@ def code_heads(lengths: list[np.ndarray]) -> list[tuple[np.ndarray, np.ndarray]]
     # Items: zeros before a symbol and its length, and at each code's end zeros alone.
     many = np.array([len(used[i]) + 1 for i in normal])
     owner = np.repeat(np.arange(len(normal)), many)
-    place = np.concatenate([np.r_[used[i], len(lengths[i])] for i in normal])
-    size = np.concatenate([np.r_[lengths[i][used[i]], 0] for i in normal])
-    gap = place - np.r_[-1, place[:-1]] - 1
+    last = np.cumsum(many - 1)  # after each code's symbols
+    place = np.insert(np.concatenate([used[i] for i in normal]), last, [len(lengths[i]) for i in normal])
+    size = np.insert(np.concatenate([lengths[i][used[i]] for i in normal]), last, 0)
+    gap = np.diff(place, prepend=-1) - 1
     first = np.cumsum(many) - many
     gap[first] = place[first]
     full, rest = gap // 138, gap % 138
@@ -553,14 +572,14 @@ def code_heads(lengths: list[np.ndarray]) -> list[tuple[np.ndarray, np.ndarray]]
     code = told * 19 + symbol
     value = word[code] | further.astype(np.uint64) << bits[code]
     number = bits[code] + more.astype(np.uint64)
-    ends = np.searchsorted(told, np.arange(len(normal) + 1))
-    table = np.stack(own)[:, LENGTH_ORDER]
-    for j, i in enumerate(normal):
-        size_ = table[j].tolist()
-        n = max(4, 1 + max(k for k, x in enumerate(size_) if x))
-        head = (n - 4) << 1 | sum(x << (3 * k) for k, x in enumerate(size_[:n])) << 5
-        a, b = ends[j], ends[j + 1]
-        out[i] = np.concatenate([np.array([head], np.uint64), value[a:b]]), np.concatenate([np.array([6 + 3 * n], np.uint64), number[a:b]])
+    table = np.stack(own)[:, LENGTH_ORDER].astype(np.uint64)
+    n = np.maximum(4, 19 - np.argmax(table[:, ::-1] > 0, axis=1)).astype(np.uint64)
+    head = (n - np.uint64(4)) << np.uint64(1) | (table << (np.uint64(5) + np.uint64(3) * np.arange(19, dtype=np.uint64))).sum(axis=1)
+    starts = np.searchsorted(told, np.arange(len(normal)))
+    value, number = np.insert(value, starts, head), np.insert(number, starts, 6 + 3 * n)
+    ends = [*(starts + np.arange(len(normal))).tolist(), len(value)]
+    for i, a, b in zip(normal, ends, ends[1:]):
+        out[i] = value[a:b], number[a:b]
     return out
 
 
@@ -609,17 +628,23 @@ def repeats(p: np.ndarray) -> list[tuple[int, int, int]]:
     n = len(p)
     if n < 4:
         return []
-    key = p[:-1].astype(np.uint64) << np.uint64(32) | p[1:]
-    order = np.argsort(key, kind="stable")
-    same = np.flatnonzero(key[order[1:]] == key[order[:-1]])
-    here = order[same + 1]
+    # Pairs of pixels by a hash of 32 bits, then in order; equal hashes are compared.
+    key = (p[:-1].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) ^ (p[1:].astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F))
+    both = np.sort(key & np.uint64(0xFFFFFFFF00000000) | np.arange(n - 1, dtype=np.uint64))
+    order = (both & np.uint64(0xFFFFFFFF)).astype(np.int64)
+    both >>= np.uint64(32)
+    same = np.flatnonzero(both[1:] == both[:-1])
+    here, there = order[same + 1], order[same]
+    ok = (p[here] == p[there]) & (p[here + 1] == p[there + 1])
     gap = np.zeros(n, np.int64)
-    gap[here] = here - order[same]
+    gap[here[ok]] = here[ok] - there[ok]
     gap[gap > 1_000_000] = 0
     edge = np.flatnonzero(np.diff(gap)) + 1
-    first = np.r_[0, edge]
+    first = np.concatenate([np.zeros(1, np.int64), edge])
+    past_end = np.concatenate([edge, np.array([n])])
+    some = np.flatnonzero((gap[first] > 0) & (past_end - first > 1))
     out, past = [], 0
-    for a, b, d in zip(first.tolist(), [*edge.tolist(), n], gap[first].tolist()):
+    for a, b, d in zip(first[some].tolist(), past_end[some].tolist(), gap[first[some]].tolist()):
         a = max(a, past)
         length = b - a + 1
         if d and length >= 3 and a < b:
@@ -635,9 +660,12 @@ def repeats(p: np.ndarray) -> list[tuple[int, int, int]]:
 def cached(p: np.ndarray, cache: int) -> tuple[np.ndarray, np.ndarray]:
     """Each pixel's place in a colour cache, and whether it is there when its turn comes."""
     place = (p.astype(np.uint64) * np.uint64(MULTIPLIER) & np.uint64(0xFFFFFFFF)) >> np.uint64(32 - cache)
-    order = np.argsort(place, kind="stable")
+    both = np.sort(place << np.uint64(32) | np.arange(len(p), dtype=np.uint64))  # by place, then in order
+    order = (both & np.uint64(0xFFFFFFFF)).astype(np.int64)
+    both >>= np.uint64(32)
+    q = p[order]
     hit = np.zeros(len(p), bool)
-    hit[order[1:]] = (place[order[1:]] == place[order[:-1]]) & (p[order[1:]] == p[order[:-1]])
+    hit[order[1:]] = (both[1:] == both[:-1]) & (q[1:] == q[:-1])
     return place.astype(np.int64), hit
 
 
@@ -658,7 +686,8 @@ def information(count: np.ndarray) -> float:
 class Image:
     """Tokens of an image of (n, 4) samples A, R, G, B with one group of codes, and the counts of their symbols."""
 
-    def __init__(self, pixels: np.ndarray, width: int, main: bool):
+    def __init__(self, pixels: np.ndarray, width: int, main: bool, each: float | None = None):
+        """each: bits that a pixel takes without a cache, if known."""
         self.n = n = len(pixels)
         self.pixels = pixels
         p = np.ascontiguousarray(pixels).view(">u4").reshape(n).astype(np.uint32)
@@ -678,7 +707,8 @@ class Image:
             hit = hit[lit]
             found = lit[hit]
             if len(found):
-                each = sum(information(np.bincount(pixels[lit, k], minlength=256)) for k in range(4)) / len(lit)
+                if each is None:
+                    each = samples_bits(pixels) / n
                 met = np.bincount(place[found])
                 told = information(met) + information(np.array([len(found), len(lit) - len(found)])) + 8 * np.count_nonzero(met)
                 if each * len(found) > told:
@@ -834,12 +864,16 @@ def parts_of(samples: np.ndarray) -> list:
             pixels = np.zeros((h * wide, 4), np.uint8)
             pixels[:, 0], pixels[:, 2] = 255, bundle.reshape(-1)
             return [*out, (1 | 3 << 1 | (len(shades) - 1) << 3, 11), Image(palette, len(shades), False), (0, 1), Image(pixels, wide, True)]
-    told = predicted(pixels, (h, w))
+    # Samples with as much information as letters gain nothing by predictions.
+    letters = 3.5 < plain / len(pixels) / 4 < 5.2
+    told = None if letters else predicted(pixels, (h, w))
     if told is not None and (bits := samples_bits(told[1])) < plain:
         mode, pixels, plain = told[0], told[1], bits
         image = np.zeros((mode.size, 4), np.uint8)
         image[:, 0], image[:, 2] = 255, mode.reshape(-1)
         out += [(1 | (TILE - 2) << 3, 6), Image(image, mode.shape[1], False)]
+    if letters:
+        return [*out, (0, 1), Image(pixels, wide, True, plain / len(pixels))]
     bare = pixels.copy()
     bare[:, [1, 3]] -= bare[:, 2:3]
     less = samples_bits(bare)
