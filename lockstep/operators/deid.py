@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import os
 import re
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -122,11 +123,46 @@ def _signature(path: str):
     return s.st_size, s.st_mtime_ns, s.st_dev, s.st_ino
 
 
+def _move(path: str, to: str) -> None:
+    """Rename without ever replacing: fails if the new name is taken."""
+    os.link(path, to, follow_symlinks=False)
+    os.unlink(path)
+
+
+def _sync(folder: str) -> None:
+    handle = os.open(folder, os.O_RDONLY)
+    try:
+        os.fsync(handle)
+    finally:
+        os.close(handle)
+
+
+def _retire(source: str, before: tuple, digest: str, target: str, published: tuple) -> None:
+    """Remove the source once its bytes are known to be in the published file.
+
+    It first gets a name of its own aside, where no other writer looks for it. If it or the published file is not what was verified, it
+    gets its name back, and the published file goes if it still is the one that was put there.
+    """
+    aside = os.path.join(os.path.dirname(source), f".deid-{os.getpid()}-{uuid.uuid4().hex}.aside")
+    _move(source, aside)
+    try:
+        _sync(os.path.dirname(source))
+        require(_signature(aside) == before and _digest(aside)[0] == digest, "deid:SourceChanged")
+        require(_signature(target) == published and _digest(target)[0] == digest, "deid:OutputChanged")
+    except (AlignmentError, OSError):
+        _move(aside, source)  # where its name was taken meanwhile, it stays aside and the error names that
+        if os.path.exists(target) and _signature(target) == published:
+            os.unlink(target)
+        raise
+    os.unlink(aside)
+    _sync(os.path.dirname(source))
+
+
 def deidentify(source: str, study: str, cancel: Callable[[], bool] = lambda: False) -> FileResult:
     """Replace a file by <study>.edf in its folder, with a new patient field and all other bytes as they were.
 
-    The copy is written and read back before it takes the final name, which must be free; the source goes last.
-    On failure or cancellation the folder is as before.
+    The copy is written and read back before it takes the final name, which must be free. The source then goes aside, both
+    are verified again, and only then it is removed. On failure or cancellation the folder is as before.
     """
     folder = os.path.dirname(source)
     target, temporary = os.path.join(folder, f"{study}.edf"), os.path.join(folder, f".deid-{os.getpid()}-{study}.tmp")
@@ -148,7 +184,8 @@ def deidentify(source: str, study: str, cancel: Callable[[], bool] = lambda: Fal
             out.write(field)
             out.flush()
             os.fsync(out.fileno())
-        require(_digest(temporary) == (_digest(source)[0], field), "deid:VerificationFailed")
+        digest = _digest(source)[0]
+        require(_digest(temporary) == (digest, field), "deid:VerificationFailed")
         require(_signature(source) == before, "deid:SourceChanged")
         s = os.stat(source)
         os.chmod(temporary, s.st_mode & 0o7777)
@@ -159,16 +196,17 @@ def deidentify(source: str, study: str, cancel: Callable[[], bool] = lambda: Fal
         if same:
             os.replace(temporary, target)
         else:
-            os.link(temporary, target)  # fails if the name is taken
-            os.unlink(temporary)
-            os.unlink(source)
+            published = _signature(temporary)
+            _move(temporary, target)
+            _retire(source, before, digest, target, published)
         return FileResult(source, target, "completed")
     except Cancelled:
         status, error = "cancelled", None
     except (AlignmentError, OSError, ValueError) as e:
         status, error = "failed", getattr(e, "identifier", str(e))
-    if os.path.exists(temporary):
-        os.unlink(temporary)
+    finally:
+        if os.path.exists(temporary):
+            os.unlink(temporary)
     return FileResult(source, target, status, error)
 
 

@@ -25,6 +25,20 @@ def timeline(events: DataFrame, rate: float, longest_sec: float, tail_hr: float)
     return unsafe.union(first).union(last)
 
 
+#: Clinical channels that are shown with the trigger channel.
+NATIVE = ("C3", "M1", "E2")
+
+
+def native_traces(trace: DataFrame, clinical: DataFrame, trigger_rate: float, clinical_rate: float) -> DataFrame:
+    """recording_id, channel, sample, time_sec, value of the trigger channel and of C3, M1 and E2, each on its own grid.
+
+    Recordings that lack a channel are those of ``montage.missing``.
+    """
+    at = lambda rate: ((F.col("sample") - 1) / rate).alias("time_sec")
+    rows = clinical.where(F.col("channel").isin(*NATIVE)).select("recording_id", "channel", "sample", at(clinical_rate), "value")
+    return rows.union(trace.select("recording_id", F.lit("trigger"), "sample", at(trigger_rate), F.col("volts")))
+
+
 def limits(spectra: DataFrame, keys: list[str]) -> DataFrame:
     """Limits that all spectra of a recording share: the least and the largest value."""
     return spectra.groupBy(*keys).agg(F.min("db").alias("low"), F.max("db").alias("high"))

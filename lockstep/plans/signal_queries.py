@@ -6,7 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import dsp
-from ..operators import montage, resampling, segments
+from ..operators import montage, qa, resampling, segments
 from . import views
 from .views import table
 
@@ -267,6 +267,12 @@ def header_problems(spark, sf_dir):
     return montage.header_problems(h)
 
 
+@query(f"WITH {CLINICAL}, {views.TRACE} SELECT recording_id, channel, sample, (sample - 1) / 256.0::DOUBLE AS time_sec, value FROM clinical WHERE channel IN ('C3', 'M1', 'E2') UNION ALL SELECT recording_id, 'trigger', sample, (sample - 1) / 128.0::DOUBLE, volts FROM trace")
+def native_traces(spark, sf_dir):
+    """The trigger channel and three clinical channels, each on its own grid."""
+    return qa.native_traces(views.trace(spark, sf_dir), channels(spark, sf_dir), 128.0, 256.0)
+
+
 @query(f"WITH {CLINICAL}, m AS (SELECT recording_id, max(sample) AS n FROM clinical GROUP BY 1) SELECT recording_id, channel, sample, (sample - 1) / 256.0::DOUBLE AS time_sec, value FROM clinical JOIN m USING (recording_id) WHERE channel = 'C3' AND sample BETWEEN least(n, 600 * 256) // 2 - 15 * 256 + 1 AND least(n, 600 * 256) // 2 + 15 * 256")
 def trace_window(spark, sf_dir):
     """Thirty seconds of C3 in the middle of the first ten minutes."""

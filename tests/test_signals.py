@@ -130,6 +130,26 @@ def test_fault_threshold(spark):
     assert not faulty(20, 20) and faulty(21, 20)
 
 
+def test_a_source_that_changes_late_is_kept(tmp_path, monkeypatch):
+    """A write between the copy and the removal: the source gets its name back, the output goes."""
+    source = tmp_path / "one.edf"
+    raw = edf.content(header(), [np.zeros(12), np.zeros(24)])
+    source.write_bytes(raw)
+    first = deid._sync
+
+    def late(folder):
+        (aside,) = [f for f in os.listdir(folder) if f.endswith(".aside")]
+        with open(os.path.join(folder, aside), "r+b") as f:
+            f.seek(-1, 2)
+            f.write(b"\x07")
+        first(folder)
+
+    monkeypatch.setattr(deid, "_sync", late)
+    changed = raw[:-1] + b"\x07"
+    r = deid.deidentify(str(source), "later")
+    assert (r.status, r.error) == ("failed", "deid:SourceChanged") and os.listdir(tmp_path) == ["one.edf"] and source.read_bytes() == changed
+
+
 def test_align(spark):
     """Trigger extraction, pairing and segments through the plan, from events and a trace."""
     from lockstep.operators.triggers import VALIDATION
