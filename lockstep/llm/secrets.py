@@ -67,13 +67,14 @@ def pieces(text: Column, rule: Rule) -> Column:
 
 def scan(docs: DataFrame, ledger: DataFrame | None = None, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """New ledger rows: findings of every pair of blob and rule version that the ledger lacks."""
-    blobs = docs.select(blob_of(F.col("text")).alias("blob"), F.coalesce("text", F.lit("")).alias("text"))
+    # Copies collapse in each task before anything is dealt by blob.
+    blobs = docs.select(blob_of(F.col("text")).alias("blob"), F.coalesce("text", F.lit("")).alias("text")).dropDuplicates(["blob"])
     ids = {f"{r.name}:{r.version}" for r in rules}
     if ledger is None:
-        todo = blobs.dropDuplicates(["blob"]).withColumn("done", F.array().cast("array<string>"))
+        todo = blobs.withColumn("done", F.array().cast("array<string>"))
     else:
         done = ledger.select("blob", F.concat_ws(":", "rule", "version").alias("id")).where(F.col("id").isin(*ids)).groupBy("blob").agg(F.collect_set("id").alias("done"))
-        unseen = blobs.join(done.where(F.size("done") == len(ids)), "blob", "left_anti").dropDuplicates(["blob"])
+        unseen = blobs.join(done.where(F.size("done") == len(ids)), "blob", "left_anti")
         todo = unseen.join(done, "blob", "left").withColumn("done", F.coalesce("done", F.array().cast("array<string>")))
     rows = F.array(*(F.struct(F.lit(r.name).alias("rule"), F.lit(r.version).alias("version"), F.array_contains("done", f"{r.name}:{r.version}").alias("old"), F.when(~F.array_contains("done", f"{r.name}:{r.version}"), pieces(F.col("text"), r)).alias("found")) for r in rules))
     pairs = todo.select("blob", F.inline(rows)).where("not old").drop("old")
