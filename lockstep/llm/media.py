@@ -42,7 +42,7 @@ def store(text: bytes) -> bytes:
     return webp.encode(samples_of(text))
 
 
-def store_all(texts: Iterable[bytes], limit: int = 1 << 18) -> Iterator[bytes]:
+def store_all(texts: Iterable[bytes], limit: int = 1 << 20) -> Iterator[bytes]:
     """The stored forms of texts, about limit bytes at a time."""
     held: list[np.ndarray] = []
     size = 0

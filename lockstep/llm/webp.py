@@ -76,13 +76,13 @@ class Code:
             self.most, self.table = 0, np.array([self.single << 4], np.uint16)
         else:
             n = np.array(lengths)
-            order = np.argsort(n, kind="stable")
-            n = n[order]
+            order = n.argsort(kind="stable")
+            n = n.take(order)
             self.most = int(n[-1])
-            share = 1 << (self.most - n)
-            if share.sum() != 1 << self.most:
+            table = (np.array(symbols).take(order) << 4 | n).repeat(1 << (self.most - n))
+            if len(table) != 1 << self.most:
                 raise ValueError("a prefix code is not complete")
-            self.table = np.repeat((np.array(symbols)[order] << 4 | n).astype(np.uint16), share)[mirrored(self.most)]
+            self.table = table.astype(np.uint16).take(mirrored(self.most))
         self.mask = (1 << self.most) - 1
         self.sizes = (self.table & 15).astype(np.int64)
         self.quick = None
@@ -130,15 +130,16 @@ def read_code(bits: Bits, size: int) -> Code:
     value = bits.read(3 * count)
     table, mask = small_table([(LENGTH_ORDER[i], n) for i in range(count) if (n := value >> (3 * i) & 7)])
     left = 2 + bits.read(2 + 2 * bits.read(3)) if bits.read(1) else size
-    # The lengths of all symbols take 14 bits each at most; they are read from one number.
-    value = int.from_bytes(bits.data[bits.at >> 3 : (bits.at >> 3) + 512], "little") >> (bits.at & 7)
+    # The lengths are read from numbers of 64 bytes; each takes 14 bits at most.
+    data, start = bits.data, bits.at
+    value = int.from_bytes(data[start >> 3 : (start >> 3) + 64], "little") >> (start & 7)
     base = at = 0
     symbols, lengths, symbol, before = [], [], 0, 8
     while symbol < size and left:
         left -= 1
-        if at > 3000:
+        if at > 480:
             base, at = base + at, 0
-            value = int.from_bytes(bits.data[(bits.at + base) >> 3 : ((bits.at + base) >> 3) + 512], "little") >> ((bits.at + base) & 7)
+            value = int.from_bytes(data[(start + base) >> 3 : ((start + base) >> 3) + 64], "little") >> ((start + base) & 7)
         found = table[value >> at & mask]
         at += found & 15
         n = found >> 4
@@ -195,20 +196,19 @@ def tokens(bits: Bits, codes: list[Code], n: int, width: int):
         # The next 15 bits at each bit.
         ahead = (((b[:-2] | b[1:-1] << 8 | b[2:] << 16)[:, None] >> np.arange(8)) & 0x7FFF).ravel()[shift:]
         masked = ahead[:size] & green.mask
-        g = green.table[masked]
-        at = np.arange(size)
-        step = green.sizes[masked]
-        past = at + step
+        g = green.table.take(masked)
+        step = green.sizes.take(masked)
+        past = np.arange(size) + step
         for c in (red, blue, alpha):
             if c.most:
-                past += c.sizes[ahead[past] & c.mask]
-        other = np.flatnonzero(g >= 256 << 4)
+                past += c.sizes.take(ahead.take(past) & c.mask)
+        other = (g >= 256 << 4).nonzero()[0]
         if len(other):
-            past[other] = at[other] + step[other]  # codes of the cache have no more bits
-            back = other[g[other] < 280 << 4]
-            symbol, q = (g[back] >> 4).astype(np.int64) - 256, past[back]
+            past[other] = other + step.take(other)  # codes of the cache have no more bits
+            back = other[g.take(other) < 280 << 4]
+            symbol, q = (g.take(back) >> 4).astype(np.int64) - 256, past.take(back)
             q = q + np.where(symbol >= 4, (symbol - 2) >> 1, 0)
-            d = distance.table[ahead[q] & distance.mask]
+            d = distance.table.take(ahead.take(q) & distance.mask)
             symbol = (d >> 4).astype(np.int64)
             past[back] = q + (d & 15) + np.where(symbol >= 4, (symbol - 2) >> 1, 0)
         chain, p, ends = [], 0, memoryview(past)
@@ -220,14 +220,17 @@ def tokens(bits: Bits, codes: list[Code], n: int, width: int):
                 break
             p = q
         took = np.array(chain, np.int64)
-        symbol = (g[took] >> 4).astype(np.int64)
-        kind = np.where(symbol < 256, 0, np.where(symbol < 280, 1, 2))
-        q = took + step[took]
+        symbol = (g.take(took) >> 4).astype(np.int64)
+        kind = (symbol >= 256).astype(np.int8) + (symbol >= 280)
+        q = took + step.take(took)
         value = symbol << 8
         for c, k in ((red, 16), (blue, 0), (alpha, 24)):
-            e = c.table[ahead[q] & c.mask]
-            value |= (e >> 4).astype(np.int64) << k
-            q = q + (e & 15)
+            if not c.most:
+                value |= c.single << k
+                continue
+            e = c.table.take(ahead.take(q) & c.mask).astype(np.int64)
+            value |= e >> 4 << k
+            q += e & 15
         length = np.ones(len(took), np.int64)
         back = np.flatnonzero(kind == 1)
         if len(back):
@@ -272,8 +275,9 @@ def resolve(kind: np.ndarray, value: np.ndarray, length: np.ndarray, n: int, cac
     def follow(own: np.ndarray) -> None:
         """Sources of sources, until nothing changes."""
         while len(own):
-            further = source[source[own]]
-            change = further != source[own]
+            now = source.take(own)
+            further = source.take(now)
+            change = further != now
             own = own[change]
             source[own] = further[change]
 
