@@ -73,9 +73,9 @@ def feature(samples: np.ndarray) -> str:
     return ",".join(f"{x:.3f}" for x in means.tolist()) + ":" + pattern
 
 
-def describe(stored: bytes, n_bytes: int) -> dict:
-    """What the stored bytes of a text of n_bytes hold."""
-    samples = webp.decode(stored)
+def describe(stored: bytes, n_bytes: int, samples: np.ndarray | None = None) -> dict:
+    """What the stored bytes of a text of n_bytes hold; samples: these bytes decoded, if they are already."""
+    samples = webp.decode(stored) if samples is None else samples
     payload = samples.reshape(-1)[: max(1, -(-n_bytes // UNIT)) * UNIT].tobytes()
     return {
         "payload_bytes": len(payload), "payload_sha256": hashlib.sha256(payload).hexdigest(), "tail_crc32": zlib.crc32(payload[-32:]),
@@ -83,6 +83,24 @@ def describe(stored: bytes, n_bytes: int) -> dict:
     }
 
 
+def describe_all(stored: Iterable[bytes], n_bytes: Iterable[int], limit: int = 1 << 21) -> Iterator[dict]:
+    """What stored forms hold, those of texts of about limit bytes decoded at a time."""
+
+    def tell():
+        for (x, n), samples in zip(held, webp.decode_all([x for x, _ in held])):
+            yield describe(x, n, samples)
+
+    held: list[tuple[bytes, int]] = []
+    size = 0
+    for x, n in zip(stored, n_bytes):
+        held.append((x, n))
+        size += n + UNIT
+        if size >= limit:
+            yield from tell()
+            held, size = [], 0
+    yield from tell()
+
+
 DESCRIPTION = "payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string"
 
 
@@ -95,6 +113,6 @@ def with_media(docs: DataFrame, column: str = "media") -> DataFrame:
 def described(docs: DataFrame, column: str = "media") -> DataFrame:
     """docs with their n_bytes and what their stored forms hold when read back."""
     kinds = pa.struct([(k, pa.int64() if v == "long" else pa.string()) for k, v in (x.split() for x in DESCRIPTION.split(", "))])
-    tell = F.arrow_udf(lambda m, n: pa.array([describe(x.as_py(), y) for x, y in zip(m, n.to_pylist())], kinds), "struct<" + ",".join(x.replace(" ", ":") for x in DESCRIPTION.split(", ")) + ">")
+    tell = F.arrow_udf(lambda m, n: pa.array(list(describe_all((x.as_py() for x in m), n.to_pylist())), kinds), "struct<" + ",".join(x.replace(" ", ":") for x in DESCRIPTION.split(", ")) + ">")
     n = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long")
     return docs.withColumn("n_bytes", n).withColumn("__told", tell(column, n)).select("*", "__told.*").drop("__told")

@@ -5,7 +5,8 @@ literals, back-references and the colour cache, and inverts predictor, cross-col
 subtract-green and palette transforms; it returns the pixel array (height, width, RGBA).
 An image with one group is decoded speculatively: what a token that began at each bit would be is
 computed for a window of bits at a time as arrays, and the chain of real tokens is followed through it; memory
-follows the window. Images with several groups are read token by token. The result is the same.
+follows the window. Of many images, one token of each is read at a time (``decode_all``). Images with several groups are read token
+by token. The result is the same.
 
 The writer (``encode``) estimates the entropy of the image as it is, without green, with predicted samples
 (a mode for each tile), with colours predicted from each other, and as indices of a palette, and keeps the least;
@@ -56,6 +57,11 @@ class Bits:
         self.at += n
         return value & ((1 << n) - 1)
 
+    def same(self, a: int, b: int, n: int) -> bool:
+        """Whether the n bits from a on and those from b on are alike."""
+        x, y = (int.from_bytes(self.data[i >> 3 : (i + n + 7) >> 3], "little") >> (i & 7) for i in (a, b))
+        return not (x ^ y) & ((1 << n) - 1)
+
 
 @lru_cache(16)
 def mirrored(n: int) -> np.ndarray:
@@ -165,6 +171,22 @@ def read_code(bits: Bits, size: int) -> Code:
     return Code(symbols, lengths)
 
 
+def read_codes(bits: Bits, cache: int) -> list[Code]:
+    """The five codes of a group. Bits that repeat those of the code before, of as many symbols, tell of the same code and are not parsed again."""
+    out = [read_code(bits, 280 + (1 << cache if cache else 0))]
+    start, size = bits.at, 0
+    for _ in range(3):
+        if size and bits.at + size <= 8 * len(bits.data) and bits.same(start, bits.at, size):
+            bits.at += size
+            out.append(out[-1])
+        else:
+            start = bits.at
+            out.append(read_code(bits, 256))
+            size = bits.at - start
+    out.append(read_code(bits, 40))
+    return out
+
+
 def extended(bits: Bits, prefix: int) -> int:
     if prefix < 4:
         return prefix + 1
@@ -199,9 +221,15 @@ def tokens(bits: Bits, codes: list[Code], n: int, width: int):
         g = green.table.take(masked)
         step = green.sizes.take(masked)
         past = np.arange(size) + step
-        for c in (red, blue, alpha):
-            if c.most:
-                past += c.sizes.take(ahead.take(past) & c.mask)
+        if red is blue is alpha and red.most:
+            # One code for all three: where a symbol that begins at a bit ends is looked up once.
+            hop = red.sizes.take(ahead[: size + 45] & red.mask)
+            hop += np.arange(len(hop))
+            past = hop.take(hop.take(hop.take(past)))
+        else:
+            for c in (red, blue, alpha):
+                if c.most:
+                    past += c.sizes.take(ahead.take(past) & c.mask)
         other = (g >= 256 << 4).nonzero()[0]
         if len(other):
             past[other] = other + step.take(other)  # codes of the cache have no more bits
@@ -261,6 +289,88 @@ def tokens(bits: Bits, codes: list[Code], n: int, width: int):
     return np.concatenate(kinds), np.concatenate(values), np.concatenate(lengths)
 
 
+def tokens_side_by_side(asked: list[tuple[Bits, list[Code], int, int]], few: int = 24) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """What ``tokens`` gives for each (bits, codes, n, width): a token of every image at a time; when few images are left, these go on alone."""
+    many = len(asked)
+    if many < few:
+        return [tokens(*x) for x in asked]
+    streams = [x[0].data + bytes(16) for x in asked]
+    data = b"".join(streams)
+    words = np.ndarray(len(data) - 7, "<i8", data, strides=(1,)).copy()  # the next 57 bits or more at each byte
+    begin = 8 * (np.cumsum([len(x) for x in streams]) - [len(x) for x in streams])
+    limit = begin + [8 * len(x[0].data) for x in asked]
+    tables = np.concatenate([c.table for x in asked for c in x[1]])
+    size = np.array([[len(c.table) for c in x[1]] for x in asked])
+    mask = (size - 1).T.copy()
+    base = (np.cumsum(size.ravel()) - size.ravel()).reshape(size.shape).T.copy()
+    live, at, left = np.arange(many), begin + [x[0].at for x in asked], np.array([x[2] for x in asked])
+    held, references, told = [], [], 0
+    while len(live) >= few:
+        x = words.take(at >> 3) >> (at & 7)
+        g = tables.take(base[0] + (x & mask[0]))
+        step = (g & 15).astype(np.int64)
+        x >>= step
+        r = tables.take(base[1] + (x & mask[1]))
+        used = (r & 15).astype(np.int64)
+        x >>= used
+        used += step
+        b = tables.take(base[2] + (x & mask[2]))
+        used += b & 15
+        past = at + used
+        a = tables.take(base[3] + ((words.take(past >> 3) >> (past & 7)) & mask[3]))
+        past += a & 15
+        left = left - 1
+        other = (g >= 256 << 4).nonzero()[0]
+        if len(other):
+            past[other] = at[other] + step[other]
+            back = other[g[other] < 280 << 4]
+            if len(back):
+                q = past[back]
+                y = words.take(q >> 3) >> (q & 7)
+                symbol = (g[back] >> 4).astype(np.int64) - 256
+                more = np.where(symbol >= 4, (symbol - 2) >> 1, 0)
+                length = np.where(symbol < 4, symbol, ((2 + (symbol & 1)) << more) + (y & ((1 << more) - 1))) + 1
+                y >>= more
+                d = tables.take(base[4][back] + (y & mask[4][back])).astype(np.int64)
+                y >>= d & 15
+                symbol = d >> 4
+                further = np.where(symbol >= 4, (symbol - 2) >> 1, 0)
+                code = np.where(symbol < 4, symbol, ((2 + (symbol & 1)) << further) + (y & ((1 << further) - 1))) + 1
+                past[back] = q + more + (d & 15) + further
+                left[back] -= length - 1
+                references.append((told + back, length, code))
+        if (past > limit).any():
+            raise ValueError("the stream ends early")
+        held.append((live, g, r, b, a))
+        told += len(live)
+        at = past
+        if left.min() <= 0:
+            if left.min() < 0:
+                raise ValueError("a back-reference leaves the image")
+            keep = left.nonzero()[0]
+            live, at, left, limit, base, mask = live[keep], at[keep], left[keep], limit[keep], base[:, keep], mask[:, keep]
+    owner, g, r, b, a = (np.concatenate(x) for x in zip(*held))
+    symbol = (g >> 4).astype(np.int64)
+    kind = (symbol >= 256).astype(np.int8) + (symbol >= 280)
+    value = symbol << 8 | (r >> 4).astype(np.int64) << 16 | b >> 4 | (a >> 4).astype(np.int64) << 24
+    value = np.where(kind == 2, symbol - 280, value)
+    lengths = np.ones(len(owner), np.int64)
+    if references:
+        place, length, code = (np.concatenate(x) for x in zip(*references))
+        widths, which = np.unique([x[3] for x in asked], return_inverse=True)
+        near = np.stack([near_distances(int(w)) for w in widths])
+        lengths[place] = length
+        value[place] = np.where(code > 120, code - 120, near[which[owner[place]], np.minimum(code, 120) - 1])
+    order = np.argsort(owner.astype(np.uint16) if many < 1 << 16 else owner, kind="stable")
+    ends = np.cumsum(np.bincount(owner, minlength=many))[:-1]
+    out = list(zip(*(np.split(x[order], ends) for x in (kind, value, lengths))))
+    for i, p, n in zip(live.tolist(), at.tolist(), left.tolist()):
+        bits, codes, _, width = asked[i]
+        bits.at = p - int(begin[i])
+        out[i] = tuple(np.concatenate(x) for x in zip(out[i], tokens(bits, codes, n, width)))
+    return out
+
+
 def resolve(kind: np.ndarray, value: np.ndarray, length: np.ndarray, n: int, cache: int) -> np.ndarray:
     """The n ARGB numbers that tokens stand for."""
     start = np.cumsum(length) - length
@@ -290,7 +400,7 @@ def resolve(kind: np.ndarray, value: np.ndarray, length: np.ndarray, n: int, cac
     drawn = np.flatnonzero(kind == 2)
     if len(drawn):
         # A cache's place holds the last pixel that was put there, however it was coded.
-        place = (out * np.uint32(MULTIPLIER)) >> np.uint32(32 - cache)
+        place = ((out * np.uint32(MULTIPLIER)) >> np.uint32(32 - cache)).astype(np.uint16)
         t = start[drawn]
         place[t] = value[drawn]
         place[copies] = place[source[copies]]
@@ -305,17 +415,27 @@ def resolve(kind: np.ndarray, value: np.ndarray, length: np.ndarray, n: int, cac
     return out
 
 
-def read_image(bits: Bits, width: int, height: int, main: bool) -> np.ndarray:
-    """width * height pixels as (n, 4) samples A, R, G, B."""
+def at_once(reading):
+    """The result of a reading that asks for tokens, each of which is read when it is asked for."""
+    try:
+        asked = next(reading)
+        while True:
+            asked = reading.send(tokens(*asked))
+    except StopIteration as end:
+        return end.value
+
+
+def read_image(bits: Bits, width: int, height: int, main: bool):
+    """width * height pixels as (n, 4) samples A, R, G, B, by a reading that asks for the tokens."""
     cache = bits.read(4) if bits.read(1) else 0
     groups, meta, tile = 1, None, 0
     if main and bits.read(1):
         tile = bits.read(3) + 2
         w, h = -(-width >> tile), -(-height >> tile)
-        pixels = read_image(bits, w, h, False).astype(int)
+        pixels = at_once(read_image(bits, w, h, False)).astype(int)
         meta = (pixels[:, 1] << 8 | pixels[:, 2]).reshape(h, w)
         groups = int(meta.max()) + 1
-    codes = [[read_code(bits, n) for n in (256 + 24 + (1 << cache if cache else 0), 256, 256, 256, 40)] for _ in range(groups)]
+    codes = [read_codes(bits, cache) for _ in range(groups)]
     n = width * height
     if meta is not None:
         found = np.array(one_by_one(bits, codes, meta, tile, n, width, cache), np.uint32)
@@ -323,7 +443,7 @@ def read_image(bits: Bits, width: int, height: int, main: bool) -> np.ndarray:
         g, r, b, a = (c.single for c in codes[0][:4])
         return np.tile(np.array([a, r, g, b], np.uint8), (n, 1))
     else:
-        found = resolve(*tokens(bits, codes[0], n, width), n, cache)
+        found = resolve(*(yield bits, codes[0], n, width), n, cache)
     return found.astype(">u4").view(np.uint8).reshape(n, 4)
 
 
@@ -439,6 +559,30 @@ def undo_cross_colour(pixels: np.ndarray, elements: np.ndarray, tile: int) -> np
 
 def decode(stored: bytes) -> np.ndarray:
     """The (height, width, 4) RGBA samples of a lossless WebP file."""
+    return at_once(decoding(stored))
+
+
+def decode_all(stored: list[bytes]) -> list[np.ndarray]:
+    """The samples of several files, whose tokens are read side by side."""
+    out: list = [None] * len(stored)
+    waiting, asked = [], []
+    for i, x in enumerate(stored):
+        reading = decoding(x)
+        try:
+            asked.append(next(reading))
+            waiting.append((i, reading))
+        except StopIteration as end:
+            out[i] = end.value
+    for (i, reading), found in zip(waiting, tokens_side_by_side(asked)):
+        try:
+            reading.send(found)
+        except StopIteration as end:
+            out[i] = end.value
+    return out
+
+
+def decoding(stored: bytes):
+    """The reading of a file: it asks for the main image's tokens, and its result is the samples."""
     if stored[:4] != b"RIFF" or stored[8:16] != b"WEBPVP8L":
         raise ValueError("not a lossless WebP file")
     bits = Bits(stored, 20 * 8)
@@ -454,17 +598,17 @@ def decode(stored: bytes) -> np.ndarray:
         if kind in (0, 1):
             tile = bits.read(3) + 2
             w, h = -(-now >> tile), -(-height >> tile)
-            image = read_image(bits, w, h, False).reshape(h, w, 4)
+            image = at_once(read_image(bits, w, h, False)).reshape(h, w, 4)
             undo.append((kind, tile, image, now))
         elif kind == 2:
             undo.append((2, 0, None, now))
         else:
             n = bits.read(8) + 1
-            palette = np.cumsum(read_image(bits, n, 1, False).astype(int), axis=0) & 255
+            palette = np.cumsum(at_once(read_image(bits, n, 1, False)).astype(int), axis=0) & 255
             pack = 3 if n <= 2 else 2 if n <= 4 else 1 if n <= 16 else 0
             undo.append((3, pack, palette, now))
             now = -(-now >> pack)
-    pixels = read_image(bits, now, height, True).reshape(height, now, 4)
+    pixels = (yield from read_image(bits, now, height, True)).reshape(height, now, 4)
     for kind, tile, image, w in reversed(undo):
         if kind == 0:
             pixels = undo_predictor(pixels, image[..., 2], tile)
@@ -723,6 +867,11 @@ class Image:
             self.green[hit] = 280 + place[lit[hit]]
             self.plain = lit[~hit]
         self.counts = [np.bincount(self.green, minlength=280 + (1 << self.cache if self.cache else 0)), *(np.bincount(pixels[self.plain, k], minlength=256) for k in (1, 3, 0)), np.zeros(40, np.int64)]
+        kinds = self.counts[1:4]
+        every = kinds[0] + kinds[1] + kinds[2]
+        # One code for red, blue and alpha where the bits lost on symbols are fewer than those of the codes' lengths, about four for each symbol.
+        if information(every) - sum(map(information, kinds)) < 4 * (sum(map(np.count_nonzero, kinds)) - np.count_nonzero(every)):
+            self.counts[1:4] = [every] * 3
         if self.runs:
             self.lengths = prefixed(length)
             code = gap + 120
@@ -898,8 +1047,13 @@ def encode_all(images: list[np.ndarray]) -> list[bytes]:
         return []
     plans = [parts_of(x) for x in images]
     inner = [x for plan in plans for x in plan if isinstance(x, Image)]
-    lengths = code_lengths([c for x in inner for c in x.counts])
+    counts = [c for x in inner for c in x.counts]
+    distinct = {id(c): c for c in counts}  # an image may use one code for several colours
+    number = {k: i for i, k in enumerate(distinct)}
+    of_code = [number[id(c)] for c in counts]
+    lengths = code_lengths(list(distinct.values()))
     words, heads = code_words(lengths), code_heads(lengths)
+    lengths, words, heads = ([x[i] for i in of_code] for x in (lengths, words, heads))
     told = {id(x): [x.head, *heads[5 * i : 5 * i + 5], x.body(words[5 * i : 5 * i + 5], lengths[5 * i : 5 * i + 5])] for i, x in enumerate(inner)}
     parts = [[y for x in plan for y in (told[id(x)] if isinstance(x, Image) else [(np.array(x[:1], np.uint64), np.array(x[1:], np.uint64))])] for plan in plans]
     out = []

@@ -426,3 +426,43 @@ def test_columns(spark):
     df = spark.createDataFrame([(1, "abc", 5), (None, None, 6), (2, "", 7), (2, "", 7)], "doc_id long, text string, n_bytes_ int")
     got = media.described(media.with_media(df)).collect()
     assert len(got) == 4 and {r.n_bytes for r in got} == {3, 0} and len({r.media_sha256 for r in got if not r.text}) == 1
+
+
+def mixed_images():
+    rng = np.random.default_rng(11)
+    text = np.frombuffer(bytes(rng.choice(list(b"etaoin shrdlu, cmfwyp Gb.vkq"), 12000, p=np.arange(28, 0, -1) / 406)), np.uint8)
+    out = [text[: 576 * k].reshape(k, 144, 4) for k in (1, 2, 3, 5, 12, 20)]
+    out += [rng.integers(0, 256, (7, 9, 4), dtype=np.uint8), rng.integers(0, 40, (30, 50, 4), dtype=np.uint8), np.full((3, 5, 4), 9, np.uint8), np.tile(rng.integers(0, 256, (4, 16, 4), dtype=np.uint8), (6, 3, 1))]
+    ramp = np.add.outer(np.arange(40), np.arange(60))[..., None] * np.array([1, 1, 1, 0]) + np.array([0, 3, 5, 255])
+    return [*out, (ramp & 255).astype(np.uint8), np.zeros((1, 1, 4), np.uint8)]
+
+
+@pytest.mark.parametrize("few", [1, 3, 1000])
+def test_images_side_by_side(few, monkeypatch):
+    images = mixed_images() * 2
+    stored = webp.encode_all(images)
+    side_by_side = webp.tokens_side_by_side
+    monkeypatch.setattr(webp, "tokens_side_by_side", lambda asked: side_by_side(asked, few))
+    for image, found, x in zip(images, webp.decode_all(stored), stored):
+        assert (found == image).all() and (webp.decode(x) == image).all()
+    assert webp.decode_all([]) == []
+
+
+def test_one_code_serves_alike_colours_only(monkeypatch):
+    met = []
+    read = webp.read_codes
+    monkeypatch.setattr(webp, "read_codes", lambda bits, cache: met.append(read(bits, cache)) or met[-1])
+    text, palette = mixed_images()[5], mixed_images()[9]
+    assert (webp.decode(webp.encode(text)) == text).all()
+    assert met[-1][1] is met[-1][2] is met[-1][3]
+    rng = np.random.default_rng(2)
+    apart = np.stack([rng.integers(60 * k, 60 * k + 40, (60, 60)) for k in range(4)], axis=2).astype(np.uint8)
+    assert (webp.decode(webp.encode(apart)) == apart).all()
+    assert len({id(c) for c in met[-1][:4]}) == 4
+    assert (webp.decode(webp.encode(palette)) == palette).all()
+
+
+def test_cut_streams_side_by_side_are_told():
+    stored = webp.encode_all([mixed_images()[5]] * 30)
+    with pytest.raises(ValueError):
+        webp.decode_all([x[: len(x) * 2 // 3] for x in stored])
