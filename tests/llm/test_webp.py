@@ -430,7 +430,7 @@ def test_columns(spark):
 
 def mixed_images():
     rng = np.random.default_rng(11)
-    text = np.frombuffer(bytes(rng.choice(list(b"etaoin shrdlu, cmfwyp Gb.vkq"), 12000, p=np.arange(28, 0, -1) / 406)), np.uint8)
+    text = np.frombuffer(bytes(rng.choice(list(b"etaoin shrdlu, cmfwyp Gb.vkq"), 12000, p=np.arange(28, 0, -1) / 406).tolist()), np.uint8)
     out = [text[: 576 * k].reshape(k, 144, 4) for k in (1, 2, 3, 5, 12, 20)]
     out += [rng.integers(0, 256, (7, 9, 4), dtype=np.uint8), rng.integers(0, 40, (30, 50, 4), dtype=np.uint8), np.full((3, 5, 4), 9, np.uint8), np.tile(rng.integers(0, 256, (4, 16, 4), dtype=np.uint8), (6, 3, 1))]
     ramp = np.add.outer(np.arange(40), np.arange(60))[..., None] * np.array([1, 1, 1, 0]) + np.array([0, 3, 5, 255])
