@@ -831,6 +831,14 @@ def information(count: np.ndarray) -> float:
     return float(total * np.log2(total) - (c * np.log2(c)).sum())
 
 
+def informations(counts: np.ndarray) -> float:
+    """Bits that ideal prefix codes take together, one for each row of counts."""
+    total = counts.sum(axis=1)
+    if total.max() < SMALL:
+        return float(XLOG.take(total).sum() - XLOG.take(counts).sum())
+    return sum(map(information, counts))
+
+
 class Image:
     """Tokens of an image of (n, 4) samples A, R, G, B with one group of codes, and the counts of their symbols."""
 
@@ -867,10 +875,10 @@ class Image:
             self.green[hit] = 280 + place[lit[hit]]
             self.plain = lit[~hit]
         self.counts = [np.bincount(self.green, minlength=280 + (1 << self.cache if self.cache else 0)), *(np.bincount(pixels[self.plain, k], minlength=256) for k in (1, 3, 0)), np.zeros(40, np.int64)]
-        kinds = self.counts[1:4]
-        every = kinds[0] + kinds[1] + kinds[2]
+        kinds = np.stack(self.counts[1:4])
+        every = kinds.sum(axis=0)
         # One code for red, blue and alpha where the bits lost on symbols are fewer than those of the codes' lengths, about four for each symbol.
-        if information(every) - sum(map(information, kinds)) < 4 * (sum(map(np.count_nonzero, kinds)) - np.count_nonzero(every)):
+        if information(every) - informations(kinds) < 4 * (np.count_nonzero(kinds) - np.count_nonzero(every)):
             self.counts[1:4] = [every] * 3
         if self.runs:
             self.lengths = prefixed(length)
@@ -908,7 +916,7 @@ class Image:
 
 
 def samples_bits(pixels: np.ndarray) -> float:
-    return sum(information(np.bincount(pixels[:, k], minlength=256)) for k in range(4))
+    return informations(np.stack([np.bincount(pixels[:, k], minlength=256) for k in range(4)]))
 
 
 #: Predictor modes that the writer tries: the pixel to the left, above, above to the right, above to the left.
@@ -1004,8 +1012,10 @@ def parts_of(samples: np.ndarray) -> list:
     plain = samples_bits(pixels)
     colours = pixels.view(">u4").reshape(-1).astype(np.uint32)
     wide = w
-    shades = np.unique(colours)
-    if len(shades) <= 256:
+    ordered = np.sort(colours)
+    new = ordered[1:] != ordered[:-1]
+    if np.count_nonzero(new) < 256:
+        shades = np.concatenate([ordered[:1], ordered[1:][new]])
         index = np.searchsorted(shades, colours)
         palette = np.diff(np.ascontiguousarray(shades.astype(">u4")).view(np.uint8).reshape(-1, 4), axis=0, prepend=np.zeros((1, 4), np.uint8))
         if information(np.bincount(index)) + samples_bits(palette) < plain:
