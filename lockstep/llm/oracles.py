@@ -61,3 +61,27 @@ SELECT conv_id, count(*) AS n_turns,
   sum(16 + length(replace({_ESC.format("role")}, chr(10), '\\n')) + length({_ESC.format("text")}))::BIGINT AS formatted_chars
 FROM rows GROUP BY conv_id
 """
+
+OP11 = r"""
+WITH docs AS (SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents),
+pieces AS (SELECT row_number() OVER () AS piece, lang, p FROM (SELECT lang, unnest(string_split_regex(text, '[.,;:!?\x0A-\x0D]')) AS p FROM docs)),
+split AS (SELECT piece, lang, regexp_extract_all(p, '[^\x20\x09]+') AS w FROM pieces),
+placed AS (SELECT piece, lang, unnest(w) AS w1, unnest(range(1, len(w) + 1)) AS i FROM split),
+tails AS (SELECT lang, w1, lead(w1, 1) OVER p AS w2, lead(w1, 2) OVER p AS w3 FROM placed WINDOW p AS (PARTITION BY piece ORDER BY i)),
+grams AS (
+  SELECT lang, 1 AS size, w1 AS phrase FROM tails UNION ALL SELECT lang, 2, w1 || ' ' || w2 FROM tails WHERE w2 IS NOT NULL
+  UNION ALL SELECT lang, 3, w1 || ' ' || w2 || ' ' || w3 FROM tails WHERE w3 IS NOT NULL),
+counts AS MATERIALIZED (SELECT lang, phrase, size, count(*) AS f FROM grams GROUP BY ALL),
+sizes AS (SELECT lang, sum(f)::BIGINT AS n FROM counts WHERE size = 1 GROUP BY lang),
+cand AS MATERIALIZED (SELECT lang, phrase, string_split(phrase, ' ') AS w, size, f AS a FROM counts WHERE size > 1 AND f >= 10),
+halves AS MATERIALIZED (SELECT lang, phrase, a, k, array_to_string(w[1:k], ' ') AS lp, array_to_string(w[k + 1:], ' ') AS rp FROM (SELECT *, unnest(range(1, size)) AS k FROM cand)),
+cuts AS (
+  SELECT c.lang, c.phrase, c.a, k, l.f AS l, r.f AS r, (1000000::HUGEINT * c.a * c.a) // (l.f::HUGEINT * r.f) AS score
+  FROM halves c JOIN counts l ON l.lang = c.lang AND l.phrase = c.lp JOIN counts r ON r.lang = c.lang AND r.phrase = c.rp),
+best AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+longer AS (SELECT lang, phrase, max(f) AS f FROM (
+  SELECT lang, array_to_string(w[1:2], ' ') AS phrase, a AS f FROM cand WHERE size = 3 UNION ALL SELECT lang, array_to_string(w[2:3], ' '), a FROM cand WHERE size = 3) GROUP BY ALL),
+kept AS (SELECT b.* FROM best b LEFT JOIN longer o ON o.lang = b.lang AND o.phrase = b.phrase WHERE o.f IS NULL OR 100 * o.f < 50 * b.a),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+SELECT lang, rank, phrase, a, l, r, n, score::BIGINT AS score FROM ranked JOIN sizes USING (lang) WHERE rank <= 2000
+"""

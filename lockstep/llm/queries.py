@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, langid, media, mixing, oracles, pii, quality, repeats, secrets, simhash
+from . import chat, decontaminate, langid, media, mixing, oracles, phrases, pii, quality, repeats, secrets, simhash
 from .common import own_folder, table
 
 
@@ -77,9 +77,14 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.replace(table(spark, sf_dir, "documents").select("doc_id", "text"), PII_KEY, counts=True)
 
 
+def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first 2000 phrases of each language whose words occur together more often than apart."""
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict:
     return {k: v for k, v in globals().items() if k.startswith("op")}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_chat": oracles.OP3, "op2_decontamination": oracles.OP2, "op7_secrets": oracles.OP7}
+    return {"op3_chat": oracles.OP3, "op2_decontamination": oracles.OP2, "op7_secrets": oracles.OP7, "op11_phrases": oracles.OP11}
