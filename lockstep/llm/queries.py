@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, langid, media, mixing, oracles, phrases, pii, quality, repeats, secrets, simhash
+from . import chat, decontaminate, langid, media, mixing, oracles, phrases, pii, quality, repeats, secrets, simhash, weighted
 from .common import own_folder, table
 
 
@@ -82,6 +82,11 @@ def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrases.collocations(table(spark, sf_dir, "documents"))
 
 
+def op12_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document's fingerprint, and its likeness to those of its edited text and of the next document."""
+    return weighted.fingerprinted(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict:
     return {k: v for k, v in globals().items() if k.startswith("op")}
 
