@@ -25,7 +25,7 @@ from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import LOWER, SLICE, SOLID, U, kept_names, prefix_sums, range_hash, slices, words
@@ -230,16 +230,26 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
+def thresholds(counts: dict[str, int], per_label: int, full_labels: int) -> tuple[int, dict[str, int]]:
+    """How many documents of each label are drawn, and below which hash of 63 bits a label's documents are candidates: some more than that, however many there are."""
+    each = max(1, int(per_label * min(1.0, full_labels / max(1, len(counts)))))
+    return each, {label: min((1 << 63) - 1, ((2 * each + 100) << 63) // n) for label, n in counts.items()}
+
+
 def fit(docs: DataFrame, per_label: int = 250, words_each: int = 128, full_labels: int = 64) -> Field:
-    """The field learned from docs (text, lang, doc_id), of which a bounded sample is taken to the driver."""
+    """The field learned from docs (text, lang, doc_id), of which a bounded sample is taken to the driver.
+
+    Of each label the documents with the least hashes of id and text are drawn: per_label of them, or fewer beyond full_labels labels, but always one.
+    """
     known = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull())
-    counts = known.groupBy("lang").count().collect()
+    counts = {r["lang"]: r["count"] for r in known.groupBy("lang").count().collect()}
     if not counts:
         return Field([], np.zeros((SIZE, 0), np.float32), np.zeros((0, 0)), np.empty(0, U))
-    labels = sorted(r["lang"] for r in counts)
-    each = per_label * min(1.0, full_labels / len(labels))
-    rates = docs.sparkSession.createDataFrame([(r["lang"], int(min(1.0, each / r["count"]) * (1 << 20))) for r in counts], "lang string, rate long")
-    drawn = known.select("doc_id", "lang", "text").join(F.broadcast(rates), "lang").where(F.pmod(F.xxhash64(F.lit(9), "doc_id"), F.lit(1 << 20)) < F.col("rate"))
+    labels = sorted(counts)
+    each, below = thresholds(counts, per_label, full_labels)
+    limits = docs.sparkSession.createDataFrame(list(below.items()), "lang string, below long")
+    drawn = known.select("doc_id", "lang", "text", F.shiftrightunsigned(F.xxhash64(F.lit(9), "doc_id", "text"), 1).alias("hash")).join(F.broadcast(limits), "lang").where("hash <= below")
+    drawn = drawn.withColumn("place", F.row_number().over(Window.partitionBy("lang").orderBy("hash", "doc_id", "text"))).where(F.col("place") <= each)
 
     def runs(batches):
         for b in batches:
