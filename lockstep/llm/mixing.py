@@ -37,11 +37,9 @@ from pyspark.sql import functions as F
 from .common import cut, kept_names, word_counts
 
 WEIGHTS = (3, 1, 2)
-#: Sources whose quotas one task splits, and the most output shards.
-GROUP, SHARDS = 1 << 16, 1 << 16
+#: Sources whose quotas one task splits.
+GROUP = 1 << 16
 RESULTS = ("size", "source_size", "target", "taken", "draws", "copy", "shard", "words")
-#: Copies up to which a draw is exact; a larger one is rounded from the normal distribution with the same mean and variance.
-EXACT = 1_000_000_000
 
 
 def numbered(sources: DataFrame) -> DataFrame:
@@ -77,20 +75,17 @@ def with_targets(sources: DataFrame, weights: tuple[float, ...], share: float, m
 
 
 def draw_part(rng: np.random.Generator, counts: np.ndarray, take: int) -> np.ndarray:
-    """How many of each kind are among take of all, by one multivariate hypergeometric draw."""
+    """How many of each kind are among take of all, by one multivariate hypergeometric draw, of any number of copies.
+
+    Every copy is chosen by itself first, with the probability take / all. Of the same number of copies all choices are
+    equally likely then, so that adding or removing as many as the number is off, drawn in the same way, keeps them so.
+    """
     total = int(counts.sum())
     if take <= 0 or take >= total:
         return counts.copy() if take >= total else np.zeros_like(counts)
-    if total < EXACT:
-        return rng.multivariate_hypergeometric(counts, take, method="marginals")
-    out, rest = np.zeros_like(counts), total
-    for i, c in enumerate(counts.tolist()):
-        low, high = max(0, take - (rest - c)), min(c, take)
-        mean = take * c / rest
-        spread = math.sqrt(max(0.0, mean * (1 - c / rest) * (rest - take) / max(1, rest - 1)))
-        n = int(min(high, max(low, round(mean + spread * rng.standard_normal()))))
-        out[i], take, rest = n, take - n, rest - c
-    return out
+    chosen = rng.binomial(counts, take / total)
+    off = take - int(chosen.sum())
+    return chosen + draw_part(rng, counts - chosen, off) if off >= 0 else chosen - draw_part(rng, chosen, -off)
 
 
 def split_tree(quotas: np.ndarray, room: np.ndarray, seed: list[int]):
@@ -158,7 +153,7 @@ def draws_of_blocks(by_block: DataFrame, weights, share: float, most: float, sha
     sources = numbered(by_block.groupBy("src").agg(F.sum("words").alias("source_size")))
     targets = cut(with_targets(sources, weights, share, most))
     if shards is None:
-        shards = min(SHARDS, max(1, math.ceil((targets.agg(F.sum("target")).first()[0] or 0) / shard_words)))
+        shards = max(1, math.ceil((targets.agg(F.sum("target")).first()[0] or 0) / shard_words))
     quota = F.round("target").cast("long")
     full = F.when(F.col("source_size") > 0, F.floor(quota / F.col("source_size"))).otherwise(0).cast("int")
     told = targets.withColumn("full", full).withColumn("rest", quota - F.col("full") * F.col("source_size"))
