@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from .common import cut
 
 
-def components(edges: DataFrame, rounds: int = 40) -> DataFrame:
+def components(edges: DataFrame) -> DataFrame:
     """(node, root) for every node of edges (a, b): root is the smallest node reachable.
 
     Each round points the larger neighbours of every node at its smallest one, then
@@ -17,7 +17,7 @@ def components(edges: DataFrame, rounds: int = 40) -> DataFrame:
     """
     e = cut(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
     before = None
-    for _ in range(rounds):
+    while True:  # some rounds more than the logarithm of the largest component's size
         both = e.union(e.select("v", "u")).toDF("u", "v")
         low = cut(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")))
         large = cut(both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
@@ -28,7 +28,5 @@ def components(edges: DataFrame, rounds: int = 40) -> DataFrame:
         if state == before:
             break
         before = state
-    else:
-        raise RuntimeError("components did not settle")
     out = e.toDF("node", "root")
     return out.union(out.select("root", "root").distinct())

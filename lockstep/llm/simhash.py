@@ -25,7 +25,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import U, cut, groups_of, sieve, slices
@@ -116,12 +116,12 @@ def signatures(texts: pa.Array, width: int = 5, bits: int = 256) -> pa.Array:
     return pa.StructArray.from_arrays([pa.array(sketch, pa.binary()), lists], ["sketch", "bands"])
 
 
-def same_words(texts: pa.Array) -> pa.Array:
+def same_words(texts: pa.Array, seed: int = SEED) -> pa.Array:
     """A hash of every text's words in small letters: equal for texts with equal shingles in equal order."""
     out = [np.empty(0, U)]
     for _, _, data, offs in slices(texts):
         raw = data.tobytes()
-        out.append(np.array([xxhash.xxh64_intdigest(b" ".join(raw[a:b].lower().split()), SEED) for a, b in zip(offs.tolist(), offs[1:].tolist())], U))
+        out.append(np.array([xxhash.xxh64_intdigest(b" ".join(raw[a:b].lower().split()), seed) for a, b in zip(offs.tolist(), offs[1:].tolist())], U))
     return pa.array(np.concatenate(out).view(np.int64), pa.int64())
 
 
@@ -390,6 +390,11 @@ def verified(texts: DataFrame, similarity: float) -> DataFrame:
     return texts.select("part", "node", "packed").repartition("part").sortWithinPartitions("part").mapInArrow(find, "known long, root long")
 
 
+def hashable(docs: DataFrame) -> list[Column]:
+    """The columns, those that hold maps as JSON."""
+    return [F.to_json(F.struct(F.col(f"`{f.name}`"))) if "map<" in f.dataType.simpleString() else F.col(f"`{f.name}`") for f in docs.schema]
+
+
 def one_of_each(docs: DataFrame, widths: tuple[int, ...] = (2, 3), radius: int = 6, similarity: float = 0.8) -> DataFrame:
     """One row of each component: the first by doc_id, nulls last, and of those by a hash of all columns.
 
@@ -401,19 +406,23 @@ def one_of_each(docs: DataFrame, widths: tuple[int, ...] = (2, 3), radius: int =
     agree = share - 4 * (share * (1 - share) / 256) ** 0.5
     fps = [f"fp{k}" for k in range(len(widths))]
     # Rows by id, null ids last; the hash of all columns tells rows of equal id apart.
-    row = F.struct(F.col("doc_id").isNull().alias("none"), F.coalesce("doc_id", F.lit(0)).alias("id"), F.xxhash64(*(F.col(f"`{c}`") for c in docs.columns)).alias("hash"))
+    row = F.struct(F.col("doc_id").isNull().alias("none"), F.coalesce("doc_id", F.lit(0)).alias("id"), F.xxhash64(*hashable(docs)).alias("hash"))
     told = F.arrow_udf(lambda t: signatures(t), "struct<sketch:binary,bands:array<bigint>>")("text")
-    node = F.arrow_udf(lambda t: same_words(t), "long")("text")
+    node = F.arrow_udf(lambda t: same_words(t), "long")("text").alias("node")
+    check = F.arrow_udf(lambda t: same_words(t, SEED + 1), "long")("text").alias("check")
     prints = [F.arrow_udf(lambda t, w=w: fingerprints(t, w), "long")("text").alias(c) for c, w in zip(fps, widths)]
-    each = cut(docs.select(row.alias("row"), node.alias("node"), *prints, told.alias("told")).select("row", "node", *fps, "told.*"))
-    unique = cut(each.groupBy("node").agg(*(F.first(c).alias(c) for c in (*fps, "sketch", "bands"))))
+    each = cut(docs.select(row.alias("row"), node, check, *prints, told.alias("told")).select("row", "node", "check", *fps, "told.*"))
+    unique = cut(each.groupBy("node").agg((F.min("check") < F.max("check")).alias("clash"), *(F.first(c).alias(c) for c in (*fps, "sketch", "bands"))))
     edges = band_links(unique, agree)
     for c in fps:
         edges = edges.union(links(unique.select("node", F.col(c).alias("fp"), "sketch"), radius, agree=agree))
     loose = cut(components(edges).select("node", F.col("root").alias("part")))
     roots = cut(verified(sifted(docs, loose).dropDuplicates(["node"]).join(loose, "node"), similarity))
     component = F.coalesce("root", "node")
-    heads = cut(each.select("row", "node").join(roots, F.col("node") == F.col("known"), "left").groupBy(component.alias("root")).agg(F.min("row").alias("row")))
+    # Texts that only a hash of 64 bits takes for equal are kept apart by the other 64.
+    clash = unique.where("clash").select(F.col("node").alias("twice"))
+    told = each.select("row", "node", "check").join(roots, F.col("node") == F.col("known"), "left").join(clash, F.col("node") == F.col("twice"), "left")
+    heads = cut(told.groupBy(component.alias("root"), F.when(F.col("twice").isNotNull(), F.col("check")).alias("check")).agg(F.min("row").alias("row")))
     # Joined and made distinct by the same columns, which are never null: the texts are dealt once. The columns
     # of docs are held in one, so that no name of theirs meets these.
     keys = ["none", "id", "hash"]
