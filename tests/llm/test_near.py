@@ -145,3 +145,15 @@ def test_one_of_each_keeps_every_text_of_null_and_repeated_ids(spark):
     rows = [(None, a), (None, b), (None, b), (5, c), (None, c), (None, d), (8, e), (8, f), (8, f), (9, e)]
     kept = simhash.one_of_each(spark.createDataFrame(rows, DOCS)).collect()
     assert sorted((tuple(r) for r in kept), key=str) == sorted([(None, a), (None, b), (5, c), (None, d), (8, e), (8, f)], key=str)
+
+
+def test_one_of_each_takes_maps_and_tells_texts_of_one_hash_apart(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    vocabulary = [f"word{i}" for i in range(400)]
+    a, b = (" ".join(rng.choice(vocabulary, 60)) for _ in range(2))
+    rows = [(1, a, {"k": [{"x": 1}]}), (2, a, {"k": [{"x": 2}]}), (3, b, None), (None, b, {}), (1, a, {"k": [{"x": 3}]})]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, more map<string,array<map<string,int>>>")
+    assert sorted(r.doc_id for r in simhash.one_of_each(docs).collect()) == [1, 3]
+    one = simhash.same_words
+    monkeypatch.setattr(simhash, "same_words", lambda texts, seed=simhash.SEED: one(texts, seed) if seed != simhash.SEED else pa.array([5] * len(texts), pa.int64()))
+    assert sorted(r.doc_id for r in simhash.one_of_each(docs).collect()) == [1, 3]

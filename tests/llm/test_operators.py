@@ -1,7 +1,9 @@
 """The other operators: round trips, brute force, and odd rows."""
 
 import hashlib
+import math
 import re
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -459,17 +461,28 @@ def test_targets(spark):
         assert [r.target for r in got] == pytest.approx(want)
 
 
-def test_splitting_tree(monkeypatch):
+def test_splitting_tree():
     room = np.array([140 * (s + 1) // 16 - 140 * s // 16 for s in range(16)])
     got = list(mixing.split_tree(np.array([100, 7, 0, 33]), room, [3]))
     assert got == list(mixing.split_tree(np.array([100, 7, 0, 33]), room, [3]))
     assert [sum(n for i, _, n in got if i == k) for k in range(4)] == [100, 7, 0, 33]
     assert [sum(n for _, s, n in got if s == k) for k in range(16)] == room.tolist()
-    # beyond the limit of exact draws
-    monkeypatch.setattr(mixing, "EXACT", 50)
-    got = list(mixing.split_tree(np.array([100, 7, 0, 33]), room, [3]))
-    assert [sum(n for i, _, n in got if i == k) for k in range(4)] == [100, 7, 0, 33]
-    assert [sum(n for _, s, n in got if s == k) for k in range(16)] == room.tolist()
+
+
+def test_draws_are_hypergeometric_at_any_number():
+    rng = np.random.default_rng(11)
+    counts, take = np.array([3, 1, 4]), 4
+    ways = {(i, j, take - i - j): math.comb(3, i) * math.comb(1, j) * math.comb(4, take - i - j) for i in range(4) for j in range(2) if 0 <= take - i - j <= 4}
+    seen = Counter(tuple(mixing.draw_part(rng, counts, take).tolist()) for _ in range(20000))
+    assert set(seen) == set(ways)
+    expected = {k: 20000 * n / math.comb(8, 4) for k, n in ways.items()}
+    assert sum((seen[k] - e) ** 2 / e for k, e in expected.items()) < 30  # 6 degrees of freedom
+    large, n = np.array([3 * 10**12, 10**12, 5, 0]), 10**12 + 7
+    got = np.array([mixing.draw_part(rng, large, n) for _ in range(500)])
+    assert (got.sum(axis=1) == n).all() and (got >= 0).all() and (got <= large).all()
+    all_, share = int(large.sum()), 0.75
+    spread = math.sqrt(n * share * (1 - share) * (all_ - n) / (all_ - 1))
+    assert abs(got[:, 0].mean() - n * share) < 5 * spread / math.sqrt(500) and 0.85 < got[:, 0].std() / spread < 1.15
 
 
 def test_the_tree_by_groups_of_sources(spark, monkeypatch):
@@ -516,6 +529,18 @@ def test_all_languages_are_learned(spark):
     assert names == f.labels
 
 
+def test_every_language_has_rows_to_learn_from_at_any_count(spark):
+    counts = {"en": 10**10, "de": 3 * 10**8, "fr": 262_144_000, "es": 1000, "xx": 1}
+    each, below = langid.thresholds(counts, 250, 64)
+    expected = {k: n * (below[k] + 1) / 2**63 for k, n in counts.items()}
+    assert each == 250 and all(expected[k] == pytest.approx(min(n, 2 * each + 100), rel=1e-6) for k, n in counts.items())
+    many = {str(k): 10**9 for k in range(100_000)}
+    each, below = langid.thresholds(many, 250, 64)
+    assert each == 1 and all(10**9 * b / 2**63 > 100 for b in below.values())
+    rows = [(7, f"aa bb cc {k} words of one repeated id", "en") for k in range(900)]
+    assert langid.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string")).labels == ["en"]
+
+
 def test_texts_without_spaces_are_learned_beyond_their_start(spark):
     rng = np.random.default_rng(2)
     make = lambda letters, n: "".join(rng.choice(list(letters), n))
