@@ -230,11 +230,11 @@ def frequent(docs: DataFrame, least: int = 10, longest: int = 3, shard_places: i
     counted = texts.mapInArrow(word_counts, "lang string, phrase string, f long")
     known = kept_as_table(counted.groupBy("lang", "phrase").agg(F.sum("f").alias("f")), "phrase-words")
     total = known.agg(F.sum("f")).first()[0] or 0
-    shards = max(1, -(-total // shard_places), int(session.conf.get("spark.sql.shuffle.partitions")))
+    parts = max(int(session.conf.get("spark.sql.shuffle.partitions")), total // (4 * shard_places))
+    shards = 4 * parts
     unit = max(least, shard_places // 4, total >> 20)
     hot = Hot(known.where(F.col("f") > unit).toLocalIterator(), unit)
     sent = texts.mapInArrow(lambda b: pointers(b, hot, shards, longest), "shard long, lang string, words array<binary>, counts binary")
-    parts = min(shards, max(int(session.conf.get("spark.sql.shuffle.partitions")), shards // 8))
     found = sent.repartition(parts, "shard").sortWithinPartitions("shard").mapInArrow(lambda b: grown(b, hot, least), "lang string, phrase string, size int, f long")
     whole = found.groupBy("lang", "phrase", "size").agg(F.sum("f").alias("f")).where(F.col("f") >= least)
     return known, kept_as_table(whole, "phrase-counts")
@@ -270,7 +270,9 @@ def collocations(docs: DataFrame, least: int = 10, longest: int = 3, cover: int
     rows = best.select("lang", "phrase", "a", "cut.l", "cut.r", "cut.score")
     order = F.desc("score"), F.desc("a"), F.asc("phrase")
     salted = rows.withColumn("salt", F.pmod(F.xxhash64("phrase"), F.lit(salts)))
-    few = salted.withColumn("rank", F.row_number().over(Window.partitionBy("lang", "salt").orderBy(*order))).where(F.col("rank") <= top)
+    few = salted
+    for groups in (salts, -(-salts // 8)):  # the last window so reads some times top rows of a language
+        few = few.withColumn("salt", F.col("salt") % groups).withColumn("rank", F.row_number().over(Window.partitionBy("lang", "salt").orderBy(*order))).where(F.col("rank") <= top)
     ranked = few.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order)).cast("long")).where(F.col("rank") <= top)
     sizes = known.groupBy("lang").agg(F.sum("f").alias("n"))
     return ranked.join(sizes, "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
