@@ -61,13 +61,14 @@ def unchanged_hash(content: Column) -> Column:
 def preflight(jobs: DataFrame, existing: DataFrame) -> DataFrame:
     """All problems of a batch: job_id, issue.
 
-    jobs: job_id, folder, source, study_id, target, error; existing: folder, name. Names compare without case.
+    jobs: job_id, folder, source, study_id, target, error; existing: folder, name. Names compare without case; of the
+    names in a folder only the source's own, letter by letter, does not stand in its target's way.
     """
     low = lambda c: F.lower(c)
     repeated = lambda c, issue: jobs.withColumn("n", F.count("*").over(Window.partitionBy("folder", low(F.col(c))))).where("n > 1").select("job_id", F.lit(issue).alias("issue"))
     have = existing.select("folder", low(F.col("name")).alias("low"), "name").alias("e")
     j = jobs.alias("j")
-    clash = j.join(have, (F.col("j.folder") == F.col("e.folder")) & (low(F.col("j.target")) == F.col("e.low")) & (low(F.col("j.source")) != F.col("e.low"))).select("j.job_id", F.lit("target_exists").alias("issue")).distinct()
+    clash = j.join(have, (F.col("j.folder") == F.col("e.folder")) & (low(F.col("j.target")) == F.col("e.low")) & (F.col("j.source") != F.col("e.name"))).select("j.job_id", F.lit("target_exists").alias("issue")).distinct()
     recovery = j.join(existing.where(F.rlike(F.col("name"), F.lit(r"^\.deid-recovery-"))).groupBy("folder").agg(F.min("name").alias("first")).alias("r"), "folder").select("job_id", F.lit("unresolved_recovery").alias("issue"))
     parts = [repeated("source", "duplicate_source"), repeated("target", "duplicate_target"), clash, recovery, jobs.where(~study_id_ok(F.col("study_id"))).select("job_id", F.lit("invalid_study_id").alias("issue")), jobs.where("error is not null").select("job_id", F.lit("invalid_header").alias("issue"))]
     several = jobs.select("folder").distinct().count() > 1
@@ -79,6 +80,20 @@ def preflight(jobs: DataFrame, existing: DataFrame) -> DataFrame:
     return out
 
 
+def batch_issues(batches: DataFrame, jobs: DataFrame, folders: DataFrame) -> DataFrame:
+    """Problems of whole batches: batch, issue.
+
+    batches: batch; jobs: batch, folder, size; folders: folder, free (bytes, null where it cannot be told). A batch needs as much room as its
+    largest file, since one copy exists at a time. Room is looked at in batches of one folder only.
+    """
+    told = jobs.groupBy("batch").agg(F.min("folder").alias("folder"), (F.min("folder") != F.max("folder")).alias("several"), F.max("size").alias("need"))
+    j = batches.join(told, "batch", "left").join(folders.withColumn("known", F.lit(True)), "folder", "left")
+    one = ~F.col("several") & F.col("known")
+    rules = [("empty_batch", F.col("several").isNull()), ("several_folders", F.col("several")), ("unknown_space", one & F.col("free").isNull()), ("insufficient_space", one & (F.col("free") < F.col("need")))]
+    found = F.array(*(F.when(c, F.lit(name)) for name, c in rules))
+    return j.select("batch", F.explode(F.array_compact(found)).alias("issue"))
+
+
 def batch_status(steps: DataFrame, keys: list[str]) -> DataFrame:
     """Final status of each step of a batch that stops at its first failure or cancellation; what follows stays untouched."""
     stop = F.min(F.when(F.col("result").isin("failed", "cancelled"), F.col("position"))).over(Window.partitionBy(*keys))
@@ -192,8 +207,10 @@ def deidentify(source: str, study: str, cancel: Callable[[], bool] = lambda: Fal
         os.utime(temporary, ns=(s.st_atime_ns, s.st_mtime_ns))
         if cancel():
             raise Cancelled
-        same = os.path.exists(target) and os.path.samefile(source, target)
-        if same:
+        # Only the source's own entry may be replaced: another one, even a hard link of it, is somebody's file.
+        own, wanted = os.path.basename(source), os.path.basename(target).casefold()
+        require(not any(name.casefold() == wanted and name != own for name in os.listdir(folder or ".")), "deid:TargetExists")
+        if os.path.exists(target):
             os.replace(temporary, target)
         else:
             published = _signature(temporary)

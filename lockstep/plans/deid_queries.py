@@ -59,14 +59,14 @@ def patient_field(spark, sf_dir):
     return c.withColumn("patient_field", deid.patient_field(F.col("auto_id"), F.concat(F.lit("study_"), F.col("c_custkey").cast("string"))))
 
 
-_JOBS = "SELECT o_orderkey AS job_id, concat('folder', o_custkey % 20) AS folder, concat('File', o_orderkey % 900, '.EDF') AS source, CASE WHEN o_orderkey % 47 = 0 THEN 'bad id' ELSE concat('st', o_orderkey % 1100) END AS study_id, concat(CASE WHEN o_orderkey % 2 = 0 THEN 'St' ELSE 'st' END, o_orderkey % 1100, '.edf') AS target, CASE WHEN o_orderkey % 83 = 0 THEN 'x' END AS error FROM orders WHERE o_orderkey % 4 = 0"
+_JOBS = "SELECT o_orderkey AS job_id, concat('folder', o_custkey % 20) AS folder, CASE WHEN o_orderkey % 3 = 0 THEN concat('sT', o_orderkey % 1100, '.edf') ELSE concat('File', o_orderkey % 900, '.EDF') END AS source, CASE WHEN o_orderkey % 47 = 0 THEN 'bad id' ELSE concat('st', o_orderkey % 1100) END AS study_id, concat(CASE WHEN o_orderkey % 2 = 0 THEN 'St' ELSE 'st' END, o_orderkey % 1100, '.edf') AS target, CASE WHEN o_orderkey % 83 = 0 THEN 'x' END AS error FROM orders WHERE o_orderkey % 4 = 0"
 _HAVE = "SELECT concat('folder', s_suppkey % 20) AS folder, concat('sT', s_suppkey * 4, '.edf') AS name FROM supplier UNION ALL SELECT concat('folder', s_suppkey % 20), concat('.deid-recovery-', s_suppkey) FROM supplier WHERE s_suppkey % 33 = 0"
 
 
 @query(f"""WITH jobs AS ({_JOBS}), have AS ({_HAVE})
 SELECT job_id, 'duplicate_source' AS issue FROM (SELECT *, count(*) OVER (PARTITION BY folder, lower(source)) AS n FROM jobs) WHERE n > 1
 UNION ALL SELECT job_id, 'duplicate_target' FROM (SELECT *, count(*) OVER (PARTITION BY folder, lower(target)) AS n FROM jobs) WHERE n > 1
-UNION ALL SELECT DISTINCT job_id, 'target_exists' FROM jobs j JOIN have e ON j.folder = e.folder AND lower(j.target) = lower(e.name) AND lower(j.source) <> lower(e.name)
+UNION ALL SELECT DISTINCT job_id, 'target_exists' FROM jobs j JOIN have e ON j.folder = e.folder AND lower(j.target) = lower(e.name) AND j.source <> e.name
 UNION ALL SELECT job_id, 'unresolved_recovery' FROM jobs WHERE folder IN (SELECT folder FROM have WHERE name LIKE '.deid-recovery-%')
 UNION ALL SELECT job_id, 'invalid_study_id' FROM jobs WHERE NOT {_OK.format('study_id')} UNION ALL SELECT job_id, 'invalid_header' FROM jobs WHERE error IS NOT NULL UNION ALL SELECT job_id, 'several_folders' FROM jobs""")
 def preflight_issues(spark, sf_dir):
@@ -76,6 +76,23 @@ def preflight_issues(spark, sf_dir):
     return deid.preflight(jobs, have)
 
 
+_BATCHES = """batches AS (SELECT c_custkey AS batch FROM customer), jobs AS (SELECT o_custkey AS batch, 'folder' || CASE WHEN o_orderkey % 97 = 0 THEN o_custkey % 7 ELSE o_custkey % 20 END AS folder, CAST(round(o_totalprice) AS BIGINT) AS size FROM orders),
+folders AS (SELECT 'folder' || s_suppkey AS folder, CASE WHEN s_suppkey % 5 <> 0 THEN CAST(round(s_acctbal) AS BIGINT) * 60 END AS free FROM supplier WHERE s_suppkey < 19)"""
+
+
+@query(f"""WITH {_BATCHES}, told AS (SELECT batch, count(DISTINCT folder) AS n, min(folder) AS folder, max(size) AS need FROM jobs GROUP BY batch)
+SELECT batch, 'empty_batch' AS issue FROM batches WHERE batch NOT IN (SELECT batch FROM jobs)
+UNION ALL SELECT batch, 'several_folders' FROM told JOIN batches USING (batch) WHERE n > 1
+UNION ALL SELECT batch, CASE WHEN free IS NULL THEN 'unknown_space' ELSE 'insufficient_space' END FROM told JOIN batches USING (batch) JOIN folders USING (folder) WHERE n = 1 AND (free IS NULL OR free < need)""")
+def batch_issues(spark, sf_dir):
+    """Batches that are empty, span folders, or lack room for their largest file."""
+    of = {n: table(spark, sf_dir, n) for n in ("customer", "orders", "supplier")}
+    batches = of["customer"].select(F.col("c_custkey").alias("batch"))
+    jobs = of["orders"].select(F.col("o_custkey").alias("batch"), F.expr("concat('folder', CASE WHEN o_orderkey % 97 = 0 THEN o_custkey % 7 ELSE o_custkey % 20 END)").alias("folder"), F.round("o_totalprice").cast("long").alias("size"))
+    folders = of["supplier"].where("s_suppkey < 19").select(F.expr("concat('folder', s_suppkey)").alias("folder"), F.expr("CASE WHEN s_suppkey % 5 <> 0 THEN cast(round(s_acctbal) AS BIGINT) * 60 END").alias("free"))
+    return deid.batch_issues(batches, jobs, folders)
+
+
 _STEPS = f"SELECT event_id // {SAMPLES // 20} AS batch, event_id AS position, CASE WHEN value > 45 THEN 'failed' WHEN event_id % 71 = 0 THEN 'cancelled' ELSE 'completed' END AS result FROM events"
 
 

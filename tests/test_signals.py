@@ -107,6 +107,26 @@ def test_bad_headers(change, identifier):
         edf.parse(h.bytes(), 1000)
 
 
+def test_another_entry_of_the_source_is_no_free_target(tmp_path):
+    raw = edf.content(header(), [np.zeros(12), np.zeros(24)])
+    for name, other in (("raw.edf", "st1.edf"), ("ST2.edf", "st2.EDF")):
+        (tmp_path / name).write_bytes(raw)
+        os.link(tmp_path / name, tmp_path / other)
+        study = other.split(".")[0]
+        r = deid.deidentify(str(tmp_path / name), study)
+        assert (r.status, r.error) == ("failed", "deid:TargetExists")
+        assert (tmp_path / name).read_bytes() == raw == (tmp_path / other).read_bytes()
+    (tmp_path / "st3.edf").write_bytes(raw)
+    assert deid.deidentify(str(tmp_path / "st3.edf"), "st3").status == "completed"
+    assert (tmp_path / "st3.edf").read_bytes()[8:26] == b"AUTO85061915252301"
+
+
+def test_preflight_allows_only_the_sources_own_name(spark):
+    jobs = spark.createDataFrame([(1, "f", "ST1.edf", "st1", "st1.edf", None), (2, "f", "st2.edf", "st2", "st2.edf", None), (3, "f", "a.edf", "st3", "st3.edf", None)], "job_id long, folder string, source string, study_id string, target string, error string")
+    names = spark.createDataFrame([("f", n) for n in ("ST1.edf", "st1.edf", "st2.edf", "a.edf", "St3.EDF")], "folder string, name string")
+    assert sorted(tuple(r) for r in deid.preflight(jobs, names).collect()) == [(1, "target_exists"), (3, "target_exists")]
+
+
 def test_deidentify(tmp_path):
     raw = edf.content(header(), [np.zeros(12), np.zeros(24)])
     source = tmp_path / "old name.edf"
