@@ -50,6 +50,7 @@ class Cascade:
         t = np.arange(CHUNK)
         self.toeplitz = np.where(t[:, None] <= t, response[np.abs(t[:, None] - t)], 0.0)
         self.reach = reach[::-1]
+        self._levels: dict[int, tuple[np.ndarray, np.ndarray, float]] = {}
         self._maps: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
 
     def steady(self, value: float) -> np.ndarray:
@@ -86,6 +87,12 @@ class Cascade:
         y, after = self.run(x, rest)
         return after, self.run(y[::-1], rest)[1], float(y[-1])
 
+    def level(self, length: int) -> tuple[np.ndarray, np.ndarray, float]:
+        """The summary of a block of ones."""
+        if length not in self._levels:
+            self._levels[length] = self.summary(np.ones(length))
+        return self._levels[length]
+
     def states(self, first: float, lengths: list[int], ends: list[np.ndarray], backs: list[np.ndarray], lasts: list[float]) -> tuple[list[np.ndarray], list[np.ndarray]]:
         """The state before each block of a channel, forward and backward, from the blocks' summaries."""
         state, forward = self.steady(first), []

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..errors import require
@@ -37,6 +37,64 @@ def sinc(x: Column) -> Column:
     return F.when(x == 0, F.lit(1.0)).otherwise(F.sin(F.lit(np.pi) * x) / (F.lit(np.pi) * x))
 
 
+#: I0(x) as a sum of squares; 40 terms are exact to double precision for the shapes in use.
+I0_TERMS = 40
+
+
+def kernel_weight(distance: Column, offset: Column, plan: tuple[int, float, float]) -> Column:
+    """The kernel's weight, before it is scaled to a sum of one, of a sample offset from the nearest one and distance from the point."""
+    order, beta, cutoff = plan
+    x = beta * F.sqrt(F.greatest(F.lit(0.0), 1 - F.pow(offset / (order / 2), 2)))
+    step = lambda a, k: F.struct((a["term"] * F.pow(x / 2 / k, 2)).alias("term"), (a["sum"] + a["term"] * F.pow(x / 2 / k, 2)).alias("sum"))
+    i0 = F.aggregate(F.sequence(F.lit(1), F.lit(I0_TERMS)), F.struct(F.lit(1.0).alias("term"), F.lit(1.0).alias("sum")), step, lambda a: a["sum"])
+    return cutoff * sinc(cutoff * distance) * i0
+
+
+def phase_weights(session: SparkSession, up: int, down: int, plan: tuple[int, float, float]) -> DataFrame:
+    """(phase, ahead, weights) for outputs at every down / up samples: up rows, whatever is resampled with them.
+
+    Output k has phase k % up; its nearest sample is ahead of the (k div up) * down-th; the weights are those of the samples around that.
+    """
+    half = plan[0] // 2
+    taps = session.range(up * (2 * half + 1)).select(F.expr(f"cast(id div {2 * half + 1} AS INT)").alias("phase"), (F.col("id") % (2 * half + 1) - half).alias("t"))
+    at = F.col("phase") * down / up
+    taps = taps.withColumn("ahead", F.floor(at + 0.5)).withColumn("w", kernel_weight(at - F.col("ahead") - F.col("t"), F.col("t"), plan))
+    rows = taps.groupBy("phase", "ahead").agg(F.sum("w").alias("total"), F.sort_array(F.collect_list(F.struct("t", "w"))).alias("taps"))
+    return rows.select("phase", "ahead", F.transform("taps", lambda x: x["w"] / F.col("total")).alias("weights"))
+
+
+def resample_rational(samples: DataFrame, up: int, down: int, plan: tuple[int, float, float], block: int = 1 << 10) -> DataFrame:
+    """All outputs at every down / up samples: recording_id, k (from 0), value. samples: recording_id, source (from 1, without gaps), value.
+
+    Blocks of samples with a halo meet the weights of each phase, which are few rows at any size of the input; taps are never rows.
+    """
+    half = plan[0] // 2
+    require(block > 2 * half, "resample_eeg_segments:InvalidBlockSize", str(block))
+    at = samples.withColumn("i", F.col("source") - 1)
+    body = F.transform(F.sort_array(F.collect_list(F.struct("i", "value"))), lambda x: x["value"])
+    blocks = at.groupBy("recording_id", F.expr(f"i div {block}").alias("block")).agg(body.alias("body"))
+    part = lambda to, side, values: F.struct(to.alias("to"), F.lit(side).alias("side"), values.alias("part"))
+    size = F.size("body")
+    parts = F.array(part(F.col("block"), 0, F.col("body")), part(F.col("block") + 1, -1, F.slice("body", F.greatest(size - half + 1, F.lit(1)), half)), part(F.col("block") - 1, 1, F.slice("body", 1, half)))
+    side = lambda k: F.coalesce(F.first(F.when(F.col("side") == k, F.col("part")), True), F.array().cast("array<double>"))
+    met = blocks.select("recording_id", F.inline(parts)).groupBy("recording_id", F.col("to").alias("block")).agg(side(-1).alias("left"), side(0).alias("body"), side(1).alias("right")).where(size > 0)
+    n = blocks.groupBy("recording_id").agg(F.sum(size).alias("n"))
+    low = F.col("block") * block
+    known = F.concat("left", "body", "right")
+    first = low - F.size("left")
+    around = met.join(n, "recording_id").select("recording_id", "n", low.alias("low"), (low + size).alias("past"), known.alias("known"), first.alias("first"))
+    folded = F.transform(F.sequence(F.col("low") - half, F.col("past") - 1 + half), lambda i: F.element_at("known", (reflected(i + 1, F.col("n")) - F.col("first")).cast("int")))
+    least = F.greatest(F.ceil((F.col("low") - 0.5) * up / down), F.lit(0))
+    most = F.least(F.ceil((F.col("past") - 0.5) * up / down) - 1, F.floor((F.col("n") - 1) * up / down))
+    ready = around.select("recording_id", "low", folded.alias("x"), least.alias("least"), most.alias("most")).where("least <= most")
+    phases = ready.withColumn("phase", F.explode(F.sequence(F.lit(0), F.lit(up - 1)))).withColumn("from", F.col("least") + F.pmod(F.col("phase") - F.col("least"), F.lit(up))).where("from <= most")
+    told = phases.join(F.broadcast(phase_weights(samples.sparkSession, up, down, plan)), "phase")
+    start = lambda k: ((k - F.col("phase")) / up * down + F.col("ahead") - F.col("low") + 1).cast("int")
+    value = lambda k: F.aggregate(F.zip_with(F.slice("x", start(k), 2 * half + 1), "weights", lambda a, w: a * w), F.lit(0.0), lambda a, v: a + v)
+    outputs = F.transform(F.sequence("from", "most", F.lit(up).cast("long")), lambda k: F.struct(k.alias("k"), value(k).alias("value")))
+    return told.select("recording_id", F.inline(outputs))
+
+
 #: Samples of a channel's segment that are filtered and resampled together.
 BLOCK = 1 << 15
 CHANNEL = ["recording_id", "segment_index", "channel"]
@@ -102,10 +160,9 @@ def _states(trigger_rate: float):
             return pd.DataFrame(columns=[*CHANNEL, "block", "mean", "forward", "backward"])
         mean = own.total.sum() / n
         filter_ = cascade.highpass(first.eeg / (first.span / trigger_rate))
-        ones = {k: filter_.summary(np.ones(k)) for k in set(pdf.length)}
         edge = np.where(pdf.sign > 0, 0.0, np.where(pdf.part < 0, 2 * own["head"].iloc[0], 2 * own["tail"].iloc[-1])) - mean
         level = pdf.sign * pdf.middle + edge  # a part is sign (x - middle) + level
-        told = [[s * a + l * ones[k][j] for s, a, l, k in zip(pdf.sign, pdf[c], level, pdf.length)] for j, c in enumerate(("after", "back", "final"))]
+        told = [[s * a + l * filter_.level(k)[j] for s, a, l, k in zip(pdf.sign, pdf[c], level, pdf.length)] for j, c in enumerate(("after", "back", "final"))]
         forward, backward = filter_.states(first.sign * first["head"] + edge[0], pdf.length.tolist(), *told)
         out = pdf[CHANNEL].assign(block=pdf.part, mean=mean, forward=forward, backward=backward)
         return out[pdf.sign > 0]

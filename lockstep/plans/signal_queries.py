@@ -96,53 +96,36 @@ def reflect_index(spark, sf_dir):
     return e.select("i", resampling.reflected(F.col("i"), 20).cast("long").alias("folded"))
 
 
-ORDER, BETA, CUTOFF = dsp.kaiser_plan(500)
-#: I0(x) as a sum of squares; 40 terms are exact to double precision for the shapes in use.
-_TERMS = 40
+PLAN = ORDER, BETA, CUTOFF = dsp.kaiser_plan(500)
+UP, DOWN = 64, 125  # 256 Hz from 500 Hz
 
 
 def _i0_sql(x: str) -> str:
-    return f"list_sum(list_transform(range(0, {_TERMS}), lambda k: pow(pow({x} / 2, k) / gamma(k + 1), 2)))"
+    return f"list_sum(list_transform(range(0, {resampling.I0_TERMS}), lambda k: pow(pow({x} / 2, k) / gamma(k + 1), 2)))"
 
 
-_WEIGHT = f"""(CASE WHEN {{d}} = 0 THEN {CUTOFF} ELSE {CUTOFF} * sin(pi() * {CUTOFF} * {{d}}) / (pi() * {CUTOFF} * {{d}}) END) * {_i0_sql(f"({BETA} * sqrt(greatest(0, 1 - pow(t / {ORDER / 2}, 2))))")}"""
+_KERNEL = f"""taps AS MATERIALIZED (SELECT phase, t, ahead, phase * {DOWN} / {UP}::DOUBLE - ahead - t AS d FROM (SELECT p.phase, r.t, floor(p.phase * {DOWN} / {UP}::DOUBLE + 0.5)::BIGINT AS ahead FROM range({UP}) p(phase), range({-(ORDER // 2)}, {ORDER // 2 + 1}) r(t))),
+weights AS MATERIALIZED (SELECT phase, t, ahead, w / sum(w) OVER (PARTITION BY phase) AS w FROM (SELECT *, (CASE WHEN d = 0 THEN {CUTOFF} ELSE {CUTOFF} * sin(pi() * {CUTOFF} * d) / (pi() * {CUTOFF} * d) END) * {_i0_sql(f"({BETA} * sqrt(greatest(0, 1 - pow(t / {ORDER / 2}, 2))))")} AS w FROM taps))"""
 
 
-def _weight(d, t):
-    x = BETA * F.sqrt(F.greatest(F.lit(0.0), 1 - F.pow(t / (ORDER / 2), 2)))
-    i0 = F.aggregate(F.sequence(F.lit(1), F.lit(_TERMS)), F.struct(F.lit(1.0).alias("term"), F.lit(1.0).alias("sum")), lambda a, k: F.struct((a["term"] * F.pow(x / 2 / k, 2)).alias("term"), (a["sum"] + a["term"] * F.pow(x / 2 / k, 2)).alias("sum")), lambda a: a["sum"])
-    return CUTOFF * resampling.sinc(CUTOFF * d) * i0
-
-
-@query(f"WITH w AS (SELECT t, {_WEIGHT.format(d='(-t)::DOUBLE')} AS w FROM range({-(ORDER // 2)}, {ORDER // 2 + 1}) r(t)) SELECT t, round(w / sum(w) OVER (), 9) + 0.0 AS weight FROM w")
+@query(f"WITH {_KERNEL} SELECT event_id, event_id % {UP} AS phase, event_id % {ORDER + 1} - {ORDER // 2} AS t, round(w, 9) + 0.0 AS weight FROM events JOIN weights ON phase = event_id % {UP} AND t = event_id % {ORDER + 1} - {ORDER // 2}")
 def kaiser_weights(spark, sf_dir):
-    """The anti-aliasing kernel at 500 Hz, 315 taps."""
-    t = spark.range(-(ORDER // 2), ORDER // 2 + 1).withColumnRenamed("id", "t").withColumn("w", _weight(-F.col("t").cast("double"), F.col("t")))
-    total = t.agg(F.sum("w").alias("total"))
-    return t.join(F.broadcast(total)).select("t", (F.round(F.col("w") / F.col("total"), 9) + 0.0).alias("weight"))
-
-
-_STEP = 500 / 256
-
-
-@query()
+    """One tap's weight of each output of the anti-aliasing kernel at 500 Hz, 315 taps in 64 phases; outputs and taps by event."""
+    e = table(spark, sf_dir, "events").select("event_id", (F.col("event_id") % UP).alias("phase"), (F.col("event_id") % (ORDER + 1) - ORDER // 2).alias("t"))
+    w = resampling.phase_weights(spark, UP, DOWN, PLAN).withColumnRenamed("phase", "p")
+    tap = F.element_at("weights", (F.col("t") + ORDER // 2 + 1).cast("int"))
+    return e.join(F.broadcast(w), F.col("phase") == F.col("p")).select("event_id", "phase", "t", (F.round(tap, 9) + 0.0).alias("weight"))
+
+
+@query(f"""WITH {_KERNEL}, src AS (SELECT event_id // {N} AS recording_id, event_id % {N} AS i, value FROM events), n AS (SELECT recording_id, count(*) AS n FROM src GROUP BY 1),
+outs AS (SELECT recording_id, n, k, k % {UP} AS phase, (k // {UP}) * {DOWN} AS base FROM (SELECT recording_id, n, unnest(range(0, floor((n - 1) * {UP} / {DOWN}::DOUBLE)::BIGINT + 1)) AS k FROM n)),
+hits AS (SELECT recording_id, k, w, n, (base + ahead + t) % greatest(2 * (n - 1), 1) AS m FROM outs JOIN weights USING (phase)),
+placed AS (SELECT recording_id, k, w, n, CASE WHEN m < 0 THEN m + 2 * (n - 1) ELSE m END AS m FROM hits)
+SELECT p.recording_id, k + 1 AS sample, round(sum(w * value), 6) AS value FROM placed p JOIN src s ON s.recording_id = p.recording_id AND s.i = CASE WHEN p.m >= p.n THEN 2 * (p.n - 1) - p.m ELSE p.m END GROUP BY p.recording_id, k""")
 def sinc_resample(spark, sf_dir):
-    """All outputs at 256 Hz of all recordings, by expressions: kernel gather on reflected samples. A test holds them against numpy; SQL is too slow for all."""
-    src = _sources(spark, sf_dir)
-    n = src.groupBy("recording_id").agg(F.max("source").alias("n"))
-    return _gathered(src, n.select("recording_id", "n", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("n") - 1) / _STEP))).alias("k")))
-
-
-def _sources(spark, sf_dir):
-    return table(spark, sf_dir, "events").select(F.expr(f"event_id div {N}").alias("recording_id"), F.expr(f"event_id % {N} + 1").alias("source"), "value")
-
-
-def _gathered(src, out):
-    """Values at the outputs (recording_id, n, k) of recordings of n samples."""
-    out = out.withColumn("pos", F.col("k") * _STEP).withColumn("centre", F.floor(F.col("pos") + 0.5))
-    g = out.select("*", F.explode(F.sequence(F.lit(-(ORDER // 2)), F.lit(ORDER // 2))).alias("t"))
-    g = g.withColumn("w", _weight(F.col("pos") - F.col("centre") - F.col("t"), F.col("t"))).withColumn("source", resampling.reflected(F.col("centre") + F.col("t") + 1, F.col("n")).cast("long"))
-    return g.join(src, ["recording_id", "source"]).groupBy("recording_id", "k").agg((F.sum(F.col("w") * F.col("value")) / F.sum("w")).alias("v")).select("recording_id", (F.col("k") + 1).alias("sample"), F.round("v", 6).alias("value"))
+    """All outputs at 256 Hz of all recordings at 500 Hz: blocks of samples with reflected ends, and the kernel's weights by phase."""
+    src = table(spark, sf_dir, "events").select(F.expr(f"event_id div {N}").alias("recording_id"), F.expr(f"event_id % {N} + 1").alias("source"), "value")
+    return resampling.resample_rational(src, UP, DOWN, PLAN).select("recording_id", (F.col("k") + 1).alias("sample"), F.round("value", 6).alias("value"))
 
 
 @query()

@@ -71,3 +71,21 @@ def test_summaries_compose(rate):
     maps = f.maps(1900)
     assert np.allclose(maps[0] @ state + end, after, atol=1e-9) and np.isclose(maps[2] @ state + last, whole_run[-1], atol=1e-10)
     assert np.allclose(f.run(np.full(500, 3.0), f.steady(3.0))[0], 0, atol=1e-12)
+
+
+def test_rational_steps_against_the_whole_recording(spark):
+    rng = np.random.default_rng(9)
+    plan = dsp.kaiser_plan(500)
+    data = {k: rng.normal(size=n) for k, n in enumerate([5000, 1025, 1024, 900, 200, 2, 1])}
+    rows = [(k, i + 1, float(v)) for k, x in data.items() for i, v in enumerate(x)]
+    samples = spark.createDataFrame(rows, "recording_id long, source long, value double").repartition(5)
+    got = resampling.resample_rational(samples, 64, 125, plan)
+    found = got.toPandas()
+    for k, x in data.items():
+        one = found[found.recording_id == k].sort_values("k")
+        count = int((len(x) - 1) * 64 / 125) + 1
+        want = dsp.resample(x[None], 125 / 64, count, plan)[0]
+        assert one.k.tolist() == list(range(count)) and np.abs(one["value"].to_numpy() - want).max() < 1e-12
+    plan_text = got._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan_text and "BroadcastNestedLoopJoin" not in plan_text
+    assert resampling.phase_weights(spark, 64, 125, plan).count() == 64
