@@ -118,8 +118,8 @@ def canonical_edges(cycle: DataFrame) -> DataFrame:
     return cycle.select("recording_id", F.col("position").alias("interval_number"), F.col("type").alias("source_type"), F.coalesce(F.lead("type").over(w), first).alias("destination_type"), F.col("interval_to_next_sec").alias("interval_sec"))
 
 
-def prefix_suffix(observed: DataFrame, reference: DataFrame, keys: list[str], shared: list[str], tolerance: float) -> DataFrame:
-    """Leading and trailing edges of observed that equal those of reference; the suffix does not overlap the prefix.
+def prefix_suffix(observed: DataFrame, reference: DataFrame, keys: list[str], shared: list[str], tolerance: float, both: bool = True) -> DataFrame:
+    """Leading and trailing edges of observed that equal those of reference; the suffix does not overlap the prefix, in either or (not both) in observed.
 
     Edges have interval_number from 1, types and interval_sec; observed is by keys, reference by shared (some of keys).
     Lists are compared as arrays, so each side is grouped once and joined once.
@@ -134,4 +134,4 @@ def prefix_suffix(observed: DataFrame, reference: DataFrame, keys: list[str], sh
 
     j = o.join(r, shared).withColumn("prefix", leading(F.col("o"), F.col("r")).cast("long")).withColumn("_s", leading(F.reverse("o"), F.reverse("r")))
     n, m = F.size("o").cast("long"), F.size("r").cast("long")
-    return j.select(*keys, "prefix", F.greatest(F.lit(0), F.least("_s", F.least(n, m) - F.col("prefix"))).alias("suffix"), n.alias("n_observed"), m.alias("n_reference"))
+    return j.select(*keys, "prefix", F.greatest(F.lit(0), F.least("_s", (F.least(n, m) if both else n) - F.col("prefix"))).alias("suffix"), n.alias("n_observed"), m.alias("n_reference"))
