@@ -28,6 +28,25 @@ def islands(df: DataFrame, keys: list[str], order: str, inside: Column, *aggrega
     return kept.groupBy(*keys, "_g").agg(F.min(order).alias("first"), F.max(order).alias("last"), *aggregates).drop("_g")
 
 
+def block_runs(df: DataFrame, keys: list[str], order: str, value: Column, block: int = 1 << 16, **largest: Column) -> DataFrame:
+    """Maximal runs of consecutive ordinals with an equal, non-null value: keys, value, first, last, and the largest of each column asked for.
+
+    Runs are found block by block of ordinals. Those that reach a block's first or last ordinal are then joined across blocks: two rows a block at most,
+    so that no window holds more than a block, or as many rows as there are blocks.
+    """
+    at = df.withColumn("_v", value).where("_v is not null").withColumn("_b", F.floor(F.col(order) / block)).select(*keys, "_b", "_v", F.col(order).alias("_o"), *(c.alias(f"_m_{n}") for n, c in largest.items()))
+    inner = Window.partitionBy(*keys, "_b", "_v").orderBy("_o")
+    tops = lambda: (F.max(f"_m_{n}").alias(f"_m_{n}") for n in largest)
+    found = at.withColumn("_g", F.col("_o") - F.row_number().over(inner)).groupBy(*keys, "_b", "_v", "_g").agg(F.min("_o").alias("first"), F.max("_o").alias("last"), *tops())
+    open_ = (F.col("first") == F.col("_b") * block) | (F.col("last") == F.col("_b") * block + block - 1)
+    placed = found.withColumn("_p", F.when(open_, F.lit(None).cast("long")).otherwise(F.col("_b")))
+    w = Window.partitionBy(*keys, "_p").orderBy("first")
+    goes_on = F.col("_v").eqNullSafe(F.lag("_v").over(w)) & (F.lag("last").over(w) + 1 == F.col("first"))
+    numbered = placed.withColumn("_new", F.when(F.coalesce(goes_on, F.lit(False)), 0).otherwise(1)).withColumn("_run", F.sum("_new").over(w))
+    joined = numbered.groupBy(*keys, "_p", "_run").agg(F.first("_v").alias("value"), F.min("first").alias("first"), F.max("last").alias("last"), *tops())
+    return joined.select(*keys, "value", "first", "last", *(F.col(f"_m_{n}").alias(n) for n in largest))
+
+
 def matches_at(keys: list[str], order: str, column: str, pattern: list[str]) -> Column:
     """Whether the given pattern starts at a row."""
     w = Window.partitionBy(*keys).orderBy(order)

@@ -25,6 +25,47 @@ def timeline(events: DataFrame, rate: float, longest_sec: float, tail_hr: float)
     return unsafe.union(first).union(last)
 
 
+#: Classes of time on the output's axis; where several hold, the first counts.
+TRUST = ("excluded", "lost", "dropped", "padded", "trusted", "uncertain")
+
+
+def sweep(intervals: DataFrame, keys: list[str], classes: tuple[str, ...]) -> DataFrame:
+    """Disjoint intervals (keys, kind, start, end): at each time the first of classes that holds, neighbours of one kind joined.
+
+    intervals: keys, kind, start, end. Each opens its class at its start and closes it at its end; one window over these ends counts what is open.
+    Empty intervals count for nothing.
+    """
+    end = lambda c, step: F.struct(F.col(c).cast("double").alias("at"), F.lit(step).alias("step"))
+    ends = intervals.where("start < end").select(*keys, "kind", F.inline(F.array(end("start", 1), end("end", -1))))
+    changes = ends.groupBy(*keys, "at").agg(*(F.sum(F.when(F.col("kind") == c, F.col("step")).otherwise(0)).alias(f"_{c}") for c in classes))
+    w = Window.partitionBy(*keys).orderBy("at")
+    kind = F.coalesce(*(F.when(F.sum(f"_{c}").over(w) > 0, c) for c in classes))
+    pieces = changes.select(*keys, kind.alias("kind"), F.col("at").alias("start"), F.lead("at").over(w).alias("end"))
+    by_start = Window.partitionBy(*keys).orderBy("start")
+    new = F.coalesce(~F.col("kind").eqNullSafe(F.lag("kind").over(by_start)), F.lit(True)).cast("int")
+    numbered = pieces.where("end is not null").withColumn("_new", new).withColumn("_run", F.sum("_new").over(by_start)).where("kind is not null")
+    return numbered.groupBy(*keys, "_run", "kind").agg(F.min("start").alias("start"), F.max("end").alias("end")).drop("_run")
+
+
+def trust_timeline(extents: DataFrame, segments: DataFrame, lost: DataFrame, excluded: DataFrame) -> DataFrame:
+    """What to think of each stretch of a recording, in hours of the output's clock: recording_id, kind, start, end.
+
+    extents: recording_id, shift_hr (where the EEG starts), eeg_hr and output_hr (how long both are). segments, lost, excluded: recording_id,
+    start_hr, end_hr on the same clock; an open start or end (null) reaches to that of both recordings together.
+    Before the EEG's start and after its end the output is padded, beyond its own end the EEG is dropped, and
+    what no segment, loss or interruption tells of is uncertain.
+    """
+    e = extents.withColumn("end_hr", F.col("shift_hr") + F.col("eeg_hr"))
+    low, high = F.least(F.lit(0.0), F.col("shift_hr")), F.greatest("output_hr", "end_hr")
+    part = lambda kind, a, b: F.struct(F.lit(kind).alias("kind"), a.cast("double").alias("start"), b.cast("double").alias("end"))
+    own = F.array(part("padded", F.lit(0.0), F.least("shift_hr", "output_hr")), part("padded", F.greatest(F.col("end_hr"), F.lit(0.0)), F.col("output_hr")), part("dropped", F.greatest("output_hr", "shift_hr"), F.col("end_hr")), part("dropped", F.col("shift_hr"), F.least(F.lit(0.0), F.col("end_hr"))), part("uncertain", low, high))
+    rows = e.select("recording_id", F.inline(own))
+    for kind, df in (("trusted", segments), ("lost", lost), ("excluded", excluded)):
+        told = df.select("recording_id", F.col("start_hr").alias("a"), F.col("end_hr").alias("b")).join(e.select("recording_id", low.alias("low"), high.alias("high")), "recording_id")
+        rows = rows.union(told.select("recording_id", F.lit(kind), F.greatest(F.coalesce("a", "low"), "low").cast("double"), F.least(F.coalesce("b", "high"), "high").cast("double")))
+    return sweep(rows, ["recording_id"], TRUST)
+
+
 #: Clinical channels that are shown with the trigger channel.
 NATIVE = ("C3", "M1", "E2")
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .ordered import as_of, islands, matches_at, runs, within_match
+from .ordered import as_of, block_runs, matches_at, runs, within_match
 
 KEY = ["recording_id"]
 # Inclusive voltage bands of the codes.
@@ -32,7 +32,7 @@ def band_code(value: Column) -> Column:
 
 def pulses(trace: DataFrame, threshold: float = 1.0) -> DataFrame:
     """Stretches of samples above the threshold, with their largest value and its code."""
-    found = islands(trace, KEY, "sample", F.col("volts") > threshold, F.max("volts").alias("max_value"))
+    found = block_runs(trace, KEY, "sample", F.when(F.col("volts") > threshold, True), max_value=F.col("volts"))
     return found.select("recording_id", F.col("first").alias("latency"), F.col("last").alias("end"), "max_value", band_code(F.col("max_value")).alias("type"))
 
 
@@ -40,12 +40,12 @@ def split_pulses(trace: DataFrame, threshold: float = 1.0, least: int = 3) -> Da
     """Pulses as [latency, end], where one that holds a 63 stretch before a 64 stretch (least samples each) becomes two."""
     low63, high63 = BANDS[5][1:]
     low64, high64 = BANDS[6][1:]
-    whole = islands(trace, KEY, "sample", F.col("volts") > threshold)
+    above = trace.where(F.col("volts") > threshold)
+    whole = block_runs(above, KEY, "sample", F.lit(True))
     band = F.when(F.col("volts").between(low63, high63), "63").when(F.col("volts").between(low64, high64), "64")
-    w = Window.partitionBy("recording_id").orderBy("sample")
-    numbered = trace.where(F.col("volts") > threshold).withColumn("_g", F.col("sample") - F.row_number().over(w)).withColumn("_band", band)
-    starts = numbered.withColumn("latency", F.min("sample").over(Window.partitionBy("recording_id", "_g")))
-    parts = runs(starts, ["recording_id", "latency"], "sample", F.col("_band")).where(F.col("length") >= least)
+    bands = block_runs(above, KEY, "sample", band).where(F.col("last") - F.col("first") + 1 >= least)
+    # A run of one band lies within one pulse, the last that starts before it.
+    parts = as_of(bands, whole.select("recording_id", "first", F.col("first").alias("_latency")), KEY, "first", "_latency", "latency")
     inner = Window.partitionBy("recording_id", "latency").orderBy("first").rowsBetween(Window.unboundedPreceding, -1)
     pairs = parts.withColumn("end63", F.last(F.when(F.col("value") == "63", F.col("last")), True).over(inner)).where("value = '64' and end63 is not null")
     cut = pairs.groupBy("recording_id", "latency").agg(F.min_by(F.struct("end63", F.col("first").alias("start64")), "first").alias("cut"))

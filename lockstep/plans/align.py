@@ -1,6 +1,6 @@
 """From two recordings to the aligned, spliced output: all steps for any number of recordings at once.
 
-A recording that violates a contract drops out where it does, with the contract's identifier in ``errors``; the others go on.
+A recording that violates a contract is named in ``errors`` with the contract's identifier, and its output is left out; the others go on.
 """
 
 from __future__ import annotations
@@ -80,7 +80,7 @@ def align(pair: RecordingPair) -> dict[str, DataFrame]:
     """Every step's result: eeg_events, interruptions, edf_events, startup, segments, resampled, aligned, coverage, faults, output, and errors; with headers also bounds.
 
     Events, segments and aligned samples serve several results and are persisted (they spill to disk); unpersist them, or end the session.
-    errors: recording_id, step, error. Each recording's first error of a step is one row. Its output is not to be used.
+    errors: recording_id, step, error. Each recording's first error of a step is one row; output has no row of a recording that errors names.
     """
     require((pair.eeg_rate, pair.trigger_rate, pair.clinical_rate) == (500.0, 128.0, 256.0), "align_recordings:UnexpectedRate", f"{pair.eeg_rate}, {pair.trigger_rate}, {pair.clinical_rate}")
     step = lambda df, name: df.select("recording_id", F.lit(name).alias("step"), "error")
@@ -107,7 +107,8 @@ def align(pair: RecordingPair) -> dict[str, DataFrame]:
     output = montage.splice_wide(wide, pair.clinical, faults)
     spans = start.select("recording_id", (F.col("before") + 1).alias("start_sample"), "end_sample")
     over = montage.overlaps(spans).select("recording_id").distinct().select("recording_id", F.lit("concatenate_eeg_segments:InvalidSegmentBounds").alias("error"))
-    errors = [(lengths(pair), "inputs"), (wrong, "eeg_events"), (told.where("error is not null"), "segments"), (over, "concatenate"), (unfit, "faults")]
+    short = resampling.length_problems(cut, seg, len(montage.ELECTRODES)).groupBy("recording_id").agg(F.min_by("error", "segment_index").alias("error"))
+    errors = [(lengths(pair), "inputs"), (wrong, "eeg_events"), (told.where("error is not null"), "segments"), (short, "resample"), (over, "concatenate"), (unfit, "faults")]
     out = {"eeg_events": eeg, "interruptions": gaps, "edf_events": edf, "startup": startup, "segments": told, "resampled": resampled, "aligned": wide, "coverage": montage.coverage(mask), "faults": faults, "output": output}
     if pair.headers is not None:
         direct = pair.headers.where(F.col("channel").isin(*montage.OUTPUT))
@@ -120,4 +121,5 @@ def align(pair: RecordingPair) -> dict[str, DataFrame]:
     for df, name in errors:
         every = step(df, name) if every is None else every.union(step(df, name))
     out["errors"] = every
+    out["output"] = output.join(every.select("recording_id").distinct(), "recording_id", "left_anti")
     return out

@@ -174,3 +174,36 @@ def matched_segment_table(spark, sf_dir):
     from ..operators.replay import segment_recordings
 
     return segment_recordings(_light(spark, sf_dir, "eeg"), _light(spark, sf_dir, "edf"), EEG_RATE, TRIGGER_RATE)
+
+
+_T = "event_id % 500 * 60.0 + value"
+_PARTS = {
+    "extents": "SELECT recording_id, (recording_id % 7 - 3) * 10.0 AS shift_hr, max(start_hr) + 20 - recording_id % 5 * 10 AS eeg_hr, max(start_hr) + 25.0 AS output_hr FROM parts GROUP BY recording_id",
+    "segments": "SELECT recording_id, start_hr, end_hr FROM parts WHERE k < 5",
+    "lost": "SELECT recording_id, start_hr, CASE WHEN k <> 5 OR event_id % 50 <> 0 THEN end_hr END AS end_hr FROM parts WHERE k IN (5, 6) AND event_id % 3 = 0",
+    "interrupted": "SELECT recording_id, CASE WHEN event_id % 100 <> 7 OR event_id % 500 > 20 THEN start_hr END AS start_hr, start_hr + 0.75 AS end_hr FROM parts WHERE k = 7",
+}
+
+
+@query(f"""WITH parts AS (SELECT event_id, event_id // 500 AS recording_id, event_id % 10 AS k, ({_T}) / 3600 AS start_hr, ({_T}) / 3600 + 0.1 + value / 100 AS end_hr FROM events), {', '.join(f'{n} AS ({x})' for n, x in _PARTS.items())},
+e AS (SELECT *, shift_hr + eeg_hr AS end_hr, least(0.0, shift_hr) AS low, greatest(output_hr, shift_hr + eeg_hr) AS high FROM extents),
+told AS (
+  SELECT recording_id, 4 AS p, 0.0 AS a, least(shift_hr, output_hr) AS b FROM e UNION ALL SELECT recording_id, 4, greatest(end_hr, 0.0), output_hr FROM e
+  UNION ALL SELECT recording_id, 3, greatest(output_hr, shift_hr), end_hr FROM e UNION ALL SELECT recording_id, 3, shift_hr, least(0.0, end_hr) FROM e UNION ALL SELECT recording_id, 6, low, high FROM e
+  UNION ALL SELECT s.recording_id, 5, greatest(s.start_hr, low), least(s.end_hr, high) FROM segments s JOIN e USING (recording_id)
+  UNION ALL SELECT s.recording_id, 2, greatest(coalesce(s.start_hr, low), low), least(coalesce(s.end_hr, high), high) FROM lost s JOIN e USING (recording_id)
+  UNION ALL SELECT s.recording_id, 1, greatest(coalesce(s.start_hr, low), low), least(coalesce(s.end_hr, high), high) FROM interrupted s JOIN e USING (recording_id)),
+real AS (SELECT * FROM told WHERE a < b), cuts AS (SELECT recording_id, a AS x FROM real UNION SELECT recording_id, b FROM real),
+pieces AS (SELECT recording_id, x, lead(x) OVER (PARTITION BY recording_id ORDER BY x) AS y FROM cuts),
+kinds AS (SELECT c.recording_id, x, y, min(p) AS p FROM pieces c JOIN real r ON r.recording_id = c.recording_id AND r.a <= c.x AND r.b >= c.y WHERE y IS NOT NULL GROUP BY ALL),
+marked AS (SELECT *, CASE WHEN p = lag(p) OVER w AND x = lag(y) OVER w THEN 0 ELSE 1 END AS new FROM kinds WINDOW w AS (PARTITION BY recording_id ORDER BY x)),
+runs AS (SELECT *, sum(new) OVER (PARTITION BY recording_id ORDER BY x) AS run FROM marked)
+SELECT recording_id, ['excluded', 'lost', 'dropped', 'padded', 'trusted', 'uncertain'][p] AS kind, round(min(x), 9) AS start, round(max(y), 9) AS "end" FROM runs GROUP BY recording_id, run, p""")
+def trust_timeline(spark, sf_dir):
+    """Each recording's hours by class of trust, from constructed segments, losses and interruptions that overlap."""
+    from ..operators import qa
+
+    e = table(spark, sf_dir, "events").select("event_id", F.expr("event_id div 500").alias("recording_id"), F.expr("event_id % 10").alias("k"), (F.expr(_T) / 3600).alias("start_hr"), (F.expr(_T) / 3600 + 0.1 + F.col("value") / 100).alias("end_hr"))
+    of = {n: spark.sql(x.replace("FROM parts", "FROM {parts}"), parts=e) for n, x in _PARTS.items()}
+    rows = qa.trust_timeline(of["extents"], of["segments"], of["lost"], of["interrupted"])
+    return rows.select("recording_id", "kind", F.round("start", 9).alias("start"), F.round("end", 9).alias("end"))
