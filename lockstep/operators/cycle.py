@@ -104,6 +104,11 @@ def report(chunk_shapes: DataFrame, cycle: DataFrame, tolerance: float) -> DataF
     return j.select("recording_id", "chunk_index", "start_event_index", "end_event_index", "start_latency", "start_time_sec", "observed_trigger_count", "chunk_duration_sec", "has_next_boundary", "estimated_cycle_count", status.alias("status"), reason.alias("reason"), "max_interval_error_sec")
 
 
+def repeat_counts(chunk_report: DataFrame) -> DataFrame:
+    """How often each recording repeats its cycle: recording_id, repeat_count of the chunks that match it."""
+    return chunk_report.groupBy("recording_id").agg(F.count_if(F.col("status") == "match").alias("repeat_count"))
+
+
 def edges(events: DataFrame) -> DataFrame:
     """source and destination of every interval, with its chunk and position; a chunk's last edge reaches the next chunk."""
     w = Window.partitionBy("recording_id").orderBy("event_index")

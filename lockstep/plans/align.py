@@ -77,9 +77,9 @@ def lengths(pair: RecordingPair) -> DataFrame:
 
 
 def align(pair: RecordingPair) -> dict[str, DataFrame]:
-    """Every step's result: eeg_events, interruptions, edf_events, startup, segments, resampled, aligned, coverage, faults, output, and errors; with headers also bounds.
+    """Every step's result: eeg_events, interruptions, edf_events, startup, segments, truncated, resampled, aligned, coverage, faults, output, and errors; with headers also bounds.
 
-    Events, segments and aligned samples serve several results and are persisted (they spill to disk); unpersist them, or end the session.
+    Events, segments, aligned samples and errors serve several results and are persisted (they spill to disk); unpersist them, or end the session.
     errors: recording_id, step, error. Each recording's first error of a step is one row; output has no row of a recording that errors names.
     """
     require((pair.eeg_rate, pair.trigger_rate, pair.clinical_rate) == (500.0, 128.0, 256.0), "align_recordings:UnexpectedRate", f"{pair.eeg_rate}, {pair.trigger_rate}, {pair.clinical_rate}")
@@ -109,7 +109,7 @@ def align(pair: RecordingPair) -> dict[str, DataFrame]:
     over = montage.overlaps(spans).select("recording_id").distinct().select("recording_id", F.lit("concatenate_eeg_segments:InvalidSegmentBounds").alias("error"))
     short = resampling.length_problems(cut, seg, len(montage.ELECTRODES)).groupBy("recording_id").agg(F.min_by("error", "segment_index").alias("error"))
     errors = [(lengths(pair), "inputs"), (wrong, "eeg_events"), (told.where("error is not null"), "segments"), (short, "resample"), (over, "concatenate"), (unfit, "faults")]
-    out = {"eeg_events": eeg, "interruptions": gaps, "edf_events": edf, "startup": startup, "segments": told, "resampled": resampled, "aligned": wide, "coverage": montage.coverage(mask), "faults": faults, "output": output}
+    out = {"eeg_events": eeg, "interruptions": gaps, "edf_events": edf, "startup": startup, "segments": told, "truncated": cut, "resampled": resampled, "aligned": wide, "coverage": montage.coverage(mask), "faults": faults, "output": output}
     if pair.headers is not None:
         direct = pair.headers.where(F.col("channel").isin(*montage.OUTPUT))
         out["bounds"] = montage.bounds(output, direct.select("recording_id", "channel", "physical_min", "physical_max"))
@@ -120,6 +120,6 @@ def align(pair: RecordingPair) -> dict[str, DataFrame]:
     every = None
     for df, name in errors:
         every = step(df, name) if every is None else every.union(step(df, name))
-    out["errors"] = every
+    out["errors"] = every = every.persist()
     out["output"] = output.join(every.select("recording_id").distinct(), "recording_id", "left_anti")
     return out

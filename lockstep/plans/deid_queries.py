@@ -135,6 +135,18 @@ def qa_names(spark, sf_dir):
     return table(spark, sf_dir, "supplier").select("s_suppkey", series_name(F.lit("subject"), F.expr("s_suppkey % 10"), F.when(F.expr("s_suppkey % 3 = 0"), F.lower("s_name"))).alias("name"))
 
 
+@query("""WITH p AS (SELECT s_suppkey, s_name AS subject, '/data/' || s_name || '/clinical/' || s_name || '.edf' AS clinical FROM supplier)
+SELECT s_suppkey, '/data/' || subject || '/set/' || subject || '_sleep_ds500_Z3.set' AS eeg, clinical, '/data/' || subject || '/clinical/' || subject || '_aligned.edf' AS aligned,
+'/data/' || subject || '/clinical/' || subject || '_alignment_' || strftime(TIMESTAMP '2026-08-10 01:02:03' + to_seconds(CAST(s_suppkey AS BIGINT) * 1000), '%Y%m%d_%H%M%S') || '.log' AS log FROM p""")
+def recording_paths(spark, sf_dir):
+    """Where each subject's recordings, output and log are."""
+    from . import steps
+
+    subject, clinical = F.col("s_name"), steps.clinical_path("/data", F.col("s_name"))
+    started = F.expr("timestamp_ntz '2026-08-10 01:02:03' + make_interval(0, 0, 0, 0, 0, 0, s_suppkey * 1000)")
+    return table(spark, sf_dir, "supplier").select("s_suppkey", steps.eeg_path("/data", subject).alias("eeg"), clinical.alias("clinical"), steps.aligned_path(clinical).alias("aligned"), steps.log_path(clinical, subject, started).alias("log"))
+
+
 @query(f"""WITH {views.shape_sql('eeg')}, b AS (SELECT recording_id, min(latency) AS lo, max(latency) AS hi FROM eeg GROUP BY 1),
 g AS (SELECT recording_id, event_index, latency, lead(latency) OVER (PARTITION BY recording_id ORDER BY event_index) AS nxt FROM eeg)
 SELECT recording_id, 'unsafe_interval' AS kind, (latency - 1) / 500.0::DOUBLE / 3600 AS start_hr, (nxt - 1) / 500.0::DOUBLE / 3600 AS end_hr FROM g WHERE nxt - latency > 60 * 500

@@ -201,6 +201,12 @@ def chunk_report_edf(spark, sf_dir):
     return cycle.report(shapes, canon, TOLERANCE)
 
 
+@query(f"SELECT recording_id, count(*) FILTER (status = 'match') AS repeat_count FROM ({_report_sql('eeg')}) GROUP BY recording_id")
+def repeat_counts(spark, sf_dir):
+    """How often each recording repeats its cycle."""
+    return cycle.repeat_counts(chunk_report(spark, sf_dir))
+
+
 @query(f"WITH {pair_sql('eeg')} SELECT * FROM eeg_pairs")
 def cycle_compat(spark, sf_dir):
     return cycle.compatible(cycle.shapes(eeg_chunks(spark, sf_dir)), TOLERANCE)

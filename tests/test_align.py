@@ -109,3 +109,16 @@ def test_faulty_mastoids(spark):
     got = align(pair)
     assert got["faults"].collect()[0].faulty
     assert {r.derivation for r in got["output"].select("derivation").distinct().collect()} == {f"aligned {c}" for c in montage.FAULTY.values()}
+
+
+def test_steps_are_saved_and_told(spark, tmp_path):
+    from lockstep.plans import steps
+
+    pair, _ = recording(spark, bad=True)
+    got = align(pair)
+    told = {r.step: r for r in steps.save(pair, got, str(tmp_path)).collect()}
+    assert [told[s].step_number for s in steps.STEPS] == list(range(1, 11))
+    for number, name in enumerate(steps.STEPS, 1):
+        kept = spark.read.parquet(f"{tmp_path}/{number:02d}_{name}")
+        assert told[name].rows == kept.count() and told[name].recordings == kept.select("recording_id").distinct().count()
+    assert told["output"].rows == 0 and told["saved"].flagged == told["saved"].rows > 0 and told["checks"].flagged > 0 and told["resampled"].rows > 0
