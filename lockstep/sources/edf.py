@@ -1,8 +1,10 @@
 """EDF files: header parsing, a Spark data source with channel and record pruning, and writing.
 
 ``register(spark)`` adds the format ``edf``: ``spark.read.format("edf").option("channels", "C3,M1").load(path)`` gives one row
-per record and channel (recording, channel, block_id, first_sample, values). Records have a fixed size, so every partition
-reads a range of records, and only the bytes of the chosen channels are decoded.
+per record and channel (recording, channel, block_id, first_sample, values). A file is cut into ranges of bytes by its size alone. Every
+task reads the file's header, 256 (n + 1) bytes, and the records that begin in its range, in batches; only the chosen channels are decoded.
+
+Paths may be local or name a store that Arrow's file systems reach (file, s3, gs, hdfs). No file is opened by the driver unless ranges of records are asked for.
 """
 
 from __future__ import annotations
@@ -14,6 +16,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
@@ -104,50 +107,68 @@ def scale(s: dict[str, str]) -> tuple[float, float]:
     return gain, lo - gain * dlo
 
 
-class _Records(InputPartition):
-    def __init__(self, path: str, first: int, count: int):
-        self.path, self.first, self.count = path, first, count
+def at_store(path: str) -> tuple[fs.FileSystem, str]:
+    """The file system of a path and the path there."""
+    return fs.FileSystem.from_uri(path) if re.match(r"[A-Za-z][A-Za-z0-9+.-]*:", path) else (fs.LocalFileSystem(), os.path.abspath(path))
+
+
+def head_of(f: pa.NativeFile) -> bytes:
+    """The header's bytes, and no others: the fixed part tells how many there are."""
+    first = f.read_at(256, 0)
+    n = first[252:256].strip()
+    return first + f.read_at(256 * int(n), 256) if n.isdigit() else first
+
+
+class _Range(InputPartition):
+    """Records that begin from one byte of a file's data up to another; or a range of records."""
+
+    def __init__(self, path: str, size: int, low: int, high: int, records: bool = False):
+        self.path, self.size, self.low, self.high, self.records = path, size, low, high, records
 
 
 class _Reader(DataSourceReader):
     def __init__(self, options):
         self.path = options["path"]
         self.only = [c.strip() for c in options["channels"].split(",")] if options.get("channels") else None
-        self.step = int(options.get("recordsPerPartition", 3600))
+        self.bytes = int(options.get("bytesPerPartition", 64 << 20))
+        self.step = int(options["recordsPerPartition"]) if options.get("recordsPerPartition") else None
 
     def partitions(self):
-        paths = [self.path]
-        if os.path.isdir(self.path):
-            paths = sorted(os.path.join(self.path, n) for n in os.listdir(self.path) if re.fullmatch(r".*\.edf", n, re.I))
+        store, path = at_store(self.path)
+        infos = [store.get_file_info(path)]
+        if infos[0].type == fs.FileType.Directory:
+            infos = sorted((i for i in store.get_file_info(fs.FileSelector(path)) if i.type == fs.FileType.File and re.fullmatch(r".*\.edf", i.base_name, re.I)), key=lambda i: i.path)
+        if self.step is None:
+            return [_Range(i.path, i.size, a, a + self.bytes) for i in infos for a in range(0, max(1, i.size), self.bytes)]
         out = []
-        for p in paths:
-            with open(p, "rb") as f:
-                n = parse(self._head(f), os.path.getsize(p)).records
-            out += [_Records(p, a, min(self.step, n - a)) for a in range(0, n, self.step)]
+        for i in infos:
+            with store.open_input_file(i.path) as f:
+                n = parse(head_of(f), i.size).records
+            out += [_Range(i.path, i.size, a, min(n, a + self.step), True) for a in range(0, n, self.step)]
         return out
 
-    @staticmethod
-    def _head(f) -> bytes:
-        first = f.read(256)
-        n = first[252:256].strip()
-        return first + f.read(256 * int(n)) if n.isdigit() else first
-
-    def read(self, partition: _Records):
-        with open(partition.path, "rb") as f:
-            h = parse(self._head(f))
+    def read(self, partition: _Range):
+        with at_store(self.path)[0].open_input_file(partition.path) as f:
+            h = parse(head_of(f), partition.size)
             offsets = np.concatenate([[0], np.cumsum(h.samples)])
             labels = [s["label"].strip() for s in h.signals]
             for name in self.only or ():
                 require(labels.count(name) > 0, "edf:MissingChannel", name)
                 require(labels.count(name) == 1, "edf:DuplicateChannel", name)
             chosen = [i for i, x in enumerate(labels) if self.only is None or x in self.only]
-            f.seek(h.size + partition.first * h.record_bytes)
-            for r in range(partition.first, partition.first + partition.count):
-                raw = np.frombuffer(f.read(h.record_bytes), "<i2")
+            first, past = (partition.low, partition.high) if partition.records else (-(-k // h.record_bytes) for k in (partition.low, partition.high))
+            name, at_once = partition.path.rsplit("/", 1)[-1], max(1, (4 << 20) // h.record_bytes)
+            for a in range(first, min(past, h.records), at_once):
+                n = min(at_once, past - a, h.records - a)
+                raw = np.frombuffer(f.read_at(n * h.record_bytes, h.size + a * h.record_bytes), "<i2").reshape(n, -1)
+                blocks = np.arange(a, a + n)
                 for i in chosen:
                     gain, offset = scale(h.signals[i])
-                    values = raw[offsets[i] : offsets[i + 1]] * gain + offset
-                    yield os.path.basename(partition.path), labels[i], i + 1, r, r * h.samples[i] + 1, h.samples[i] / h.duration, values.tolist()
+                    size = h.samples[i]
+                    values = (raw[:, offsets[i] : offsets[i + 1]] * gain + offset).reshape(-1)
+                    lists = pa.ListArray.from_arrays(pa.array(np.arange(0, n * size + 1, size), pa.int32()), pa.array(values))
+                    columns = [pa.array([name] * n), pa.array([labels[i]] * n), pa.array([i + 1] * n, pa.int32()), pa.array(blocks), pa.array(blocks * size + 1), pa.array([size / h.duration] * n, pa.float64()), lists]
+                    yield pa.RecordBatch.from_arrays(columns, ["recording", "channel", "signal_index", "block_id", "first_sample", "rate", "values"])
 
 
 class EdfSource(DataSource):
@@ -172,23 +193,29 @@ def long_form(blocks: DataFrame) -> DataFrame:
 
 
 def folder(spark: SparkSession, path: str) -> DataFrame:
-    """Files of a folder (not below it) with their header's facts, or the reason why they are no valid EDF; by name."""
+    """Files of a folder (not below it) with their header's facts, or the reason why they are no valid EDF; by name.
+
+    Spark lists the files with their sizes; of each, executors read the header alone. Links are not followed.
+    """
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.[eE][dD][fF]").option("recursiveFileLookup", "false").load(path)
 
     def inspect(batches):
         for pdf in batches:
             rows = []
-            for p, size, content in zip(pdf["path"], pdf["length"], pdf["content"]):
+            for p, size in zip(pdf["path"], pdf["length"]):
                 row = {"name": os.path.basename(p), "path": p, "size": size, "patient_id": None, "recording_id": None, "n_records": None, "n_signals": None, "duration_sec": None, "error": None}
                 try:
-                    h = parse(bytes(content[: 256 * 1025]), size)
+                    store, inner = at_store(p)
+                    require(not (isinstance(store, fs.LocalFileSystem) and os.path.islink(inner)), "edf:NotARegularFile")
+                    with store.open_input_file(inner) as f:
+                        h = parse(head_of(f), size)
                     row |= {"patient_id": h.fields["patient_id"], "recording_id": h.fields["recording_id"], "n_records": h.records, "n_signals": len(h.signals), "duration_sec": h.records * h.duration}
                 except AlignmentError as e:
                     row["error"] = e.identifier
                 rows.append(row)
             yield pd.DataFrame(rows, columns=["name", "path", "size", "patient_id", "recording_id", "n_records", "n_signals", "duration_sec", "error"]).astype({"n_records": "Int64", "n_signals": "Int64"})
 
-    out = files.select("path", "length", "content").mapInPandas(inspect, "name string, path string, size long, patient_id string, recording_id string, n_records long, n_signals long, duration_sec double, error string")
+    out = files.select("path", "length").mapInPandas(inspect, "name string, path string, size long, patient_id string, recording_id string, n_records long, n_signals long, duration_sec double, error string")
     return out.orderBy(F.lower("name"), "name")
 
 
@@ -206,35 +233,28 @@ def content(header: Header, signals: list[np.ndarray]) -> bytes:
     return header.bytes() + np.concatenate(parts, axis=1).tobytes()
 
 
-def write(blocks: DataFrame, headers: dict[str, Header], target: str) -> DataFrame:
+def write(blocks: DataFrame, headers: dict[str, Header] | Header, target: str) -> DataFrame:
     """Write each recording of blocks (recording, channel, block_id, values) to target/<name>; recording, path, bytes, of what was written.
 
     One task writes a recording, block by block, to a temporary name that takes the final one when complete, so a repeated task does no harm.
+    headers: by recording, or one for all.
     """
 
     def save(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         name = key[0]
-        h = headers[name]
+        h = headers if isinstance(headers, Header) else headers[name]
         labels = [s["label"].strip() for s in h.signals]
-        path = os.path.join(target, re.sub(r"\.edf$", "", name, flags=re.I) + "_aligned.edf")
+        store, into = at_store(target)
+        path = f"{into}/{re.sub(r'[.]edf$', '', name, flags=re.I)}_aligned.edf"
         temporary = f"{path}.{os.getpid()}.tmp"
-        with open(temporary, "wb") as f:
+        store.create_dir(into, recursive=True)
+        with store.open_output_stream(temporary) as f:
             f.write(h.bytes())
             for _, record in pdf.groupby("block_id", sort=True):
                 by = dict(zip(record["channel"], record["values"]))
                 for label, s in zip(labels, h.signals):
                     f.write(encode(by[label], s).tobytes())
-            f.flush()
-            os.fsync(f.fileno())
-        os.replace(temporary, path)
-        return pd.DataFrame({"recording": [name], "path": [path], "bytes": [os.path.getsize(path)]})
+        store.move(temporary, path)
+        return pd.DataFrame({"recording": [name], "path": [path], "bytes": [store.get_file_info(path).size]})
 
     return blocks.select("recording", "channel", "block_id", "values").groupBy("recording").applyInPandas(save, "recording string, path string, bytes long")
-
-
-def record_batch(header: Header, raw: bytes) -> pa.RecordBatch:
-    """The blocks of a file's bytes, for files that only Spark's readers reach."""
-    offsets = np.concatenate([[0], np.cumsum(header.samples)])
-    data = np.frombuffer(raw, "<i2", offset=header.size).reshape(header.records, -1)
-    rows = [(s["label"].strip(), r, (data[r, offsets[i] : offsets[i + 1]] * scale(s)[0] + scale(s)[1]).tolist()) for r in range(header.records) for i, s in enumerate(header.signals)]
-    return pa.record_batch([pa.array([x[k] for x in rows]) for k in range(3)], ["channel", "block_id", "values"])

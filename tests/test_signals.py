@@ -107,6 +107,24 @@ def test_bad_headers(change, identifier):
         edf.parse(h.bytes(), 1000)
 
 
+def test_ranges_of_bytes_give_all_records(spark, tmp_path):
+    h = header(records=50)
+    values = [np.arange(200.0), np.arange(400.0)[::-1] - 100]
+    for name in ("a.edf", "b.EDF", "c.edf"):
+        (tmp_path / name).write_bytes(edf.content(h, values))
+    os.symlink(tmp_path / "a.edf", tmp_path / "link.edf")
+    edf.register(spark)
+    for size in ("24", "600", "100000"):
+        rows = spark.read.format("edf").option("bytesPerPartition", size).load(f"file://{tmp_path}/b.EDF")
+        assert rows.rdd.getNumPartitions() == -(-(768 + 1200) // int(size)) and rows.count() == 100
+        got = edf.long_form(rows.where("channel = 'M1'")).orderBy("sample").toPandas()
+        assert np.abs(got["value"].to_numpy() - values[1]).max() < 0.03 and got["sample"].tolist() == list(range(1, 401))
+    listed = {r.name: r.error for r in edf.folder(spark, str(tmp_path)).collect()}
+    assert listed == {"a.edf": None, "b.EDF": None, "c.edf": None, "link.edf": "edf:NotARegularFile"}
+    reads = edf.folder(spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
+    assert "content" not in reads
+
+
 def test_another_entry_of_the_source_is_no_free_target(tmp_path):
     raw = edf.content(header(), [np.zeros(12), np.zeros(24)])
     for name, other in (("raw.edf", "st1.edf"), ("ST2.edf", "st2.EDF")):
