@@ -76,10 +76,17 @@ def lengths(pair: RecordingPair) -> DataFrame:
     return trace.join(c3, "recording_id", "left").where(F.coalesce(F.col("t") * pair.ratio != F.col("c"), F.lit(True))).select("recording_id", F.lit("align_recordings:LengthRatio").alias("error"))
 
 
+def computed(df: DataFrame) -> DataFrame:
+    """df computed once: checkpointed where the session names a folder for that (spark.checkpoint.dir), which also keeps plans short; persisted elsewhere."""
+    if df.sparkSession.sparkContext._jsc.sc().getCheckpointDir().isDefined():
+        return df.checkpoint()
+    return df.persist()
+
+
 def align(pair: RecordingPair) -> dict[str, DataFrame]:
     """Every step's result: eeg_events, interruptions, edf_events, startup, segments, truncated, resampled, aligned, coverage, faults, output, and errors; with headers also bounds.
 
-    Events, segments, aligned samples and errors serve several results and are persisted (they spill to disk); unpersist them, or end the session.
+    Events, segments, aligned samples and errors serve several results and are computed here, see ``computed``.
     errors: recording_id, step, error. Each recording's first error of a step is one row; output has no row of a recording that errors names.
     """
     require((pair.eeg_rate, pair.trigger_rate, pair.clinical_rate) == (500.0, 128.0, 256.0), "align_recordings:UnexpectedRate", f"{pair.eeg_rate}, {pair.trigger_rate}, {pair.clinical_rate}")
@@ -87,10 +94,10 @@ def align(pair: RecordingPair) -> dict[str, DataFrame]:
     wrong = triggers.event_problems(candidates(pair))
     eeg = eeg_triggers(pair).join(wrong, "recording_id", "left_anti")
     gaps = interruptions(pair, eeg).join(wrong, "recording_id", "left_anti")
-    coded = edf_events(pair).persist()
+    coded = computed(edf_events(pair))
     edf = edf_triggers(coded)
     startup = triggers.startup_counts(coded, edf)
-    told = segment_recordings(eeg, edf.join(wrong, "recording_id", "left_anti"), pair.eeg_rate, pair.trigger_rate, gaps, startup.join(wrong, "recording_id", "left_anti")).persist()
+    told = computed(segment_recordings(eeg, edf.join(wrong, "recording_id", "left_anti"), pair.eeg_rate, pair.trigger_rate, gaps, startup.join(wrong, "recording_id", "left_anti")))
     seg = told.where("error is null")
     chosen = montage.select_channels(pair.eeg).drop("channel_order")
     cut = segments.slices(chosen, seg.select("recording_id", "segment_index", F.col("eeg_start_sample").alias("start_sample"), F.col("eeg_end_sample").alias("end_sample")), ["recording_id"])
@@ -100,7 +107,7 @@ def align(pair: RecordingPair) -> dict[str, DataFrame]:
     # One row per sample from here on: the clinical samples are the grid, what no segment covers is zero.
     grid = pair.clinical.select("recording_id", "sample").distinct()
     wide = grid.join(montage.pivot(placed, montage.ELECTRODES), ["recording_id", "sample"], "left").withColumn("matched", F.col("M1").isNotNull())
-    wide = wide.select("recording_id", "sample", "matched", *(F.coalesce(c, F.lit(0.0)).alias(c) for c in montage.ELECTRODES)).persist()
+    wide = computed(wide.select("recording_id", "sample", "matched", *(F.coalesce(c, F.lit(0.0)).alias(c) for c in montage.ELECTRODES)))
     mask = wide.select("recording_id", "sample", "matched")
     unfit = montage.fault_inputs(pair.clinical, mask, pair.headers)
     faults = montage.fault(pair.clinical.join(mask, ["recording_id", "sample"]))
@@ -120,6 +127,6 @@ def align(pair: RecordingPair) -> dict[str, DataFrame]:
     every = None
     for df, name in errors:
         every = step(df, name) if every is None else every.union(step(df, name))
-    out["errors"] = every = every.persist()
+    out["errors"] = every = computed(every)
     out["output"] = output.join(every.select("recording_id").distinct(), "recording_id", "left_anti")
     return out
