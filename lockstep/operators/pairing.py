@@ -14,6 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.lineage import computed
 from ..functions.tolerance import within
 from .cycle import prefix_suffix
 from .segments import excluded
@@ -144,12 +145,12 @@ def interval_pairs(history: DataFrame, eeg: DataFrame, edf: DataFrame, eeg_canon
     runs = spans(judged(history, eeg, edf, eeg_canon, edf_canon, gaps, tolerance)).withColumn("k", F.explode(F.sequence(F.lit(0).cast("long"), F.col("count") - 1)))
     rows = runs.select("recording_id", "position", "eeg_chunk", "edf_chunk", (F.col("eeg_from") + F.col("k")).alias("eeg_number"), (F.col("edf_from") + F.col("k")).alias("edf_number"), (F.col("number_from") + F.col("k")).alias("known"), "whole")
     side = lambda name, edges: edges.select("recording_id", F.col("chunk_index").cast("int").alias(f"{name}_chunk"), F.col("interval_number").alias(f"{name}_number"), F.col("source_event_index").alias(f"{name}_source"), F.col("destination_event_index").alias(f"{name}_destination"), *(F.col(c).alias(f"{name}_{c}") for c in EDGE[1:]))
-    met = rows.join(side("eeg", eeg), ["recording_id", "eeg_chunk", "eeg_number"]).join(side("edf", edf), ["recording_id", "edf_chunk", "edf_number"])
-    last = Window.partitionBy("recording_id")
+    met = computed(rows.join(side("eeg", eeg), ["recording_id", "eeg_chunk", "eeg_number"]).join(side("edf", edf), ["recording_id", "edf_chunk", "edf_number"]))
+    last = F.max("interval_number").over(Window.partitionBy("recording_id"))
     open_ = met.where("known is null").select("recording_id", "position", "whole", F.col("eeg_number").alias("interval_number"), *(F.col(f"eeg_{c}").alias(c) for c in EDGE[1:]))
-    keys, shared = ["recording_id", "position"], ["recording_id"]
-    short = eeg_canon.withColumn("_last", F.max("interval_number").over(last)).where("interval_number < _last").drop("_last")
-    numbers = canonical_numbers(open_.where("whole"), eeg_canon, keys, shared, tolerance).union(canonical_numbers(open_.where("not whole"), short, keys, shared, tolerance))
+    # The whole cycle, and the cycle without its last interval.
+    cycles = eeg_canon.withColumn("_last", last).withColumn("whole", F.explode(F.when(F.col("interval_number") < F.col("_last"), F.array(F.lit(True), F.lit(False))).otherwise(F.array(F.lit(True)))))
+    numbers = canonical_numbers(open_, cycles, ["recording_id", "position", "whole"], ["recording_id", "whole"], tolerance).drop("whole")
     told = met.join(numbers.withColumnRenamed("interval_number", "eeg_number"), ["recording_id", "position", "eeg_number"], "left")
     pairs = told.select("recording_id", "position", "eeg_source", "eeg_destination", "edf_source", "edf_destination", "eeg_chunk", "edf_chunk", F.coalesce("known", "canonical_number").alias("interval_number"))
     return excluded(pairs, gaps, "eeg_source")

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..errors import require
+from ..functions.lineage import computed
 from ..operators import montage, resampling, segments, triggers
 from ..operators.replay import segment_recordings
 
@@ -76,13 +77,6 @@ def lengths(pair: RecordingPair) -> DataFrame:
     return trace.join(c3, "recording_id", "left").where(F.coalesce(F.col("t") * pair.ratio != F.col("c"), F.lit(True))).select("recording_id", F.lit("align_recordings:LengthRatio").alias("error"))
 
 
-def computed(df: DataFrame) -> DataFrame:
-    """df computed once: checkpointed where the session names a folder for that (spark.checkpoint.dir), which also keeps plans short; persisted elsewhere."""
-    if df.sparkSession.sparkContext._jsc.sc().getCheckpointDir().isDefined():
-        return df.checkpoint()
-    return df.persist()
-
-
 def align(pair: RecordingPair) -> dict[str, DataFrame]:
     """Every step's result: eeg_events, interruptions, edf_events, startup, segments, truncated, resampled, aligned, coverage, faults, output, and errors; with headers also bounds.
 
