@@ -241,7 +241,7 @@ class Scan:
         require(there[0] == at[0], "match_triggers:LateStartPhaseDisagreement")
         r.startup, r.partial_interval, r.partial_intervals = "partial_cycle_late_start", at[0] + 1, len(lead)
         r.eeg_anchor, r.edf_anchor = first.start + at[0], c.start
-        self.log(0, 0, "partial_start_match", "partial_cycle_late_start", (1, 1))
+        self.log(0, 0, "partial_start_match", "initial_canonical_suffix_match", (1, 1))
         return 1, 1
 
     def initial(self, i: int, j: int) -> tuple[int, int]:
@@ -290,27 +290,24 @@ class Scan:
         found = self.groups(lambda g: any(x.start is None for x in g))
         require(len(found) <= 1, "match_triggers:MultipleLeadingAmplifierInterruptions")
         for group in found:
-            _, end = self.span(group)
-            require(end is not None, "match_triggers:UnanchoredLeadingAmplifierInterruption")
+            end = max((g.end for g in group if g.end is not None), default=None)
+            require(end is not None and end < len(self.eeg.types), "match_triggers:UnanchoredLeadingAmplifierInterruption")
             if end <= self.r.eeg_anchor:
                 self.settle(group, "before_initial_alignment", True)
                 continue
             c = next(c for c in self.eeg.chunks if c.start <= self.r.eeg_anchor <= c.end)
+            d = next(d for d in self.edf.chunks if d.start <= self.r.edf_anchor <= d.end)
             require(end <= c.end, "match_triggers:AmplifierCycleCountAmbiguity")
-            shift = end - self.r.eeg_anchor
-            for e in range(end, c.end):
-                o = self.r.edf_anchor + shift + (e - end)
-                if o >= len(self.edf.types):
-                    break
-                x = (self.eeg.types[e - 1], self.eeg.types[e], self.eeg.time(e + 1) - self.eeg.time(e))
-                y = (self.edf.types[o - 1], self.edf.types[o], self.edf.time(o + 1) - self.edf.time(o))
-                if same_one(x, y, self.tol):
-                    self.r.eeg_anchor, self.r.edf_anchor = e, o
-                    self.settle(group, "leading_relocked", True, (None, o))
-                    break
-            else:
-                raise AlignmentError("match_triggers:LeadingAmplifierRelockFailed")
-            require(group[0].status == "leading_relocked", "match_triggers:LeadingAmplifierRelockFailed")
+            shift = self.r.edf_anchor - self.r.eeg_anchor
+            there = end + shift
+            # The first full interval after the reconnect decides, and no later one.
+            mine, other = ({e[3]: e for e in side.edges(k)}.get(at) for side, k, at in ((self.eeg, c, end), (self.edf, d, there)))
+            require(mine is not None and other is not None and same_one(mine, other, self.tol), "match_triggers:LeadingAmplifierRelockFailed")
+            for g in group:
+                g.status, g.excluded = "leading_relocked", True
+                if g.end is not None and g.end > self.r.eeg_anchor:
+                    g.edf_end = g.end + shift
+            self.r.eeg_anchor, self.r.edf_anchor, self.r.initial_reason = end, there, "amplifier_reconnect"
 
     def skipped(self):
         """After a late start, interruptions before the anchor do not matter; one across it cannot be resolved."""
@@ -344,14 +341,17 @@ class Scan:
         there = self.edf.chunks[j].start + start - c.start
         ok = there <= self.edf.chunks[j].end and self.edf.types[there - 1] == self.eeg.types[start - 1]
         require(ok, "match_triggers:TerminalAmplifierAnchorMismatch")
-        a, b = ([e for e in s.edges(k, False) if e[3] < t] for s, k, t in ((self.eeg, c, start), (self.edf, self.edf.chunks[j], there)))
-        require(len(a) == len(b) and all(same_one(x, y, self.tol) for x, y in zip(a, b)), "match_triggers:TerminalAmplifierAnchorMismatch")
-        for g in found:
-            self.settle(g, "terminal_eeg_loss", True, (there, None))
+        whole = [s.edges(k) for s, k in ((self.eeg, c), (self.edf, self.edf.chunks[j]))]
+        a, b = ([e for e in edges if e[3] < t] for edges, t in zip(whole, (start, there)))
+        has = any(e[3] == start for e in whole[0])
+        require(has and len(whole[0]) == len(whole[1]) and all(same_one(x, y, self.tol) for x, y in zip(a, b)), "match_triggers:TerminalAmplifierAnchorMismatch")
+        for g in (x for group in found for x in group):
+            g.status, g.excluded, g.edf_start = "terminal_eeg_loss", True, g.start + there - start
         r = self.r
         r.terminal_relation, r.zero_padding, r.terminal_eeg, r.terminal_edf, r.terminal_common = "eeg_shorter", True, start, there, start - c.start + 1
-        self.lose(self.eeg, i, j, start, None, "terminal_amplifier_loss")
-        self.log(i, j, "terminal_match", "zero_pad_eeg")
+        self.lose(self.eeg, i, j, start, None, "amplifier_disconnect")
+        self.trouble("eeg_data_loss")
+        self.log(i, j, "eeg_data_loss", "terminal_eeg_loss")
         self.stop("terminal_anchor_identified", "terminal_eeg_loss")
         return True
 
@@ -368,7 +368,7 @@ class Scan:
                 return False
             if s == "unresolved":
                 return c.start <= start <= c.end
-            return s == "excluded_and_relocked" and start < c.start and end is not None and end > c.start
+            return s == "excluded_and_relocked" and start < c.start and end is not None and end >= c.start
 
         found = self.groups(here)
         if not found:
@@ -379,7 +379,7 @@ class Scan:
             return "none"
         for g in found:
             start, end = self.span(g)
-            if start is not None and end - start >= CYCLE:
+            if start is not None and end - start >= len(self.edf.edges(d)):
                 review()
                 self.trouble("manual_cycle_count_review")
                 self.r.requires_relock = True
@@ -459,7 +459,7 @@ class Scan:
         r.terminal_eeg, r.terminal_edf, r.terminal_common = a[n - 1], b[n - 1], n
         r.terminal_relation = "same_last_trigger" if len(a) == len(b) else "eeg_shorter" if len(a) < len(b) else "eeg_longer"
         r.zero_padding = r.terminal_relation == "eeg_shorter"
-        self.log(i, j, "terminal_match", "zero_pad_eeg" if r.zero_padding else r.terminal_relation)
+        self.log(i, j, r.terminal_relation, "terminal_anchor_identified")
 
     def generic_loss(self, i: int, j: int, p: int, s: int, next_j: int | None, ambiguous: bool):
         """A marked interruption that explains a loss found from the edges."""

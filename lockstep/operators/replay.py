@@ -67,7 +67,7 @@ def pairs(r: Result, eeg: Side, edf: Side, tolerance: float) -> list[tuple]:
             if not locked:
                 continue
             n = min(len(xs), len(ys))
-            if what == "eeg_data_loss" and len(xs) == len(ys) and any(covered(x[3], gaps) for x in xs):
+            if [x[:2] for x in xs] == [y[:2] for y in ys] and any(covered(x[3], gaps) for x in xs):
                 out += _pair(xs, ys, range(1, n + 1), i, j)
                 continue
             own, clean = (xs, ys) if what == "eeg_data_loss" else (ys, xs)
@@ -91,7 +91,7 @@ def pairs(r: Result, eeg: Side, edf: Side, tolerance: float) -> list[tuple]:
             if locked:
                 p = min(prefix(xs, ys, tolerance), prefix(xs, canon, tolerance))
                 out += _pair(xs[:p], ys[:p], range(1, p + 1), i, j)
-        elif what == "terminal_match":
+        elif what in ("eeg_shorter", "eeg_longer", "same_last_trigger"):
             if locked:
                 n = r.terminal_common - 1
                 xs = [(eeg.types[e - 1], eeg.types[e], eeg.time(e + 1) - eeg.time(e), e, e + 1) for e in range(a.start, a.start + n)]

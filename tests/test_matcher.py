@@ -96,7 +96,7 @@ def test_both_unusable():
 
 def test_losses_on_either_side():
     r = run(keep(6, c2=without(12, 13)), keep(6, c4=without(12, 13)))
-    assert [h["outcome"] for h in r.history] == ["match", "eeg_data_loss", "match", "edf_data_loss", "match", "terminal_match"]
+    assert [h["outcome"] for h in r.history] == ["match", "eeg_data_loss", "match", "edf_data_loss", "match", r.terminal_relation]
     assert r.terminal_relation == "same_last_trigger"
 
 
@@ -195,6 +195,22 @@ def test_marked_interruptions():
     assert r.gaps[0].status == "leading_relocked" and (r.eeg_anchor, r.edf_anchor) == (3, 3)
 
 
+def test_the_first_interval_after_a_reconnect_decides():
+    r = run(keep(5), keep(5), [Gap(None, 3)])
+    assert r.initial_reason == "amplifier_reconnect" and r.gaps[0].edf_end == 3
+    with pytest.raises(AlignmentError, match="LeadingAmplifierRelockFailed"):
+        run(keep(5), keep(5), [Gap(None, 3)], after(3, 500))
+    with pytest.raises(AlignmentError, match="UnanchoredLeadingAmplifierInterruption"):
+        run(keep(5), keep(5), [Gap(None, 250)])
+
+
+def test_a_terminal_loss_needs_equal_chunks():
+    r = run(keep(5, c5=FULL[:30]), keep(5, c5=FULL[:30]), [Gap(211, None)])
+    assert (r.history[-1]["outcome"], r.history[-1]["resolution_status"], r.missing[-1]["reason"], r.problem) == ("eeg_data_loss", "terminal_eeg_loss", "amplifier_disconnect", "eeg_data_loss")
+    with pytest.raises(AlignmentError, match="TerminalAmplifierAnchorMismatch"):
+        run(keep(5, c5=FULL[:30]), keep(5, c5=FULL[:25]), [Gap(211, None)])
+
+
 def test_restart_after_validation():
     r = run(keep(6), keep(6), validations=2, before_last=50, change=lambda a, b: None)
     assert (r.startup, r.eeg_anchor, r.edf_anchor) == ("restart_at_last_validation", 1, 51)
