@@ -2,23 +2,20 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lockstep.functions.lineage import shared_folder
 from lockstep.operators import deid
 
 from . import deidentify_records, recording_quality
 
 
 def new_folder(spark: SparkSession, name: str) -> str:
-    """A folder of this call's own in the shared one; of this machine where all of Spark runs on it and none is named."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if not shared and not spark.sparkContext.master.startswith("local"):
-        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-    return f"{shared or tempfile.gettempdir()}/{name}-{uuid.uuid4().hex}"
+    """A folder of this call's own in the shared one."""
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def job1_deidentify_records(spark: SparkSession, sf_dir: str) -> DataFrame:

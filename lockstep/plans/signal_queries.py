@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import dsp
+from ..functions.lineage import shared_folder
 from ..operators import montage, qa, resampling, segments
+from ..sources import edf
 from . import views
 from .views import table
 
@@ -137,16 +141,87 @@ def segment_resample(spark, sf_dir):
     return resampling.resample_blocks(c, seg, 128, 2)
 
 
-@query()
+@query(f"""WITH {CLINICAL}, x AS (SELECT recording_id, channel, list(value ORDER BY sample) AS v, count(*) AS len, least(1024, count(*)) AS n FROM clinical GROUP BY ALL),
+shape AS (SELECT *, greatest(256, pow(2, ceil(log2(n)))::BIGINT) AS size, greatest(1, n - n // 2) AS hop FROM x),
+parts AS (SELECT recording_id, channel, v, n, size, unnest(range(0, len - n + 1, hop)) AS s FROM shape),
+taps AS (SELECT recording_id, channel, n, size, s, t, v[s + t + 1] * (0.54 - 0.46 * cos(2 * pi() * t / n)) AS y FROM (SELECT *, unnest(range(0, n)) AS t FROM parts)),
+ft AS (SELECT recording_id, channel, n, size, s, k, sum(y * cos(2 * pi() * ((k * t) % size) / size)) AS re, sum(y * sin(2 * pi() * ((k * t) % size) / size)) AS im FROM taps, range(0, 513) f(k) WHERE k <= size // 2 GROUP BY ALL),
+loud AS (SELECT n, sum(pow(0.54 - 0.46 * cos(2 * pi() * t / n), 2)) AS w FROM (SELECT n, unnest(range(0, n)) AS t FROM (SELECT DISTINCT n FROM x)) GROUP BY n),
+sums AS (SELECT recording_id, channel, k, size, avg(re * re + im * im) AS a, max(w) AS w FROM ft JOIN loud USING (n) GROUP BY recording_id, channel, k, size),
+power AS (SELECT recording_id, channel, k, size, a / (256 * w) * CASE WHEN k = 0 OR 2 * k = size THEN 1 ELSE 2 END AS p FROM sums)
+SELECT recording_id, channel, 0.0::DOUBLE AS time_sec, k * 256 / size::DOUBLE AS frequency, round(10 * log10(greatest(p, 2.2250738585072014e-308)), 6) AS db FROM power""")
 def welch_psd(spark, sf_dir):
-    return resampling.spectra(channels(spark, sf_dir).drop("matched"), 256)
+    """Power density of each channel, in dB."""
+    return resampling.spectra(channels(spark, sf_dir).drop("matched"), 256).withColumn("db", F.round("db", 6))
 
 
-@query()
+@query(f"WITH {CLINICAL} SELECT recording_id, count(*) FILTER (matched) AS matched, count(*) AS total, 100.0 * count(*) FILTER (matched) / count(*) AS coverage_percent FROM (SELECT DISTINCT recording_id, sample, matched FROM clinical) GROUP BY recording_id")
+def coverage_report(spark, sf_dir):
+    """How much of each recording's time is matched."""
+    return montage.coverage(channels(spark, sf_dir, LABELS[:1]).select("recording_id", "sample", "matched"))
+
+
+@query(f"SELECT event_id // {N} AS recording_id, min(value) AS low, max(value) AS high FROM events GROUP BY 1")
+def shared_limits(spark, sf_dir):
+    """Limits that a recording's plots share."""
+    return qa.limits(table(spark, sf_dir, "events").select(F.expr(f"event_id div {N}").alias("recording_id"), F.col("value").alias("db")), ["recording_id"])
+
+
+#: Ten records of one second, with 100 samples of each signal: an event is a sample.
+_EDF_ROWS = f"event_id % {N} - 500"
+
+
+def _edf_folder(spark, sf_dir) -> str:
+    """All recordings as EDF files in a new folder: signal A is a ramp, signal B the events' values in whole units."""
+    e = table(spark, sf_dir, "events")
+    rows = e.select(F.expr(f"concat('r', event_id div {N}, '.edf')").alias("recording"), F.expr(f"event_id % {N}").alias("i"), F.expr(_EDF_ROWS).cast("double").alias("A"), F.round("value").alias("B"))
+    both = rows.select("recording", "i", F.inline(F.array(*(F.struct(F.lit(c).alias("channel"), F.col(c).alias("value")) for c in "AB"))))
+    body = F.transform(F.sort_array(F.collect_list(F.struct("i", "value"))), lambda x: x["value"])
+    blocks = both.groupBy("recording", "channel", F.expr("i div 100").alias("block_id")).agg(body.alias("values"))
+    fields = dict(zip([k for k, _ in edf.FIXED], ["0", "X X X X", "Startdate 25-FEB-2026 X X X", "25.02.26", "22.00.00", str(256 * 3), "", "10", "1", "2"]))
+    signal = {"transducer": "", "physical_dimension": "uV", "physical_min": "-32768", "physical_max": "32767", "digital_min": "-32768", "digital_max": "32767", "prefilter": "", "samples_in_record": "100", "reserved": ""}
+    folder = f"{shared_folder(spark)}/edf-{uuid.uuid4().hex}"
+    edf.write(blocks, edf.Header(fields, [{"label": c} | signal for c in "AB"]), folder).collect()  # a row for each file
+    edf.register(spark)
+    return folder
+
+
+_EDF_SQL = f"SELECT 'r' || event_id // {N} || '_aligned.edf' AS recording, event_id % {N} + 1 AS sample, {_EDF_ROWS} AS a, round(value) AS b FROM events"
+
+
+@query(f"WITH e AS ({_EDF_SQL}) SELECT recording, 'A' AS channel, sample, a::DOUBLE AS value FROM e UNION ALL SELECT recording, 'B', sample, b FROM e")
+def edf_scan(spark, sf_dir):
+    """All samples of recordings that were written as EDF, by ranges of bytes."""
+    return edf.long_form(spark.read.format("edf").option("bytesPerPartition", "1500").load(_edf_folder(spark, sf_dir)))
+
+
+@query(f"WITH e AS ({_EDF_SQL}) SELECT recording, 'B' AS channel, sample, b AS value FROM e")
+def edf_channel_scan(spark, sf_dir):
+    """One channel of these recordings; the other's samples are not decoded."""
+    return edf.long_form(spark.read.format("edf").option("channels", "B").load(_edf_folder(spark, sf_dir)))
+
+
+@query(f"SELECT 'r' || event_id // {N} || '_aligned.edf' AS name, 768 + 4 * count(*) AS size, 10 AS n_records, 2 AS n_signals, 10.0::DOUBLE AS duration_sec, NULL::VARCHAR AS error FROM events GROUP BY event_id // {N}")
+def edf_folder(spark, sf_dir):
+    """The files of that folder with their headers' facts."""
+    return edf.folder(spark, _edf_folder(spark, sf_dir)).select("name", "size", "n_records", "n_signals", "duration_sec", "error")
+
+
+_TAPERS = ", ".join(f"({j}, {v.tolist()})" for j, v in enumerate(dsp.slepian(256, 2.0, 3)))
+
+
+@query(f"""WITH {CLINICAL}, x AS (SELECT recording_id, list(d ORDER BY sample) AS v FROM (SELECT recording_id, sample, max(CASE WHEN channel = 'C3' THEN value END) - max(CASE WHEN channel = 'M2' THEN value END) AS d FROM clinical WHERE channel IN ('C3', 'M2') GROUP BY recording_id, sample) GROUP BY recording_id),
+cut AS (SELECT recording_id, s, v[s + 1:s + 256] AS w FROM (SELECT *, unnest(range(0, len(v) - 255, 13)) AS s FROM x)),
+level AS (SELECT recording_id, s, list_transform(w, lambda y: y - m) AS w FROM (SELECT *, list_sum(w) / 256 AS m FROM cut)),
+tapers AS (SELECT j, unnest(v) AS v, unnest(range(0, 256)) AS t FROM (VALUES {_TAPERS}) q(j, v)),
+waves AS MATERIALIZED (SELECT j, k, list(v * cos(2 * pi() * ((k * t) % 4096) / 4096) ORDER BY t) AS c, list(v * sin(2 * pi() * ((k * t) % 4096) / 4096) ORDER BY t) AS i FROM tapers, range(0, 641) f(k) GROUP BY j, k),
+power AS (SELECT recording_id, s, k, avg(pow(list_inner_product(w, c), 2) + pow(list_inner_product(w, i), 2)) / 256 AS p FROM level, waves GROUP BY recording_id, s, k)
+SELECT recording_id, 'C3:M2' AS channel, (s + 128) / 256::DOUBLE AS time_sec, k * 256 / 4096::DOUBLE AS frequency, round(10 * log10(greatest(p, 2.2250738585072014e-308)), 6) AS db FROM power""")
 def multitaper_spectrogram(spark, sf_dir):
+    """Spectrogram of C3 against M2, in dB."""
     c3 = channels(spark, sf_dir).where(F.col("channel").isin("C3", "M2"))
     diff = montage.bipolar(montage.pivot(c3, ("C3", "M2")), {"C3:M2": ("C3", "M2")}).select("recording_id", F.lit("C3:M2").alias("channel"), "sample", F.col("C3:M2").alias("value"))
-    return resampling.spectra(diff, 256, "multitaper")
+    return resampling.spectra(diff, 256, "multitaper").withColumn("db", F.round("db", 6))
 
 
 @query(f"WITH {views.TRACE}, {_BOUNDS} SELECT t.recording_id, t.sample, coalesce(CASE WHEN b.segment_index IS NOT NULL THEN t.volts END, 0) AS value, b.segment_index IS NOT NULL AS matched FROM trace t LEFT JOIN bounds b ON t.recording_id = b.recording_id AND t.sample BETWEEN b.start_sample AND b.end_sample")
