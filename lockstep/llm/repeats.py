@@ -36,6 +36,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..errors import require
 from .common import U, cut, powers, prefix_sums, range_hash, slices, stir
 
 GRAM = 16
@@ -237,23 +238,40 @@ def hot_anchors(texts: DataFrame, least: int, limit: int, share: float) -> tuple
     return np.sort(np.asarray(rows.column("anchor")).astype(np.int64).view(U)), int(total)
 
 
+def _ranked(value: np.ndarray) -> np.ndarray:
+    """Each value's rank among the distinct ones. One sort and no more: what a pool takes follows from this."""
+    order = np.argsort(value)
+    new = np.empty(len(value), bool)
+    new[:1] = False
+    sorted_ = value[order]
+    np.not_equal(sorted_[1:], sorted_[:-1], out=new[1:])
+    del sorted_
+    rank = np.empty(len(value), np.int32)
+    rank[order] = np.cumsum(new, dtype=np.int32)
+    return rank
+
+
 def suffix_order(data: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
-    """Places in the order of their first depth bytes (at least), and each place's rank."""
+    """Places in the order of their first depth bytes (at least), and each place's rank. Places take 32 bits: pools are far smaller."""
     n = len(data)
-    wide = np.concatenate([data, np.zeros(8, np.uint8)]).astype(U)
+    require(n < 1 << 31, "repeats:PoolTooLarge", str(n))
     word = np.zeros(n, U)
-    for k in range(8):
-        word = word << U(8) | wide[k : k + n]
-    rank = np.unique(word, return_inverse=True)[1].astype(np.int64)
+    for k in range(min(8, n)):
+        word[: n - k] |= data[k:].astype(U) << U(56 - 8 * k)
+    rank = _ranked(word)
+    del word
     have = 8
     while have < depth:
-        after = np.zeros(n, np.int64)
-        after[: n - have] = rank[have:] + 1
-        rank = np.unique(rank * (n + 2) + after, return_inverse=True)[1].astype(np.int64)
+        pair = rank.astype(np.int64)
+        pair *= n + 2
+        pair[: n - have] += rank[have:]
+        pair[: n - have] += 1
+        rank = _ranked(pair)
+        del pair
         have *= 2
-    order = np.argsort(rank, kind="stable")
-    place = np.empty(n, np.int64)
-    place[order] = np.arange(n)
+    order = np.argsort(rank, kind="stable").astype(np.int32)
+    place = np.empty(n, np.int32)
+    place[order] = np.arange(n, dtype=np.int32)
     return order, place
 
 
@@ -267,13 +285,15 @@ def intervals(data: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
     n = len(data)
     before = data[order - 1]  # the Burrows-Wheeler transform
     longer = place[order - 1]  # where each suffix goes when its byte is put before it
-    source = np.empty(n, np.int64)
-    source[longer] = np.arange(n)
+    del place
+    source = np.empty(n, np.int32)
+    source[longer] = np.arange(n, dtype=np.int32)
     letter = np.empty(n, np.uint8)
     letter[longer] = before
+    del longer, before
     apart = np.ones(n, bool)
     apart[1:] = letter[1:] != letter[:-1]  # length 1
-    open_ = np.flatnonzero(~apart)
+    open_ = np.flatnonzero(~apart).astype(np.int32)
     for _ in range(1, least):
         if not len(open_):
             break
@@ -281,13 +301,13 @@ def intervals(data: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
         cut_ = number[source[open_]] != number[source[open_ - 1]]
         apart[open_[cut_]] = True
         open_ = open_[~cut_]
-    return order, np.cumsum(apart) - 1
+    return order, np.cumsum(apart, dtype=np.int32) - 1
 
 
 def covered_windows(data: np.ndarray, doc: np.ndarray, valid: np.ndarray, least: int) -> np.ndarray:
     """Places whose window also starts in a smaller document. doc: by place; valid: places where a window starts."""
     order, number = intervals(data, least)
-    d = np.where(valid[order], doc[order], np.iinfo(np.int64).max)
+    d = np.where(valid[order], doc[order], np.iinfo(doc.dtype).max)
     low = np.minimum.reduceat(d, np.flatnonzero(np.r_[True, number[1:] != number[:-1]]))
     out = np.zeros(len(data), bool)
     out[order] = valid[order] & (d > low[number])
@@ -298,7 +318,7 @@ PIECE = ("bucket", "share", "doc", "key", "start", "size")
 CANDIDATE = np.dtype([("bucket", "<i4"), ("share", "<u4"), ("start", "<u4"), ("size", "<u4")])
 
 
-def find(docs: DataFrame, least: int = 50, bucket_entries: int = 1_500_000, hot: int = 100_000, share: float = 1e-6, pool: int = 4 << 20):
+def find(docs: DataFrame, least: int = 50, bucket_entries: int = 1_500_000, hot: int = 100_000, share: float = 1e-6, pool: int = 2 << 20):
     """The texts dealt by document (id, key, text) and the spans of their covered bytes (id, key, spans)."""
     session = docs.sparkSession
     # id and key are never null, so that joins add no filters and the exchange of the texts serves both of them.
@@ -423,11 +443,14 @@ def find(docs: DataFrame, least: int = 50, bucket_entries: int = 1_500_000, hot:
             _, doc, key, start, parts = (list(x) for x in zip(*stay))
             lengths = np.array([len(x) + 1 for x in parts])
             data = np.frombuffer(b"\xff".join(parts) + b"\xff", np.uint8)
-            seg = np.repeat(np.arange(len(parts)), lengths)
-            inside = np.arange(len(data)) - (np.cumsum(lengths) - lengths)[seg]
-            valid = inside <= (lengths - 1 - least)[seg]
+            # By place: its piece, its number in there, and its document's rank; 32 bits each, as they stay while the transform runs.
+            seg = np.repeat(np.arange(len(parts), dtype=np.int32), lengths)
+            inside = np.arange(len(data), dtype=np.int32)
+            inside -= (np.cumsum(lengths) - lengths).astype(np.int32)[seg]
+            valid = inside <= (lengths - 1 - least).astype(np.int32)[seg]
             doc, key, start = np.array(doc, np.int64), np.array(key, np.int64), np.array(start, np.int64)
-            hit = np.flatnonzero(covered_windows(data, doc[seg], valid, least))
+            rank = np.unique(doc, return_inverse=True)[1].astype(np.int32)
+            hit = np.flatnonzero(covered_windows(data, rank[seg], valid, least))
             s = start[seg[hit]] + inside[hit]
             yield covers(doc[seg[hit]], key[seg[hit]], s, s + least, buckets)
 

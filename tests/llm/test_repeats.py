@@ -61,3 +61,19 @@ def test_intervals_are_common_prefixes():
         a, b = raw[order[j - 1] :][:9], raw[order[j] :][:9]
         if len(a) == len(b) == 9 and b"\xff" not in a + b:
             assert (a == b) == (number[j - 1] == number[j])
+
+
+def test_transform_takes_few_bytes_for_each():
+    import tracemalloc
+
+    rng = np.random.default_rng(3)
+    pieces = rng.integers(97, 123, (3000, 81), dtype=np.uint8)
+    pieces[::3, 20:80] = pieces[0, 20:80]
+    pieces[:, 80] = 255
+    place = np.arange(pieces.size, dtype=np.int32)
+    tracemalloc.start()
+    covered = repeats.covered_windows(pieces.reshape(-1), place // 81, place % 81 <= 30, 50)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert covered.reshape(3000, 81)[3::3, 20:31].all() and not covered[:81].any()
+    assert peak < 45 * pieces.size
