@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.lineage import computed
 from ..functions.tolerance import slack, within
 from .ordered import runs
 
@@ -71,7 +72,7 @@ def consensus(pairs: DataFrame) -> DataFrame:
 
 def canonical(chunk_shapes: DataFrame, tolerance: float) -> DataFrame:
     """position, type, relative_time_sec, interval_to_next_sec of the cycle: medians over the chunks compatible with the chosen one."""
-    pairs = compatible(chunk_shapes, tolerance)
+    pairs = computed(compatible(chunk_shapes, tolerance))
     chosen = consensus(pairs).where("support >= 2 and not ambiguous")
     members = pairs.join(chosen.select("recording_id", F.col("chosen").alias("chunk_index")), ["recording_id", "chunk_index"]).select("recording_id", F.col("other").alias("chunk_index"))
     rows = chunk_shapes.join(members, ["recording_id", "chunk_index"]).select("recording_id", F.posexplode(F.arrays_zip("types", "gaps")).alias("p", "x"))
@@ -109,10 +110,15 @@ def repeat_counts(chunk_report: DataFrame) -> DataFrame:
     return chunk_report.groupBy("recording_id").agg(F.count_if(F.col("status") == "match").alias("repeat_count"))
 
 
-def edges(events: DataFrame) -> DataFrame:
-    """source and destination of every interval, with its chunk and position; a chunk's last edge reaches the next chunk."""
+def followed(events: DataFrame) -> DataFrame:
+    """events with the type and index of the next one."""
     w = Window.partitionBy("recording_id").orderBy("event_index")
-    e = events.withColumn("destination_type", F.lead("type").over(w)).withColumn("destination_event_index", F.lead("event_index").over(w))
+    return events.withColumn("destination_type", F.lead("type").over(w)).withColumn("destination_event_index", F.lead("event_index").over(w))
+
+
+def edges(events: DataFrame) -> DataFrame:
+    """source and destination of every interval, with its chunk and position; a chunk's last edge reaches the next chunk. Events that are ``followed`` already need no window."""
+    e = events if "destination_event_index" in events.columns else followed(events)
     return e.where("destination_event_index is not null").select("recording_id", "chunk_index", F.col("position").alias("interval_number"), F.col("type").alias("source_type"), "destination_type", F.col("interval_to_next_sec").alias("interval_sec"), F.col("event_index").alias("source_event_index"), "destination_event_index")
 
 
@@ -123,9 +129,11 @@ def canonical_edges(cycle: DataFrame) -> DataFrame:
     return cycle.select("recording_id", F.col("position").alias("interval_number"), F.col("type").alias("source_type"), F.coalesce(F.lead("type").over(w), first).alias("destination_type"), F.col("interval_to_next_sec").alias("interval_sec"))
 
 
-def prefix_suffix(observed: DataFrame, reference: DataFrame, keys: list[str], shared: list[str], tolerance: float, both: bool = True) -> DataFrame:
+def prefix_suffix(observed: DataFrame, reference: DataFrame, keys: list[str], shared: list[str], tolerance: float, both: bool = True, types: bool = False) -> DataFrame:
     """Leading and trailing edges of observed that equal those of reference; the suffix does not overlap the prefix, in either or (not both) in observed.
 
+    types: with the numbers and types of observed's edges, in order.
+
     Edges have interval_number from 1, types and interval_sec; observed is by keys, reference by shared (some of keys).
     Lists are compared as arrays, so each side is grouped once and joined once.
     """
@@ -139,4 +147,5 @@ def prefix_suffix(observed: DataFrame, reference: DataFrame, keys: list[str], sh
 
     j = o.join(r, shared).withColumn("prefix", leading(F.col("o"), F.col("r")).cast("long")).withColumn("_s", leading(F.reverse("o"), F.reverse("r")))
     n, m = F.size("o").cast("long"), F.size("r").cast("long")
-    return j.select(*keys, "prefix", F.greatest(F.lit(0), F.least("_s", (F.least(n, m) if both else n) - F.col("prefix"))).alias("suffix"), n.alias("n_observed"), m.alias("n_reference"))
+    told = [F.transform("o", lambda x: F.struct(x["interval_number"].alias("interval_number"), x["source_type"].alias("source_type"), x["destination_type"].alias("destination_type"))).alias("types")] if types else []
+    return j.select(*keys, "prefix", F.greatest(F.lit(0), F.least("_s", (F.least(n, m) if both else n) - F.col("prefix"))).alias("suffix"), n.alias("n_observed"), m.alias("n_reference"), *told)

@@ -11,11 +11,12 @@ pairing needs the lock become spans of edges, and spans become pairs by equi-joi
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions import lcs
 from ..functions.lineage import computed
-from ..functions.tolerance import within
 from .cycle import prefix_suffix
 from .segments import excluded
 
@@ -24,47 +25,26 @@ TERMINAL = ("eeg_shorter", "eeg_longer", "same_last_trigger")
 EDGE = ("interval_number", "source_type", "destination_type", "interval_sec")
 
 
-def _same(x: Column, y: Column, tolerance: float) -> Column:
-    return F.coalesce((x["source_type"] == y["source_type"]) & (x["destination_type"] == y["destination_type"]) & within(x["interval_sec"], y["interval_sec"], tolerance), F.lit(False))
-
-
 def canonical_numbers(observed: DataFrame, reference: DataFrame, keys: list[str], shared: list[str], tolerance: float) -> DataFrame:
     """keys, interval_number of each observed edge, and canonical_number: that of the reference's edge in their longest common subsequence, or null.
 
     Edges have interval_number from 1, types and interval_sec; observed is by keys, reference by shared (some of keys).
     Of several longest ones: equal edges are taken where they meet, else the observed edge is passed over unless that loses length.
 
-    The table of lengths is filled row by row from the end: a place takes the best of those to its right, where an edge that is equal counts one more than
-    what follows it. Then one walk through the table numbers the edges.
+    Lists are met by a join; many pairs of them are compared side by side, see ``lcs``.
     """
     rows = F.sort_array(F.collect_list(F.struct(*EDGE)))
     o, r = observed.groupBy(*keys).agg(rows.alias("o")), reference.groupBy(*shared).agg(rows.alias("r"))
-    j = o.join(r, shared, "left").withColumn("r", F.coalesce("r", F.array().cast(r.schema["r"].dataType)))
-    n, m = F.size("o"), F.size("r")
-    j = j.withColumn("equal", F.transform("o", lambda x: F.transform("r", lambda y: _same(x, y, tolerance))))
-
-    def row(table: Column, equal: Column) -> Column:
-        """The lengths from an observed edge on, above the first row of the table."""
-        after = table[0]
-        # Where edges are equal: one more than what follows both. Elsewhere: what follows the observed edge alone.
-        own = F.concat(F.transform(equal, lambda e, k: F.when(e, F.element_at(after, k + 2) + 1).otherwise(F.element_at(after, k + 1))), F.array(F.lit(0)))
-        return F.transform(F.array(own), lambda o: F.transform(o, lambda _, k: F.array_max(F.slice(o, k + 1, F.size(o)))))[0]
-
-    last = F.array(F.array_repeat(F.lit(0), m + 1))
-    j = j.withColumn("table", F.aggregate(F.reverse("equal"), last, lambda t, e: F.concat(F.array(row(t, e)), t)))
-    start = F.struct(F.lit(0).alias("i"), F.lit(0).alias("j"), F.array().cast("array<bigint>").alias("out"))
-
-    def step(s: Column, _: Column) -> Column:
-        inside = (s["i"] < n) & (s["j"] < m)
-        hit = F.when(inside, F.get(F.get("equal", s["i"]), s["j"])).otherwise(False)
-        over = F.when(inside, F.get(F.get("table", s["i"] + 1), s["j"]) >= F.get(F.get("table", s["i"]), s["j"] + 1)).otherwise(False)
-        number = F.get("r", s["j"])["interval_number"]
-        out = F.when(hit, F.concat(s["out"], F.array(number))).when(over, F.concat(s["out"], F.array(F.lit(None).cast("bigint")))).otherwise(s["out"])
-        return F.struct((s["i"] + F.when(hit | over, 1).otherwise(0)).alias("i"), (s["j"] + F.when(inside & (hit | ~over), 1).otherwise(0)).alias("j"), out.alias("out"))
-
-    found = j.withColumn("walk", F.aggregate(F.sequence(F.lit(1), n + m), start, step)["out"])
-    told = F.transform("o", lambda x, k: F.struct(x["interval_number"].alias("interval_number"), F.get("walk", k).alias("canonical_number")))
-    return found.select(*keys, F.inline(told))
+    j = o.join(r, shared, "left").withColumn("r", F.coalesce("r", F.array().cast(r.schema["r"].dataType))).select(*keys, "o", "r")
+
+    def run(batches):
+        for batch in batches:
+            row, own, known = lcs.numbers(batch, tolerance)
+            row = pa.array(row)
+            yield pa.RecordBatch.from_arrays([*(batch.column(k).take(row) for k in keys), own, known], [*keys, "interval_number", "canonical_number"])
+
+    kind = lambda df: df.schema["interval_number"].dataType.simpleString()
+    return j.mapInArrow(run, ", ".join(f"{k} {j.schema[k].dataType.simpleString()}" for k in keys) + f", interval_number {kind(observed)}, canonical_number {kind(reference)}")
 
 
 def with_lock(history: DataFrame, sets: Column) -> DataFrame:
@@ -87,12 +67,10 @@ def _own(name: str) -> Column:
 def judged(history: DataFrame, eeg: DataFrame, edf: DataFrame, eeg_canon: DataFrame, edf_canon: DataFrame, gaps: DataFrame, tolerance: float) -> DataFrame:
     """history with each chunk's edges that equal the cycle's at its ends, suffix (where a loss relocks), handled (a loss that
     an interruption explains, so that all edges pair), and locked before each row."""
-    types = F.sort_array(F.collect_list(F.struct("interval_number", "source_type", "destination_type"))).alias("types")
     h = history
     for side, edges, canon in (("eeg", eeg, eeg_canon), ("edf", edf, edf_canon)):
-        ends = prefix_suffix(edges, canon, ["recording_id", "chunk_index"], ["recording_id"], tolerance, both=False)
-        told = ends.join(edges.groupBy("recording_id", "chunk_index").agg(types), ["recording_id", "chunk_index"])
-        h = h.join(told.select("recording_id", F.col("chunk_index").alias(f"{side}_chunk"), *(F.col(c).alias(f"{side}_{c}") for c in ("prefix", "suffix", "n_observed", "n_reference", "types"))), ["recording_id", f"{side}_chunk"])
+        ends = prefix_suffix(edges, canon, ["recording_id", "chunk_index"], ["recording_id"], tolerance, both=False, types=True)
+        h = h.join(ends.select("recording_id", F.col("chunk_index").alias(f"{side}_chunk"), *(F.col(c).alias(f"{side}_{c}") for c in ("prefix", "suffix", "n_observed", "n_reference", "types"))), ["recording_id", f"{side}_chunk"])
         size = ends.select("recording_id", (F.col("chunk_index") + 1).alias(f"next_{side}_chunk"), F.col("n_observed").alias(f"{side}_before_next"))
         h = h.join(size, ["recording_id", f"next_{side}_chunk"], "left")
     h = h.join(covered_chunks(eeg, gaps).select("recording_id", F.col("chunk_index").alias("eeg_chunk"), F.lit(True).alias("covered")), ["recording_id", "eeg_chunk"], "left")

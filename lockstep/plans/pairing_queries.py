@@ -24,8 +24,8 @@ def query(sql: str | None = None):
 
 def _side(spark, sf_dir, side):
     """A side's edges and its cycle's edges."""
-    events = cycle.chunks(schedule(spark, sf_dir, side), {"eeg": EEG_RATE, "edf": TRIGGER_RATE}[side])
-    return computed(cycle.edges(events)), computed(cycle.canonical_edges(cycle.canonical(cycle.shapes(events), TOLERANCE)))
+    events = computed(cycle.followed(cycle.chunks(schedule(spark, sf_dir, side), {"eeg": EEG_RATE, "edf": TRIGGER_RATE}[side])))
+    return cycle.edges(events), computed(cycle.canonical_edges(cycle.canonical(cycle.shapes(events), TOLERANCE)))
 
 
 _CLOSE = f"coalesce({{a}}.s = {{b}}.s AND {{a}}.d = {{b}}.d AND abs({{a}}.v - {{b}}.v) <= {TOLERANCE} + 10 * pow(2.0, floor(log2(greatest(1.0, abs({{a}}.v), abs({{b}}.v)))) - 52), false)"

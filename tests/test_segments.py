@@ -74,3 +74,43 @@ def test_step_is_not_linear():
 def test_numbers_by_common_subsequence():
     e = lambda *s: [("63", "63", float(x), i, i + 1) for i, x in enumerate(s)]
     assert canonical_numbers(e(1, 3, 9, 5), e(1, 2, 3, 4, 5), 0.1) == [1, 3, None, 5]
+
+
+def test_numbers_side_by_side():
+    import numpy as np
+
+    from lockstep.functions import lcs
+
+    rng = np.random.default_rng(5)
+    n, m = rng.integers(0, 12, 60), rng.integers(0, 12, 60)
+    equal = rng.random((60, 12, 12)) < 0.3
+    equal &= (np.arange(12) < n[:, None])[:, :, None] & (np.arange(12) < m[:, None])[:, None, :]
+    got = lcs.walked(equal, n, m)
+    for b in range(60):
+        t = np.zeros((14, 14), int)
+        for i in range(n[b] - 1, -1, -1):
+            for j in range(m[b] - 1, -1, -1):
+                t[i, j] = max(t[i, j + 1], t[i + 1, j + 1] + 1 if equal[b, i, j] else t[i + 1, j])
+        want, i, j = [-1] * 12, 0, 0
+        while i < n[b] and j < m[b]:
+            if equal[b, i, j]:
+                want[i] = j
+                i, j = i + 1, j + 1
+            elif t[i + 1, j] >= t[i, j + 1]:
+                i += 1
+            else:
+                j += 1
+        assert got[b].tolist() == want
+
+
+def test_long_chunks_are_numbered_soon(spark):
+    import time
+
+    from lockstep.operators import pairing
+
+    edge = ("id + 1 AS interval_number", "cast(id % 7 AS string) AS source_type", "'63' AS destination_type", "cast(1 AS double) AS interval_sec")
+    observed = spark.range(600).selectExpr("1L AS recording_id", "1 AS chunk_index", *edge)
+    began = time.monotonic()
+    rows = pairing.canonical_numbers(observed, observed.drop("chunk_index"), ["recording_id", "chunk_index"], ["recording_id"], 0.1).collect()
+    assert sorted((r.interval_number, r.canonical_number) for r in rows) == [(k, k) for k in range(1, 601)]
+    assert time.monotonic() - began < 20
