@@ -181,7 +181,7 @@ def _edf_folder(spark, sf_dir) -> str:
     fields = dict(zip([k for k, _ in edf.FIXED], ["0", "X X X X", "Startdate 25-FEB-2026 X X X", "25.02.26", "22.00.00", str(256 * 3), "", "10", "1", "2"]))
     signal = {"transducer": "", "physical_dimension": "uV", "physical_min": "-32768", "physical_max": "32767", "digital_min": "-32768", "digital_max": "32767", "prefilter": "", "samples_in_record": "100", "reserved": ""}
     folder = f"{shared_folder(spark)}/edf-{uuid.uuid4().hex}"
-    edf.write(blocks, edf.Header(fields, [{"label": c} | signal for c in "AB"]), folder).collect()  # a row for each file
+    edf.write(blocks, edf.Header(fields, [{"label": c} | signal for c in "AB"]), folder).agg(F.sum("bytes")).collect()
     edf.register(spark)
     return folder
 

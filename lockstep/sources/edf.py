@@ -1,8 +1,9 @@
 """EDF files: header parsing, a Spark data source with channel and record pruning, and writing.
 
 ``register(spark)`` adds the format ``edf``: ``spark.read.format("edf").option("channels", "C3,M1").load(path)`` gives one row
-per record and channel (recording, channel, block_id, first_sample, values). A file is cut into ranges of bytes by its size alone. Every
-task reads the file's header, 256 (n + 1) bytes, and the records that begin in its range, in batches; only the chosen channels are decoded.
+per record and channel (recording, channel, block_id, first_sample, values). A file is cut into ranges of bytes (bytesPerPartition at most) by its size alone,
+and a task takes neighbouring ranges up to bytesPerTask, where each range counts at least OPEN bytes: many small files make few tasks. For each
+range it reads the file's header, 256 (n + 1) bytes, and the records that begin there, in batches; only the chosen channels are decoded.
 
 Paths may be local or name a store that Arrow's file systems reach (file, s3, gs, hdfs). No file is opened by the driver unless ranges of records are asked for.
 """
@@ -126,11 +127,36 @@ class _Range(InputPartition):
         self.path, self.size, self.low, self.high, self.records = path, size, low, high, records
 
 
+class _Task(InputPartition):
+    """Ranges that one task reads."""
+
+    def __init__(self, ranges: list[_Range]):
+        self.ranges = ranges
+
+
+#: What a range counts at least when ranges are dealt to tasks, and the rows' bytes that are handed on together.
+OPEN, HAND = 1 << 19, 4 << 20
+
+
+def _dealt(ranges: list[_Range], limit: int) -> list[_Task]:
+    """Neighbouring ranges in tasks of about limit bytes."""
+    tasks, size = [], limit
+    for r in ranges:
+        own = max(OPEN, min(r.high, r.size) - r.low)
+        if size + own > limit:
+            tasks.append(_Task([]))
+            size = 0
+        tasks[-1].ranges.append(r)
+        size += own
+    return tasks
+
+
 class _Reader(DataSourceReader):
     def __init__(self, options):
         self.path = options["path"]
         self.only = [c.strip() for c in options["channels"].split(",")] if options.get("channels") else None
         self.bytes = int(options.get("bytesPerPartition", 64 << 20))
+        self.task = int(options.get("bytesPerTask", 64 << 20))
         self.step = int(options["recordsPerPartition"]) if options.get("recordsPerPartition") else None
 
     def partitions(self):
@@ -139,15 +165,27 @@ class _Reader(DataSourceReader):
         if infos[0].type == fs.FileType.Directory:
             infos = sorted((i for i in store.get_file_info(fs.FileSelector(path)) if i.type == fs.FileType.File and re.fullmatch(r".*\.edf", i.base_name, re.I)), key=lambda i: i.path)
         if self.step is None:
-            return [_Range(i.path, i.size, a, a + self.bytes) for i in infos for a in range(0, max(1, i.size), self.bytes)]
+            return _dealt([_Range(i.path, i.size, a, a + self.bytes) for i in infos for a in range(0, max(1, i.size), self.bytes)], self.task)
         out = []
         for i in infos:
             with store.open_input_file(i.path) as f:
                 n = parse(head_of(f), i.size).records
-            out += [_Range(i.path, i.size, a, min(n, a + self.step), True) for a in range(0, n, self.step)]
+            out += [_Task([_Range(i.path, i.size, a, min(n, a + self.step), True)]) for a in range(0, n, self.step)]
         return out
 
-    def read(self, partition: _Range):
+    def read(self, partition: _Task):
+        held, size = [], 0
+        for part in partition.ranges:
+            for batch in self.records(part):
+                held.append(batch)
+                size += batch.nbytes
+                if size >= HAND:
+                    yield pa.concat_batches(held)
+                    held, size = [], 0
+        if held:
+            yield pa.concat_batches(held)
+
+    def records(self, partition: _Range):
         with at_store(self.path)[0].open_input_file(partition.path) as f:
             h = parse(head_of(f), partition.size)
             offsets = np.concatenate([[0], np.cumsum(h.samples)])

@@ -109,8 +109,8 @@ def test_long_chunks_are_numbered_soon(spark):
     from lockstep.operators import pairing
 
     edge = ("id + 1 AS interval_number", "cast(id % 7 AS string) AS source_type", "'63' AS destination_type", "cast(1 AS double) AS interval_sec")
-    observed = spark.range(600).selectExpr("1L AS recording_id", "1 AS chunk_index", *edge)
+    observed = spark.range(2000).selectExpr("1L AS recording_id", "1 AS chunk_index", *edge)
     began = time.monotonic()
     rows = pairing.canonical_numbers(observed, observed.drop("chunk_index"), ["recording_id", "chunk_index"], ["recording_id"], 0.1).collect()
-    assert sorted((r.interval_number, r.canonical_number) for r in rows) == [(k, k) for k in range(1, 601)]
+    assert sorted((r.interval_number, r.canonical_number) for r in rows) == [(k, k) for k in range(1, 2001)]
     assert time.monotonic() - began < 20

@@ -228,3 +228,13 @@ def test_all_outputs_of_all_recordings(spark, tmp_path):
             want[r, k + 1] = float((w * x[np.where(at >= n, 2 * n - 2 - at, at)]).sum() / w.sum())
     assert got.keys() == want.keys() and len(got) == 3 * 512 + 154
     assert max(abs(got[k] - want[k]) for k in got) < 1e-5
+
+
+def test_many_small_files_make_few_tasks(tmp_path):
+    from lockstep.sources import edf
+
+    for i in range(300):
+        (tmp_path / f"r{i:03}.edf").write_bytes(bytes(4768))
+    tasks = edf.EdfSource({"path": str(tmp_path), "bytesPerPartition": "1500"}).reader(None).partitions()
+    ranges = [(r.path, r.low, r.high) for t in tasks for r in t.ranges]
+    assert len(ranges) == len(set(ranges)) == 1200 and len(tasks) < 20
