@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.lineage import computed
+
 # Output labels with the source electrode of each.
 ELECTRODES = {"Fp1": "L1", "Fp2": "R1", "F3": "LL2", "F4": "RR2", "C3": "LA2", "C4": "RA2", "O1": "LL11", "O2": "RR11", "M1": "LD6", "M2": "RD6", "VEOGL": "VEOGL"}
 REFERENCE = {"Fp1": "M2", "F3": "M2", "C3": "M2", "O1": "M2", "Fp2": "M1", "F4": "M1", "C4": "M1", "O2": "M1"}
 OUTPUT = ("Fp1", "Fp2", "F3", "F4", "C3", "C4", "O1", "O2", "M1", "M2", "E1", "E2")
 FAULTY = {**{c: c for c in (*REFERENCE, "M1", "M2")}, "E1": "VEOGL", "E2": "Fp2"}
+ROWS = 2_000_000  # of long samples in a task, some 50 MB as shuffled
 FAULT_UV, FAULT_SHARE, BOUNDS_PERCENT = 1000.0, 0.02, 1.0
 
 
@@ -35,9 +40,15 @@ def missing(required: list[str], available: DataFrame) -> DataFrame:
 
 
 def mean_centred(samples: DataFrame, keys: list[str]) -> DataFrame:
-    """value less its mean within keys; the mean is joined back, so that no window holds a channel."""
-    means = samples.groupBy(*keys).agg(F.avg("value").alias("_mean"))
-    return samples.join(means, keys).withColumn("value", F.col("value") - F.col("_mean")).drop("_mean")
+    """value less its mean within keys; the mean is joined back, so that no window holds a channel.
+
+    Samples are dealt by keys to as many tasks as their number asks for, ROWS or so in each, where a plain join would deal all of them to a fixed number.
+    """
+    means = computed(samples.groupBy(*keys).agg(F.avg("value").alias("_mean"), F.count("*").alias("_n")))
+    few = int(samples.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = max(few, math.ceil((means.agg(F.sum("_n")).first()[0] or 0) / ROWS))
+    dealt = samples.repartition(parts, *keys) if parts > few else samples
+    return dealt.join(means.drop("_n"), keys).withColumn("value", F.col("value") - F.col("_mean")).drop("_mean")
 
 
 def pivot(samples: DataFrame, channels) -> DataFrame:

@@ -238,3 +238,13 @@ def test_many_small_files_make_few_tasks(tmp_path):
     tasks = edf.EdfSource({"path": str(tmp_path), "bytesPerPartition": "1500"}).reader(None).partitions()
     ranges = [(r.path, r.low, r.high) for t in tasks for r in t.ranges]
     assert len(ranges) == len(set(ranges)) == 1200 and len(tasks) < 20
+
+
+def test_samples_are_dealt_by_their_number(spark, monkeypatch):
+    from lockstep.operators import montage
+
+    monkeypatch.setattr(montage, "ROWS", 500)
+    samples = spark.range(10000).selectExpr("id div 100 AS recording_id", "'A' AS channel", "id % 100 AS sample", "cast(id AS double) AS value")
+    out = montage.mean_centred(samples, ["recording_id", "channel"])
+    assert out.rdd.getNumPartitions() == 20
+    assert out.where("sample = 0 AND value = -49.5").count() == 100
