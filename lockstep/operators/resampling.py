@@ -6,10 +6,15 @@ state before it to the state after it, a fold over these summaries finds all sta
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterable, Iterator
+
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from ..errors import require
 from ..functions import cascade, dsp
@@ -129,6 +134,29 @@ def _schema(df: DataFrame, more: str) -> str:
     return ", ".join(f"{c} {df.schema[c].dataType.simpleString()}" for c in CHANNEL) + ", " + more
 
 
+#: Bytes of blocks that a task turns into a frame at a time.
+PART = 4 << 20
+
+
+def _parts(batches: Iterable[pa.RecordBatch]) -> Iterator[pd.DataFrame]:
+    """Frames of PART bytes or so, or one row: Spark's batches are counted in rows, and a row may hold a whole block."""
+    for batch in batches:
+        rows = max(1, PART * batch.num_rows // max(1, batch.nbytes))
+        for a in range(0, batch.num_rows, rows):
+            yield batch.slice(a, rows).to_pandas()
+
+
+def _mapped(blocks: DataFrame, run: Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]], schema: str) -> DataFrame:
+    """mapInPandas by ``_parts``."""
+    target = to_arrow_schema(StructType.fromDDL(schema))
+
+    def each(batches):
+        for pdf in run(_parts(batches)):
+            yield pa.RecordBatch.from_pandas(pdf, target, preserve_index=False)
+
+    return blocks.mapInArrow(each, schema)
+
+
 def _summaries(trigger_rate: float, block: int):
     """A row for each block, and for what the odd extension at the segment's ends mirrors of it. part: its order in the extended segment."""
 
@@ -173,7 +201,7 @@ def _states(trigger_rate: float):
 def highpassed(blocks: DataFrame, trigger_rate: float, block: int = BLOCK) -> DataFrame:
     """The blocks of segments without their mean, after the zero-phase high-pass; segments that lack samples drop out."""
     summary = "part long, eeg long, span long, sign double, middle double, length long, head double, tail double, total double, after array<double>, back array<double>, final double"
-    summaries = blocks.mapInPandas(_summaries(trigger_rate, block), _schema(blocks, summary))
+    summaries = _mapped(blocks, _summaries(trigger_rate, block), _schema(blocks, summary))
     states = summaries.groupBy(*CHANNEL).applyInPandas(_states(trigger_rate), _schema(blocks, "block long, mean double, forward array<double>, backward array<double>"))
 
     def run(batches):
@@ -181,7 +209,7 @@ def highpassed(blocks: DataFrame, trigger_rate: float, block: int = BLOCK) -> Da
             y = [cascade.highpass(r.eeg / (r.span / trigger_rate)).both(np.asarray(r.body, float) - r.mean, np.asarray(r.forward), np.asarray(r.backward)) for r in pdf.itertuples(index=False)]
             yield pdf[[*CHANNEL, "block", "eeg", "span"]].assign(body=y)
 
-    return blocks.join(states, [*CHANNEL, "block"]).mapInPandas(run, _schema(blocks, "block long, eeg long, span long, body array<double>"))
+    return _mapped(blocks.join(states, [*CHANNEL, "block"]), run, _schema(blocks, "block long, eeg long, span long, body array<double>"))
 
 
 def centred(blocks: DataFrame) -> DataFrame:
@@ -243,14 +271,14 @@ def resample_blocks(samples: DataFrame, segments: DataFrame, trigger_rate: float
     """
     blocks = blocked(samples, segments, block)
     ready = highpassed(blocks, trigger_rate, block) if filtered else centred(blocks)
-    return with_halo(ready, _halo(trigger_rate, block)).mapInPandas(_weighted(trigger_rate, ratio, block, False), _schema(samples, "sample long, value double"))
+    return _mapped(with_halo(ready, _halo(trigger_rate, block)), _weighted(trigger_rate, ratio, block, False), _schema(samples, "sample long, value double"))
 
 
 def antialiased(samples: DataFrame, segments: DataFrame, trigger_rate: float, filtered: bool = True, block: int = BLOCK) -> DataFrame:
     """Segments after the resampler's kernel on their own grid, to tell what resampling alone changes: recording_id, segment_index, channel, sample (from 1), value."""
     blocks = blocked(samples, segments, block)
     ready = highpassed(blocks, trigger_rate, block) if filtered else centred(blocks)
-    return with_halo(ready, _halo(trigger_rate, block)).mapInPandas(_weighted(trigger_rate, 1, block, True), _schema(samples, "sample long, value double"))
+    return _mapped(with_halo(ready, _halo(trigger_rate, block)), _weighted(trigger_rate, 1, block, True), _schema(samples, "sample long, value double"))
 
 
 def spectra(samples: DataFrame, rate: float, kind: str = "welch") -> DataFrame:

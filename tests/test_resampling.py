@@ -89,3 +89,15 @@ def test_rational_steps_against_the_whole_recording(spark):
     plan_text = got._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan_text and "BroadcastNestedLoopJoin" not in plan_text
     assert resampling.phase_weights(spark, 64, 125, plan).count() == 64
+
+
+def test_frames_are_bounded_by_bytes():
+    import numpy as np
+    import pyarrow as pa
+
+    from lockstep.operators import resampling
+
+    values = pa.ListArray.from_arrays(pa.array(np.arange(0, 2_000_001, 2000), pa.int32()), pa.array(np.zeros(2_000_000)))
+    frames = list(resampling._parts([pa.RecordBatch.from_arrays([pa.array(np.arange(1000)), values], ["block", "body"])]))
+    assert [k for f in frames for k in f["block"]] == list(range(1000))
+    assert max(sum(x.nbytes for x in f["body"]) for f in frames) <= resampling.PART
