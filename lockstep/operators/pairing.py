@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from ..functions import lcs
 from ..functions.lineage import computed
 from .cycle import prefix_suffix
-from .segments import excluded
+from .segments import covered, excluded
 
 LOSSES = ("eeg_data_loss", "edf_data_loss")
 TERMINAL = ("eeg_shorter", "eeg_longer", "same_last_trigger")
@@ -55,8 +55,7 @@ def with_lock(history: DataFrame, sets: Column) -> DataFrame:
 
 def covered_chunks(edges: DataFrame, gaps: DataFrame) -> DataFrame:
     """recording_id, chunk_index of chunks with an edge that an excluded interruption covers."""
-    free = excluded(edges.select("recording_id", "source_event_index"), gaps)
-    return edges.join(free, ["recording_id", "source_event_index"], "left_anti").select("recording_id", "chunk_index").distinct()
+    return covered(edges, gaps).select("recording_id", "chunk_index").distinct()
 
 
 def _own(name: str) -> Column:

@@ -43,9 +43,18 @@ def excluded(pairs: DataFrame, gaps: DataFrame, source: str = "source_event_inde
     gaps: recording_id, start, end (event indexes). Both open: covers all. Start open: below the end.
     End open: from the start. End after the start: from it to before the end. Otherwise: the start itself.
     """
+    return _met(pairs, gaps, source, "left_anti")
+
+
+def covered(pairs: DataFrame, gaps: DataFrame, source: str = "source_event_index") -> DataFrame:
+    """pairs that an excluded interruption covers: those that ``excluded`` leaves out."""
+    return _met(pairs, gaps, source, "left_semi")
+
+
+def _met(pairs: DataFrame, gaps: DataFrame, source: str, how: str) -> DataFrame:
     s, e, x = F.col("g.start"), F.col("g.end"), F.col(f"p.{source}")
     covers = F.when(s.isNull() & e.isNull(), True).when(s.isNull(), x < e).when(e.isNull(), x >= s).when(e > s, (x >= s) & (x < e)).otherwise(x == s)
-    return pairs.alias("p").join(gaps.alias("g"), (F.col("p.recording_id") == F.col("g.recording_id")) & covers, "left_anti")
+    return pairs.alias("p").join(gaps.alias("g"), (F.col("p.recording_id") == F.col("g.recording_id")) & covers, how)
 
 
 def matched_segments(pairs: DataFrame) -> DataFrame:

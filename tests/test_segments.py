@@ -114,3 +114,13 @@ def test_long_chunks_are_numbered_soon(spark):
     rows = pairing.canonical_numbers(observed, observed.drop("chunk_index"), ["recording_id", "chunk_index"], ["recording_id"], 0.1).collect()
     assert sorted((r.interval_number, r.canonical_number) for r in rows) == [(k, k) for k in range(1, 2001)]
     assert time.monotonic() - began < 20
+
+
+def test_covered_and_excluded_part_the_edges(spark):
+    from lockstep.operators import pairing, segments
+
+    edges = spark.range(40).selectExpr("id div 10 AS recording_id", "cast(id % 10 div 5 AS int) AS chunk_index", "id % 10 AS source_event_index")
+    gaps = spark.createDataFrame([(0, None, None), (1, None, 3), (2, 7, None), (2, 8, 9)], "recording_id long, start long, end long")
+    out = segments.covered(edges, gaps)
+    assert out.count() == 10 + 3 + 3 and segments.excluded(edges, gaps).count() == 24
+    assert sorted(map(tuple, pairing.covered_chunks(edges, gaps).collect())) == [(0, 0), (0, 1), (1, 0), (2, 1)]
